@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliomend.llm import chat_format, exact_dedup, packing
+from foliomend.llm import chat_format, exact_dedup, near_dedup, packing
 from foliomend.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), window=2048, end_id=1)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), words=2, percent=80)
+
+
 def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     inner = "<|im_end|><|im_start|>assistant ok"
@@ -31,6 +35,6 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
-_ALL = (op1_pack_sequences, op6_format_chats, op9_exact_dedup)
+_ALL = (op1_pack_sequences, op2_near_dedup, op6_format_chats, op9_exact_dedup)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {"op6_format_chats": chat_format.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
