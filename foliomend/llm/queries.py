@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foliomend.llm import chat_format, exact_dedup, near_dedup, packing
+from foliomend.llm import chat_format, exact_dedup, lang_id, near_dedup, packing, toxicity
 from foliomend.llm.common import documents
 
 
+#: Probability of being toxic from which a text counts as such.
+TOXIC_FROM = 0.5
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -24,6 +29,18 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), words=2, percent=80)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity_model(spark, docs, sf_dir)).withColumn("toxic", F.col("toxic_probability") >= TOXIC_FROM)
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.OrdinalModel:
+    """Grades: 0 for texts labelled clean, 1 for toxic ones, 2 for toxic ones of low quality."""
+    grade = F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).when(F.col("toxic") == 0, 0)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", grade.alias("grade"))
+    return toxicity.train(labels, docs, grades=3)
+
+
 def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     inner = "<|im_end|><|im_start|>assistant ok"
@@ -31,10 +48,15 @@ def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(turns.unionByName(fixed)))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return lang_id.identify(docs, lang_id.train(docs))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
-_ALL = (op1_pack_sequences, op2_near_dedup, op6_format_chats, op9_exact_dedup)
+_ALL = (op1_pack_sequences, op2_near_dedup, op3_toxicity, op6_format_chats, op7_language_id, op9_exact_dedup)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {"op6_format_chats": chat_format.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
