@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomend.llm import chat_format, exact_dedup, lang_id, near_dedup, packing, toxicity
+from foliomend.llm import chat_format, exact_dedup, lang_id, near_dedup, packing, topk, toxicity
 from foliomend.llm.common import documents
 
 
@@ -41,6 +41,11 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
     return toxicity.train(labels, docs, grades=3)
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     inner = "<|im_end|><|im_start|>assistant ok"
@@ -57,6 +62,6 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
-_ALL = (op1_pack_sequences, op2_near_dedup, op3_toxicity, op6_format_chats, op7_language_id, op9_exact_dedup)
+_ALL = (op1_pack_sequences, op2_near_dedup, op3_toxicity, op4_top_k, op6_format_chats, op7_language_id, op9_exact_dedup)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op6_format_chats": chat_format.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op4_top_k": topk.ORACLE, "op6_format_chats": chat_format.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
