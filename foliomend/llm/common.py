@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -126,3 +127,14 @@ def word_hashes(texts: pa.Array, word_byte: np.ndarray = NOT_SPACE) -> Iterator[
             h, begin = _hash_words(data[off[i] : off[j]], local[:-1][local[:-1] < local[-1]], word_byte)
             yield i, h, np.diff(np.searchsorted(begin, local, "left"))
         i = j
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts have about `most` bytes together, or one text that is longer."""
+    size = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
