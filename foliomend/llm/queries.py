@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomend.llm import chat_format, exact_dedup, lang_id, near_dedup, packing, topk, toxicity
+from foliomend.llm import chat_format, exact_dedup, lang_id, license_scan, near_dedup, packing, sentencepiece_codec, token_counts, topk, toxicity
 from foliomend.llm.common import documents
 
 
@@ -46,6 +46,10 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op6_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     inner = "<|im_end|><|im_start|>assistant ok"
@@ -58,10 +62,19 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs, lang_id.train(docs))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
-_ALL = (op1_pack_sequences, op2_near_dedup, op3_toxicity, op4_top_k, op6_format_chats, op7_language_id, op9_exact_dedup)
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    return sentencepiece_codec.digests(sentencepiece_codec.decode(sentencepiece_codec.encode(documents(spark, sf_dir), model), model))
+
+
+_ALL = (op1_pack_sequences, op2_near_dedup, op3_toxicity, op4_top_k, op5_token_counts, op6_format_chats, op7_language_id, op8_license_scan, op9_exact_dedup, op10_sentencepiece)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op4_top_k": topk.ORACLE, "op6_format_chats": chat_format.ORACLE, "op9_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op4_top_k": topk.ORACLE, "op6_format_chats": chat_format.ORACLE, "op8_license_scan": license_scan.oracle(), "op9_exact_dedup": exact_dedup.ORACLE}
