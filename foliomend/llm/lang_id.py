@@ -9,7 +9,7 @@ Texts are scored in batches: presence matrix times landmark matrix, then times c
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,6 +115,31 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit(np.unpackbits(np.frombuffer(b"".join(rows["bits"]), np.uint8).reshape(len(rows), -1), axis=1).view(bool), list(rows["lang"]))
 
 
+def identifier(model: KernelModel | None) -> Callable[[Column], Column]:
+    """A column function: text to (lang_pred, score), as `identify` describes them."""
+
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def predict(texts: pa.Array) -> pa.Array:
+        names, scores = [NO_LANGUAGE] * len(texts), np.zeros(len(texts))
+        for at in range(0, len(texts) if model else 0, BATCH):
+            rows, which = np.zeros((BATCH, SLOTS), bool), []
+            for k, text in enumerate(texts[at : at + BATCH]):
+                text = text.as_py() or ""
+                data = text.encode()
+                if has_letter(text, data):
+                    presence(data, rows[len(which)])
+                    which.append(at + k)
+            if which:
+                values = model.scores(rows[: len(which)])
+                best = values.argmax(axis=1)
+                scores[which] = np.clip((values[np.arange(len(which)), best] + 1) / 2, 0, 1)
+                for k, b in zip(which, best):
+                    names[k] = model.languages[b]
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
+
+    return predict
+
+
 def identify(docs: DataFrame, model: KernelModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, held_out, lang_pred, score.
 
@@ -122,25 +147,5 @@ def identify(docs: DataFrame, model: KernelModel | None, id_col: str = "doc_id",
     nothing to learn from. score: where the best language's value lies between -1 and 1, as 0 to 1.
     Only id and whole text are read; repeated rows get equal rows; an empty table gives an empty result.
     """
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = [NO_LANGUAGE] * batch.num_rows, np.zeros(batch.num_rows)
-            for at in range(0, batch.num_rows if model else 0, BATCH):
-                rows, which = np.zeros((BATCH, SLOTS), bool), []
-                for k, text in enumerate(batch.column(2)[at : at + BATCH]):
-                    text = text.as_py() or ""
-                    data = text.encode()
-                    if has_letter(text, data):
-                        presence(data, rows[len(which)])
-                        which.append(at + k)
-                if which:
-                    values = model.scores(rows[: len(which)])
-                    best = values.argmax(axis=1)
-                    scores[which] = np.clip((values[np.arange(len(which)), best] + 1) / 2, 0, 1)
-                    for k, b in zip(which, best):
-                        names[k] = model.languages[b]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "held_out", "lang_pred", "score"])
-
-    columns = docs.select(F.col(id_col).cast("long"), held_out(F.col(id_col)), F.col(text_col).cast("string"))
-    return columns.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    verdict = identifier(model)(F.col(text_col).cast("string")).alias("verdict")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), verdict).select("doc_id", "held_out", "verdict.*")

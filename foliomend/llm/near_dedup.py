@@ -63,14 +63,19 @@ def minima(s: np.ndarray) -> np.ndarray:
     return low
 
 
+def text_hash(text: Column) -> Column:
+    """Tells rows with one doc_id apart."""
+    return F.xxhash64(text)
+
+
 def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, row, n, set_a, set_b, sig, keys): size and hash of the set, packed symbols, keys of the multi-index."""
-    schema = "doc_id long, row long, n long, set_a long, set_b long, sig array<long>, keys array<long>"
+    """(doc_id, text_hash, row, n, set_a, set_b, sig, keys): size and hash of the set, packed symbols, keys of the multi-index."""
+    schema = "doc_id long, text_hash long, row long, n long, set_a long, set_b long, sig array<long>, keys array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, same, low = [], [], []
-            for s in shingle_sets(batch.column(2), words):
+            for s in shingle_sets(batch.column(3), words):
                 n.append(len(s))
                 same.append(xxhash.xxh3_128_digest(s.tobytes()))
                 low.append(minima(s))
@@ -85,11 +90,11 @@ def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame
             both = np.frombuffer(b"".join(same), np.int64).reshape(-1, 2)
             lists = lambda x: pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.reshape(-1).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), lists(symbols.view(np.int64)), lists(keys.reshape(len(n), -1))],
+                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), lists(symbols.view(np.int64)), lists(keys.reshape(len(n), -1))],
                 [x.split()[0] for x in schema.split(", ")],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col).cast("string")), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string"))
     return rows.mapInArrow(sign, schema)
 
 
@@ -188,7 +193,7 @@ def sets_of(ends: DataFrame, docs: DataFrame, words: int, id_col: str, text_col:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept.
+    """One row per row of docs: doc_id, n_shingles, component_id, kept, text_hash.
 
     Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets;
     component_id is the smallest doc_id reachable over links, kept tells whether it is the row's own.
@@ -237,6 +242,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     of_set = written(of_set.select("set_a", "set_b", F.coalesce("root", "id").alias("root"), "least"), "of_set")
     least = of_set.groupBy("root").agg(F.min("least").alias("component_id"))
     named = of_set.join(least, "root").select("set_a", "set_b", "component_id")
-    out = signs.select("doc_id", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
+    out = signs.select("doc_id", "text_hash", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "text_hash")

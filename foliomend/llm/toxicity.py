@@ -10,12 +10,12 @@ differs most between grades. The expected severity is the sum over k of P(grade
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomend.llm.common import LETTER, LOWER, mix
@@ -131,25 +131,29 @@ def train(labels: DataFrame, docs: DataFrame, grades: int, id_col: str = "doc_id
     return fit(index, value, found["grade"].to_numpy(np.int64), grades)
 
 
+def scorer(model: OrdinalModel) -> Callable[[Column], Column]:
+    """A column function: text to (severity, grade, toxic_probability), as `score` describes them."""
+    weights, thresholds = model.weights.astype(np.float32), model.thresholds
+
+    @F.arrow_udf("struct<severity:double,grade:int,toxic_probability:double>")
+    def grade(texts: pa.Array) -> pa.Array:
+        total, count = np.zeros(len(texts)), np.zeros(len(texts))
+        for k, text in enumerate(texts):
+            for slots in windows((text.as_py() or "").encode()):
+                total[k] += float(weights[slots].sum(dtype=np.float64))
+                count[k] += len(slots)
+        p = OrdinalModel(weights, thresholds).at_least(total / np.sqrt(np.maximum(count, 1)))
+        p[count == 0] = 0
+        each = np.column_stack([np.ones(len(p)), p]) - np.column_stack([p, np.zeros(len(p))])
+        return pa.StructArray.from_arrays([pa.array(p.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(p[:, 0].copy())], ["severity", "grade", "toxic_probability"])
+
+    return grade
+
+
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, severity (expected grade), grade (most probable), toxic_probability.
 
-    Null and empty texts, and texts without three letters in a row, have severity 0 and grade 0. Whole texts are
-    read; other columns are not, and an empty table gives an empty result.
+    Null and empty texts, and texts without three letters in a row, have severity 0 and grade 0. Whole
+    texts are read; other columns are not, and an empty table gives an empty result.
     """
-    weights, thresholds = model.weights.astype(np.float32), model.thresholds
-
-    def grade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = OrdinalModel(weights, thresholds)
-        for batch in batches:
-            total, count = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
-            for k, text in enumerate(batch.column(1)):
-                for slots in windows((text.as_py() or "").encode()):
-                    total[k] += float(weights[slots].sum(dtype=np.float64))
-                    count[k] += len(slots)
-            p = own.at_least(total / np.sqrt(np.maximum(count, 1)))
-            p[count == 0] = 0
-            each = np.column_stack([np.ones(len(p)), p]) - np.column_stack([p, np.zeros(len(p))])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p.sum(axis=1)), pa.array(each.argmax(axis=1), pa.int32()), pa.array(p[:, 0].copy())], ["doc_id", "severity", "grade", "toxic_probability"])
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(grade, "doc_id long, severity double, grade int, toxic_probability double")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), scorer(model)(F.col(text_col).cast("string")).alias("verdict")).select("doc_id", "verdict.*")
