@@ -4,11 +4,575 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from foliomend.functions import lines as L
+from foliomend.functions import text as T
+from foliomend.operators import blocks as B
+from foliomend.operators import embedded as E
+from foliomend.operators import figures as G
+from foliomend.operators import headings as H
+from foliomend.operators import lines as O
+from foliomend.operators import nodes as N
+from foliomend.operators import pages as P
+from foliomend.operators import placeholders as PH
+from foliomend.plans import config, fix, translate
+from foliomend.plans import oracle as S
+from foliomend.plans.corpus import SQL, SQL_LINES, corpus
+from foliomend.sources import pages as R
+from foliomend.sources import sinks
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.split_lines(corpus(spark, sf_dir))
+
+
+# ------------------------------------------------------------------- lines
+
+_LIST_ITEM, _CLOSE = L.LIST_ITEM, r"(?i)</(pre|code|script|style)\s*>"
+
+
+@query(f"""WITH {SQL_LINES} SELECT doc_id, n, x, {S.strip('x')} = '' AS blank, regexp_extract(x, {S.quoted(L.FENCE)}, 1) AS fence, {S.strip('x')} = '$$' AS math,
+lower(regexp_extract(x, {S.quoted(L.HTML_CODE)}, 1)) AS html_code, {S.block_html('x')} AS html_block, contains(x, '|') AS pipe, {S.matches('x', L.TABLE_DELIMITER)} AS delimiter,
+{S.matches('x', L.LIST_ITEM)} AS list_item, {S.matches('x', L.HEADING)} AS heading, {S.like_heading('x')} AS like_heading, {S.element('x')} AS element, {S.matches(S.strip('x'), L.CAPTION)} AS caption,
+{S.ends_sentence('x')} AS sentence_end, {S.incomplete('x')} AS incomplete, {S.matches(S.strip('x'), L.ALGORITHM)} AS algorithm,
+({S.strip('x')} IN ('', '***') OR {S.any_of(S.strip('x'), L.ALGORITHM_STEP_OLD)}) AS algorithm_old, ({S.strip('x')} IN ('', '***') OR {S.any_of(S.strip('x'), L.ALGORITHM_STEP_NEW)}) AS algorithm_new,
+{S.matches(S.strip('x'), L.GENERATED)} AS generated FROM l""")
+def classify_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.classify(_lines(spark, sf_dir))
+
+
+@query(f"WITH {SQL_LINES} SELECT doc_id, count(*) FILTER ({S.strip('x')} = '') AS blanks, count(*) FILTER ({S.matches('x', L.FENCE)}) AS fences, count(*) FILTER ({S.strip('x')} = '$$') AS math FROM l GROUP BY doc_id")
+def blank_and_fence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("x")
+    return _lines(spark, sf_dir).groupBy("doc_id").agg(F.count_if(L.is_blank(x)).alias("blanks"), F.count_if(L.fence(x) != "").alias("fences"), F.count_if(L.is_math_fence(x)).alias("math"))
+
+
+@query(f"""WITH {SQL_LINES}, f AS (SELECT *, {S.matches(S.strip('x'), L.IMAGE)} OR contains(x, '<img') OR {S.matches('x', L.HTML_TABLE)} OR {S.pipe_row(S.strip('x'))} AS hit FROM l),
+w AS (SELECT *, coalesce(bool_or(hit) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), false) OR coalesce(bool_or(hit) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), false) AS near FROM f)
+SELECT doc_id, n, x, near FROM w WHERE {S.matches(S.strip('x'), L.CAPTION)}""")
+def captions_in_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.captions_in_context(_lines(spark, sf_dir))
+
+
+@query(f"WITH {SQL_LINES} SELECT element, count(*) AS lines FROM (SELECT {S.element('x')} AS element FROM l) GROUP BY element")
+def element_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy(L.element(F.col("x")).alias("element")).agg(F.count("*").alias("lines"))
+
+
+@query(f"WITH {SQL_LINES} SELECT doc_id, count(*) FILTER ({S.ends_sentence('x')}) AS ended, count(*) FILTER ({S.incomplete('x')}) AS open FROM l GROUP BY doc_id")
+def sentence_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("x")
+    return _lines(spark, sf_dir).groupBy("doc_id").agg(F.count_if(L.ends_sentence(x)).alias("ended"), F.count_if(L.is_incomplete(x)).alias("open"))
+
+
+@query(f"WITH {SQL_LINES}, p AS (SELECT doc_id, n, lag(x) OVER (PARTITION BY doc_id ORDER BY n) AS a, x AS b FROM l) SELECT doc_id, n, {S.continues_paragraph('a', 'b')} AS continues FROM p WHERE a IS NOT NULL")
+def paragraph_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.paragraph_pairs(_lines(spark, sf_dir))
+
+
+@query(f"WITH {SQL_LINES}, p AS (SELECT doc_id, n, lag(x) OVER (PARTITION BY doc_id ORDER BY n) AS a, x AS b FROM l) SELECT doc_id, n, {S.continues_sentence('a', 'b')} AS continues FROM p WHERE a IS NOT NULL")
+def sentence_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("doc_id").orderBy("n")
+    pairs = _lines(spark, sf_dir).select("doc_id", "n", F.lag("x").over(order).alias("a"), F.col("x").alias("b")).where("a IS NOT NULL")
+    return pairs.select("doc_id", "n", L.continues_sentence(F.col("a"), F.col("b")).alias("continues"))
+
+
+_WORDS = "list_distinct(list_filter(string_split_regex(lower({0}), '\\s+'), lambda w: w <> ''))"
+
+
+@query(f"""WITH {SQL_LINES}, p AS (SELECT doc_id, n, {S.strip("lag(x) OVER (PARTITION BY doc_id ORDER BY n)")} AS a, {S.strip('x')} AS b FROM l),
+q AS (SELECT *, len(list_intersect({_WORDS.format('a')}, {_WORDS.format('b')})) AS k FROM p WHERE a IS NOT NULL)
+SELECT doc_id, n, CAST(k AS INTEGER) AS shared, NOT {S.matches('a', L.STOP)} AND ({S.starts_lower('b')} OR k > 1) AS split,
+round(least(1.0, CASE WHEN NOT {S.matches('a', L.STOP)} THEN 0.3 ELSE 0.0 END + CASE WHEN {S.starts_lower('b')} THEN 0.4 ELSE 0.0 END + CASE WHEN k > 1 THEN least(0.3, k * 0.1) ELSE 0.0 END)::DOUBLE, 6) AS confidence FROM q""")
+def split_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("doc_id").orderBy("n")
+    pairs = _lines(spark, sf_dir).select("doc_id", "n", L.stripped(F.lag("x").over(order)).alias("a"), L.stripped(F.col("x")).alias("b")).where("a IS NOT NULL")
+    a, b = F.col("a"), F.col("b")
+    return pairs.select("doc_id", "n", L.common_words(a, b).alias("shared"), L.is_paragraph_split(a, b).alias("split"), F.round(L.split_confidence(a, b), 6).alias("confidence"))
+
+
+@query(f"""WITH {SQL_LINES}, m AS (SELECT *, {S.matches('x', r'^\*\*Algorithm\s+\d+\*\*')} AS title FROM l),
+r AS (SELECT *, sum(CASE WHEN title OR {S.strip('x')} = '' OR starts_with(x, '#') OR starts_with(x, 'Fig.') OR starts_with(x, 'Table') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) AS run FROM m),
+g AS (SELECT doc_id, run, min(n) AS first, max(n) AS last, arg_min(title, n) AS title FROM r GROUP BY ALL)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first) AS INTEGER) AS algorithm, first, last FROM g WHERE title AND last > first""")
+def algorithm_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return O.wrap_algorithms(_lines(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- headings
+
+_KIND_OLD = "CASE " + " ".join(f"WHEN {S.matches('x', p)} THEN '{k}'" for k, p in H.OLD.items()) + " END"
+_PART_OLD = lambda g: "CASE kind " + " ".join(f"WHEN '{k}' THEN regexp_extract(x, {S.quoted(p)}, {g})" for k, p in H.OLD.items()) + " END"
+_HEADINGS_OLD = f"""{SQL_LINES}, k AS (SELECT *, {_KIND_OLD} AS kind FROM l), h AS (SELECT *, {_PART_OLD(1)} AS number, {_PART_OLD(2)} AS title, bool_or(kind = 'roman') OVER (PARTITION BY doc_id) AS has_roman FROM k WHERE kind IS NOT NULL),
+v AS (SELECT *, CAST(least(6, CASE kind WHEN 'roman' THEN 2 WHEN 'number' THEN CASE WHEN has_roman THEN 3 ELSE 2 END + length(number) - length(replace(number, '.', '')) WHEN 'upper' THEN 3 ELSE 4 END) AS INTEGER) AS level FROM h)"""
+
+
+@query(f"WITH {_HEADINGS_OLD} SELECT doc_id, n, kind, number, title, level, repeat('#', level) || ' ' || CASE WHEN kind = 'roman' AND contains(x, 'Sec') THEN 'Sec ' ELSE '' END || number || '. ' || title AS line FROM v")
+def heading_levels_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.relevel_old(_lines(spark, sf_dir))
+
+
+def _new_sql(shapes: dict[str, str]) -> str:
+    part = lambda k, g: f"regexp_extract(x, {S.quoted(shapes[k])}, {g})"
+    is_ = lambda k: S.matches("x", shapes[k])
+    letter = lambda k: f"{is_(k)} AND NOT {S.matches(part(k, 2), '^[A-Z][a-z]')}"
+    return f"""WITH {SQL_LINES}, f AS (SELECT *, bool_or({S.matches('x', H.ROMAN_ANYWHERE)}) OVER (PARTITION BY doc_id) AS has_roman FROM l),
+k AS (SELECT *, CASE WHEN has_roman AND {is_('roman')} THEN 'roman' WHEN {is_('number')} THEN 'number' WHEN {letter('upper')} THEN 'upper' WHEN {letter('lower')} THEN 'lower' END AS kind FROM f),
+v AS (SELECT *, CAST(CASE kind WHEN 'roman' THEN 1 WHEN 'number' THEN least(6, len(string_split({part('number', 1)}, '.')) + CASE WHEN has_roman THEN 1 ELSE 0 END) WHEN 'upper' THEN 3 ELSE 4 END AS INTEGER) AS level FROM k WHERE kind IS NOT NULL)
+SELECT doc_id, n, level, repeat('#', level) || ' ' || CASE kind WHEN 'roman' THEN {part('roman', 1)} || {part('roman', 2)} || '. ' || {part('roman', 3)} WHEN 'number' THEN {part('number', 1)} || '. ' || {part('number', 2)}
+WHEN 'upper' THEN {part('upper', 1)} || '. ' || {part('upper', 2)} ELSE {part('lower', 1)} || '. ' || {part('lower', 2)} END AS line FROM v"""
+
+
+@query(_new_sql(H.NEW))
+def heading_levels_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.relevel_new(_lines(spark, sf_dir))
+
+
+@query(_new_sql({k: p.replace(r"\.\s+(.+)", r"\.?\s+(.+)") for k, p in H.NEW.items()}))
+def heading_levels_without_dot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.relevel_new(_lines(spark, sf_dir), dot=False)
+
+
+@query(f"WITH {SQL_LINES} SELECT doc_id, bool_or({S.matches('x', H.ROMAN_ANYWHERE)}) AS has_roman FROM l GROUP BY doc_id")
+def has_roman_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy("doc_id").agg(F.bool_or(F.col("x").rlike(H.ROMAN_ANYWHERE)).alias("has_roman"))
+
+
+_TOC = r"^\s{0,3}(#{1,6})\s+(.*?)\s*#*\s*$"
+
+
+@query(f"""WITH {SQL_LINES} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) AS INTEGER) AS entry, n, CAST(length(regexp_extract(x, {S.quoted(_TOC)}, 1)) AS INTEGER) AS level,
+regexp_extract(x, {S.quoted(_TOC)}, 2) AS title FROM l WHERE {S.matches('x', _TOC)}""")
+def toc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.table_of_contents(_lines(spark, sf_dir))
+
+
+# ------------------------------------------------------------------- pages
+
+_PAGES_OLD = SQL + ", g AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, string_split(replace(md, chr(10) || '---' || chr(10), '---'), '---')[i] AS text FROM c, unnest(range(1, len(string_split(replace(md, chr(10) || '---' || chr(10), '---'), '---')) + 1)) r(i))"
+
+
+@query(f"WITH {_PAGES_OLD} SELECT doc_id, page, text FROM g")
+def page_split_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.split_pages_old(corpus(spark, sf_dir))
+
+
+@query(f"WITH {SQL}, s AS (SELECT doc_id, string_split(md, chr(10) || '---' || chr(10)) AS p FROM c) SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, p[i] AS text FROM s, unnest(range(1, len(p) + 1)) r(i)")
+def page_split_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.split_pages_new(corpus(spark, sf_dir))
+
+
+_ENDS = f"list_filter(list_transform(string_split({{0}}, chr(10)), lambda x: {S.strip('x')}), lambda x: x <> '')"
+_MARKS = f"list_filter(list_transform({{0}}, lambda x, i: CASE WHEN {S.element('x')} = 'text' THEN i END), lambda i: i IS NOT NULL)"
+_CONTINUITY = f"""{_PAGES_OLD}, two AS (SELECT doc_id, page, {S.strip('text')} AS t, lead({S.strip('text')}) OVER (PARTITION BY doc_id ORDER BY page) AS u FROM g),
+e AS (SELECT doc_id, page, {_ENDS.format('t')} AS a, {_ENDS.format('u')} AS b FROM two WHERE u IS NOT NULL),
+i AS (SELECT *, list_max({_MARKS.format('a')}) AS ia, list_min({_MARKS.format('b')}) AS ib FROM e),
+z AS (SELECT *, a[ia] AS fin, b[ib] AS beg, a[len(a)] AS last, b[1] AS first, array_to_string(a[greatest(1, len(a) - 2):], ' ') AS tail, array_to_string(b[1:3], ' ') AS head FROM i),
+v AS (SELECT doc_id, page, CASE WHEN len(a) = 0 OR len(b) = 0 THEN 'empty page' WHEN fin IS NOT NULL AND beg IS NOT NULL AND ends_with(fin, '-') AND {S.starts_lower('beg')} THEN 'hyphenated word'
+WHEN fin IS NOT NULL AND beg IS NOT NULL AND NOT {S.ends_sentence('fin')} AND ({S.starts_lower('beg')} OR {S.continues_sentence('fin', 'beg')}) THEN 'split sentence'
+WHEN {S.matches('last', L.REFERENCE)} AND {S.matches('first', L.REFERENCE)} THEN 'references' WHEN {S.any_of('tail', L.METADATA, '(?i)')} AND NOT {S.any_of('head', L.METADATA, '(?i)')} THEN 'metadata boundary'
+WHEN {S.like_heading('first')} OR {S.matches('last', L.STOP)} THEN 'section boundary' WHEN length(last) > 30 AND NOT {S.matches('last', '[.!?。！？:;]$')} THEN 'open paragraph' ELSE 'undecided' END AS reason,
+CAST(len(a) - coalesce(ia, 0) AS INTEGER) AS n_end, CAST(coalesce(ib - 1, len(b)) AS INTEGER) AS n_start FROM z),
+y AS (SELECT doc_id, page, reason IN ('hyphenated word', 'split sentence', 'references', 'open paragraph') AS continuous,
+CAST(CASE reason WHEN 'empty page' THEN 1.0 WHEN 'hyphenated word' THEN 0.95 WHEN 'split sentence' THEN 0.85 WHEN 'references' THEN 0.9 WHEN 'metadata boundary' THEN 0.9 WHEN 'section boundary' THEN 0.7 WHEN 'open paragraph' THEN 0.6 ELSE 0.8 END AS DOUBLE) AS confidence,
+reason, CASE reason WHEN 'hyphenated word' THEN 'hyphen' WHEN 'split sentence' THEN 'sentence' WHEN 'references' THEN 'references' WHEN 'open paragraph' THEN 'paragraph' ELSE 'none' END AS fix, n_end, n_start FROM v)"""
+
+
+@query(f"WITH {_CONTINUITY} SELECT * FROM y")
+def page_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.continuity(P.split_pages_old(corpus(spark, sf_dir)))
+
+
+def _plan_sql(level: str) -> str:
+    """Pages in twos, by recursion from page to page."""
+    return f"""WITH RECURSIVE {_CONTINUITY}, k AS (SELECT *, continuous AND confidence >= {P.LEVELS[level]} AS can FROM y),
+walk AS (SELECT doc_id, page, can AS merged, false AS before FROM k WHERE page = 0 UNION ALL SELECT k.doc_id, k.page, k.can AND NOT walk.merged, walk.merged FROM walk JOIN k ON k.doc_id = walk.doc_id AND k.page = walk.page + 1),
+plan AS (SELECT k.doc_id, k.page, k.continuous, k.confidence, k.reason, k.fix, k.n_end, k.n_start, CASE WHEN walk.merged THEN 'merged' WHEN NOT walk.before THEN 'kept' END AS action FROM k JOIN walk ON walk.doc_id = k.doc_id AND walk.page = k.page)"""
+
+
+@query(_plan_sql("conservative") + " SELECT * FROM plan")
+def page_merge_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.merge_plan(P.split_pages_old(corpus(spark, sf_dir)))
+
+
+@query(_plan_sql("moderate") + " SELECT doc_id, count(*) FILTER (action = 'merged') AS merged, count(*) FILTER (action = 'kept') AS kept FROM plan GROUP BY doc_id")
+def page_merge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.merge_summary(P.merge_plan(P.split_pages_old(corpus(spark, sf_dir)), "moderate"))
+
+
+@query()
+def page_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.merge_pages(P.split_pages_old(corpus(spark, sf_dir)))
+
+
 def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """For each document: pairs of pages merged and kept, and pages and characters afterwards."""
+    pages = P.split_pages_old(corpus(spark, sf_dir))
+    after = P.merge_pages(pages).groupBy("doc_id").agg(F.count("*").alias("pages"), F.sum(F.length("text")).alias("chars"))
+    return after.join(P.merge_summary(P.merge_plan(pages)), "doc_id", "left").select("doc_id", F.coalesce("merged", F.lit(0)).alias("merged"), F.coalesce("kept", F.lit(0)).alias("kept"), "pages", "chars")
+
+
+QUERIES["page_repair_flagship"] = FLAGSHIP
+
+# -------------------------------------------------------------------- text
+
+
+@query(f"WITH {SQL} SELECT doc_id, {S.chained('md', T.ENTITIES)} AS md FROM c")
+def entity_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.decode_entities(F.col("md")).alias("md"))
+
+
+@query(f"WITH {SQL} SELECT doc_id, regexp_replace(replace(md, '. ', chr(10) || chr(10) || chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g') AS md FROM c")
+def newline_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.collapse_newlines(F.replace("md", F.lit(". "), F.lit("\n\n\n"))).alias("md"))
+
+
+@query(f"WITH {SQL} SELECT doc_id, regexp_replace(md, '(\\*[^*]+\\*)([A-Z][^*]*)', '\\1' || chr(10) || chr(10) || '\\2', 'g') AS md FROM c")
+def metadata_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.separate_metadata(F.col("md")).alias("md"))
+
+
+@query()
+def journal_note_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.clean_whitespace(F.col("md")).alias("md"))
+
+
+_RANGES = r"list_distinct(regexp_extract_all(md, '\[(\d+)-(\d+)\]'))"
+
+
+def _ranges_sql(mark: str, between: str) -> str:
+    numbers = r"range(CAST(regexp_extract(m, '\[(\d+)-', 1) AS BIGINT), CAST(regexp_extract(m, '-(\d+)\]', 1) AS BIGINT) + 1)"
+    value = f"array_to_string(list_transform({numbers}, lambda v: '[{mark}' || CAST(v AS VARCHAR) || ']'), '{between}')"
+    return f"WITH {SQL} SELECT doc_id, list_reduce(list_concat([md], {_RANGES}), lambda s, m: replace(s, m, {value})) AS md FROM c"
+
+
+@query(_ranges_sql("", ""))
+def cite_ranges_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.cite_ranges_old(F.col("md")).alias("md"))
+
+
+@query(_ranges_sql("^", " "))
+def cite_ranges_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.cite_ranges_new(F.col("md")).alias("md"))
+
+
+@query(rf"WITH {SQL} SELECT doc_id, regexp_replace(md, '\[(\d+)\]', '[^\1]', 'g') AS md FROM c")
+def cite_singles_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.cite_singles_old(F.col("md")).alias("md"))
+
+
+_LISTED = r"list_distinct(regexp_extract_all(x, '\[(\d+(?:,\s*\d+)*)\]', 1))"
+
+
+@query(rf"""WITH {SQL}, t AS (SELECT doc_id, replace(md, '] and [', ', ') AS x FROM c) SELECT doc_id,
+list_reduce(list_concat([x], {_LISTED}), lambda s, m: replace(s, '[' || m || ']', array_to_string(list_transform(string_split(m, ','), lambda v: '[^' || trim(v) || ']'), ' '))) AS md FROM t""")
+def cite_lists_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.cite_lists_new(F.replace("md", F.lit("] and ["), F.lit(", "))).alias("md"))
+
+
+@query()
+def references_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.fix_references_old(F.col("md")).alias("md"))
+
+
+@query()
+def references_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.fix_references_new(F.col("md")).alias("md"))
+
+
+@query()
+def bracket_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.bracket_links(F.col("md")).alias("md"))
+
+
+@query(rf"WITH {SQL_LINES} SELECT doc_id, n, {S.patterns('x', [(r'\*\*([^*]+)\*\*', chr(92) + '1'), (r'\*([^*]+)\*', chr(92) + '1')])} AS x FROM l")
+def clean_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select("doc_id", "n", T.clean_inline_old(F.col("x")).alias("x"))
+
+
+@query(f"WITH {SQL} SELECT doc_id, replace(md, '].', ']' || ']' || chr(62) || '.') AS md, replace(replace(md, '].', ']]>.'), ']]>', ']]]]><![CDATA[>') AS wrapped FROM c")
+def cdata_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    md = F.replace("md", F.lit("]."), F.lit("]]>."))
+    return corpus(spark, sf_dir).select("doc_id", md.alias("md"), T.wrap_cdata(md).alias("wrapped"))
+
+
+_COMPARED = [(p, " ") for p in T.COMPARED]
+
+
+@query(rf"WITH {SQL_LINES} SELECT doc_id, n, trim(regexp_replace(lower({S.patterns('x', _COMPARED)}), '\s+', ' ', 'g')) AS x FROM l")
+def normalise_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select("doc_id", "n", T.for_comparison(F.col("x")).alias("x"))
+
+
+@query(rf"WITH {SQL_LINES} SELECT doc_id, count(*) FILTER (regexp_matches(x, '[\x{{4E00}}-\x{{9FFF}}]')) AS zh, count(*) FILTER (regexp_matches(x, '[A-Za-z]')) AS en, count(*) AS other FROM l GROUP BY doc_id")
+def target_script(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = {k: F.count_if(T.has_target_script(F.col("x"), target)).alias(k) for k, target in (("zh", "Chinese中文"), ("en", "en"), ("other", "fr"))}
+    return _lines(spark, sf_dir).groupBy("doc_id").agg(*found.values())
+
+
+# ----------------------------------------------------------------- figures
+
+_BLOCKS = rf"""{SQL_LINES}, fk AS (SELECT doc_id, n, x, CASE WHEN {S.matches('x', L.HEADING)} THEN 'header' WHEN {S.matches(S.strip('x'), L.HTML_TABLE)} OR {S.pipe_row(S.strip('x'))} THEN 'table'
+WHEN {S.matches(S.strip('x'), r'^(!\[[^\]]*\]\([^)]*\)\s*)+$')} THEN 'figure' WHEN {S.matches(S.strip('x'), G.CAPTION)} THEN 'caption' ELSE 'other' END AS kind FROM l WHERE {S.strip('x')} <> ''),
+fp AS (SELECT *, sum(CASE WHEN kind = 'table' AND pk = 'table' AND pn = n - 1 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY n) AS pos FROM (SELECT *, lag(kind) OVER w AS pk, lag(n) OVER w AS pn FROM fk WINDOW w AS (PARTITION BY doc_id ORDER BY n))),
+bl AS (SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, CASE WHEN kind = 'table' THEN 'figure' ELSE kind END AS kind, string_agg(x, chr(10) ORDER BY n) AS text FROM fp GROUP BY doc_id, pos, kind),
+se AS (SELECT *, CAST(sum(CASE WHEN kind = 'header' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS INTEGER) AS section FROM bl),
+ne AS (SELECT *, lag(kind) OVER w AS b, lead(kind) OVER w AS a FROM se WINDOW w AS (PARTITION BY doc_id, section ORDER BY pos)),
+ch AS (SELECT *, sum(CASE WHEN kind NOT IN ('figure', 'caption') OR coalesce(b, 'other') NOT IN ('figure', 'caption') OR (kind = 'caption' AND b = 'caption') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, section ORDER BY pos) AS chain FROM ne),
+me AS (SELECT *, CASE kind WHEN 'figure' THEN true WHEN 'caption' THEN coalesce(a = 'figure' OR (b = 'figure' AND first_value(kind) OVER (PARTITION BY doc_id, section, chain ORDER BY pos) = 'figure'), false) ELSE false END AS member FROM ch)"""
+
+
+@query(f"WITH {_BLOCKS} SELECT doc_id, pos, kind, text, section, member FROM me")
+def figure_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.clusters(G.figure_blocks(_lines(spark, sf_dir)))
+
+
+@query(f"""WITH {_BLOCKS} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section, kind <> 'header', section > 0 AND NOT member, pos) - 1 AS INTEGER) AS place, pos, section, kind, text FROM me""")
+def figure_reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.figures_first(G.figure_blocks(_lines(spark, sf_dir)))
+
+
+@query(f"WITH {_BLOCKS} SELECT doc_id, section, count(*) AS blocks FROM se GROUP BY doc_id, section")
+def section_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.sections(G.figure_blocks(_lines(spark, sf_dir))).groupBy("doc_id", "section").agg(F.count("*").alias("blocks"))
+
+
+@query(f"WITH {_BLOCKS} SELECT doc_id, heading, count(*) AS figures FROM (SELECT *, max(CASE WHEN kind = 'header' THEN pos END) OVER (PARTITION BY doc_id ORDER BY pos) AS heading FROM bl) WHERE kind = 'figure' GROUP BY doc_id, heading")
+def figures_by_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.reorganise(G.figure_blocks(_lines(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ blocks
+
+
+@query()
+def lex_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir)))
+
+
+@query()
+def lex_protected_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus(spark, sf_dir).select("doc_id", F.lit(0).alias("page"), F.col("md").alias("text"))
+    return B.lex_blocks(docs, B.PROTECT, "plain", keep_blank=True)
+
+
+@query()
+def table_interrupt_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.repair_tables(B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir))))
+
+
+@query()
+def split_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.split_types(B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir))))
+
+
+@query()
+def embedded_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", E.repair_column(F.col("md")).alias("md"))
+
+
+@query()
+def pseudocode_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", E.wrap_pseudocode_column(F.col("md")).alias("md"))
+
+
+@query()
+def fix_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fix.fix_old(corpus(spark, sf_dir))[0]
+
+
+@query()
+def fix_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fix.fix_new(corpus(spark, sf_dir))
+
+
+# ------------------------------------------------------------ placeholders
+
+_USES = r"https?://[^ ]+|[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+
+
+def _uses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = corpus(spark, sf_dir).select("doc_id", F.posexplode(F.regexp_extract_all("md", F.lit(_USES), F.lit(0))).alias("pos", "raw"))
+    return found.select("doc_id", "pos", F.when(F.col("raw").startswith("http"), "URL").otherwise("MAIL").alias("kind"), "raw")
+
+
+_NUMBERED = f"""{SQL}, u AS (SELECT doc_id, regexp_extract_all(md, {S.quoted(_USES)}) AS m FROM c), o AS (SELECT doc_id, i AS pos, m[i] AS raw FROM u, unnest(range(1, len(m) + 1)) r(i)),
+f AS (SELECT doc_id, raw, CASE WHEN starts_with(raw, 'http') THEN 'URL' ELSE 'MAIL' END AS kind, min(pos) AS p FROM o GROUP BY ALL),
+q AS (SELECT doc_id, raw, kind, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p) AS INTEGER) AS number FROM f)"""
+
+
+@query(f"WITH {_NUMBERED} SELECT doc_id, raw, kind, number, '__PH_' || kind || '_' || lpad(CAST(number AS VARCHAR), 6, '0') || '__' AS placeholder FROM q")
+def placeholder_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PH.number(_uses(spark, sf_dir))
+
+
+@query(f"WITH {_NUMBERED} SELECT doc_id, kind, count(*) AS n FROM q GROUP BY doc_id, kind")
+def placeholder_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PH.kind_counts(PH.number(_uses(spark, sf_dir)))
+
+
+@query(f"""WITH {SQL}, t AS (SELECT doc_id, list_sort(regexp_extract_all(regexp_replace(md, '\\[(\\d+)\\]', '__PH_CITE_\\1__ ', 'g'), {S.quoted(T.PLACEHOLDER)})) AS p FROM c) SELECT doc_id, array_to_string(p, ' ') AS found FROM t""")
+def placeholder_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = F.regexp_replace("md", r"\[(\d+)\]", "__PH_CITE_$1__ ")
+    return corpus(spark, sf_dir).select("doc_id", F.array_join(T.placeholders(marked), " ").alias("found"))
+
+
+@query()
+def freeze_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PH.protect(corpus(spark, sf_dir), config.default_config())
+
+
+@query()
+def protect_and_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = PH.protect(corpus(spark, sf_dir), config.default_config())
+    return found.select("doc_id", PH.restore(F.col("protected"), F.col("store"), nested=True).alias("md"), PH.store_json(F.col("store")).alias("dictionary"))
+
+
+# ------------------------------------------------------------------- nodes
+
+_MOST = 600
+
+
+def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.split_nodes(corpus(spark, sf_dir), _MOST, "md")
+
+
+def _line_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line that isn't blank as a node."""
+    rows = _lines(spark, sf_dir).where("x <> ''")
+    return rows.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("n")) - 1).alias("nid"), F.col("x").alias("origin"))
+
+
+_LINE_NODES = SQL_LINES + ", d AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS INTEGER) AS nid, x AS origin FROM l WHERE x <> '')"
+
+
+@query()
+def node_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _nodes(spark, sf_dir)
+
+
+@query(f"""WITH RECURSIVE {_LINE_NODES}, k AS (SELECT doc_id, nid, length(origin) + 29 + 2 * greatest(4, length(CAST(nid AS VARCHAR))) AS cost FROM d),
+w AS (SELECT doc_id, nid, cost AS used, 0 AS group_id FROM k WHERE nid = 0 UNION ALL
+SELECT k.doc_id, k.nid, CASE WHEN w.used + k.cost > {_MOST} THEN k.cost ELSE w.used + k.cost END, CASE WHEN w.used + k.cost > {_MOST} THEN w.group_id + 1 ELSE w.group_id END FROM w JOIN k ON k.doc_id = w.doc_id AND k.nid = w.nid + 1)
+SELECT doc_id, nid, group_id FROM w""")
+def node_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.pack_nodes(_line_nodes(spark, sf_dir), _MOST)
+
+
+@query(f"WITH {_LINE_NODES} SELECT doc_id, nid, regexp_replace(origin, '^\\s+|\\s+$', '', 'g') AS translated FROM d WHERE nid % 3 <> 0")
+def node_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = _line_nodes(spark, sf_dir).where("nid % 3 <> 0")
+    return N.unpack(N.payloads(nodes, N.pack_nodes(nodes, _MOST)))
+
+
+@query(f"WITH {_LINE_NODES} SELECT doc_id, nid, origin, CASE WHEN nid % 3 = 0 THEN origin ELSE reverse(origin) END AS translated FROM d")
+def fill_missing_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = _line_nodes(spark, sf_dir)
+    return N.fill_missing(nodes.withColumn("translated", F.col("origin")), nodes.where("nid % 3 <> 0").select("doc_id", "nid", F.reverse("origin").alias("translated")))
+
+
+@query(f"WITH {_LINE_NODES} SELECT doc_id, nid, origin, CASE WHEN nid % 4 = 1 THEN lower(origin) ELSE origin END AS translated FROM d")
+def retry_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = _line_nodes(spark, sf_dir)
+    return N.upsert(nodes.withColumn("translated", F.col("origin")), nodes.where("nid % 4 = 1").select("doc_id", "nid", F.lower("origin").alias("translated")))
+
+
+@query(f"WITH {_LINE_NODES} SELECT doc_id, nid, origin FROM d SEMI JOIN (SELECT doc_id, nid FROM d WHERE contains(origin, '[')) USING (doc_id, nid)")
+def failed_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = _line_nodes(spark, sf_dir)
+    return nodes.join(nodes.where(F.col("origin").contains("[")).select("doc_id", "nid"), ["doc_id", "nid"], "left_semi")
+
+
+@query("SELECT DISTINCT url AS name FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 2 = 0)")
+def skip_existing_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.col("url").alias("name"))
+    return R.without_output(pages.select("name").distinct(), pages.where("page_id % 2 = 0"))
+
+
+@query()
+def translation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = _nodes(spark, sf_dir).withColumn("translated", F.when(F.col("nid") % 2 == 0, F.upper("origin")).otherwise(F.col("origin")))
+    return nodes.select("doc_id", "nid", N.succeeded(F.col("origin"), F.col("translated"), "zh").alias("ok"), T.is_placeholder_only(F.col("origin")).alias("placeholder_only"))
+
+
+@query()
+def translate_echo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return translate.translate(corpus(spark, sf_dir))[0]
+
+
+@query(f"WITH {SQL} SELECT doc_id, '<task><source>en</source><target>zh</target><text><![CDATA[' || replace(md, ']]>', ']]]]><![CDATA[>') || ']]></text></task>' AS task FROM c")
+def translation_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", translate.prompt(F.col("md"), "en", "zh").alias("task"))
+
+
+# ------------------------------------------------------- records and images
+
+_FLAVOURS = ["FFD8", "474946", "89504E"]
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page records made of the corpus: pages with an image of one of three kinds in each."""
+    head = F.element_at(F.array(*map(F.lit, _FLAVOURS)), (F.col("page") % 3 + 1))
+    data = F.base64(F.unhex(F.concat(head, F.hex(F.encode(F.col("doc_id").cast("string"), "utf-8")))))
+    content = F.concat(F.regexp_replace("text", r"!\[", "["), F.lit("\n![p"), F.col("page").cast("string"), F.lit("](data:image/png;base64,"), data, F.lit(")"))
+    pages = P.split_pages_new(corpus(spark, sf_dir))
+    return pages.select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc"), F.col("page").cast("long").alias("page_no"), F.col("page").alias("place"), F.concat(F.lit("/in/d"), F.col("doc_id").cast("string"), F.lit(".x.pdf")).alias("file_path"),
+        F.lit("p.md").alias("md_content_path"), F.lit("").alias("md_content_nohf_path"), F.lit(100).alias("input_width"), F.lit(200).alias("input_height"), F.when(F.col("page") % 4 == 3, "").otherwise(content).alias("content"),
+    )
+
+
+_RECORDS = rf"""{SQL}, s AS (SELECT doc_id, string_split(md, chr(10) || '---' || chr(10)) AS p FROM c), g AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, p[i] AS text FROM s, unnest(range(1, len(p) + 1)) r(i)),
+r AS (SELECT 'd' || doc_id AS doc, page, CASE WHEN page % 4 = 3 THEN '' ELSE regexp_replace(text, '!\[', '[', 'g') || chr(10) || '![p' || page || '](data:image/png;base64,' || base64(unhex(['FFD8', '474946', '89504E'][page % 3 + 1] || hex(CAST(doc_id AS VARCHAR)))) || ')' END AS content,
+['.jpg', '.gif', '.png'][page % 3 + 1] AS ext, '/in/d' || doc_id || '.x.pdf' AS file_path FROM g)"""
+
+
+@query(rf"""WITH {_RECORDS} SELECT doc, CAST(page AS BIGINT) AS page_no, 1 AS image, 'p' || page AS alt, ext, format('images/page_{{:03d}}_img_001', page) || ext AS rel_path FROM r WHERE content <> ''""")
+def image_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.images(_records(spark, sf_dir)).select("doc", "page_no", "image", "alt", "ext", "rel_path")
+
+
+@query(rf"""WITH {_RECORDS} SELECT doc, string_agg(CASE WHEN content = '' THEN '' ELSE content || chr(10) || chr(10) END || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM r GROUP BY doc""")
+def embedded_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.concatenate(_records(spark, sf_dir))
+
+
+@query(rf"""WITH {_RECORDS}, k AS (SELECT doc, page, CASE WHEN content = '' THEN '' ELSE regexp_replace(content, '\(data:image/png;base64,[^)]*\)', format('(images/page_{{:03d}}_img_001', page) || ext || ')') || chr(10) || chr(10) END AS t FROM r)
+SELECT doc, '# ' || doc || '.x' || chr(10) || chr(10) || '*Generated from PDF with ' || count(*) || ' pages*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || string_agg('## Page ' || (page + 1) || chr(10) || chr(10) || t || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM k GROUP BY doc""")
+def external_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _records(spark, sf_dir)
+    return R.concatenate(R.link_images(pages, R.images(pages)), titles=True, header=True)
+
+
+@query(rf"""WITH {_RECORDS} SELECT doc, count(*) AS total_pages, any_value(file_path) AS source_pdf, CAST(count(*) FILTER (content <> '') AS BIGINT) AS images FROM r GROUP BY doc""")
+def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = R.metadata(_records(spark, sf_dir))
+    return found.select("doc", "total_pages", "source_pdf", F.aggregate("pages", F.lit(0).cast("long"), lambda s, p: s + p["embedded_images"]).alias("images"))
+
+
+@query("SELECT page_id, array_to_string(list_slice(string_split(split_part(url, '/', -1) || '.a.jsonl', '.'), 1, len(string_split(split_part(url, '/', -1) || '.a.jsonl', '.')) - 1), '_') AS title FROM pages")
+def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", T.document_title(F.concat(F.substring_index("url", "/", -1), F.lit(".a.jsonl"))).alias("title"))
+
+
+@query()
+def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus(spark, sf_dir)
+    return sinks.html_pages(docs, H.table_of_contents(O.split_lines(docs)), F.concat(F.lit("Document "), F.col("doc_id").cast("string")))
