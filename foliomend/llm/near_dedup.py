@@ -8,9 +8,11 @@ such pair shares a key; at similarity 0.8 a chunk of six is that close with prob
 that 14 chunks miss a pair with probability 3e-7. Pairs that share a key pass if their sizes allow
 the similarity and their distance is at most FARTHEST; links are then confirmed on the full sets.
 
-Equal sets are one node from the start, so copies never meet in pairs. Of the others, each is first
-compared with the smallest member of its keys; what that links is contracted, and only pairs that
-share a key across different components are formed after it. No key has a cap.
+Equal sets are one node from the start, so copies never meet in pairs. Each other node is first
+compared with one hub, the member of its keys that shares most keys with others, and what that links
+is contracted. Nodes of one hub that it does not link are then compared with all nodes of that hub,
+block against block inside a task, from which only links come out, at most one for each component.
+Pairs that share a key across different hubs and components are formed at last. No key has a cap.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
             s = h[: n - k + 1].copy()
             for i in range(1, k):
                 s = mix(s * _K1 + h[i : n - k + 1 + i] * _K2)
-            yield np.unique(mix(s + np.uint64(k) * _K3))
+            yield np.unique(mix(s + np.uint64(int(k) * int(_K3) % 2**64)))
 
 
 def minima(s: np.ndarray) -> np.ndarray:
@@ -136,22 +138,72 @@ def components(edges: DataFrame) -> DataFrame:
     return roots if roots is not None else left.select(F.col("a").alias("id"), F.col("b").alias("root"))
 
 
+def alike(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    same = len(s) + len(t) - len(np.union1d(s, t))
+    return 100 * same >= percent * (len(s) + len(t) - same)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets (id, shingles) are as similar as asked."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                same = len(s) + len(t) - len(np.union1d(s, t))
-                keep.append(100 * same >= percent * (len(s) + len(t) - same))
+            keep = [alike(*(np.frombuffer(v.as_buffer(), np.uint64) for v in both), percent) for both in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     x = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b")
     return x.select("a", "b", "s", "t").mapInArrow(confirm, "a long, b long")
 
 
+#: Shingles of a block together, about, and the most texts of a block.
+BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 17, 512
+
+
+def block_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], others: np.ndarray, other_roots: np.ndarray, other_sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of ids with others of another root, one for each id and root: the sets as 0-1 matrices, multiplied."""
+    items, column = np.unique(np.concatenate(sets), return_inverse=True)
+    x = np.zeros((len(sets), len(items)), np.float32)
+    x[np.repeat(np.arange(len(sets)), [len(s) for s in sets]), column] = 1
+    size = np.array([len(s) for s in sets])
+    links = []
+    for at in range(0, len(others), 64):
+        part = other_sets[at : at + 64]
+        flat = np.concatenate(part)
+        where = np.minimum(np.searchsorted(items, flat), len(items) - 1)
+        known = items[where] == flat
+        y = np.zeros((len(part), len(items)), np.float32)
+        y[np.repeat(np.arange(len(part)), [len(s) for s in part])[known], where[known]] = 1
+        same = (x @ y.T).astype(np.int64)
+        union = size[:, None] + np.array([len(s) for s in part])[None, :] - same
+        i, j = np.nonzero((100 * same >= percent * union) & (roots[:, None] != other_roots[None, at : at + 64]))
+        links.append(np.column_stack([ids[i], others[at + j], other_roots[at + j]]))
+    found = np.concatenate(links)
+    _, first = np.unique(found[:, [0, 2]], axis=0, return_index=True)
+    return [(int(a), int(b)) for a, b, _ in found[first]]
+
+
+def links_in_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) across the roots of each group. groups: hub, id, root, n, loose (to be compared with all of the group)."""
+    per_block = F.greatest(F.lit(1), F.least(F.lit(BLOCK_TEXTS), (BLOCK_SHINGLES / F.greatest(F.avg("n"), F.lit(1))).cast("int")))
+    blocks = groups.groupBy("hub").agg(F.ceil(F.count_if("loose") / per_block).cast("int").alias("p"), F.ceil(F.count("*") / per_block).cast("int").alias("q"))
+    rows = groups.join(blocks, "hub").join(sets, "id")
+    own = lambda m: F.pmod(F.xxhash64("id"), m).cast("int")
+    all_of = lambda m: F.explode(F.sequence(F.lit(0), m - 1))
+    left = rows.where("loose").select("hub", "id", "root", "shingles", own(F.col("p")).alias("i"), all_of(F.col("q")).alias("j"))
+    again = [F.col(c).alias(c) for c in ("hub", "id", "root", "shingles")]  # other attributes than those of the left side
+    right = rows.select(*again, own(F.col("q")).alias("j"), all_of(F.col("p")).alias("i"))
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        links = []
+        if left.num_rows and right.num_rows:
+            read = lambda t: (t["id"].to_numpy(), t["root"].to_numpy(), [np.frombuffer(v.as_buffer(), np.uint64) for v in t["shingles"]])
+            links = block_links(*read(left), *read(right), percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    keys = ["hub", "i", "j"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
+
+
 #: Bits of the filter that picks the texts whose sets are needed; false hits cost time only.
 FILTER_BITS = 1 << 22
 
@@ -209,33 +261,47 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     nodes = full.groupBy("set_a", "set_b", "n").agg(first)
     nodes = written(nodes.select(F.col("first.row").alias("id"), "first.doc_id", "set_a", "set_b", "n", "first.sig", "first.keys"), "nodes")
     keyed = nodes.select("id", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("times")).where("times > 1").select("key", "hub")
-    members = written(keyed.join(hubs, "key"), "members")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
+    members = written(keyed.join(shared, "key"), "members")
     side = lambda name: F.struct("n", "sig").alias(name)
     sides = nodes.select("id", "n", "sig")
 
-    def allowed(pairs: DataFrame) -> DataFrame:
-        x = pairs.join(sides.select(F.col("id").alias("a"), side("x")), "a").join(sides.select(F.col("id").alias("b"), side("y")), "b")
-        return x.where(near("x", "y", percent)).select("a", "b")
-
     def links_of(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-        ends = written(nodes.select("id", "doc_id", "set_a", "set_b").join(ends, "id", "left_semi"), "ends")
-        return written(confirmed(pairs, sets_of(ends, docs, words, id_col, text_col), percent), "links")
-
-    # First each node with the smallest hub that it may be linked with.
-    stars = allowed(members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
-    stars = written(stars.groupBy("a").agg(F.min("b").alias("b")), "stars")
+        return written(confirmed(pairs, texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b"))), percent), "links")
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        ends = written(nodes.select("id", "doc_id", "set_a", "set_b").join(ids.distinct(), "id", "left_semi"), "ends")
+        return sets_of(ends, docs, words, id_col, text_col)
+
+    # First each node with one hub: of its keys' heaviest members that it may be linked with, the heaviest.
+    weights = members.groupBy("id").agg(F.sum("times").alias("weight"))
+    weighed = written(members.select("key", "id").join(weights, "id"), "weighed")
+    heaviest = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("top"))
+    tried = weighed.join(heaviest, "key").select(F.col("id").alias("a"), (-F.col("top.minus")).alias("b"), F.col("top.weight").alias("weight")).where("a <> b").distinct()
+    tried = tried.join(sides.select(F.col("id").alias("a"), side("x")), "a").join(sides.select(F.col("id").alias("b"), side("y")), "b").where(near("x", "y", percent))
+    stars = written(tried.groupBy("a").agg(F.max(F.struct("weight", (-F.col("b")).alias("minus"))).alias("top")).select("a", (-F.col("top.minus")).alias("b")), "stars")
     links = links_of(stars)
     roots = components(links)
-    # Then all pairs across components: what one key brings together and is linked already is left out.
-    at = written(members.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root")), "at")
-    open_keys = at.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    live = written(at.join(open_keys, "key").join(sides, "id").select("key", "id", "root", "n", "sig"), "live")
+    # Then, inside each hub's group, what the hub does not link with all others.
+    hubs = stars.select(F.col("a").alias("id"), F.col("b").alias("hub")).union(stars.select(F.col("b").alias("id"), F.col("b").alias("hub")).distinct())
+    rooted = hubs.join(roots, "id", "left").select("hub", "id", F.coalesce("root", "id").alias("root"))
+    of_hub = rooted.where("id = hub").select("hub", F.col("root").alias("hub_root"))
+    groups = rooted.join(of_hub, "hub").select("hub", "id", "root", (F.col("root") != F.col("hub_root")).alias("loose"))
+    open_hubs = groups.groupBy("hub").agg(F.count("*").alias("m"), F.max("loose").alias("some")).where("some AND m > 2").select("hub")
+    groups = written(groups.join(open_hubs, "hub").join(nodes.select("id", "n"), "id").select("hub", "id", "root", "n", "loose"), "groups")
+    links = written(links.union(links_in_groups(groups, texts_of(groups.select("id")), percent)), "links")
+    roots = components(links)
+    # At last pairs across hubs and components: what shares a hub has been compared.
+    own_hub = stars.select(F.col("a").alias("id"), F.col("b").alias("hub"))
+    at = members.select("key", "id").join(roots, "id", "left").join(own_hub, "id", "left")
+    at = written(at.select("key", "id", F.coalesce("root", "id").alias("root"), F.coalesce("hub", "id").alias("hub")), "at")
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("root", "hub") for f in (F.min, F.max)]
+    open_keys = at.groupBy("key").agg(*ends).where("min_root <> max_root AND min_hub <> max_hub").select("key")
+    live = written(at.join(open_keys, "key").join(sides, "id").select("key", "id", "root", "hub", "n", "sig"), "live")
     x, y = live.alias("x"), live.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.root") != F.col("y.root")) & near("x", "y", percent))
-    pairs = across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(stars.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    pairs = written(pairs, "pairs")
+    other = lambda c: F.col(f"x.{c}") != F.col(f"y.{c}")
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & other("root") & other("hub") & near("x", "y", percent))
+    pairs = written(across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
     roots = components(links.union(links_of(pairs)))
     # From nodes to rows: the smallest doc_id of each component.
     of_set = full.groupBy("set_a", "set_b").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")).join(roots, "id", "left")
