@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from foliomend.functions import lines as L
 
-_LINE = re.compile(r"[^\n\r\x0b\x0c\x1c-\x1e\x85  ]*(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]|$)")
+_LINE = re.compile(r"[^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]*(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]|$)")
 _FENCE, _HTML_CODE, _DELIMITER, _HEADING = (re.compile(p) for p in (L.FENCE, L.HTML_CODE, L.TABLE_DELIMITER, L.HEADING))
 _BLOCK_HTML, _ALGORITHM, _GENERATED = (re.compile(p) for p in (L.BLOCK_HTML, L.ALGORITHM, L.GENERATED))
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link", "meta", "param", "source", "track", "wbr"}

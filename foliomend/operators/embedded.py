@@ -206,7 +206,7 @@ def _plain(s: str) -> str:
 
 def wrap_pseudocode(text: str, lang: str = "pseudo", old: bool = True) -> str:
     """Algorithms as fenced code with their title as a comment. Old rules let free lines pass until a first step."""
-    lines, out, i, fenced = re.split(r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]", text), [], 0, False
+    lines, out, i, fenced = re.split(r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", text), [], 0, False
     if lines[-1] == "":
         lines.pop()
     steps = _STEPS_OLD if old else _STEPS_NEW

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foliomend.functions import lines as L
 
 #: Line ends of a text: those that split a page or a document when lines are kept whole.
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def split_lines(docs: DataFrame, text_col: str = "md", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -36,6 +36,11 @@ def without_output(inputs: DataFrame, outputs: DataFrame, key: str = "name") ->
     return inputs.join(outputs.select(key).distinct(), key, "left_anti")
 
 
+def _local(path: Column) -> Column:
+    """Paths of the local file system in one form."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def with_content(records: DataFrame, files: DataFrame, plain: bool = False) -> DataFrame:
     """records with content: the page's file, with or without (plain) headers and footers; empty if there is none.
 
@@ -43,7 +48,7 @@ def with_content(records: DataFrame, files: DataFrame, plain: bool = False) -> D
     """
     path = F.coalesce(F.col("md_content_nohf_path" if plain else "md_content_path"), F.lit(""))
     place = F.row_number().over(Window.partitionBy("doc").orderBy("page_no", "line"))
-    joined = records.withColumn("_path", path).join(files.select(F.col("path").alias("_path"), F.col("value").alias("content")), "_path", "left")
+    joined = records.withColumn("_path", _local(path)).join(files.select(_local(F.col("path")).alias("_path"), F.col("value").alias("content")), "_path", "left")
     return joined.withColumn("content", F.coalesce("content", F.lit(""))).withColumn("place", place).drop("_path")
 
 
