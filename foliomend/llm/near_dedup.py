@@ -156,7 +156,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 #: Shingles of a block together, about, and the most texts of a block.
-BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 17, 512
+BLOCK_SHINGLES, BLOCK_TEXTS = 1 << 15, 256
 
 
 def block_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], others: np.ndarray, other_roots: np.ndarray, other_sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
