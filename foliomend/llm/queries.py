@@ -12,7 +12,7 @@ from foliomend.llm.common import documents
 
 
 #: Probability of being toxic from which a text counts as such.
-TOXIC_FROM = 0.5
+TOXIC_FROM = 0.4
 
 
 def tokenizer_path(name: str) -> str:

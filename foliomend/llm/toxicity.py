@@ -4,8 +4,8 @@ P(grade >= k | x) = sigmoid(w . x - t_k): one weight vector is shared by all thr
 <= ..., which are kept in order by construction (t_k = t_1 + sum of squares). A text's features are
 its hashed windows of five bytes that lie in a word but for the first and the last byte, so that
 the beginnings, ends and insides of words all show, in any language. The value of a feature is its
-count over the square root of the number of windows. Weights go to the features whose presence
-differs most between grades. The expected severity is the sum over k of P(grade >= k).
+count over the square root of the number of windows. Weights go to the features that are present
+more often in higher grades, by the likelihood ratio. The expected severity is the sum over k of P(grade >= k).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from foliomend.llm.common import LETTER, LOWER, mix
 
 #: Hashed features, and how many of them get a weight.
-DIMENSIONS, SELECTED = 1 << 18, 800
+DIMENSIONS, SELECTED = 1 << 22, 400
 #: Labelled rows that a model is fitted on, at most, for each grade.
 SAMPLE_PER_GRADE = 2500
 #: Bytes of a window, and bytes of a text that are taken at once.
@@ -45,33 +45,50 @@ def windows(text: bytes, dimensions: int = DIMENSIONS) -> Iterator[np.ndarray]:
 
 @dataclass
 class OrdinalModel:
-    """Shared weights, and one threshold for each grade above the lowest."""
+    """Weights of the selected features, and one threshold for each grade above the lowest."""
 
+    slots: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
 
+    def table(self, dimensions: int = DIMENSIONS) -> np.ndarray:
+        out = np.zeros(dimensions, np.float32)
+        out[self.slots] = self.weights
+        return out
+
     def at_least(self, score: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ...; a row per score."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
-def select(index: list[np.ndarray], grade: np.ndarray, grades: int, dimensions: int, most: int) -> np.ndarray:
-    """The features whose share of the texts differs most between the lowest grade and a higher one."""
-    shares = np.array([np.bincount(np.concatenate([np.zeros(0, np.int64), *(index[i] for i in np.flatnonzero(grade == g))]), minlength=dimensions) / max(1, (grade == g).sum()) for g in range(grades)])
-    gap = np.abs(shares - shares[0]).max(axis=0) / np.sqrt(shares.mean(axis=0) + 1 / max(1, len(grade)))
-    best = np.sort(np.argsort(-gap, kind="stable")[:most])
-    return best[gap[best] > 0]
+#: Twice this is the likelihood ratio that a feature must pass.
+EVIDENCE = 5.0
+
+
+def select(index: list[np.ndarray], grade: np.ndarray, dimensions: int, most: int) -> np.ndarray:
+    """The features whose share of texts is higher above the lowest grade, the surest first, sorted at last."""
+
+    def present(rows: np.ndarray) -> np.ndarray:
+        return np.bincount(np.concatenate([np.zeros(0, np.int64), *(index[i] for i in np.flatnonzero(rows))]), minlength=dimensions)
+
+    high = grade > 0
+    n, m = high.sum(), (~high).sum()
+    a, b = present(high), present(~high)
+    p, q, both = (a + 0.5) / (n + 1), (b + 0.5) / (m + 1), (a + b + 1) / (n + m + 2)
+    ratio = a * np.log(p / both) + (n - a) * np.log((1 - p) / (1 - both)) + b * np.log(q / both) + (m - b) * np.log((1 - q) / (1 - both))
+    best = np.argsort(-ratio, kind="stable")[:most]
+    return np.sort(best[(ratio[best] > EVIDENCE) & (p[best] > q[best])])
 
 
-def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, grades: int, dimensions: int = DIMENSIONS, most: int = SELECTED, ridge: float = 1e-5, rounds: int = 400) -> OrdinalModel:
+def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, grades: int, dimensions: int = DIMENSIONS, most: int = SELECTED, ridge: float = 1e-4, rounds: int = 300) -> OrdinalModel:
     """Maximum likelihood with an L2 penalty, by Adam on all rows at once.
 
     index, value: the distinct features of each text. The lowest grade and all others together weigh the same.
     """
-    chosen = select(index, grade, grades, dimensions, most)
+    chosen = select(index, grade, dimensions, most)
     keep = [np.isin(i, chosen, assume_unique=True) for i in index]
     index, value = [i[k] for i, k in zip(index, keep)], [v[k] for v, k in zip(value, keep)]
-    sizes = np.array([len(i) for i in index])
+    sizes = np.array([len(i) for i in index], np.int64)
     flat = np.concatenate([*index, np.zeros(0, np.int64)])
     used, column = np.unique(flat, return_inverse=True)
     data = np.concatenate([*value, np.zeros(0)])
@@ -97,10 +114,8 @@ def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, gra
         g = np.concatenate([np.bincount(column, data * d_score[row], len(used)) - ridge * w, [d_t.sum()], 2 * gaps * np.cumsum(d_t[::-1])[::-1][1:]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
         p = p + 0.2 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-9)
-    weights = np.zeros(dimensions)
-    weights[used] = p[: len(used)]
     gaps = p[len(used) + 1 :]
-    return OrdinalModel(weights, p[len(used)] + np.concatenate([[0.0], np.cumsum(gaps**2)]))
+    return OrdinalModel(used, p[: len(used)], p[len(used)] + np.concatenate([[0.0], np.cumsum(gaps**2)]))
 
 
 def train(labels: DataFrame, docs: DataFrame, grades: int, id_col: str = "doc_id", grade_col: str = "grade", text_col: str = "text", per_grade: int = SAMPLE_PER_GRADE) -> OrdinalModel:
@@ -133,16 +148,16 @@ def train(labels: DataFrame, docs: DataFrame, grades: int, id_col: str = "doc_id
 
 def scorer(model: OrdinalModel) -> Callable[[Column], Column]:
     """A column function: text to (severity, grade, toxic_probability), as `score` describes them."""
-    weights, thresholds = model.weights.astype(np.float32), model.thresholds
 
     @F.arrow_udf("struct<severity:double,grade:int,toxic_probability:double>")
     def grade(texts: pa.Array) -> pa.Array:
+        weights = model.table()
         total, count = np.zeros(len(texts)), np.zeros(len(texts))
         for k, text in enumerate(texts):
             for slots in windows((text.as_py() or "").encode()):
                 total[k] += float(weights[slots].sum(dtype=np.float64))
                 count[k] += len(slots)
-        p = OrdinalModel(weights, thresholds).at_least(total / np.sqrt(np.maximum(count, 1)))
+        p = model.at_least(total / np.sqrt(np.maximum(count, 1)))
         p[count == 0] = 0
         each = np.column_stack([np.ones(len(p)), p]) - np.column_stack([p, np.zeros(len(p))])
         return pa.StructArray.from_arrays([pa.array(p.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(p[:, 0].copy())], ["severity", "grade", "toxic_probability"])
