@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliomend.functions import lines as L
+from foliomend.functions import outline as U
 from foliomend.functions import text as T
 from foliomend.operators import blocks as B
 from foliomend.operators import embedded as E
@@ -163,6 +164,74 @@ def toc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.table_of_contents(_lines(spark, sf_dir))
 
 
+# ----------------------------------------------------------------- outline
+
+
+def _looks_sql(x: str) -> str:
+    """The level of a heading by its looks, or null."""
+    numbered = " ".join(f"WHEN {S.matches(x, p)} THEN {level}" for p, level in U.NUMBERED)
+    return (
+        f"CASE WHEN {S.matches(x, U.HASHES)} THEN length(regexp_extract({x}, {S.quoted(U.HASHES)}, 1)) {numbered} WHEN length({x}) < 80 AND upper({x}) = {x} AND {S.matches(x, chr(92) + 'p{Lu}')} AND NOT ends_with({x}, '.') THEN 2"
+        f" WHEN length({x}) < 60 AND {S.matches(x, '^' + chr(92) + 'p{Lu}')} AND NOT ends_with({x}, '.') AND NOT {S.matches(x, U.VERB)} THEN 3 END"
+    )
+
+
+_TRIMMED = SQL_LINES + f", t AS (SELECT doc_id, n, {S.strip('x')} AS x FROM l)"
+
+
+@query(f"WITH {_TRIMMED} SELECT doc_id, n, CAST({_looks_sql('x')} AS INTEGER) AS level FROM t WHERE {_looks_sql('x')} IS NOT NULL")
+def headings_by_looks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select("doc_id", "n", U.heading_by_looks(F.col("x"))["level"].alias("level")).where("level IS NOT NULL")
+
+
+@query(f"""WITH {_TRIMMED} SELECT doc_id, n, CASE WHEN {S.matches('x', L.IMAGE)} THEN 'image' WHEN {S.matches('x', L.CAPTION)} THEN 'caption' WHEN contains(x, '|') THEN 'table_markdown' WHEN contains(lower(x), '<table') THEN 'table_html' ELSE 'unknown' END AS type
+FROM t WHERE {S.matches('x', L.IMAGE)} OR {S.matches('x', L.CAPTION)} OR starts_with(x, '|') OR contains(x, '<table')""")
+def element_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("x")
+    return _lines(spark, sf_dir).where(U.starts_element(x)).select("doc_id", "n", U.element_type(x).alias("type"))
+
+
+@query(f"""WITH {_TRIMMED}, w AS (SELECT doc_id, n, x, lag(x) OVER o AS a, lead(x) OVER o AS b FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY n))
+SELECT doc_id, n, coalesce(a <> '' AND ({_looks_sql('a')}) IS NULL AND NOT {S.matches('a', L.STOP)}, false) OR coalesce(b <> '' AND ({_looks_sql('b')}) IS NULL AND ({S.starts_lower('b')} OR coalesce(NOT {S.matches('a', L.STOP)}, false)), false) AS inside
+FROM w WHERE {S.matches('x', L.IMAGE)}""")
+def images_inside_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("doc_id").orderBy("n")
+    rows = _lines(spark, sf_dir).select("doc_id", "n", L.stripped(F.col("x")).alias("x")).select("*", F.lag("x").over(order).alias("a"), F.lead("x").over(order).alias("b"))
+    return rows.where(L.is_image(F.col("x"))).select("doc_id", "n", U.inside_paragraph(F.col("a"), F.col("b")).alias("inside"))
+
+
+_AUTHOR = "(" + " OR ".join(f"contains(lower({{0}}), '{w}')" for w in U.PLACE_WORDS) + " OR (upper({0}) = {0} AND regexp_matches({0}, '\\p{{Lu}}') AND contains({0}, ',')))"
+_TITLE = "(length({0}) > 80 AND (" + " OR ".join(f"contains(lower({{0}}), '{w}')" for w in U.TITLE_WORDS) + "))"
+
+
+@query(f"""WITH {SQL_LINES}, w AS (SELECT doc_id, n, x AS a, lead(x) OVER (PARTITION BY doc_id ORDER BY n) AS b FROM l) SELECT doc_id, n, CASE WHEN {_TITLE.format('a')} THEN false WHEN {_AUTHOR.format('a')} THEN {_AUTHOR.format('b')}
+ELSE length(a) > 50 AND length(b) < 100 AND NOT {_AUTHOR.format('b')} AND NOT starts_with(b, '**') AND NOT starts_with(b, '#') END AS joins FROM w WHERE b IS NOT NULL""")
+def lines_that_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _lines(spark, sf_dir).select("doc_id", "n", F.col("x").alias("a"), F.lead("x").over(Window.partitionBy("doc_id").orderBy("n")).alias("b")).where("b IS NOT NULL")
+    return rows.select("doc_id", "n", U.joins_next(F.col("a"), F.col("b")).alias("joins"))
+
+
+@query(f"""WITH {SQL}, p AS (SELECT doc_id, strpos(md, regexp_extract(md, {S.quoted(U.BOLD_ALGORITHM)})) AS pos, regexp_matches(md, {S.quoted(U.BOLD_ALGORITHM)}) AS has, md FROM c),
+s AS (SELECT doc_id, CASE WHEN NOT has THEN [md] ELSE list_filter([{S.strip('substr(md, 1, pos - 1)')}, '```' || chr(10) || {S.strip('substr(md, pos)')} || chr(10) || '```'], lambda x: x <> '') END AS parts FROM p)
+SELECT doc_id, CAST(i AS INTEGER) AS part, parts[i] AS text FROM s, unnest(range(1, len(parts) + 1)) r(i)""")
+def algorithm_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = corpus(spark, sf_dir).select("doc_id", F.posexplode(U.split_algorithm(F.col("md"))).alias("part", "text"))
+    return found.select("doc_id", (F.col("part") + 1).alias("part"), "text")
+
+
+@query()
+def block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("doc_id", "page").orderBy("block")
+    blocks = B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir)))
+    pairs = blocks.select("doc_id", "page", "block", "kind", "text", F.lead("kind").over(order).alias("k"), F.lead("text").over(order).alias("t")).where("k IS NOT NULL")
+    return pairs.select("doc_id", "page", "block", U.could_be_one(F.col("kind"), F.col("text"), F.col("k"), F.col("t")).alias("why"))
+
+
+@query()
+def pseudocode_wrap_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", E.wrap_pseudocode_column(F.col("md"), old=False).alias("md"))
+
+
 # ------------------------------------------------------------------- pages
 
 _PAGES_OLD = SQL + ", g AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, string_split(replace(md, chr(10) || '---' || chr(10), '---'), '---')[i] AS text FROM c, unnest(range(1, len(string_split(replace(md, chr(10) || '---' || chr(10), '---'), '---')) + 1)) r(i))"
