@@ -93,7 +93,7 @@ def upsert(nodes: DataFrame, retried: DataFrame) -> DataFrame:
 @F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Share of characters in common, by longest matching blocks."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
+    return pd.Series([1.0 if x == y else difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
 
 
 def succeeded(origin: Column, translated: Column, target: str) -> Column:
