@@ -23,6 +23,10 @@ JOURNAL_NOTES = [
 ]
 RANGE, LIST = r"\[(\d+)-(\d+)\]", r"\[(\d+(?:,\s*\d+)*)\]"
 DEFINITION = r"(?m)^\[(\d+)\]((?:(?!\[\d+\])[^\n])*)\n(?=^\[\d+\]|$)"
+_AFTER = r"(?=[\s\)\]\}>.,!?;:，。！？；：]|\z)"
+BARE_URL = r"(?<!<)(?<!\]\()(?:\A|(?<=\s)|(?<=[(\[{\"“]))(https?://[^\s\)\]\}>]+)" + _AFTER
+BARE_MAIL = r"(?U)(?<!<)(?<!\]\()(?<![\w.%+-])([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})" + _AFTER
+CODE_SPAN, MATH_SPAN = r"(?<!`)(`+)([^`\n]+?)\1(?!`)", r"\$(?!\s)([^$\n]+?)\$(?!\$)"
 PLACEHOLDER = r"__PH_[A-Z0-9_]+__"
 UNREADABLE = [
     r"@@PRESERVE_(\d+)@@[\s\S]*?@@/PRESERVE_\1@@",
@@ -129,11 +133,9 @@ def fix_references_new(s: Column) -> Column:
 
 def bracket_links(s: Column) -> Column:
     """Bare URLs and mail addresses in angle brackets; code and mathematics with spaces around."""
-    after = r"(?=[\s\)\]\}>.,!?;:，。！？；：]|\z)"
-    s = F.regexp_replace(s, r"(?<!<)(?<!\]\()(?:\A|(?<=\s)|(?<=[(\[{\"“]))(https?://[^\s\)\]\}>]+)" + after, "<$1>")
-    s = F.regexp_replace(s, r"(?U)(?<!<)(?<!\]\()(?<![\w.%+-])([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})" + after, "<mailto:$1>")
-    s = F.regexp_replace(s, r"(?<!`)(`+)([^`\n]+?)\1(?!`)", " $0 ")
-    return F.regexp_replace(s, r"\$(?!\s)([^$\n]+?)\$(?!\$)", r" $0 ")
+    for pattern, put in ((BARE_URL, "<$1>"), (BARE_MAIL, "<mailto:$1>"), (CODE_SPAN, " $0 "), (MATH_SPAN, " $0 ")):
+        s = F.regexp_replace(s, pattern, put)
+    return s
 
 
 def strip_unreadable(s: Column) -> Column:

@@ -52,9 +52,8 @@ def captions_in_context(lines: DataFrame) -> DataFrame:
     """Captions with an image or an image tag, or a table line, at most two lines away: keys, n, x, near."""
     near = Window.partitionBy("doc_id").orderBy("n").rowsBetween(-2, 2)
     t = L.stripped(F.col("x"))
-    other = F.when(L.is_image(t) | F.col("x").contains("<img") | L.is_html_table(t) | L.is_markdown_table(t), 1).otherwise(0)
-    own = F.when(L.is_html_table(t) | L.is_markdown_table(t) | L.is_image(t) | F.col("x").contains("<img"), 1).otherwise(0)
-    counted = lines.select("doc_id", "n", "x", L.is_caption(F.col("x")).alias("caption"), (F.sum(other).over(near) - own).alias("near"))
+    hit = F.when(L.is_image(t) | F.col("x").contains("<img") | L.is_html_table(t) | L.is_markdown_table(t), 1).otherwise(0)
+    counted = lines.select("doc_id", "n", "x", L.is_caption(F.col("x")).alias("caption"), (F.sum(hit).over(near) - hit).alias("near"))
     return counted.where("caption").select("doc_id", "n", "x", (F.col("near") > 0).alias("near"))
 
 
