@@ -23,7 +23,7 @@ from foliomend.llm.common import slices
 from foliomend.llm.unigram import vocabulary
 
 #: Parts whose ids a Python worker keeps, characters of the longest kept, and parts that advance together.
-CACHE_PARTS, CACHE_CHARS, TOGETHER = 400_000, 64, 4096
+CACHE_PARTS, CACHE_CHARS, TOGETHER = 250_000, 48, 2048
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -41,7 +41,8 @@ class Encoder:
         # Most substrings are no piece: a bit for each slot of the keys tells so before the search.
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self._slot(self.keys)] = True
-        self.single = {ord(p) for p in v.pieces if len(p) == 1}
+        self.single = np.zeros(0x110000, bool)
+        self.single[[ord(p) for p in v.pieces if len(p) == 1]] = True
         self.kept: dict[str, bytes] = {}
 
     @staticmethod
@@ -65,45 +66,40 @@ class Encoder:
         codes = self._codes(parts)
         n, size = codes.shape
         h = self._prefixes(codes)
-        known = np.isin(codes, np.fromiter(self.single, np.uint32))
+        known = self.single[codes]
+        rows = np.arange(n)
         score = np.full((n, size + 1), -np.inf)
         score[:, 0] = 0
-        back = np.zeros((n, size + 1), np.int32)
-        piece = np.zeros((n, size + 1), np.int64)
+        back, piece = np.zeros((n, size + 1), np.int32), np.zeros((n, size + 1), np.int32)
         for end in range(1, size + 1):
-            for length in range(min(end, self.vocabulary.longest), 0, -1):  # the longest first: it wins ties
-                key = h[:, end] - h[:, end - length] * self.power[length]
-                hit = np.flatnonzero(self.maybe[self._slot(key)])
-                if not len(hit):
-                    continue
-                key = key[hit]
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                s = np.where((self.keys[at] == key) & (self.lengths[at] == length), score[hit, end - length] + self.scores[at], -np.inf)
-                better = s > score[hit, end]
-                if better.any():
-                    hit = hit[better]
-                    score[hit, end], back[hit, end], piece[hit, end] = s[better], end - length, at[better]
-            hit = np.flatnonzero(~known[:, end - 1])
-            if not len(hit):
-                continue
-            s = score[hit, end - 1] + self.vocabulary.unknown
-            better = s > score[hit, end]
-            hit = hit[better]
-            score[hit, end], back[hit, end], piece[hit, end] = s[better], end - 1, -1
+            start = np.arange(max(0, end - self.vocabulary.longest), end)  # the longest substring first: it wins ties
+            key = h[:, end, None] - h[:, start] * self.power[end - start]
+            r, k = np.nonzero(self.maybe[self._slot(key)])
+            key = key[r, k]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            found = (self.keys[at] == key) & (self.lengths[at] == end - start[k])
+            r, k, at = r[found], k[found], at[found]
+            sums, pieces = np.full((n, len(start)), -np.inf), np.zeros((n, len(start)), np.int32)
+            sums[r, k] = score[r, start[k]] + self.scores[at]
+            pieces[r, k] = at
+            best = sums.argmax(axis=1)
+            alone = np.where(known[:, end - 1], -np.inf, score[:, end - 1] + self.vocabulary.unknown)
+            own = alone > sums[rows, best]
+            score[:, end] = np.where(own, alone, sums[rows, best])
+            back[:, end] = np.where(own, end - 1, start[best])
+            piece[:, end] = np.where(own, -1, pieces[rows, best])
         # All parts follow their back pointers together, from the end.
         position, found = np.full(n, size), []
         while (position > 0).any():
-            rows = np.arange(n)
             found.append(np.where(position > 0, piece[rows, position], -2))
             position = np.where(position > 0, back[rows, position], 0)
         steps = np.array(found[::-1]).T
-        out = []
-        for part, row in zip(parts, steps):
-            row = row[row != -2]
-            if (row >= 0).all():
-                out.append(self.ids[row].tobytes())
-            else:
-                out.append(b"".join(self._with_bytes(part, row)))
+        taken = steps != -2
+        end = np.cumsum(taken.sum(axis=1)) * 4
+        data = self.ids[np.maximum(steps[taken], 0)].tobytes()
+        out = [data[i:j] for i, j in zip([0, *end[:-1].tolist()], end.tolist())]
+        for i in np.flatnonzero((steps == -1).any(axis=1)):
+            out[i] = b"".join(self._with_bytes(parts[i], steps[i][taken[i]]))
         return out
 
     def _with_bytes(self, part: str, row: np.ndarray) -> Iterator[bytes]:
@@ -147,7 +143,7 @@ def encoder(path: str) -> Encoder:
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, text, ids (array of int).
+    """One row per row of docs: doc_id, text, ids (array of int), ids_crc32 (of the ids as little-endian unsigned 32-bit integers).
 
     model: path of a SentencePiece model file, whose pieces are taken as a unigram vocabulary. Null
     and empty texts have no ids. Whole texts are read, other columns are not; repeated rows get equal
@@ -157,13 +153,13 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 1 << 21):
                 found = own.encode(part.column(1).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in found])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids], ["doc_id", "text", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids, pa.array(map(zlib.crc32, found), pa.int64())], ["doc_id", "text", "ids", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, text string, ids array<int>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, text string, ids array<int>, ids_crc32 long")
 
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
@@ -191,19 +187,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
-def crc32_of(ids: pa.Array) -> list[int]:
-    """CRC-32 of each list of ids as little-endian unsigned 32-bit integers."""
-    return [zlib.crc32(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()) if x.is_valid else zlib.crc32(b"") for x in ids]
-
-
 def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32 (unsigned), round_trip: whether the decoded text is the text, with U+2581 as a space."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1)
-            counts = [len(x.values) if x.is_valid else 0 for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(crc32_of(ids), pa.int64()), batch.column(2)], ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
-
+    """doc_id, n_pieces, ids_crc32, round_trip: whether the decoded text is the text, with U+2581 as a space."""
     same = F.translate(F.coalesce("text", F.lit("")), "▁", " ") == F.coalesce("decoded", F.lit(""))
-    return decoded.select("doc_id", "ids", same).mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids_crc32", same.alias("round_trip"))
