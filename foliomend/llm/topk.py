@@ -9,8 +9,6 @@ and scored through their forward index, until the bound falls below the k-th sco
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
