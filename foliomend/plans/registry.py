@@ -580,6 +580,16 @@ def translation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("doc_id", "nid", N.succeeded(F.col("origin"), F.col("translated"), "zh").alias("ok"), T.is_placeholder_only(F.col("origin")).alias("placeholder_only"))
 
 
+@query()
+def nodes_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.nodes_json(_nodes(spark, sf_dir).withColumn("translated", F.col("origin")))
+
+
+@query()
+def merged_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.merge_nodes(_nodes(spark, sf_dir).withColumn("translated", F.col("origin")))
+
+
 @query()
 def translate_echo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return translate.translate(corpus(spark, sf_dir))[0]
