@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomend.llm.common import mix, word_hashes, written
+from foliomend.llm.common import mix, slices, word_hashes, written
 
 CHUNKS, WIDTH = 14, 6
 SYMBOLS = CHUNKS * WIDTH
@@ -75,7 +75,7 @@ def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame
     schema = "doc_id long, text_hash long, row long, n long, set_a long, set_b long, sig array<long>, keys array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 3)):
             n, same, low = [], [], []
             for s in shingle_sets(batch.column(3), words):
                 n.append(len(s))
@@ -235,10 +235,10 @@ def sets_of(ends: DataFrame, docs: DataFrame, words: int, id_col: str, text_col:
         bits = np.unpackbits(wanted).view(bool)
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            texts = batch.column(1).filter(pa.array(bits[_slot(ids)]))
-            found = [s.tobytes() for s in shingle_sets(texts, words)]
-            both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, found)), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(found, pa.binary())], ["set_a", "set_b", "shingles"])
+            for part in slices(batch.filter(pa.array(bits[_slot(ids)])), 1):
+                found = [s.tobytes() for s in shingle_sets(part.column(1), words)]
+                both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, found)), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(found, pa.binary())], ["set_a", "set_b", "shingles"])
 
     table = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(sets, "set_a long, set_b long, shingles binary")
     return written(ends.select("id", "set_a", "set_b").join(table, ["set_a", "set_b"]).select("id", "shingles"), "sets")

@@ -68,16 +68,17 @@ EVIDENCE = 5.0
 def select(index: list[np.ndarray], grade: np.ndarray, dimensions: int, most: int) -> np.ndarray:
     """The features whose share of texts is higher above the lowest grade, the surest first, sorted at last."""
 
-    def present(rows: np.ndarray) -> np.ndarray:
-        return np.bincount(np.concatenate([np.zeros(0, np.int64), *(index[i] for i in np.flatnonzero(rows))]), minlength=dimensions)
-
     high = grade > 0
     n, m = high.sum(), (~high).sum()
-    a, b = present(high), present(~high)
+    counts = np.zeros((2, dimensions), np.int32)
+    for i, above in zip(index, high):
+        counts[int(above), i] += 1  # the features of a text are distinct
+    slots = np.flatnonzero(counts[1])
+    a, b = counts[1, slots].astype(float), counts[0, slots].astype(float)
     p, q, both = (a + 0.5) / (n + 1), (b + 0.5) / (m + 1), (a + b + 1) / (n + m + 2)
     ratio = a * np.log(p / both) + (n - a) * np.log((1 - p) / (1 - both)) + b * np.log(q / both) + (m - b) * np.log((1 - q) / (1 - both))
     best = np.argsort(-ratio, kind="stable")[:most]
-    return np.sort(best[(ratio[best] > EVIDENCE) & (p[best] > q[best])])
+    return np.sort(slots[best[(ratio[best] > EVIDENCE) & (p[best] > q[best])]])
 
 
 def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, grades: int, dimensions: int = DIMENSIONS, most: int = SELECTED, ridge: float = 1e-4, rounds: int = 300) -> OrdinalModel:
@@ -86,7 +87,9 @@ def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, gra
     index, value: the distinct features of each text. The lowest grade and all others together weigh the same.
     """
     chosen = select(index, grade, dimensions, most)
-    keep = [np.isin(i, chosen, assume_unique=True) for i in index]
+    wanted = np.zeros(dimensions, bool)
+    wanted[chosen] = True
+    keep = [wanted[i] for i in index]
     index, value = [i[k] for i, k in zip(index, keep)], [v[k] for v, k in zip(value, keep)]
     sizes = np.array([len(i) for i in index], np.int64)
     flat = np.concatenate([*index, np.zeros(0, np.int64)])
@@ -141,8 +144,8 @@ def train(labels: DataFrame, docs: DataFrame, grades: int, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(index, pa.binary()), pa.array(value, pa.binary())], ["grade", "index", "value"])
 
     found = sample.select("grade", "text").mapInArrow(extract, "grade int, index binary, value binary").toPandas()
-    index = [np.frombuffer(b, np.int32).astype(np.int64) for b in found["index"]]
-    value = [np.frombuffer(b, np.float32).astype(float) for b in found["value"]]
+    index = [np.frombuffer(b, np.int32) for b in found["index"]]
+    value = [np.frombuffer(b, np.float32) for b in found["value"]]
     return fit(index, value, found["grade"].to_numpy(np.int64), grades)
 
 
