@@ -23,7 +23,7 @@ from foliomend.llm.common import slices
 from foliomend.llm.unigram import vocabulary
 
 #: Parts whose ids a Python worker keeps, characters of the longest kept, and parts that advance together.
-CACHE_PARTS, CACHE_CHARS, TOGETHER = 250_000, 48, 2048
+CACHE_PARTS, CACHE_CHARS, TOGETHER = 200_000, 48, 2048
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -162,6 +162,10 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, text string, ids array<int>, ids_crc32 long")
 
 
+#: Rows that are decoded at once.
+ROWS = 512
+
+
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     """All columns of encoded, and decoded: the text of the ids.
 
@@ -174,7 +178,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shown = defaultdict(bytes, enumerate(vocabulary(model).shown))
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             texts = []
             for ids in batch.column(names.index(ids_col)):
                 if not ids.is_valid:
