@@ -1,11 +1,14 @@
 """A Markdown corpus made from the documents table, in Spark and in SQL.
 
 The tables hold almost no Markdown, so each line x, at position i of its document, is rewritten by
-the slot k % 20 with k = doc_id * 7 + i; slots from 12 on leave it alone.
+the slot k % 20 with k = doc_id * 7 + i; slots from 12 on leave it alone. WHOLE keeps all of x in every
+slot. SLOTS, which the given SQL reads, cut it; queries with such SQL run on both.
 """
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,18 +28,40 @@ SLOTS = [
     "substr(x, 1, 30) || ' &lt;b&gt; &amp; https://ex.org/' || cast({k} as string) || ' u' || cast({k} as string) || '@ex.org'",
 ]
 
+#: The same kinds of lines, with x whole: in the line itself, or after what a line of x has no place in.
+WHOLE = [
+    "'## ' || substr('IVX', cast({k} % 3 + 1 as int), 1) || '. ' || x",
+    "'### ' || cast({k} % 9 + 1 as string) || '.' || cast({k} % 4 + 1 as string) || '. ' || x",
+    "'Fig. ' || cast({k} as string) || '. ' || x",
+    "'![a' || cast({k} as string) || '](i/' || cast({k} as string) || '.png)' || chr(10) || x",
+    "'| a | b |' || chr(10) || '|---|---|' || chr(10) || '| ' || cast({k} as string) || ' | c |' || chr(10) || x",
+    "'```' || chr(10) || x || chr(10) || '```'",
+    "'$$' || chr(10) || 'x_' || cast({k} as string) || chr(10) || '$$' || chr(10) || x",
+    "x || ' [' || cast({k} % 30 + 1 as string) || '] and [' || cast({k} % 5 + 1 as string) || '-' || cast({k} % 5 + 3 as string) || '].'",
+    "'---' || chr(10) || x",
+    "'- ' || x",
+    "'**Algorithm ' || cast({k} % 7 + 1 as string) || '** ' || x || chr(10) || '1: x_' || cast({k} as string)",
+    "x || ' &lt;b&gt; &amp; https://ex.org/' || cast({k} as string) || ' u' || cast({k} as string) || '@ex.org'",
+]
+#: The slots that corpus() takes.
+slots: ContextVar[list[str]] = ContextVar("slots", default=WHOLE)
+
+
+def _case(k: str, slots: list[str]) -> str:
+    return f"CASE cast({k} % 20 as int) " + " ".join(f"WHEN {n} THEN {s.format(k=k)}" for n, s in enumerate(slots)) + " ELSE x END"
+
 
-def _case(k: str) -> str:
-    return f"CASE cast({k} % 20 as int) " + " ".join(f"WHEN {n} THEN {s.format(k=k)}" for n, s in enumerate(SLOTS)) + " ELSE x END"
+def _sql(slots: list[str]) -> str:
+    return f"c AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: {_case('(doc_id * 7 + i - 1)', slots)}), chr(10)) AS md FROM documents)"
 
 
 #: In SQL, the common table expression c(doc_id, md).
-SQL = f"c AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: {_case('(doc_id * 7 + i - 1)')}), chr(10)) AS md FROM documents)"
+SQL, SQL_WHOLE = _sql(SLOTS), _sql(WHOLE)
 #: And l(doc_id, n, x): its lines, from 0.
 SQL_LINES = SQL + ", l AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, string_split(md, chr(10))[i] AS x FROM c, unnest(range(1, len(string_split(md, chr(10))) + 1)) r(i))"
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, md)."""
-    md = f"array_join(transform(split(text, '\\n', -1), (x, i) -> {_case('(doc_id * 7 + i)')}), chr(10))"
+    md = f"array_join(transform(split(text, '\\n', -1), (x, i) -> {_case('(doc_id * 7 + i)', slots.get())}), chr(10))"
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.expr(md).alias("md"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from foliomend.operators import pages as P
 from foliomend.operators import placeholders as PH
 from foliomend.plans import config, fix, translate
 from foliomend.plans import oracle as S
-from foliomend.plans.corpus import SQL, SQL_LINES, corpus
+from foliomend.plans.corpus import SLOTS, SQL, SQL_LINES, SQL_WHOLE, corpus, slots
 from foliomend.sources import pages as R
 from foliomend.sources import sinks
 
@@ -29,11 +30,31 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _on_slots(f: Query) -> Query:
+    """f on the corpus of the given SQL, which cuts lines."""
+
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        token = slots.set(SLOTS)
+        try:
+            return f(spark, sf_dir)
+        finally:
+            slots.reset(token)
+
+    return run
+
+
 def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query over whole lines. If its SQL reads the cut ones, that pair stays and NAME_whole is added."""
+
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        name = f.__name__
+        QUERIES[name] = f
         if sql:
-            ORACLES[f.__name__] = sql
+            ORACLES[name] = sql
+            if SQL in sql:
+                QUERIES[name] = _on_slots(f)
+                QUERIES[f"{name}_whole"], ORACLES[f"{name}_whole"] = f, sql.replace(SQL, SQL_WHOLE)
         return f
 
     return add
