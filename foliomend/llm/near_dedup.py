@@ -228,20 +228,30 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def sets_of(ends: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, shingles) of the nodes ends (id, doc_id, set_a, set_b), from their texts. Only sets that are needed move."""
+    """(id, shingles) of the nodes ends (id, doc_id, set_a, set_b), from their texts: one row for each node.
+
+    Only sets that are needed move. Rows with equal sets may all pass the filter (false hits,
+    repeated or null doc_ids): a task gives each set once, and of what the tasks give one stays.
+    """
     wanted = id_filter(ends.select("doc_id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(wanted).view(bool)
+        bits, seen = np.unpackbits(wanted).view(bool), set()
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             for part in slices(batch.filter(pa.array(bits[_slot(ids)])), 1):
-                found = [s.tobytes() for s in shingle_sets(part.column(1), words)]
-                both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, found)), np.int64).reshape(-1, 2)
+                found, digests = [], []
+                for s in shingle_sets(part.column(1), words):
+                    if (digest := xxhash.xxh3_128_digest(data := s.tobytes())) not in seen:
+                        seen.add(digest)
+                        found.append(data)
+                        digests.append(digest)
+                both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(found, pa.binary())], ["set_a", "set_b", "shingles"])
 
     table = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(sets, "set_a long, set_b long, shingles binary")
-    return written(ends.select("id", "set_a", "set_b").join(table, ["set_a", "set_b"]).select("id", "shingles"), "sets")
+    needed = ends.select("id", "set_a", "set_b").join(table, ["set_a", "set_b"])
+    return written(needed.groupBy("set_a", "set_b", "id").agg(F.any_value("shingles").alias("shingles")).select("id", "shingles"), "sets")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
