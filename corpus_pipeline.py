@@ -33,8 +33,11 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def reject_no_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language (`und`) go."""
-    verdict = lang_id.identifier(lang_id.train(docs))
+    """Texts without a language (`und`) go. With nothing to learn from, these are those without a letter."""
+    model = lang_id.train(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    verdict = lang_id.identifier(model)
     return docs.where(verdict(F.col("text"))["lang_pred"] != lang_id.NO_LANGUAGE)
 
 
