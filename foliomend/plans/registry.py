@@ -44,8 +44,16 @@ def _on_slots(f: Query) -> Query:
     return run
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query over whole lines. If its SQL reads the cut ones, that pair stays and NAME_whole is added."""
+def _given() -> bool:
+    """Whether a query runs for the given SQL."""
+    return slots.get() is SLOTS
+
+
+def query(sql: str | None = None, whole: tuple[str, str] = ("", "")) -> Callable[[Query], Query]:
+    """Register a query over whole lines. If its SQL reads the cut ones, that pair stays and NAME_whole is added.
+
+    whole: a part of the SQL that is more than the cut lines, and what stands in its place in that of NAME_whole.
+    """
 
     def add(f: Query) -> Query:
         name = f.__name__
@@ -54,7 +62,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
             ORACLES[name] = sql
             if SQL in sql:
                 QUERIES[name] = _on_slots(f)
-                QUERIES[f"{name}_whole"], ORACLES[f"{name}_whole"] = f, sql.replace(SQL, SQL_WHOLE)
+                QUERIES[f"{name}_whole"], ORACLES[f"{name}_whole"] = f, sql.replace(*whole).replace(SQL, SQL_WHOLE)
         return f
 
     return add
@@ -565,9 +573,11 @@ def node_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.pack_nodes(_line_nodes(spark, sf_dir), _MOST)
 
 
-@query(f"WITH {_LINE_NODES} SELECT doc_id, nid, regexp_replace(origin, '^\\s+|\\s+$', '', 'g') AS translated FROM d WHERE nid % 3 <> 0")
+@query(f"WITH {_LINE_NODES} SELECT doc_id, nid, regexp_replace(origin, '^\\s+|\\s+$', '', 'g') AS translated FROM d WHERE nid % 3 <> 0", whole=(" WHERE nid % 3 <> 0", ""))
 def node_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = _line_nodes(spark, sf_dir).where("nid % 3 <> 0")
+    nodes = _line_nodes(spark, sf_dir)
+    if _given():
+        nodes = nodes.where("nid % 3 <> 0")
     return N.unpack(N.payloads(nodes, N.pack_nodes(nodes, _MOST)))
 
 
@@ -627,40 +637,48 @@ _FLAVOURS = ["FFD8", "474946", "89504E"]
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page records made of the corpus: pages with an image of one of three kinds in each."""
+    """Page records made of the corpus: pages with an image of one of three kinds in each, and a blank one after them.
+
+    For the given SQL every fourth page is blank instead.
+    """
     head = F.element_at(F.array(*map(F.lit, _FLAVOURS)), (F.col("page") % 3 + 1))
     data = F.base64(F.unhex(F.concat(head, F.hex(F.encode(F.col("doc_id").cast("string"), "utf-8")))))
     content = F.concat(F.regexp_replace("text", r"!\[", "["), F.lit("\n![p"), F.col("page").cast("string"), F.lit("](data:image/png;base64,"), data, F.lit(")"))
-    pages = P.split_pages_new(corpus(spark, sf_dir))
+    pages = P.split_pages_new(corpus(spark, sf_dir)).select("doc_id", "page", "text", (F.lit(_given()) & (F.col("page") % 4 == 3)).alias("blank"))
+    if not _given():
+        pages = pages.union(pages.groupBy("doc_id").agg((F.max("page") + 1).alias("page"), F.lit("").alias("text"), F.lit(True).alias("blank")))
     return pages.select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc"), F.col("page").cast("long").alias("page_no"), F.col("page").alias("place"), F.concat(F.lit("/in/d"), F.col("doc_id").cast("string"), F.lit(".x.pdf")).alias("file_path"),
-        F.lit("p.md").alias("md_content_path"), F.lit("").alias("md_content_nohf_path"), F.lit(100).alias("input_width"), F.lit(200).alias("input_height"), F.when(F.col("page") % 4 == 3, "").otherwise(content).alias("content"),
+        F.lit("p.md").alias("md_content_path"), F.lit("").alias("md_content_nohf_path"), F.lit(100).alias("input_width"), F.lit(200).alias("input_height"), F.when(F.col("blank"), "").otherwise(content).alias("content"),
     )
 
 
 _RECORDS = rf"""{SQL}, s AS (SELECT doc_id, string_split(md, chr(10) || '---' || chr(10)) AS p FROM c), g AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, p[i] AS text FROM s, unnest(range(1, len(p) + 1)) r(i)),
 r AS (SELECT 'd' || doc_id AS doc, page, CASE WHEN page % 4 = 3 THEN '' ELSE regexp_replace(text, '!\[', '[', 'g') || chr(10) || '![p' || page || '](data:image/png;base64,' || base64(unhex(['FFD8', '474946', '89504E'][page % 3 + 1] || hex(CAST(doc_id AS VARCHAR)))) || ')' END AS content,
 ['.jpg', '.gif', '.png'][page % 3 + 1] AS ext, '/in/d' || doc_id || '.x.pdf' AS file_path FROM g)"""
+_PAGE = "string_split(md, chr(10) || '---' || chr(10)) AS p FROM c), g AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, p[i] AS text"
+_OF_PAGES = "FROM s, unnest(range(1, len(p) + 1)) r(i))"
+_ALL_RECORDS = _RECORDS.replace(f"{_PAGE} {_OF_PAGES}", f"{_PAGE}, false AS blank {_OF_PAGES[:-1]} UNION ALL SELECT doc_id, CAST(len(p) AS INTEGER), '', true FROM s)").replace("page % 4 = 3", "blank")
 
 
-@query(rf"""WITH {_RECORDS} SELECT doc, CAST(page AS BIGINT) AS page_no, 1 AS image, 'p' || page AS alt, ext, format('images/page_{{:03d}}_img_001', page) || ext AS rel_path FROM r WHERE content <> ''""")
+@query(rf"""WITH {_RECORDS} SELECT doc, CAST(page AS BIGINT) AS page_no, 1 AS image, 'p' || page AS alt, ext, format('images/page_{{:03d}}_img_001', page) || ext AS rel_path FROM r WHERE content <> ''""", whole=(_RECORDS, _ALL_RECORDS))
 def image_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.images(_records(spark, sf_dir)).select("doc", "page_no", "image", "alt", "ext", "rel_path")
 
 
-@query(rf"""WITH {_RECORDS} SELECT doc, string_agg(CASE WHEN content = '' THEN '' ELSE content || chr(10) || chr(10) END || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM r GROUP BY doc""")
+@query(rf"""WITH {_RECORDS} SELECT doc, string_agg(CASE WHEN content = '' THEN '' ELSE content || chr(10) || chr(10) END || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM r GROUP BY doc""", whole=(_RECORDS, _ALL_RECORDS))
 def embedded_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.concatenate(_records(spark, sf_dir))
 
 
 @query(rf"""WITH {_RECORDS}, k AS (SELECT doc, page, CASE WHEN content = '' THEN '' ELSE regexp_replace(content, '\(data:image/png;base64,[^)]*\)', format('(images/page_{{:03d}}_img_001', page) || ext || ')') || chr(10) || chr(10) END AS t FROM r)
-SELECT doc, '# ' || doc || '.x' || chr(10) || chr(10) || '*Generated from PDF with ' || count(*) || ' pages*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || string_agg('## Page ' || (page + 1) || chr(10) || chr(10) || t || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM k GROUP BY doc""")
+SELECT doc, '# ' || doc || '.x' || chr(10) || chr(10) || '*Generated from PDF with ' || count(*) || ' pages*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || string_agg('## Page ' || (page + 1) || chr(10) || chr(10) || t || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM k GROUP BY doc""", whole=(_RECORDS, _ALL_RECORDS))
 def external_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _records(spark, sf_dir)
     return R.concatenate(R.link_images(pages, R.images(pages)), titles=True, header=True)
 
 
-@query(rf"""WITH {_RECORDS} SELECT doc, count(*) AS total_pages, any_value(file_path) AS source_pdf, CAST(count(*) FILTER (content <> '') AS BIGINT) AS images FROM r GROUP BY doc""")
+@query(rf"""WITH {_RECORDS} SELECT doc, count(*) AS total_pages, any_value(file_path) AS source_pdf, CAST(count(*) FILTER (content <> '') AS BIGINT) AS images FROM r GROUP BY doc""", whole=(_RECORDS, _ALL_RECORDS))
 def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.metadata(_records(spark, sf_dir))
     return found.select("doc", "total_pages", "source_pdf", F.aggregate("pages", F.lit(0).cast("long"), lambda s, p: s + p["embedded_images"]).alias("images"))
