@@ -1,10 +1,15 @@
 """Licence scans: Dice coefficient over word bigrams against templates, in DataFrame functions only.
 
-Units are the whole text and each of its lines, normalised to lower-case words. A template of b
+Units are the whole text, each of its lines, and passages, normalised to lower-case words. A passage
+is a run of consecutive words, over line ends, that begins and ends with a bigram of the template and
+has as many bigrams as the template allows: what lies outside such bigrams only lowers the coefficient.
+A template of b
 bigrams can only reach the coefficient t with a unit of t / (2 - t) * b to (2 - t) / t * b distinct
 bigrams. A unit has fewer bigrams than words and no fewer than distinct words less one, so most
 units are pruned before their bigrams are made, and more templates once their number is known.
-All happens within a row: nothing is shuffled.
+Of a template's bigrams t / (2 - t) * b must occur. So out of any more than the others, at least one
+does; passages are looked for only in texts with the longer word of one of those with the longest
+words, and from bigrams that enough others follow closely. All happens within a row: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -36,6 +41,12 @@ TEMPLATES: list[tuple[str, str]] = [
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+#: Complete texts with their disclaimers. The oracle's SQL, which knows no passages, has TEMPLATES only.
+_AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD_AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_ISC_AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+COMPLETE: list[tuple[str, str]] = [(f"{name}-full", f"{dict(TEMPLATES)[of]} {more}") for name, of, more in (("bsd-2-clause", "bsd-2-clause", _BSD_AS_IS), ("isc", "isc", _ISC_AS_IS), ("mit", "mit-permission", _AS_IS))]
+
 #: Anything between words, but for line ends.
 GAP = r"[^\p{L}\p{N}\n]+"
 
@@ -54,12 +65,19 @@ def bounds(n: int, least: float) -> tuple[int, int]:
     return math.ceil(least / (2 - least) * n - 1e-9), math.floor((2 - least) / least * n + 1e-9)
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def anchors(grams: list[str], fewest: int) -> list[str]:
+    """Words of which at least one occurs wherever `fewest` of the bigrams do."""
+    longest = sorted((max(g.split(), key=len) for g in grams), key=lambda w: (-len(w), w))
+    return sorted(set(longest[: len(grams) - fewest + 1]))
+
+
+def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES + COMPLETE, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, license, dice, line_no, n_units.
 
-    license: the template with the highest coefficient >= least over the whole text (line_no 0) and
-    its lines (from 1), null if there is none; ties go to the smaller name, then the smaller line.
-    n_units: how many units match some template. Null and empty texts match nothing. Templates of
+    license: the template with the highest coefficient >= least over the whole text (line_no 0), its
+    lines (from 1) and its passages (the line they begin on), null if there is none; ties go to whole
+    texts and lines before passages, then to the smaller name, then the smaller line.
+    n_units: how many line_nos have a unit that matches some template. Null and empty texts match nothing. Templates of
     fewer than two words are ignored. Repeated rows get equal rows, other columns of docs are not
     read, and an empty table gives an empty result.
     """
@@ -67,7 +85,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
     none = docs.select(F.col(id_col).alias("doc_id"))
     if not sets:
         return none.select("doc_id", F.lit(None).cast("string").alias("license"), F.lit(None).cast("double").alias("dice"), F.lit(None).cast("int").alias("line_no"), F.lit(0).alias("n_units"))
-    table = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.array(*map(F.lit, grams)).alias("grams")) for name, grams in sets for low, high in [bounds(len(grams), least)]))
+    table = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.array(*map(F.lit, grams)).alias("grams"), F.array(*map(F.lit, anchors(grams, low))).alias("anchors")) for name, grams in sets for low, high in [bounds(len(grams), least)]))
     plain = F.regexp_replace(F.lower(F.col(text_col).cast("string")), GAP, " ")
 
     def unit(number: Column, parts: Column) -> Column:
@@ -84,10 +102,37 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
     def compared(u: Column) -> Column:
         n = F.size(u["grams"])
         dice = lambda t: 2.0 * F.size(F.array_intersect(u["grams"], t["grams"])) / (n + F.size(t["grams"]))
-        return F.transform(F.filter(table, lambda t: n.between(t["low"], t["high"])), lambda t: F.struct((-dice(t)).alias("order"), t["name"].alias("name"), u["line_no"].alias("line_no")))
-
-    units = docs.select(F.col(id_col).alias("doc_id"), plain.alias("plain")).select("doc_id", F.filter(F.concat(F.array(whole), lines), possible).alias("units"))
-    found = units.select("doc_id", F.filter(F.flatten(F.transform(F.transform(F.col("units"), paired), compared)), lambda m: m["order"] <= -least).alias("found"))
+        return F.transform(F.filter(table, lambda t: n.between(t["low"], t["high"])), lambda t: F.struct((-dice(t)).alias("order"), F.lit(0).alias("passage"), t["name"].alias("name"), u["line_no"].alias("line_no")))
+
+    def passages(t: Column) -> Column:
+        """Matches of one template in runs of words that begin and end with one of its bigrams."""
+        at = F.filter(F.transform("pairs", lambda g, i: F.when(F.array_contains(t["grams"], g), i)), lambda i: i.isNotNull())
+        enough = F.size(F.array_intersect(F.col("pairs"), t["grams"])) >= t["low"]
+        return F.when(enough, F.flatten(F.transform(F.array(at), lambda hits: F.flatten(F.transform(hits, lambda a, k: ending(t, hits, a, k)))))).otherwise(F.array().cast(found_type))
+
+    def ending(t: Column, hits: Column, a: Column, k: Column) -> Column:
+        """Those that begin at a, the k-th hit: at least `low` hits and at most `high` bigrams."""
+        ends = F.filter(F.slice(hits, k + t["low"], t["high"]), lambda b: b - a < t["high"])
+        return F.transform(ends, lambda b: passage(t, a, F.array_distinct(F.slice(F.col("pairs"), a + 1, b - a + 1))))
+
+    def passage(t: Column, a: Column, grams: Column) -> Column:
+        dice = 2.0 * F.size(F.array_intersect(grams, t["grams"])) / (F.size(grams) + F.size(t["grams"]))
+        return F.struct((-dice).alias("order"), F.lit(1).alias("passage"), t["name"].alias("name"), F.get("all", a)["n"].alias("line_no"))
+
+    found_type = "array<struct<order:double,passage:int,name:string,line_no:int>>"
+    anchored = F.array(*map(F.lit, sorted({w for _, grams in sets for w in anchors(grams, bounds(len(grams), least)[0])})))
+    split = docs.select(F.col(id_col).alias("doc_id"), plain.alias("plain")).select("doc_id", "plain", whole.alias("whole"))
+    units = split.select("doc_id", F.filter(F.concat(F.array(F.col("whole")), lines), possible).alias("units"), F.when(F.arrays_overlap(F.col("whole.words"), anchored), F.col("plain")).alias("plain"))
+    # Each word's line, where a passage is possible; the words of all lines are those of the text.
+    per_line = F.transform(F.split(F.col("plain"), "\n"), lambda x, i: F.transform(F.filter(F.split(F.trim(x), " "), lambda w: w != ""), lambda w: F.struct(w.alias("w"), (i + 1).alias("n"))))
+    units = units.select("doc_id", "units", F.flatten(per_line).alias("all"))
+    # The words are bound once: a column would be made anew for each pair.
+    paired_up = F.transform(F.array(F.col("all.w")), lambda ws: F.transform(F.slice(ws, 2, F.greatest(F.size(ws) - 1, F.lit(0))), lambda w, i: F.concat(F.get(ws, i), F.lit(" "), w)))
+    units = units.select("doc_id", "units", "all", F.when(F.col("all").isNotNull(), F.get(paired_up, F.lit(0))).alias("pairs"))
+    likely = F.filter(table, lambda t: F.arrays_overlap(F.col("all.w"), t["anchors"]))
+    of_passages = F.when(F.col("all").isNotNull(), F.flatten(F.transform(likely, passages))).otherwise(F.array().cast(found_type))
+    of_units = F.flatten(F.transform(F.transform(F.col("units"), paired), compared))
+    found = units.select("doc_id", F.filter(F.concat(F.coalesce(of_units, F.array().cast(found_type)), of_passages), lambda m: m["order"] <= -least).alias("found"))
     best = found.select("doc_id", F.array_min("found").alias("best"), F.size(F.array_distinct(F.transform("found", lambda m: m["line_no"]))).alias("n"))
     return best.select("doc_id", F.col("best.name").alias("license"), (-F.col("best.order")).alias("dice"), F.col("best.line_no").alias("line_no"), F.when(F.col("n") > 0, F.col("n")).otherwise(0).alias("n_units"))
 
