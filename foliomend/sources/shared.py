@@ -1,4 +1,4 @@
-"""Tables cut from their lineage."""
+"""Tables cut from their lineage, in the folder that all machines share."""
 
 from __future__ import annotations
 
@@ -9,16 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share, from spark.checkpoint.dir; a local one only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """This application's part of the folder in spark.checkpoint.dir; it goes when the driver's JVM ends.
+
+    Where the session names no folder, a local one serves if the driver and its tasks are one machine;
+    on a cluster that is an error.
+    """
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         found = tempfile.mkdtemp(prefix="spark-foliomend-")
         spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    path = f"{found.rstrip('/')}/foliomend/{sc.applicationId}"
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/foliomend/{name}-{uuid.uuid4().hex}"
+    """Write df as Parquet in the shared folder and read it back: the lineage ends there,
+    and a lost executor costs no more than the tasks it ran."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
