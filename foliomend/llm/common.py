@@ -1,40 +1,40 @@
-"""Shared helpers: tables cut from their lineage, and word hashes computed a batch at a time."""
+"""Shared helpers: joins with hot keys, and word hashes computed a batch at a time."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from foliomend.sources.shared import written as written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines of the cluster share (spark.checkpoint.dir).
 
-    Only where the session names none (tests on one machine) a local folder is made.
-    """
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-foliomend-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: the lineage ends there,
-    and a lost executor costs no more than the tasks it ran."""
-    path = f"{shared_dir(df.sparkSession)}/foliomend/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A key is hot if it has more than one in HOT of all rows, so fewer than HOT keys are.
+HOT = 1000
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], small: Column | None = None) -> DataFrame:
+    """rows joined with table, which has one row per key and in `times` the number of rows that have it.
+
+    The values of hot keys are broadcast, fewer than HOT rows, so that their rows stay where they
+    are; only the others are shuffled. small: which rows of table are of bounded size. Both sides are
+    read more than once. Rows whose key is not in table go.
+    """
+    total = table.agg(F.sum("times")).head()[0] or 0
+    hot = F.col("times") * HOT > total
+    if small is not None:
+        hot = hot & small
+    few = F.broadcast(table.where(hot).drop("times"))
+    rest = rows.join(F.broadcast(table.where(hot).select(*keys)), keys, "left_anti").join(table.where(~hot).drop("times"), keys)
+    return rows.join(few, keys).unionByName(rest)
 
 
 # ---------------------------------------------------------------- word hashes

@@ -1,12 +1,13 @@
 """Near-duplicates by MinHash signatures and a multi-index Hamming join.
 
-A text's set is its distinct shingles of consecutive words. Its signature has CHUNKS x WIDTH minima
-of independent hash functions, of which b = 8 bits each are kept. Signatures within a distance (the
-number of differing symbols) below 2 * CHUNKS agree, by pigeonhole, in some chunk but for one symbol
-at most. So each chunk gives WIDTH keys, the chunk without one of its symbols in turn, and every
-such pair shares a key; at similarity 0.8 a chunk of six is that close with probability 0.655, so
-that 14 chunks miss a pair with probability 3e-7. Pairs that share a key pass if their sizes allow
-the similarity and their distance is at most FARTHEST; links are then confirmed on the full sets.
+A text's set is its distinct shingles of consecutive words. Its signature has CHUNKS x WIDTH symbols,
+each the last b = 16 bits of the hashed minimum of a hash function of its own. The distance of two
+signatures is the number of symbols that differ. If it is at most DISTANCE = 2 * CHUNKS - 1, some
+chunk, by pigeonhole, differs in one symbol at most: so each chunk gives WIDTH keys, the chunk's
+symbols without one of them in turn, and every pair within DISTANCE shares a key. Pairs that share
+a key pass if their sizes allow the similarity and their distance is at most DISTANCE; links are
+then confirmed on the full sets. At similarity 0.8 a distance exceeds DISTANCE with probability
+1.2e-6, and with less above it; that is all that a link can be lost by.
 
 Equal sets are one node from the start, so copies never meet in pairs. Each other node is first
 compared with one hub, the member of its keys that shares most keys with others, and what that links
@@ -26,13 +27,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomend.llm.common import mix, slices, word_hashes, written
+from foliomend.llm.common import looked_up, mix, slices, word_hashes, written
 
-CHUNKS, WIDTH = 14, 6
+CHUNKS, WIDTH = 22, 5
 SYMBOLS = CHUNKS * WIDTH
-LONGS = -(-SYMBOLS // 8)
-#: The number of differing symbols has mean 16.7 and deviation 3.7 at similarity 0.8.
-FARTHEST = 36
+LONGS = -(-SYMBOLS // 4)
+#: The guarantee of the index and the filter of its pairs; at similarity 0.8 distances have mean 22 and deviation 4.2.
+DISTANCE = 2 * CHUNKS - 1
 
 _rng = np.random.Generator(np.random.PCG64(77))
 _odd = lambda *shape: _rng.integers(0, 2**64, shape, dtype=np.uint64) | np.uint64(1)
@@ -65,6 +66,24 @@ def minima(s: np.ndarray) -> np.ndarray:
     return low
 
 
+def symbols_of(low: np.ndarray) -> np.ndarray:
+    """The b bits of each minimum that the signatures (rows) keep."""
+    return (mix(low + _SALT) >> np.uint64(48)).astype(np.uint16)
+
+
+def keys_of(symbols: np.ndarray) -> np.ndarray:
+    """The keys of the multi-index: each chunk of a signature (row) without one of its symbols in turn."""
+    chunk = mix((symbols.astype(np.uint64) + np.uint64(1)) * _PLACE).reshape(len(symbols), CHUNKS, WIDTH)
+    return mix(chunk.sum(axis=2, keepdims=True, dtype=np.uint64) - chunk + _SALT.reshape(CHUNKS, WIDTH)).reshape(len(symbols), SYMBOLS)
+
+
+def packed(symbols: np.ndarray) -> np.ndarray:
+    """Four symbols to a long, zeros at the end."""
+    out = np.zeros((len(symbols), LONGS * 4), np.uint16)
+    out[:, :SYMBOLS] = symbols
+    return out.view(np.int64)
+
+
 def text_hash(text: Column) -> Column:
     """Tells rows with one doc_id apart."""
     return F.xxhash64(text)
@@ -83,16 +102,11 @@ def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame
                 low.append(minima(s))
             if not n:
                 continue
-            m = mix(np.array(low) + _SALT)
-            symbols = np.zeros((len(n), LONGS * 8), np.uint8)
-            symbols[:, :SYMBOLS] = m >> np.uint64(56)
-            terms = m * _PLACE
-            chunk = terms.reshape(len(n), CHUNKS, WIDTH)
-            keys = mix(chunk.sum(axis=2, keepdims=True, dtype=np.uint64) - chunk + _SALT.reshape(CHUNKS, WIDTH))
+            symbols = symbols_of(np.array(low))
             both = np.frombuffer(b"".join(same), np.int64).reshape(-1, 2)
             lists = lambda x: pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), x.reshape(-1).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), lists(symbols.view(np.int64)), lists(keys.reshape(len(n), -1))],
+                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), lists(packed(symbols)), lists(keys_of(symbols))],
                 [x.split()[0] for x in schema.split(", ")],
             )
 
@@ -101,13 +115,13 @@ def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame
 
 
 def distance(a: Column, b: Column) -> Column:
-    """Differing symbols of two packed signatures, whose last bytes are zero in both."""
+    """Differing symbols of two packed signatures."""
 
     def differing(i: int) -> Column:
         x = a[i].bitwiseXOR(b[i])
-        for shift in (4, 2, 1):  # the lowest bit of each byte becomes: any bit of it
+        for shift in (8, 4, 2, 1):  # the lowest of each sixteen bits becomes: any of them
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+        return F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
 
     return reduce(lambda p, q: p + q, (differing(i) for i in range(LONGS)))
 
@@ -115,7 +129,7 @@ def distance(a: Column, b: Column) -> Column:
 def near(a: str, b: str, percent: int) -> Column:
     """Whether two sides' sizes and signatures allow the similarity."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (distance(F.col(f"{a}.sig"), F.col(f"{b}.sig")) <= FARTHEST)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (distance(F.col(f"{a}.sig"), F.col(f"{b}.sig")) <= DISTANCE)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -185,8 +199,9 @@ def block_links(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray], othe
 def links_in_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) across the roots of each group. groups: hub, id, root, n, loose (to be compared with all of the group)."""
     per_block = F.greatest(F.lit(1), F.least(F.lit(BLOCK_TEXTS), (BLOCK_SHINGLES / F.greatest(F.avg("n"), F.lit(1))).cast("int")))
-    blocks = groups.groupBy("hub").agg(F.ceil(F.count_if("loose") / per_block).cast("int").alias("p"), F.ceil(F.count("*") / per_block).cast("int").alias("q"))
-    rows = groups.join(blocks, "hub").join(sets, "id")
+    parts = [F.ceil(F.count_if("loose") / per_block).cast("int").alias("p"), F.ceil(F.count("*") / per_block).cast("int").alias("q")]
+    blocks = written(groups.groupBy("hub").agg(*parts, F.count("*").alias("times")), "blocks")
+    rows = looked_up(groups, blocks, ["hub"]).join(sets, "id")
     own = lambda m: F.pmod(F.xxhash64("id"), m).cast("int")
     all_of = lambda m: F.explode(F.sequence(F.lit(0), m - 1))
     left = rows.where("loose").select("hub", "id", "root", "shingles", own(F.col("p")).alias("i"), all_of(F.col("q")).alias("j"))
@@ -204,29 +219,36 @@ def links_in_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFra
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
 
 
-#: Bits of the filter that picks the texts whose sets are needed; false hits cost time only.
-FILTER_BITS = 1 << 22
+#: Bits a wanted id and most bits of the filter that picks the texts whose sets are needed; false hits cost time only.
+ID_BITS, MOST_BITS = 16, 1 << 28
 
 
-def _slot(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.view(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _slot(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(ids.view(np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit for each slot that holds one of the ids: half a megabyte, however many ids there are."""
+    """A bit for each slot that holds one of the ids, in bytes: their number follows that of the ids, up to 32 MB."""
+    bits = min(MOST_BITS, 1 << max(16, (ID_BITS * ids.count() - 1).bit_length()))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS, bool)
+        found = np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            bits[_slot(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False))] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+            at = _slot(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), bits)
+            np.bitwise_or.at(found, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], ["bits"])
 
-    found = np.zeros(FILTER_BITS // 8, np.uint8)
+    found = np.zeros(bits // 8, np.uint8)
     for row in ids.coalesce(8).mapInArrow(mark, "bits binary").toLocalIterator():
         found |= np.frombuffer(row.bits, np.uint8)
     return found
 
 
+def hits(ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    at = _slot(ids, 8 * len(wanted))
+    return (wanted[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def sets_of(ends: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     """(id, shingles) of the nodes ends (id, doc_id, set_a, set_b), from their texts: one row for each node.
 
@@ -236,10 +258,10 @@ def sets_of(ends: DataFrame, docs: DataFrame, words: int, id_col: str, text_col:
     wanted = id_filter(ends.select("doc_id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = np.unpackbits(wanted).view(bool), set()
+        seen = set()
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            for part in slices(batch.filter(pa.array(bits[_slot(ids)])), 1):
+            for part in slices(batch.filter(pa.array(hits(ids, wanted))), 1):
                 found, digests = [], []
                 for s in shingle_sets(part.column(1), words):
                     if (digest := xxhash.xxh3_128_digest(data := s.tobytes())) not in seen:
@@ -255,14 +277,15 @@ def sets_of(ends: DataFrame, docs: DataFrame, words: int, id_col: str, text_col:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept, text_hash.
+    """One row per row of docs: doc_id, n_shingles, component_id, kept, text_hash, stays.
 
     Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets;
-    component_id is the smallest doc_id reachable over links, kept tells whether it is the row's own.
+    component_id is the smallest doc_id reachable over links, kept tells whether it is the row's own,
+    stays is true for one row of each component (of several with the smallest doc_id, any one).
     Null and empty texts, and texts of white space, have an empty set and are linked with nothing.
     Rows with one doc_id are texts of their own, each linked by its own set; a row with a null
-    doc_id counts as larger than any id. Other columns of docs are not read; an empty table gives an
-    empty result.
+    doc_id counts as larger than any id. A very long text is read in segments; its set, eight bytes a
+    shingle, must fit in a row. Other columns of docs are not read; an empty table gives an empty result.
     """
     signs = written(signed(docs, words, id_col, text_col), "signatures")
     full = signs.where("n > 0")
@@ -294,11 +317,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     roots = components(links)
     # Then, inside each hub's group, what the hub does not link with all others.
     hubs = stars.select(F.col("a").alias("id"), F.col("b").alias("hub")).union(stars.select(F.col("b").alias("id"), F.col("b").alias("hub")).distinct())
-    rooted = hubs.join(roots, "id", "left").select("hub", "id", F.coalesce("root", "id").alias("root"))
-    of_hub = rooted.where("id = hub").select("hub", F.col("root").alias("hub_root"))
-    groups = rooted.join(of_hub, "hub").select("hub", "id", "root", (F.col("root") != F.col("hub_root")).alias("loose"))
-    open_hubs = groups.groupBy("hub").agg(F.count("*").alias("m"), F.max("loose").alias("some")).where("some AND m > 2").select("hub")
-    groups = written(groups.join(open_hubs, "hub").join(nodes.select("id", "n"), "id").select("hub", "id", "root", "n", "loose"), "groups")
+    rooted = written(hubs.join(roots, "id", "left").select("hub", "id", F.coalesce("root", "id").alias("root")), "rooted")
+    of_hub = rooted.groupBy("hub").agg(F.max(F.when(F.col("id") == F.col("hub"), F.col("root"))).alias("hub_root"), F.count("*").alias("times"), F.min("root").alias("low"), F.max("root").alias("high"))
+    open_hubs = written(of_hub.where("low <> high AND times > 2").select("hub", "hub_root", "times"), "open-hubs")
+    groups = looked_up(rooted, open_hubs, ["hub"]).select("hub", "id", "root", (F.col("root") != F.col("hub_root")).alias("loose"))
+    groups = written(groups.join(nodes.select("id", "n"), "id").select("hub", "id", "root", "n", "loose"), "groups")
     links = written(links.union(links_in_groups(groups, texts_of(groups.select("id")), percent)), "links")
     roots = components(links)
     # At last pairs across hubs and components: what shares a hub has been compared.
@@ -313,11 +336,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & other("root") & other("hub") & near("x", "y", percent))
     pairs = written(across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
     roots = components(links.union(links_of(pairs)))
-    # From nodes to rows: the smallest doc_id of each component.
-    of_set = full.groupBy("set_a", "set_b").agg(F.min("row").alias("id"), F.min("doc_id").alias("least")).join(roots, "id", "left")
-    of_set = written(of_set.select("set_a", "set_b", F.coalesce("root", "id").alias("root"), "least"), "of_set")
-    least = of_set.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = of_set.join(least, "root").select("set_a", "set_b", "component_id")
-    out = signs.select("doc_id", "text_hash", "n", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "text_hash")
+    # From nodes to rows: the smallest doc_id of each component, and the row that has it.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    of_set = full.groupBy("set_a", "set_b").agg(F.min("row").alias("id"), first, F.count("*").alias("times")).join(roots, "id", "left")
+    of_set = written(of_set.select("set_a", "set_b", F.coalesce("root", "id").alias("root"), "first", "times"), "of_set")
+    least = written(of_set.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("times")), "least")
+    named = looked_up(of_set.select("root", "set_a", "set_b", F.col("times").alias("rows")), least, ["root"])
+    named = written(named.select("set_a", "set_b", "least", F.col("rows").alias("times")), "named")
+    rows = signs.select("doc_id", "text_hash", "row", F.col("n").alias("n_shingles"), "set_a", "set_b")
+    least = lambda c: F.col(f"least.{c}")
+    some = looked_up(rows.where("n_shingles > 0"), named, ["set_a", "set_b"])
+    some = some.select("doc_id", "n_shingles", least("doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == least("doc_id"), least("none")).alias("kept"), "text_hash", (F.col("row") == least("row")).alias("stays"))
+    return some.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "text_hash", F.lit(True).alias("stays")))

@@ -127,13 +127,56 @@ def test_near_duplicates_of_documents(spark, frame):
     assert [(r.n_shingles, r.component_id) for r in got] == [(n, ids[r]) for n, r in want]
 
 
-def test_index_guarantee():
-    """Signatures that differ in fewer than 2 * CHUNKS symbols share a key."""
+def test_index_guarantee(spark):
+    """Signatures within DISTANCE share a key; pairs are planted at every distance, also the most even ones."""
     rng = np.random.default_rng(1)
-    for _ in range(200):
-        wrong = rng.choice(near_dedup.SYMBOLS, 2 * near_dedup.CHUNKS - 1, replace=False)
-        per_chunk = np.bincount(wrong // near_dedup.WIDTH, minlength=near_dedup.CHUNKS)
-        assert per_chunk.min() <= 1
+    n, w = near_dedup.CHUNKS, near_dedup.WIDTH
+    base = rng.integers(0, 1 << 16, (1, near_dedup.SYMBOLS)).astype(np.uint16)
+    keys = set(near_dedup.keys_of(base)[0].tolist())
+    others, far = [], []
+    for d in range(near_dedup.DISTANCE + 2):
+        for even in (False, True):
+            wrong = np.concatenate([rng.permutation(n) * w + rng.integers(0, w // 2), rng.permutation(n) * w + w - 1])[:d] if even else rng.choice(near_dedup.SYMBOLS, d, replace=False)
+            other = base.copy()
+            other[0, wrong] ^= rng.integers(1, 1 << 16, len(wrong)).astype(np.uint16)
+            shared = keys & set(near_dedup.keys_of(other)[0].tolist())
+            assert shared or d > near_dedup.DISTANCE
+            far.append(bool(shared) or d <= near_dedup.DISTANCE)
+            others.append((d, near_dedup.packed(base)[0].tolist(), near_dedup.packed(other)[0].tolist()))
+    assert not far[-1]  # two errors in every chunk: the bound is tight
+    rows = spark.createDataFrame(others, "d long, a array<long>, b array<long>")
+    assert all(r.d == r.got for r in rows.select("d", near_dedup.distance(F.col("a"), F.col("b")).alias("got")).collect())
+
+
+def test_signatures_hold_the_index(spark):
+    """What signed() gives are the keys of the packed symbols, and nothing finer."""
+    for r in near_dedup.signed(table(spark, ["a b c d", "some other words", "x"]), 2, "doc_id", "text").collect():
+        symbols = np.array(r.sig, np.int64).view(np.uint16)[None, : near_dedup.SYMBOLS]
+        assert near_dedup.keys_of(symbols)[0].view(np.int64).tolist() == list(r["keys"])
+
+
+def test_recall_near_the_threshold(spark):
+    """All pairs with similarities of 0.80 to 0.85, one pair a vocabulary, so that no path goes round a lost link."""
+    rng = np.random.default_rng(8)
+    texts, linked = [], 0
+    for pair in range(300):
+        base = [f"p{pair}w{i}" for i in range(100)]
+        # k words changed one by one, apart from each other: 2 k of 99 shingles differ on each side
+        k = int(rng.integers(3, 7))
+        other = list(base)
+        for i in range(k):
+            other[5 + 12 * i] += "x"
+        linked += 100 * (99 - 2 * k) >= 80 * (99 + 2 * k)
+        texts += [" ".join(base), " ".join(other)]
+    got = near_dedup.near_duplicates(table(spark, texts), words=2).collect()
+    assert sum(r.component_id != r.doc_id for r in got) == linked > 100
+
+
+def test_one_row_stays(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text), (None, text + " x"), (5, text + " y"), (5, text + " z"), (5, text), (7, ""), (None, None), (8, "alone here")]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert sorted(r.doc_id or 0 for r in got if r.stays) == [0, 5, 7, 8]
 
 
 def test_block_links():
