@@ -13,7 +13,8 @@ Equal sets are one node from the start, so copies never meet in pairs. Each othe
 compared with one hub, the member of its keys that shares most keys with others, and what that links
 is contracted. Nodes of one hub that it does not link are then compared with all nodes of that hub,
 block against block inside a task, from which only links come out, at most one for each component.
-Pairs that share a key across different hubs and components are formed at last. No key has a cap.
+Pairs that share a key across different hubs and components are formed at last, those of a key with
+many members block against block as well. No key has a cap.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomend.llm.common import looked_up, mix, slices, word_hashes, written
@@ -35,6 +36,9 @@ LONGS = -(-SYMBOLS // 4)
 #: The guarantee of the index and the filter of its pairs; at similarity 0.8 distances have mean 22 and deviation 4.2.
 DISTANCE = 2 * CHUNKS - 1
 
+#: Four symbols that differ give this bit above each when the other number is added to their difference.
+_FILL, _ABOVE = 0x3FFF3FFF3FFF3FFF, 0x4000400040004000
+
 _rng = np.random.Generator(np.random.PCG64(77))
 _odd = lambda *shape: _rng.integers(0, 2**64, shape, dtype=np.uint64) | np.uint64(1)
 _MULTIPLY, _ADD, _PLACE, _SALT = _odd(SYMBOLS, 1), _odd(SYMBOLS, 1), _odd(SYMBOLS), _odd(SYMBOLS)
@@ -118,7 +122,7 @@ def distance(a: Column, b: Column) -> Column:
     """Differing symbols of two packed signatures: where two differ, adding 2^14 - 1 sets the bit above them."""
 
     def differing(i: int) -> Column:
-        return F.bit_count((a[i].bitwiseXOR(b[i]) + F.lit(0x3FFF3FFF3FFF3FFF)).bitwiseAND(F.lit(0x4000400040004000)))
+        return F.bit_count((a[i].bitwiseXOR(b[i]) + F.lit(_FILL)).bitwiseAND(F.lit(_ABOVE)))
 
     return reduce(lambda p, q: p + q, (differing(i) for i in range(LONGS)))
 
@@ -216,6 +220,67 @@ def links_in_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFra
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
 
 
+#: Members of a key up to which its pairs come from a join, and rows of a block in a larger key.
+JOINED, BLOCK = 64, 512
+
+
+def close(a: np.ndarray, b: np.ndarray, possible: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which possible pairs of packed signatures are within DISTANCE: first by half of the symbols, then by all."""
+    differing = lambda x: np.bitwise_count((x + np.uint64(_FILL)) & np.uint64(_ABOVE))
+    half, so_far = a.shape[1] // 2, np.zeros(possible.shape, np.uint8)
+    for k in range(half):
+        so_far += differing(a[:, None, k] ^ b[None, :, k])
+    i, j = np.nonzero(possible & (so_far <= DISTANCE))
+    keep = so_far[i, j] + differing(a[i, half:] ^ b[j, half:]).sum(axis=1) <= DISTANCE
+    return i[keep], j[keep]
+
+
+def near_pairs(live: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a key, are within DISTANCE and of possible sizes, and have different roots and hubs.
+
+    live: key, m (members of the key), id, root, hub, n, sig. Pairs of a small key come from a join.
+    The members of a large one are dealt by size to bands, of which only neighbours can have links, and
+    compared block against block inside tasks; only what is near comes out.
+    """
+    x, y = live.where(F.col("m") <= JOINED).alias("x"), live.where(F.col("m") <= JOINED).alias("y")
+    other = lambda c: F.col(f"x.{c}") != F.col(f"y.{c}")
+    few = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & other("root") & other("hub") & near("x", "y", percent))
+    few = few.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    # Sizes of a link differ by less than a band's factor, so its bands by one at most.
+    band = F.floor(F.log("n") / float(np.log(100.0001 / percent))).cast("int")
+    big = live.where(F.col("m") > JOINED).select("key", "id", "root", "hub", "n", "sig", band.alias("band"))
+    after = Window.partitionBy("key").orderBy("band")
+    size = big.groupBy("key", "band").agg(F.count("*").alias("c"))
+    size = size.select("key", "band", "c", F.when(F.lead("band").over(after) == F.col("band") + 1, F.lead("c").over(after)).otherwise(0).alias("next"))
+    parts = lambda c: F.ceil(c / F.lit(BLOCK)).cast("int")
+    blocks = written(size.select("key", "band", parts(F.col("c")).alias("p"), parts(F.col("c") + F.col("next")).alias("q")), "bands")
+    own = lambda m: F.pmod(F.xxhash64("id"), m).cast("int")
+    all_of = lambda m: F.explode(F.sequence(F.lit(0), m - 1))
+    columns = ["key", "band", "id", "root", "hub", "n", "sig"]
+    left = big.join(blocks, ["key", "band"]).select(*columns, own(F.col("p")).alias("i"), all_of(F.col("q")).alias("j"))
+    both = big.select("key", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), "id", "root", "hub", "n", "sig", F.col("band").alias("own"))
+    again = [F.col(c).alias(c) for c in columns]  # other attributes than those of the left side
+    right = both.join(blocks, ["key", "band"]).select(*again, "own", own(F.col("q")).alias("j"), all_of(F.col("p")).alias("i"))
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        if left.num_rows and right.num_rows:
+            read = lambda t: [t[c].to_numpy() for c in ("id", "root", "hub", "n")]
+            signatures = lambda t: t["sig"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
+            a, b, s, t, upper = read(left), read(right), signatures(left), signatures(right), right["own"].to_numpy() > right["band"].to_numpy()
+            for at in range(0, len(s), BLOCK):
+                (i, r, h, n), (j, q, g, m) = [v[at : at + BLOCK, None] for v in a], b
+                possible = (r != q) & (h != g) & (upper | (i < j)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+                k, l = close(s[at : at + BLOCK], t, possible)
+                found.append(np.column_stack([i[k, 0], j[l]]))
+        pairs = np.sort(np.concatenate(found), axis=1) if found else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    keys = ["key", "band", "i", "j"]
+    many = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
+    return few.union(many).distinct()
+
+
 #: Bits a wanted id and most bits of the filter that picks the texts whose sets are needed; false hits cost time only.
 ID_BITS, MOST_BITS = 16, 1 << 28
 
@@ -326,12 +391,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     at = members.select("key", "id").join(roots, "id", "left").join(own_hub, "id", "left")
     at = written(at.select("key", "id", F.coalesce("root", "id").alias("root"), F.coalesce("hub", "id").alias("hub")), "at")
     ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("root", "hub") for f in (F.min, F.max)]
-    open_keys = at.groupBy("key").agg(*ends).where("min_root <> max_root AND min_hub <> max_hub").select("key")
-    live = written(at.join(open_keys, "key").join(sides, "id").select("key", "id", "root", "hub", "n", "sig"), "live")
-    x, y = live.alias("x"), live.alias("y")
-    other = lambda c: F.col(f"x.{c}") != F.col(f"y.{c}")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & other("root") & other("hub") & near("x", "y", percent))
-    pairs = written(across.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
+    open_keys = at.groupBy("key").agg(*ends, F.count("*").alias("m")).where("min_root <> max_root AND min_hub <> max_hub").select("key", "m")
+    live = written(at.join(open_keys, "key").join(sides, "id").select("key", "m", "id", "root", "hub", "n", "sig"), "live")
+    pairs = written(near_pairs(live, percent), "pairs")
     roots = components(links.union(links_of(pairs)))
     # From nodes to rows: the smallest doc_id of each component, and the row that has it.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")

@@ -1,5 +1,6 @@
 """Sets of near-duplicate nodes, and near-duplicates of rows with repeated or null ids."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from foliomend.llm import near_dedup
@@ -26,3 +27,22 @@ def test_false_hits_of_the_filter(spark, monkeypatch):
     ends = spark.createDataFrame([(r.row, r.doc_id, r.set_a, r.set_b) for r in near_dedup.signed(docs, 2, "doc_id", "text").dropDuplicates(["set_a", "set_b"]).collect()], "id long, doc_id long, set_a long, set_b long")
     assert near_dedup.sets_of(ends, docs, 2, "doc_id", "text").count() == 2
     assert {r.component_id for r in near_dedup.near_duplicates(docs, words=2).collect()} == {0}
+
+
+def test_large_keys_as_small_ones(spark, monkeypatch):
+    """Pairs from blocks are those from a join, over sizes of several bands."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << near_dedup.BITS, near_dedup.SYMBOLS)
+    rows = []
+    for i in range(300):
+        own = base.copy()
+        wrong = rng.choice(near_dedup.SYMBOLS, int(rng.integers(10, 40)), replace=False)
+        own[wrong] = rng.integers(0, 1 << near_dedup.BITS, len(wrong))
+        packed = near_dedup.packed(own.astype(np.uint16)[None])[0].tolist()
+        rows += [(key, 300, i, i % 37, i % 41, int(40 * 1.25 ** rng.integers(0, 4) + rng.integers(0, 3)), packed) for key in range(1 + i % 3)]
+    live = spark.createDataFrame(rows, "key long, m long, id long, root long, hub long, n long, sig array<long>").cache()
+    found = []
+    for joined in (0, 10**6):
+        monkeypatch.setattr(near_dedup, "JOINED", joined)
+        found.append(sorted(map(tuple, near_dedup.near_pairs(live, 80).collect())))
+    assert found[0] == found[1] and len(found[0]) > 100
