@@ -25,7 +25,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomend.llm.common import looked_up, mix, slices, word_hashes, written
@@ -221,7 +221,7 @@ def links_in_groups(groups: DataFrame, sets: DataFrame, percent: int) -> DataFra
 
 
 #: Members of a key up to which its pairs come from a join, and rows of a block in a larger key.
-JOINED, BLOCK = 64, 512
+JOINED, BLOCK = 64, 4096
 
 
 def close(a: np.ndarray, b: np.ndarray, possible: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,45 +239,40 @@ def near_pairs(live: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share a key, are within DISTANCE and of possible sizes, and have different roots and hubs.
 
     live: key, m (members of the key), id, root, hub, n, sig. Pairs of a small key come from a join.
-    The members of a large one are dealt by size to bands, of which only neighbours can have links, and
-    compared block against block inside tasks; only what is near comes out.
+    The members of a large one are compared block against block inside tasks, those of possible sizes
+    only, and only what is near comes out.
     """
     x, y = live.where(F.col("m") <= JOINED).alias("x"), live.where(F.col("m") <= JOINED).alias("y")
     other = lambda c: F.col(f"x.{c}") != F.col(f"y.{c}")
     few = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & other("root") & other("hub") & near("x", "y", percent))
     few = few.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    # Sizes of a link differ by less than a band's factor, so its bands by one at most.
-    band = F.floor(F.log("n") / float(np.log(100.0001 / percent))).cast("int")
-    big = live.where(F.col("m") > JOINED).select("key", "id", "root", "hub", "n", "sig", band.alias("band"))
-    after = Window.partitionBy("key").orderBy("band")
-    size = big.groupBy("key", "band").agg(F.count("*").alias("c"))
-    size = size.select("key", "band", "c", F.when(F.lead("band").over(after) == F.col("band") + 1, F.lead("c").over(after)).otherwise(0).alias("next"))
-    parts = lambda c: F.ceil(c / F.lit(BLOCK)).cast("int")
-    blocks = written(size.select("key", "band", parts(F.col("c")).alias("p"), parts(F.col("c") + F.col("next")).alias("q")), "bands")
-    own = lambda m: F.pmod(F.xxhash64("id"), m).cast("int")
-    all_of = lambda m: F.explode(F.sequence(F.lit(0), m - 1))
-    columns = ["key", "band", "id", "root", "hub", "n", "sig"]
-    left = big.join(blocks, ["key", "band"]).select(*columns, own(F.col("p")).alias("i"), all_of(F.col("q")).alias("j"))
-    both = big.select("key", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"), "id", "root", "hub", "n", "sig", F.col("band").alias("own"))
+    # Each member of a large key is in one of its blocks; block i meets every block j from i on.
+    parts, own = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int"), F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / F.lit(BLOCK))).cast("int")
+    columns, big = ["key", "id", "root", "hub", "n", "sig"], live.where(F.col("m") > JOINED)
+    left = big.select(*columns, own.alias("i"), F.explode(F.sequence(own, parts - 1)).alias("j"))
     again = [F.col(c).alias(c) for c in columns]  # other attributes than those of the left side
-    right = both.join(blocks, ["key", "band"]).select(*again, "own", own(F.col("q")).alias("j"), all_of(F.col("p")).alias("i"))
+    right = big.select(*again, own.alias("j"), F.explode(F.sequence(F.lit(0), own)).alias("i"))
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = []
+    def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        found = [np.zeros((0, 2), np.int64)]
         if left.num_rows and right.num_rows:
+            left, right = left.sort_by("n"), right.sort_by("n")
             read = lambda t: [t[c].to_numpy() for c in ("id", "root", "hub", "n")]
             signatures = lambda t: t["sig"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
-            a, b, s, t, upper = read(left), read(right), signatures(left), signatures(right), right["own"].to_numpy() > right["band"].to_numpy()
-            for at in range(0, len(s), BLOCK):
-                (i, r, h, n), (j, q, g, m) = [v[at : at + BLOCK, None] for v in a], b
-                possible = (r != q) & (h != g) & (upper | (i < j)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-                k, l = close(s[at : at + BLOCK], t, possible)
+            a, b, s, t, same = read(left), read(right), signatures(left), signatures(right), key[1] == key[2]
+            for at in range(0, len(s), 128):
+                i, r, h, n = (v[at : at + 128, None] for v in a)
+                # In order of size, those that can be linked with these are a range.
+                some = slice(np.searchsorted(b[3] * 100, n.min() * percent, "left"), np.searchsorted(b[3] * percent, n.max() * 100, "right"))
+                j, q, g, m = (v[some] for v in b)
+                possible = (r != q) & (h != g) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((i < j) if same else True)
+                k, l = close(s[at : at + 128], t[some], possible)
                 found.append(np.column_stack([i[k, 0], j[l]]))
-        pairs = np.sort(np.concatenate(found), axis=1) if found else np.zeros((0, 2), np.int64)
+        pairs = np.sort(np.concatenate(found), axis=1)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    keys = ["key", "band", "i", "j"]
-    many = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, "a long, b long")
+    keys = ["key", "i", "j"]
+    many = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda key, x, y: compare(tuple(v.as_py() for v in key), x, y), "a long, b long")
     return few.union(many).distinct()
 
 

@@ -42,7 +42,8 @@ def test_large_keys_as_small_ones(spark, monkeypatch):
         rows += [(key, 300, i, i % 37, i % 41, int(40 * 1.25 ** rng.integers(0, 4) + rng.integers(0, 3)), packed) for key in range(1 + i % 3)]
     live = spark.createDataFrame(rows, "key long, m long, id long, root long, hub long, n long, sig array<long>").cache()
     found = []
-    for joined in (0, 10**6):
+    for joined, block in ((0, 4096), (0, 70), (10**6, 4096)):
         monkeypatch.setattr(near_dedup, "JOINED", joined)
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
         found.append(sorted(map(tuple, near_dedup.near_pairs(live, 80).collect())))
-    assert found[0] == found[1] and len(found[0]) > 100
+    assert found[0] == found[1] == found[2] and len(found[0]) > 100
