@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliomend.sources.shared import written as written
@@ -37,6 +37,23 @@ def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], small: Column
     return rows.join(few, keys).unionByName(rest)
 
 
+#: Parts of a group that are thinned each for itself before a sample is taken.
+PARTS = 64
+
+
+def sampled(rows: DataFrame, group: str, most: int) -> DataFrame:
+    """At most `most` of each group's distinct rows (id, group), with `turn`: their rank by a hash of the id.
+
+    Parts of a group by that hash are thinned first, to 4 * most / PARTS rows each, so that the task
+    which ranks a group gets no more than 4 * most rows of it, whatever the group's size.
+    """
+    by_hash = [F.xxhash64("id"), F.col("id")]
+    thin = F.row_number().over(Window.partitionBy(group, "_part").orderBy(*by_hash))
+    few = rows.withColumn("_part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS))).withColumn("_thin", thin).where(F.col("_thin") <= -(-4 * most // PARTS))
+    turn = F.row_number().over(Window.partitionBy(group).orderBy(*by_hash))
+    return few.select("id", group).distinct().withColumn("turn", turn).where(F.col("turn") <= most)
+
+
 # ---------------------------------------------------------------- word hashes
 
 #: The six characters that separate words.

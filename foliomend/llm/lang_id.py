@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomend.llm.common import LETTER, LOWER
+from foliomend.llm.common import LETTER, LOWER, sampled
 
 #: Slots that n-grams are hashed to; lengths of the n-grams in bytes.
 SLOTS, LENGTHS = 1 << 15, (2, 3, 4)
@@ -91,14 +91,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on at most `sample` rows that are not held out and have a language and a text.
 
     Languages take turns, each in the order of a hash of the id, so that all are learned as far as
-    the sample reaches. The sample's ids are broadcast, its n-grams found on the executors.
+    the sample reaches. Rows with one id and language are one row of the sample, with the least of
+    their texts in order. The sample's ids are broadcast, its n-grams found on the executors.
     """
     known = docs.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.withColumn("turn", turn).where(F.col("turn") <= sample).orderBy("turn", "lang").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    found = texts.join(F.broadcast(chosen), ["id", "lang"]).select("turn", "lang", "text")
+    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    chosen = sampled(known.select("id", "lang"), "lang", sample).orderBy("turn", "lang").limit(sample)
+    found = known.join(F.broadcast(chosen), ["id", "lang"]).groupBy("turn", "lang").agg(F.min("text").alias("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

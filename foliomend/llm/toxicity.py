@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomend.llm.common import LETTER, LOWER, mix
+from foliomend.llm.common import LETTER, LOWER, mix, sampled
 
 #: Hashed features, and how many of them get a weight.
 DIMENSIONS, SELECTED = 1 << 22, 400
@@ -81,8 +81,46 @@ def select(index: list[np.ndarray], grade: np.ndarray, dimensions: int, most: in
     return np.sort(slots[best[(ratio[best] > EVIDENCE) & (p[best] > q[best])]])
 
 
-def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, grades: int, dimensions: int = DIMENSIONS, most: int = SELECTED, ridge: float = 1e-4, rounds: int = 300) -> OrdinalModel:
-    """Maximum likelihood with an L2 penalty, by Adam on all rows at once.
+@dataclass
+class Likelihood:
+    """The weighted log-likelihood of grades, less an L2 penalty on the weights, and its gradient.
+
+    Texts are rows of a sparse matrix (row, column, value). Parameters: the weights, the first
+    threshold, and the roots of the gaps between thresholds.
+    """
+
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    grade: np.ndarray
+    weight: np.ndarray
+    grades: int
+    used: int
+    ridge: float
+
+    def thresholds(self, p: np.ndarray) -> np.ndarray:
+        return p[self.used] + np.concatenate([[0.0], np.cumsum(p[self.used + 1 :] ** 2)])
+
+    def __call__(self, p: np.ndarray) -> tuple[float, np.ndarray]:
+        w, gaps, t, n = p[: self.used], p[self.used + 1 :], self.thresholds(p), len(self.grade)
+        score = np.bincount(self.row, self.value * w[self.column], n)
+        # log P(grade = g) = log(s(score - t_g) - s(score - t_{g+1})), with the outer terms 1 and 0
+        s = np.column_stack([np.ones(n), 1 / (1 + np.exp(np.clip(t[None, :] - score[:, None], -60, 60))), np.zeros(n)])
+        slope, r, g = s * (1 - s), np.arange(n), self.grade
+        chance = np.maximum(s[r, g] - s[r, g + 1], 1e-12)
+        d_score = self.weight * (slope[r, g] - slope[r, g + 1]) / chance
+        d_t = np.zeros((n, self.grades + 1))
+        d_t[r, g] -= self.weight * slope[r, g] / chance
+        d_t[r, g + 1] += self.weight * slope[r, g + 1] / chance
+        d_t = d_t[:, 1 : self.grades].sum(axis=0)
+        d_w = np.bincount(self.column, self.value * d_score[self.row], self.used) - self.ridge * w
+        gradient = np.concatenate([d_w, [d_t.sum()], 2 * gaps * np.cumsum(d_t[::-1])[::-1][1:]])
+        return float(self.weight @ np.log(chance) - self.ridge / 2 * w @ w), gradient
+
+
+def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, grades: int, dimensions: int = DIMENSIONS, most: int = SELECTED, ridge: float = 1e-4, rounds: int = 300, enough: float = 1e-6) -> OrdinalModel:
+    """Maximum likelihood with an L2 penalty, by Adam on all rows at once: `rounds` steps, fewer once
+    no part of the gradient exceeds `enough`.
 
     index, value: the distinct features of each text. The lowest grade and all others together weigh the same.
     """
@@ -92,47 +130,34 @@ def fit(index: list[np.ndarray], value: list[np.ndarray], grade: np.ndarray, gra
     keep = [wanted[i] for i in index]
     index, value = [i[k] for i, k in zip(index, keep)], [v[k] for v, k in zip(value, keep)]
     sizes = np.array([len(i) for i in index], np.int64)
-    flat = np.concatenate([*index, np.zeros(0, np.int64)])
-    used, column = np.unique(flat, return_inverse=True)
-    data = np.concatenate([*value, np.zeros(0)])
-    row = np.repeat(np.arange(len(sizes)), sizes)
+    used, column = np.unique(np.concatenate([*index, np.zeros(0, np.int64)]), return_inverse=True)
     low = grade == 0
     weight = np.where(low, 0.5 / max(1, low.sum()), 0.5 / max(1, (~low).sum()))
-    p = np.concatenate([np.zeros(len(used)), [0.0], np.ones(max(0, grades - 2))])
+    of = Likelihood(np.repeat(np.arange(len(sizes)), sizes), column, np.concatenate([*value, np.zeros(0)]), grade, weight, grades, len(used), ridge)
+    p = np.concatenate([np.zeros(len(used) + 1), np.ones(max(0, grades - 2))])
     m, v = np.zeros_like(p), np.zeros_like(p)
     for k in range(1, rounds + 1):
-        w, first, gaps = p[: len(used)], p[len(used)], p[len(used) + 1 :]
-        t = first + np.concatenate([[0.0], np.cumsum(gaps**2)])
-        score = np.bincount(row, data * w[column], len(sizes))
-        # log P(grade = g) = log(s(score - t_g) - s(score - t_{g+1})), with the outer terms 1 and 0
-        s = np.column_stack([np.ones(len(sizes)), 1 / (1 + np.exp(np.clip(t[None, :] - score[:, None], -60, 60))), np.zeros(len(sizes))])
-        slope = s * (1 - s)
-        r = np.arange(len(sizes))
-        chance = np.maximum(s[r, grade] - s[r, grade + 1], 1e-12)
-        d_score = weight * (slope[r, grade] - slope[r, grade + 1]) / chance
-        d_t = np.zeros((len(sizes), grades + 1))
-        d_t[r, grade] -= weight * slope[r, grade] / chance
-        d_t[r, grade + 1] += weight * slope[r, grade + 1] / chance
-        d_t = d_t[:, 1:grades].sum(axis=0)
-        g = np.concatenate([np.bincount(column, data * d_score[row], len(used)) - ridge * w, [d_t.sum()], 2 * gaps * np.cumsum(d_t[::-1])[::-1][1:]])
+        g = of(p)[1]
+        if np.abs(g).max() < enough:
+            break
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
         p = p + 0.2 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-9)
-    gaps = p[len(used) + 1 :]
-    return OrdinalModel(used, p[: len(used)], p[len(used)] + np.concatenate([[0.0], np.cumsum(gaps**2)]))
+    return OrdinalModel(used, p[: len(used)], of.thresholds(p))
 
 
 def train(labels: DataFrame, docs: DataFrame, grades: int, id_col: str = "doc_id", grade_col: str = "grade", text_col: str = "text", per_grade: int = SAMPLE_PER_GRADE) -> OrdinalModel:
     """Fit on at most per_grade labels of each grade 0 .. grades - 1, the first by a hash of the id.
 
     Labels with a null grade or id, or a grade out of range, are left out; with none left every score
-    is 0. The bounded sample of ids is broadcast; texts become features on the executors, and the
-    driver gets the sample's features only.
+    is 0. Of several labels of one id the highest counts, of several texts of one id the least in
+    order: an id is one row of the sample, so per_grade * grades bounds it however rows repeat. The
+    sample's ids are broadcast; texts become features on the executors, and the driver gets the
+    sample's features only.
     """
     known = labels.where(F.col(grade_col).between(0, grades - 1)).select(F.col(id_col).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).dropna()
-    rank = F.row_number().over(Window.partitionBy("grade").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.withColumn("rank", rank).where(F.col("rank") <= per_grade).select("id", "grade")
+    chosen = sampled(known.groupBy("id").agg(F.max("grade").alias("grade")), "grade", per_grade).select("id", "grade")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id")
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "grade").agg(F.min("text").alias("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
