@@ -1,7 +1,8 @@
 """Exact de-duplication by recipes of content-defined chunks, in DataFrame functions only.
 
 A text is normalised and cut where its own content says so: at the first sentence end after
-`least` characters, at `most` characters if there is none. Each chunk gets an identifier, a hash
+`least` characters; if there is none, at the first space, mark, symbol or number; only where there is
+none of these either, at `most` characters. Each chunk gets an identifier, a hash
 that is verified: all chunks of the corpus are de-duplicated with their contents, and no identifier
 may stand for two contents. A text is then the ordered list of its identifiers, and only these
 short lists are grouped and compared; a long text moves once, as its distinct chunks.
@@ -14,8 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomend.llm.common import written
+from foliomend.llm.common import looked_up, written
 
+#: Chunks of a recipe that may be broadcast when it is hot.
+SHORT = 64
 #: Runs of white space that aren't one plain space already.
 RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
@@ -27,7 +30,8 @@ def normalised(text: Column) -> Column:
 
 def chunked(text: Column, least: int = 1024, most: int = 8192) -> Column:
     """The content-defined chunks of a text, in order; together they are the text."""
-    return F.regexp_extract_all(text, F.lit(rf"(?s).{{{least - 2},{most - 2}}}?\. |.{{1,{most}}}"), F.lit(0))
+    some = rf".{{{least - 2},{most - 2}}}?"
+    return F.regexp_extract_all(text, F.lit(rf"(?s){some}(?:[.!?] |[。！？])|{some}(?:[ \p{{P}}\p{{S}}]|(?<=\p{{L}})(?=\p{{Nd}}))|.{{1,{most}}}"), F.lit(0))
 
 
 def hashed(chunk: Column) -> Column:
@@ -50,8 +54,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     recipe = F.transform(chunked(F.col("text")), (lambda c: c) if clash else identify)
     rows = written(texts.select("doc_id", F.monotonically_increasing_id().alias("row"), F.sha2(F.col("text"), 256).alias("text_sha256"), recipe.alias("recipe")), "recipes")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    groups = rows.groupBy("recipe").agg(first.alias("first"), F.count("*").alias("group_size"))
-    return rows.join(groups, "recipe").select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
+    groups = written(rows.groupBy("recipe").agg(first.alias("first"), F.count("*").alias("times")).withColumn("group_size", F.col("times")), "groups")
+    found = looked_up(rows, groups, ["recipe"], small=F.size("recipe") <= SHORT)
+    return found.select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
 
 
 ORACLE = r"""
