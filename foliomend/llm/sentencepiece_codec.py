@@ -23,7 +23,7 @@ from foliomend.llm.common import slices
 from foliomend.llm.unigram import vocabulary
 
 #: Parts whose ids a Python worker keeps, characters of the longest kept, and parts that advance together.
-CACHE_PARTS, CACHE_CHARS, TOGETHER = 200_000, 48, 2048
+CACHE_PARTS, CACHE_CHARS, TOGETHER = 100_000, 48, 2048
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,6 +36,9 @@ class Encoder:
         if len(np.unique(self.keys)) != len(rows):
             raise ValueError("two pieces share a hash")
         self.lengths = np.array([r[1] for r in rows])
+        pieces = {i: p for p, (i, _) in v.pieces.items()}
+        self.codes = np.frombuffer("".join(pieces[r[2]] for r in rows).encode("utf-32-le"), np.uint32)
+        self.at = np.concatenate([[0], np.cumsum(self.lengths)])
         self.ids = np.array([r[2] for r in rows], np.uint32)
         self.scores = np.array([r[3] for r in rows])
         # Most substrings are no piece: a bit for each slot of the keys tells so before the search.
@@ -61,8 +64,21 @@ class Encoder:
             h[:, k + 1] = h[:, k] * _BASE + codes[:, k] + np.uint64(1)
         return h
 
-    def viterbi(self, parts: list[str]) -> list[bytes]:
-        """Ids, as little-endian 32-bit integers, of parts of one length."""
+    def _is_piece(self, at: np.ndarray, codes: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Whether each piece has the very characters of its row from its start on."""
+        length = self.lengths[at]
+        first = np.cumsum(length) - length
+        offset = np.arange(length.sum()) - np.repeat(first, length)
+        differs = self.codes[np.repeat(self.at[at], length) + offset] != codes[np.repeat(rows, length), np.repeat(starts, length) + offset]
+        return np.add.reduceat(np.concatenate([differs, [0]]), first) == 0 if len(at) else np.zeros(0, bool)
+
+    def viterbi(self, parts: list[str], careful: bool = False) -> list[bytes]:
+        """Ids, as little-endian 32-bit integers, of parts of one length.
+
+        Hashes find the pieces; the characters of those on the best path are compared. A best path of
+        true pieces only is also the best without false ones; should it hold a false one, all pieces
+        found are compared before they count (careful).
+        """
         codes = self._codes(parts)
         n, size = codes.shape
         h = self._prefixes(codes)
@@ -79,6 +95,9 @@ class Encoder:
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             found = (self.keys[at] == key) & (self.lengths[at] == end - start[k])
             r, k, at = r[found], k[found], at[found]
+            if careful:
+                true = self._is_piece(at, codes, r, start[k])
+                r, k, at = r[true], k[true], at[true]
             sums, pieces = np.full((n, len(start)), -np.inf), np.zeros((n, len(start)), np.int32)
             sums[r, k] = score[r, start[k]] + self.scores[at]
             pieces[r, k] = at
@@ -89,12 +108,16 @@ class Encoder:
             back[:, end] = np.where(own, end - 1, start[best])
             piece[:, end] = np.where(own, -1, pieces[rows, best])
         # All parts follow their back pointers together, from the end.
-        position, found = np.full(n, size), []
+        position, found, starts = np.full(n, size), [], []
         while (position > 0).any():
             found.append(np.where(position > 0, piece[rows, position], -2))
             position = np.where(position > 0, back[rows, position], 0)
-        steps = np.array(found[::-1]).T
+            starts.append(position)
+        steps, starts = np.array(found[::-1]).T, np.array(starts[::-1]).T
         taken = steps != -2
+        r, k = np.nonzero(steps >= 0)
+        if not careful and not self._is_piece(steps[r, k], codes, r, starts[r, k]).all():
+            return self.viterbi(parts, careful=True)
         end = np.cumsum(taken.sum(axis=1)) * 4
         data = self.ids[np.maximum(steps[taken], 0)].tobytes()
         out = [data[i:j] for i, j in zip([0, *end[:-1].tolist()], end.tolist())]
@@ -147,7 +170,8 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
     model: path of a SentencePiece model file, whose pieces are taken as a unigram vocabulary. Null
     and empty texts have no ids. Whole texts are read, other columns are not; repeated rows get equal
-    rows; an empty table gives an empty result.
+    rows; an empty table gives an empty result. Of a part without a space some forty bytes a character
+    are held, and it is gone through character by character.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
