@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 START, END, NEXT, BREAK = "<|im_start|>", "<|im_end|>\n", "<|im_next|>", "<|im_nl|>"
 
+#: Turns whose spans are listed at once.
+RUN = 256
+
 
 def escaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
@@ -53,17 +56,23 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
         ).alias("parts"),
     )
     p = F.col("parts")
-    none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
+    length = lambda x: F.length(x["before"]) + F.length(x["text"]) + F.length(x["after"])
 
     def add(so_far: Column, x: Column) -> Column:
-        start = so_far["at"] + F.length(x["before"])
-        span = F.struct(start.alias("start"), F.length(x["text"]).cast("long").alias("length"))
-        return F.struct((start + F.length(x["text"]) + F.length(x["after"])).alias("at"), F.when(x["loss"], F.concat(so_far["spans"], F.array(span))).otherwise(so_far["spans"]).alias("spans"))
-
+        span = F.struct((so_far["at"] + F.length(x["before"])).alias("start"), F.length(x["text"]).cast("long").alias("length"))
+        return F.struct((so_far["at"] + length(x)).alias("at"), F.when(x["loss"], F.array_append(so_far["spans"], span)).otherwise(so_far["spans"]).alias("spans"))
+
+    # Adding to a list copies it: runs of turns first, so that no list grows with the square of the turns.
+    runs = F.sequence(F.lit(0), F.greatest((F.size(p) - 1) / F.lit(RUN), F.lit(0)).cast("int"))
+    run = lambda k: F.slice(p, k * RUN + 1, RUN)
+    sizes = F.transform(runs, lambda k: F.aggregate(run(k), F.lit(0).cast("long"), lambda s, x: s + length(x)))
+    begins = F.aggregate(sizes, F.array(F.lit(0).cast("long")), lambda s, n: F.array_append(s, F.element_at(s, -1) + n))
+    none = F.array().cast("array<struct<start:bigint,length:bigint>>")
+    spans = F.zip_with(runs, F.slice(begins, 1, F.size(runs)), lambda k, at: F.aggregate(run(k), F.struct(at.alias("at"), none.alias("spans")), add)["spans"])
     return parts.select(
         "conv_id",
         F.array_join(F.transform(p, lambda x: F.concat(x["before"], x["text"], x["after"])), "").alias("formatted"),
-        F.aggregate(p, none, add)["spans"].alias("loss_spans"),
+        F.flatten(spans).alias("loss_spans"),
     )
 
 
