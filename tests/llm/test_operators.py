@@ -353,6 +353,32 @@ def test_sentencepiece(spark, frame, unigram):
     assert shown[:2] == [None, ""] and shown[2] == vocabulary(PIECES).shown[300].decode().removeprefix(" ")
 
 
+def test_false_hits_of_hashes(monkeypatch):
+    """With a hash that anagrams share, results are those of compared characters."""
+    true = sentencepiece_codec.Encoder(PIECES)
+    weak = sentencepiece_codec.Encoder.__new__(sentencepiece_codec.Encoder)
+    weak.__dict__.update(true.__dict__, kept={})
+    few = [i for i in range(len(true.ids)) if true.lengths[i] <= 3]
+    sums = np.array([int(true.codes[true.at[i] : true.at[i + 1]].sum() + true.lengths[i]) for i in few], np.uint64)
+    _, first = np.unique(sums, return_index=True)  # one piece for each hash
+    keep = np.array(few)[first]
+    order = np.argsort(sums[first], kind="stable")
+    weak.keys, weak.lengths, weak.ids, weak.scores, weak.at = sums[first][order], true.lengths[keep][order], true.ids[keep][order], true.scores[keep][order], None
+    chars = [true.codes[true.at[i] : true.at[i + 1]] for i in keep[order]]
+    weak.codes, weak.at = np.concatenate(chars), np.concatenate([[0], np.cumsum([len(c) for c in chars])])
+    weak.power = np.ones_like(true.power)
+    monkeypatch.setattr(sentencepiece_codec, "_BASE", np.uint64(1))
+    weak.maybe = np.ones_like(true.maybe)
+    careful = []
+    whole = weak.viterbi
+    weak.viterbi = lambda parts, careful_=False, **more: (careful.append(bool(more)), whole(parts, **more))[1]
+    words = ["▁the", "▁eht", "▁nets", "▁sent", "▁tens"]
+    got = [weak.viterbi([w])[0] for w in words]
+    assert got == [whole([w], careful=True)[0] for w in words] and any(careful)
+    pieces = {int(i): "".join(map(chr, c)) for i, c in zip(weak.ids, chars)}
+    assert ["".join(pieces.get(int(i), "") for i in np.frombuffer(g, np.uint32)) for g in got] == words
+
+
 # ---------------------------------------------------------------------- 6
 
 
@@ -369,6 +395,13 @@ def test_chat(spark):
     assert chat_format.format_conversations(turns.where("false")).count() == 0
 
 
+def test_long_chat(spark):
+    """Spans of a conversation of many runs of turns, one by one."""
+    rows = [(1, i, "assistant" if i % 3 else "user", f"text {i} " * (i % 4)) for i in range(3 * chat_format.RUN + 7)]
+    row = chat_format.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()[0]
+    assert [row.formatted[s.start : s.start + s.length] for s in row.loss_spans] == [r[3] for r in rows if r[2] == "assistant"]
+
+
 # ---------------------------------------------------------------------- 7
 
 
