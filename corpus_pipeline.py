@@ -16,13 +16,15 @@ from foliomend.llm.common import documents, written
 from foliomend.llm.queries import TOXIC_FROM, tokenizer_path, toxicity_model
 
 
-def _kept(docs: DataFrame, verdicts: DataFrame, mark: str, of: Column) -> DataFrame:
-    """The rows of docs that verdicts (doc_id, mark, kept) keep; of rows with one id and mark, one."""
+def _kept(docs: DataFrame, verdicts: DataFrame, mark: str, of: Column, stays: str) -> DataFrame:
+    """The rows of docs that verdicts (doc_id, mark, stays) keep. Of rows with one id and mark one stays,
+    the first by a hash of the whole row: rows that share this too are the same."""
     keys = lambda m: [F.col("doc_id").isNull().alias("_no_id"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"), m.alias("_mark")]
     names = ["_no_id", "_id", "_mark"]
-    kept = verdicts.where("kept").select(*keys(F.col(mark))).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), *keys(of)).join(kept, names, "left_semi")
-    first = F.row_number().over(Window.partitionBy(*names).orderBy("_id"))
+    kept = verdicts.where(stays).select(*keys(F.col(mark))).distinct()
+    row = F.struct(*docs.columns)
+    rows = docs.select(row.alias("_row"), F.xxhash64(F.to_json(row)).alias("_order"), *keys(of)).join(kept, names, "left_semi")
+    first = F.row_number().over(Window.partitionBy(*names).orderBy("_order"))
     return rows.withColumn("_nth", first).where("_nth = 1").select("_row.*")
 
 
@@ -42,13 +44,13 @@ def reject_no_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest doc_id stays."""
-    return _kept(docs, exact_dedup.exact_duplicates(docs), "text_sha256", F.sha2(exact_dedup.normalised(F.col("text")), 256))
+    """Of equal texts the one with the smallest doc_id stays; of repeated rows with that id, one."""
+    return _kept(docs, exact_dedup.exact_duplicates(docs), "text_sha256", F.sha2(exact_dedup.normalised(F.col("text")), 256), "kept")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five words, 0.8) the one with the smallest doc_id stays."""
-    return _kept(docs, near_dedup.near_duplicates(docs, words=5, percent=80), "text_hash", near_dedup.text_hash(F.col("text")))
+    """Of each group of near-duplicates (five words, 0.8) one row stays, with the smallest doc_id; a null one only if all are."""
+    return _kept(docs, near_dedup.near_duplicates(docs, words=5, percent=80), "text_hash", near_dedup.text_hash(F.col("text")), "stays")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
