@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -28,23 +29,20 @@ BARE_URL = r"(?<!<)(?<!\]\()(?:\A|(?<=\s)|(?<=[(\[{\"“]))(https?://[^\s\)\]\}>
 BARE_MAIL = r"(?U)(?<!<)(?<!\]\()(?<![\w.%+-])([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})" + _AFTER
 CODE_SPAN, MATH_SPAN = r"(?<!`)(`+)([^`\n]+?)\1(?!`)", r"\$(?!\s)([^$\n]+?)\$(?!\$)"
 PLACEHOLDER = r"__PH_[A-Z0-9_]+__"
-UNREADABLE = [
-    r"@@PRESERVE_(\d+)@@[\s\S]*?@@/PRESERVE_\1@@",
-    PLACEHOLDER,
-    r"\$\$[\s\S]*?\$\$",
-    r"\$[^$]*?\$",
-    r"\\\([\s\S]*?\\\)",
-    r"\\\[[\s\S]*?\\\]",
-    r"```[\s\S]*?```",
-    r"`[^`]*`",
-    r"</?[^>]+>",
-    r"https?://\S+|www\.\S+",
-]
-COMPARED = [UNREADABLE[i] for i in (8, 6, 7, 2, 3, 4, 5, 9)]
+PRESERVED = r"@@PRESERVE_(\d+)@@[\s\S]*?@@/PRESERVE_\1@@"
+MATH_BLOCK, MATH, MATH_PAREN, MATH_BRACKET = r"\$\$[\s\S]*?\$\$", r"\$[^$]*?\$", r"\\\([\s\S]*?\\\)", r"\\\[[\s\S]*?\\\]"
+CODE_BLOCK, CODE, TAG, LINK = r"```[\s\S]*?```", r"`[^`]*`", r"</?[^>]+>", r"https?://\S+|www\.\S+"
+UNREADABLE = [PRESERVED, PLACEHOLDER, MATH_BLOCK, MATH, MATH_PAREN, MATH_BRACKET, CODE_BLOCK, CODE, TAG, LINK]
+COMPARED = [TAG, CODE_BLOCK, CODE, MATH_BLOCK, MATH, MATH_PAREN, MATH_BRACKET, LINK]
 READABLE = r"[A-Za-zÀ-ɏ一-鿿぀-ヿ가-힯]"
 IMAGE_DATA = r"!\[([^\]]*)\]\((data:image/[^;]+;base64,([^)]+))\)"
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value computed once, however often f uses it and from inside which loops. No Python function may be in value."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def decode_entities(s: Column) -> Column:
     """Five entities in a fixed order, so that doubly encoded ones are decoded twice."""
     return reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, s)
@@ -59,8 +57,8 @@ def separate_metadata(s: Column) -> Column:
     return F.regexp_replace(s, r"(\*[^*]+\*)([A-Z][^*]*)", "$1\n\n$2")
 
 
-def remove_journal_notes(s: Column) -> Column:
-    return reduce(lambda t, p: F.regexp_replace(t, "(?is)" + p, ""), JOURNAL_NOTES, separate_metadata(s))
+def remove_journal_notes(s: Column, notes: list[str] = JOURNAL_NOTES) -> Column:
+    return reduce(lambda t, p: F.regexp_replace(t, "(?is)" + p, ""), notes, separate_metadata(s))
 
 
 def clean_whitespace(s: Column) -> Column:
@@ -83,29 +81,37 @@ def clean_inline_new(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(clean_inline_old(s), r"^\*+|\*+\z", ""), r"(?U)^\s+|\s+\z", "")
 
 
-def _each(s: Column, pattern: str, group: int, rewrite) -> Column:
-    """All distinct matches, each replaced by its value wherever it stands, in order of first appearance."""
-    found = F.array_distinct(F.regexp_extract_all(s, F.lit(pattern), F.lit(group)))
-    return F.aggregate(found, s, rewrite)
+def _each(s: Column, pattern: str, rewrite: Callable[[Column], Column]) -> Column:
+    """All matches replaced by their values: the text is cut at them and put together again, in one pass."""
+    values = F.transform(F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), rewrite)
+    return F.array_join(F.zip_with(F.split(s, pattern, -1), values, lambda x, v: F.concat(x, F.coalesce(v, F.lit("")))), "")
+
 
+#: A citation range of more numbers than this stays as it is, as does one whose numbers have over 38 digits.
+MOST_CITED = 10_000
 
-def _numbers(m: Column) -> Column:
-    """The numbers of a range a-b; none where a > b."""
-    a, b = F.regexp_extract(m, RANGE, 1).cast("long"), F.regexp_extract(m, RANGE, 2).cast("long")
-    return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
 
+def _range(m: Column, before: str, between: str) -> Column:
+    """The numbers of a range [a-b], each as [a] with `before` in front of the number; none where a > b."""
+    a, b = (F.regexp_extract(m, RANGE, g).try_cast("decimal(38,0)") for g in (1, 2))
+    count = F.when(b - a < MOST_CITED, (b - a + 1).cast("int"))
+    marks = F.transform(F.sequence(F.lit(1), count), lambda k: F.concat(F.lit("[" + before), (a + k - 1).cast("decimal(38,0)").cast("string"), F.lit("]")))
+    return F.when(a > b, "").when(count.isNotNull(), F.array_join(marks, between)).otherwise(m)
+
+
+def definitions(s: Column) -> Column:
+    """Lines [n] ..., followed by an empty line, another one or the end, as footnotes."""
 
-def _definitions(s: Column, end: str) -> Column:
     def one(t: Column, m: Column) -> Column:
         number, rest = F.regexp_extract(m, r"^\[(\d+)\]", 1), F.regexp_replace(F.regexp_replace(m, r"^\[\d+\]", ""), r"(?U)^\s+|\s+\z", "")
-        return F.replace(t, F.concat(F.lit("["), number, F.lit("] "), rest), F.concat(F.lit("[^"), number, F.lit("]: "), rest, F.lit(end)))
+        return F.replace(t, F.concat(F.lit("["), number, F.lit("] "), rest), F.concat(F.lit("[^"), number, F.lit("]: "), rest, F.lit("\n")))
 
     return F.aggregate(F.regexp_extract_all(s, F.lit(DEFINITION), F.lit(0)), s, one)
 
 
 def cite_ranges_old(s: Column) -> Column:
     """[a-b] as [a]...[b]."""
-    return _each(s, RANGE, 0, lambda t, m: F.replace(t, m, F.array_join(F.transform(_numbers(m), lambda n: F.concat(F.lit("["), n.cast("string"), F.lit("]"))), "")))
+    return _each(s, RANGE, lambda m: _range(m, "", ""))
 
 
 def cite_singles_old(s: Column) -> Column:
@@ -114,21 +120,27 @@ def cite_singles_old(s: Column) -> Column:
 
 def cite_ranges_new(s: Column) -> Column:
     """[a-b] as footnote marks with spaces between."""
-    return _each(s, RANGE, 0, lambda t, m: F.replace(t, m, F.array_join(F.transform(_numbers(m), lambda n: F.concat(F.lit("[^"), n.cast("string"), F.lit("]"))), " ")))
+    return _each(s, RANGE, lambda m: _range(m, "^", " "))
 
 
 def cite_lists_new(s: Column) -> Column:
     """[1, 2] as footnote marks with spaces between; single numbers too."""
-    marks = lambda m: F.array_join(F.transform(F.split(m, ","), lambda n: F.concat(F.lit("[^"), F.regexp_replace(n, r"(?U)\s", ""), F.lit("]"))), " ")
-    return _each(s, LIST, 1, lambda t, m: F.replace(t, F.concat(F.lit("["), m, F.lit("]")), marks(m)))
+    numbers = lambda m: F.split(F.regexp_replace(m, r"(?U)[\[\]\s]", ""), ",")
+    return _each(s, LIST, lambda m: F.array_join(F.transform(numbers(m), lambda n: F.concat(F.lit("[^"), n, F.lit("]"))), " "))
+
+
+#: The steps of both rewrites of references. Each uses its text more than once: where a plan selects them one
+#: after the other, each is computed once.
+REFERENCES_OLD = [definitions, cite_ranges_old, cite_singles_old]
+REFERENCES_NEW = [definitions, cite_ranges_new, cite_lists_new]
 
 
 def fix_references_old(s: Column) -> Column:
-    return cite_singles_old(cite_ranges_old(_definitions(s, "\n")))
+    return reduce(lambda t, step: step(t), REFERENCES_OLD, s)
 
 
 def fix_references_new(s: Column) -> Column:
-    return cite_lists_new(cite_ranges_new(_definitions(s, "\n")))
+    return reduce(lambda t, step: step(t), REFERENCES_NEW, s)
 
 
 def bracket_links(s: Column) -> Column:

@@ -51,17 +51,20 @@ def node_text(nid: Column, origin: Column) -> Column:
 def pack_nodes(nodes: DataFrame, most: int) -> DataFrame:
     """doc_id, nid, group_id (from 0): in order of nid, a new group where the next node would not fit.
 
-    A node longer than most has a group of its own. nodes: doc_id, nid, origin.
+    A node longer than most has a group of its own. nodes: doc_id, nid, origin. Only a group's first
+    place is kept while going through a document, and its rows are cut at these.
     """
     sized = nodes.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("nid", F.length(node_text(F.col("nid"), F.col("origin"))).alias("cost")))).alias("rows"))
-    state = F.struct(F.lit(0).alias("used"), F.lit(-1).alias("group"), F.array().cast("array<struct<nid:int,group_id:int>>").alias("out"))
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("used"), F.array().cast("array<int>").alias("starts"))
 
     def add(s: Column, r: Column) -> Column:
-        fresh = (s["group"] < 0) | ((s["used"] + r["cost"] > most) & (s["used"] > 0))
-        group = F.when(fresh, s["group"] + 1).otherwise(s["group"])
-        return F.struct(F.when(fresh, r["cost"]).otherwise(s["used"] + r["cost"]).alias("used"), group.alias("group"), F.concat(s["out"], F.array(F.struct(r["nid"].cast("int").alias("nid"), group.alias("group_id")))).alias("out"))
+        fresh = (s["at"] == 0) | ((s["used"] + r["cost"] > most) & (s["used"] > 0))
+        return F.struct((s["at"] + 1).alias("at"), F.when(fresh, r["cost"]).otherwise(s["used"] + r["cost"]).alias("used"), F.when(fresh, F.array_append(s["starts"], s["at"] + 1)).otherwise(s["starts"]).alias("starts"))
 
-    return sized.select("doc_id", F.explode(F.aggregate("rows", state, add)["out"]).alias("o")).select("doc_id", "o.nid", "o.group_id")
+    cut = sized.select("doc_id", "rows", F.aggregate("rows", state, add)["starts"].alias("starts"))
+    ends = lambda k: F.coalesce(F.get("starts", k + 1), F.size("rows") + 1)
+    groups = cut.select("doc_id", F.posexplode(F.transform("starts", lambda at, k: F.transform(F.slice("rows", at, ends(k) - at), lambda r: r["nid"].cast("int")))).alias("group_id", "nids"))
+    return groups.select("doc_id", F.explode("nids").alias("nid"), "group_id")
 
 
 def payloads(nodes: DataFrame, packed: DataFrame) -> DataFrame:
@@ -71,10 +74,11 @@ def payloads(nodes: DataFrame, packed: DataFrame) -> DataFrame:
 
 
 def unpack(groups: DataFrame, text_col: str = "payload") -> DataFrame:
-    """doc_id, nid, translated: nodes found between matching marks, stripped; of repeats the last."""
+    """doc_id, nid, translated: nodes found between matching marks, stripped; of repeats the last. Marks
+    whose number is no int are passed over."""
     shape = r"(?s)<NODE_START_(\d{4,})>\s*(.*?)\s*</NODE_END_\1>"
     found = groups.select("doc_id", "group_id", F.posexplode(F.regexp_extract_all(text_col, F.lit(shape), F.lit(0))).alias("k", "m"))
-    rows = found.select("doc_id", F.struct("group_id", "k").alias("at"), F.regexp_extract("m", shape, 1).cast("int").alias("nid"), F.regexp_extract("m", shape, 2).alias("translated"))
+    rows = found.select("doc_id", F.struct("group_id", "k").alias("at"), F.regexp_extract("m", shape, 1).try_cast("int").alias("nid"), F.regexp_extract("m", shape, 2).alias("translated")).where("nid IS NOT NULL")
     return rows.groupBy("doc_id", "nid").agg(F.max_by("translated", "at").alias("translated"))
 
 
@@ -96,16 +100,20 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([1.0 if x == y else difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
 
 
-def succeeded(origin: Column, translated: Column, target: str) -> Column:
+def succeeded(origin: Column, translated: Column, target: str, fresh: Column | None = None) -> Column:
     """Whether a node's translation can stand: same placeholders, not empty, and either no longer like the
-    original or in the target's script. Only texts without that script are compared at length."""
+    original or in the target's script. Only texts without that script are compared at length.
+
+    fresh: false for translations that are known to be too like the original."""
     filled = F.coalesce(~L.is_blank(translated), F.lit(False))
     same = T.placeholders(origin) == T.placeholders(F.coalesce(translated, F.lit("")))
     script = T.has_target_script(translated, target)
     # A UDF runs on all rows of a batch: where it isn't needed it is given empty texts.
     needed = same & filled & ~script & ~T.is_placeholder_only(origin)
+    needed = needed if fresh is None else needed & fresh
     ratio = similarity(F.when(needed, T.for_comparison(origin)).otherwise(""), F.when(needed, T.for_comparison(translated)).otherwise(""))
-    return same & filled & (T.is_placeholder_only(origin) | script | (ratio < 0.92))
+    differs = ratio < 0.92
+    return same & filled & (T.is_placeholder_only(origin) | script | (differs if fresh is None else differs & fresh))
 
 
 def merge_nodes(nodes: DataFrame) -> DataFrame:

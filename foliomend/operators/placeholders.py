@@ -106,12 +106,22 @@ def store_json(store: Column) -> Column:
 
 
 def load_store(json: Column) -> Column:
-    """The store of a saved dictionary, in order of number."""
+    """The store of a saved dictionary, in order of number; what has no number that fits a long comes last."""
     rev = F.from_json(json, "map map<string,string>, rev map<string,string>, kind_count map<string,int>")["rev"]
-    order = lambda e: F.regexp_extract(e["placeholder"], r"_(\d+)__$", 1).cast("int")
-    return F.array_sort(F.transform(F.map_entries(rev), lambda e: F.struct(e["key"].alias("placeholder"), e["value"].alias("raw"))), lambda a, b: order(a) - order(b))
+    order = lambda e: F.regexp_extract(e["placeholder"], r"_(\d+)__$", 1).try_cast("long")
+    return F.array_sort(F.transform(F.map_entries(rev), lambda e: F.struct(e["key"].alias("placeholder"), e["value"].alias("raw"))), lambda a, b: F.when(order(a) < order(b), -1).when(order(a) > order(b), 1).when(order(a).isNull() & order(b).isNotNull(), 1).when(order(b).isNull() & order(a).isNotNull(), -1).otherwise(0))
 
 
 def missing(text: Column, store: Column) -> Column:
     """The frozen texts that a text doesn't hold any more."""
     return F.transform(F.filter(store, lambda e: ~text.contains(e["raw"])), lambda e: e["raw"])
+
+
+def holds_all(text: Column, store: Column) -> Column:
+    """Whether a text holds every frozen text."""
+    return F.forall(store, lambda e: text.contains(e["raw"]))
+
+
+def snapshot(store: Column) -> Column:
+    """A store as a map from frozen text to placeholder."""
+    return F.map_from_entries(F.transform(store, lambda e: F.struct(e["raw"], e["placeholder"])))
