@@ -26,6 +26,10 @@ class TranslateConfig:
     log_level: str = "INFO"
     translator_type: str = ""
 
+    def with_languages(self, source: str | None, target: str | None) -> TranslateConfig:
+        """The settings with other languages, where these are given."""
+        return replace(self, source_lang=source or self.source_lang, target_lang=target or self.target_lang)
+
 
 def default_config() -> TranslateConfig:
     """What is used without a file: English to Chinese by the echo translator, smaller chunks."""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,6 +17,7 @@ from foliomend.operators import placeholders as P
 from foliomend.plans.config import TranslateConfig, default_config
 from foliomend.sources.shared import written
 
+LOG = logging.getLogger(__name__)
 #: A translator: (text, source language, target language) to text.
 Translator = Callable[[str, str | None, str], str]
 
@@ -34,70 +37,110 @@ def prompt(text: Column, source: str | None, target: str) -> Column:
     return F.concat(F.lit(before), T.wrap_cdata(text), F.lit(after))
 
 
-def ollama(options: dict) -> Translator:
-    """A translator that calls a model by the `ollama` package; on failure the text comes back as it is."""
+class Ollama:
+    """A translator that calls a model by the `ollama` package; on failure the text comes back as it is.
 
-    def call(text: str, source: str | None, target: str) -> str:
+    options: model, and host, retry_times (3) if wanted. Each task has one client, for all its calls.
+    """
+
+    def __init__(self, options: dict):
+        if not options.get("model"):
+            raise ValueError("translator_config names no model")
+        self.model, self.host = options["model"], options.get("host", "http://localhost:11434")
+        self.tries = int(options.get("retry_times", 3))
+        self.client = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"client": None}
+
+    def connect(self):  # noqa: ANN201  the package need not be there
         from ollama import Client
 
+        return Client(host=self.host)
+
+    def __call__(self, text: str, source: str | None, target: str) -> str:
         task = TASK.format(source=source or "", target=target, text=text.replace("]]>", "]]]]><![CDATA[>"))
-        client = Client(host=options.get("host"))
-        for k in range(int(options.get("tries", 3))):
+        messages = [{"role": "system", "content": RULES}, {"role": "user", "content": task}]
+        for k in range(1, self.tries + 1):
             try:
-                reply = client.chat(model=options["model"], messages=[{"role": "system", "content": RULES}, {"role": "user", "content": task}])
-                return reply["message"]["content"]
-            except Exception:  # noqa: BLE001  whatever the network or the model does
+                self.client = self.client or self.connect()
+                return self.client.chat(model=self.model, messages=messages)["message"]["content"]
+            except Exception as e:  # noqa: BLE001  whatever the network or the model does
+                LOG.warning("call %d of %d failed: %s", k, self.tries, e)
                 time.sleep(1 + 1.5 * k)
         return text
 
-    return call
-
 
 def translator_for(cfg: TranslateConfig, options: dict | None = None) -> Translator:
     if cfg.translator_type == "echo":
         return echo
     if cfg.translator_type == "ollama":
-        return ollama(options or {})
+        return Ollama(options or {})
     raise ValueError(f"unknown translator: {cfg.translator_type}")
 
 
 def call_groups(groups: DataFrame, translator: Translator, cfg: TranslateConfig) -> DataFrame:
-    """doc_id, group_id, payload: each group through the translator, at most parallel_groups calls at a time
-    where that is set above one. Written before anything reads it, so that no later failure calls again."""
+    """doc_id, group_id, payload: each group through the translator, parallel_groups calls of a task at a time;
+    so in all, calls at a time are that many for each task that runs. Partitions are the data's own.
+    Written before anything reads it, so that no later failure calls again."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            yield part.assign(payload=[translator(p, cfg.source_lang, cfg.target_lang) for p in part["payload"]])
+        with ThreadPoolExecutor(max(1, cfg.parallel_groups)) as pool:
+            for part in batches:
+                yield part.assign(payload=list(pool.map(lambda p: translator(p, cfg.source_lang, cfg.target_lang), part["payload"])))
 
-    dealt = groups.repartition(cfg.parallel_groups, "doc_id", "group_id") if cfg.parallel_groups > 1 else groups
-    return written(dealt.select("doc_id", "group_id", "payload").mapInPandas(run, "doc_id long, group_id int, payload string"), "translated")
+    return written(groups.select("doc_id", "group_id", "payload").mapInPandas(run, "doc_id long, group_id int, payload string"), "translated")
 
 
 def translate(docs: DataFrame, cfg: TranslateConfig | None = None, translator: Translator | None = None, text_col: str = "md") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, nodes, protected) of docs (doc_id, text_col).
 
-    texts: doc_id, text. nodes: doc_id, nid, origin, translated. protected: doc_id, protected, store.
-    Nodes without readable text pass through. Failed nodes are tried again in smaller groups, at most
-    retry_times rounds, and keep their original at last. A document without nodes gets an empty text.
+    texts: doc_id, text. nodes: doc_id, nid, origin, translated, outcome (skipped, translated, retried or
+    failed). protected: doc_id, protected, store. Nodes without readable text are skipped. Failed nodes
+    are tried again in smaller groups, at most retry_times rounds, and keep their original at last: a
+    round reads and writes the nodes that failed so far only. A document without nodes gets an empty text.
     """
     cfg = cfg or default_config()
     translator = translator or translator_for(cfg)
     protected = written(P.protect(docs, cfg, text_col), "protected")
-    split = N.split_nodes(protected, cfg.max_chunk_chars)
-    nodes = written(split.select("*", F.when(T.is_placeholder_only(F.col("origin")), F.col("origin")).alias("translated")), "nodes")
-
-    def round_of(todo: DataFrame, most: int) -> DataFrame:
-        groups = N.payloads(todo, N.pack_nodes(todo, most))
-        return N.unpack(call_groups(groups, translator, cfg))
-
-    nodes = written(N.fill_missing(nodes, round_of(nodes.where("translated IS NULL"), cfg.max_chunk_chars)), "nodes")
-    ok = F.coalesce(N.succeeded(F.col("origin"), F.col("translated"), cfg.target_lang), F.lit(False))
+    nodes = written(N.split_nodes(protected, cfg.max_chunk_chars).select("*", T.is_placeholder_only(F.col("origin")).alias("skip")), "nodes")
+    columns = lambda outcome: ["doc_id", "nid", "origin", "translated", F.lit(outcome).alias("outcome")]
+    done = nodes.where("skip").select("doc_id", "nid", "origin", F.col("origin").alias("translated"), F.lit("skipped").alias("outcome"))
+
+    def round_of(todo: DataFrame, most: int, again: bool) -> DataFrame:
+        """todo (doc_id, nid, origin, translated) with the round's answers, and whether they can stand."""
+        answers = N.unpack(call_groups(N.payloads(todo, N.pack_nodes(todo, most)), translator, cfg))
+        found = todo.withColumnRenamed("translated", "before").join(answers, ["doc_id", "nid"], "left")
+        now = F.coalesce("translated", "before")
+        # An answer that has failed already fails again.
+        ok = N.succeeded(F.col("origin"), now, cfg.target_lang, fresh=~now.eqNullSafe(F.col("before")) if again else None)
+        return written(found.select("doc_id", "nid", "origin", now.alias("translated"), F.coalesce(ok, F.lit(False)).alias("ok")), "round")
+
+    todo = nodes.where("NOT skip").select("doc_id", "nid", "origin", F.lit(None).cast("string").alias("translated"))
+    found = round_of(todo, cfg.max_chunk_chars, again=False)
+    done = done.union(found.where("ok").select(*columns("translated")))
     for _ in range(cfg.retry_times if cfg.retry_failed_nodes else 0):
-        failed = written(nodes.where(~ok), "failed")
-        if not failed.head(1):
+        if not found.where("NOT ok").head(1):
             break
-        nodes = written(N.upsert(nodes, round_of(failed, max(1024, cfg.max_chunk_chars // 2))), "nodes")
-    nodes = written(nodes.select("doc_id", "nid", "origin", F.when(ok, F.col("translated")).otherwise(F.col("origin")).alias("translated")), "nodes")
+        found = round_of(found.where("NOT ok").drop("ok"), max(1024, cfg.max_chunk_chars // 2), again=True)
+        done = done.union(found.where("ok").select(*columns("retried")))
+    nodes = done.union(found.where("NOT ok").select("doc_id", "nid", "origin", F.col("origin").alias("translated"), F.lit("failed").alias("outcome")))
     merged = protected.join(N.merge_nodes(nodes), "doc_id", "left")
     texts = merged.select("doc_id", T.collapse_newlines(P.restore(F.coalesce("text", F.lit("")), F.col("store"))).alias("text"))
     return texts, nodes, protected
+
+
+def outcomes(nodes: DataFrame) -> DataFrame:
+    """doc_id, skipped, translated, retried, failed: how many nodes of each document went which way."""
+    count = lambda k: F.count_if(F.col("outcome") == k).alias(k)
+    return nodes.groupBy("doc_id").agg(*map(count, ("skipped", "translated", "retried", "failed")))
+
+
+def outputs(texts: DataFrame, nodes: DataFrame, protected: DataFrame) -> list[tuple[str, DataFrame, str]]:
+    """What a translation leaves, for writing: (end of the file's name, doc_id and a text, that column)."""
+    return [
+        (".md", texts, "text"),
+        (".protected.md", protected, "protected"),
+        (".protected.json", protected.select("doc_id", P.store_json(F.col("store")).alias("json")), "json"),
+        (".nodes.json", N.nodes_json(nodes), "nodes"),
+    ]
