@@ -195,3 +195,19 @@ def to_markdown(blocks: DataFrame) -> DataFrame:
     """doc_id, md: the blocks with a blank line between, page after page."""
     rows = blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "block", "text"))).alias("rows"))
     return rows.select("doc_id", F.regexp_replace(F.array_join(F.transform("rows", lambda r: r["text"]), "\n\n"), "\n{3,}", "\n\n").alias("md"))
+
+
+def rewritten(docs: DataFrame, rewrite: Callable[[str], str]) -> DataFrame:
+    """doc_id, md: each text as a Python function gives it, batch by batch; null stays null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if t is None else rewrite(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "md"])
+
+    return docs.select(F.col("doc_id").cast("long"), "md").mapInArrow(run, "doc_id long, md string")
+
+
+def respaced(text: str) -> str:
+    """A text with its blocks kept word for word, a blank line between any two blocks or lines."""
+    return re.sub("\n{3,}", "\n\n", "\n\n".join(b.text.rstrip("\n") for b in lex(text, PROTECT, "plain")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomend.functions import lines as L
+from foliomend.functions.text import bound
 
 #: Line ends of a text: those that split a page or a document when lines are kept whole.
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
@@ -74,3 +75,22 @@ def wrap_algorithms(lines: DataFrame) -> DataFrame:
     marked = lines.select("doc_id", "n", title.alias("title"), F.sum(F.when(title | stop, 1).otherwise(0)).over(order).alias("run"))
     runs = marked.groupBy("doc_id", "run").agg(F.min("n").alias("first"), F.max("n").alias("last"), F.min_by("title", "n").alias("title")).where("title AND last > first")
     return runs.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("first")).alias("algorithm"), "first", "last")
+
+
+def fenced_algorithms(md: Column) -> Column:
+    """A text with the blocks that wrap_algorithms finds between fences: cut at titles and stops, within the row."""
+    lines = F.split(md, "\n", -1)
+    title = lambda x: x.rlike(r"^\*\*Algorithm\s+\d+\*\*")
+    stop = lambda x: L.is_blank(x) | x.startswith("#") | x.startswith("Fig.") | x.startswith("Table")
+    cuts = F.filter(F.transform(lines, lambda x, i: F.when(title(x) | stop(x), F.struct(i.alias("at"), title(x).alias("title")))), lambda c: c.isNotNull())
+
+    def part(d: Column, c: Column, k: Column) -> Column:
+        length = F.coalesce(F.get(d["cuts"], k + 1)["at"], F.size(d["lines"])) - c["at"]
+        text = F.array_join(F.slice(d["lines"], c["at"] + 1, length), "\n")
+        return F.when(c["title"] & (length > 1), F.concat(F.lit("```\n"), text, F.lit("\n```"))).otherwise(text)
+
+    def whole(d: Column) -> Column:
+        before = F.slice(d["lines"], 1, F.coalesce(F.get(d["cuts"], F.lit(0))["at"], F.size(d["lines"])))
+        return F.array_join(F.concat(before, F.transform(d["cuts"], lambda c, k: part(d, c, k))), "\n")
+
+    return bound(F.struct(lines.alias("lines"), cuts.alias("cuts")), whole)

@@ -34,9 +34,15 @@ def continuity(pages: DataFrame) -> DataFrame:
     numbers of embedded lines (images, captions, tables) that the page ends and the next one begins
     with, which count in the first two rules only. pages: doc_id, page, text.
     """
+    return _with_verdicts(pages).where("after IS NOT NULL").drop("text", "after")
+
+
+def _with_verdicts(pages: DataFrame) -> DataFrame:
+    """doc_id, page, what continuity gives, text and after: the stripped texts of the page and the next one, null for the last."""
     order = Window.partitionBy("doc_id").orderBy("page")
     stripped = pages.select("doc_id", "page", L.stripped(F.col("text")).alias("text"))
-    both = stripped.select("doc_id", "page", _ends(F.col("text")).alias("a"), _ends(F.lead("text").over(order)).alias("b")).where("b IS NOT NULL")
+    both = stripped.select("*", F.lead("text").over(order).alias("after"))
+    both = both.select("*", _ends(F.col("text")).alias("a"), _ends(F.col("after")).alias("b"))
     embedded = lambda x: L.element(x) != "text"
     texts = lambda lines: F.transform(lines, lambda x, i: F.when(~embedded(x), i))
     both = both.select("*", F.array_max(texts(F.col("a"))).alias("at_a"), F.array_min(texts(F.col("b"))).alias("at_b"))
@@ -64,7 +70,7 @@ def continuity(pages: DataFrame) -> DataFrame:
     )
     n_end = F.size("a") - 1 - F.coalesce("at_a", F.lit(-1))
     n_start = F.coalesce("at_b", F.size("b"))
-    return both.select("doc_id", "page", rules.alias("v"), n_end.alias("n_end"), n_start.alias("n_start")).select("doc_id", "page", "v.*", "n_end", "n_start")
+    return both.select("doc_id", "page", rules.alias("v"), n_end.alias("n_end"), n_start.alias("n_start"), "text", "after").select("doc_id", "page", "v.*", "n_end", "n_start", "text", "after")
 
 
 def merge_plan(pages: DataFrame, level: str = "conservative") -> DataFrame:
@@ -73,16 +79,19 @@ def merge_plan(pages: DataFrame, level: str = "conservative") -> DataFrame:
     Pages are taken in twos: a merged page isn't compared with the next one. So within a run of pairs
     that could merge, every second one does, beginning with the first.
     """
+    return _planned(pages, level).where("after IS NOT NULL").drop("text", "after", "taken")
+
+
+def _planned(pages: DataFrame, level: str) -> DataFrame:
+    """_with_verdicts, action, and taken: whether the page before takes this one in."""
     least = LEVELS.get(level, LEVELS["conservative"])
     order = Window.partitionBy("doc_id").orderBy("page")
-    can = F.col("continuous") & (F.col("confidence") >= least)
-    marked = continuity(pages).withColumn("can", can)
+    can = F.col("after").isNotNull() & F.col("continuous") & (F.col("confidence") >= least)
+    marked = _with_verdicts(pages).withColumn("can", can)
     runs = marked.withColumn("run", F.sum(F.when(F.col("can"), 0).otherwise(1)).over(order))
     place = F.sum(F.when(F.col("can"), 1).otherwise(0)).over(Window.partitionBy("doc_id", "run").orderBy("page"))
-    placed = runs.withColumn("merged", F.col("can") & (place % 2 == 1))
-    before = F.coalesce(F.lag("merged").over(order), F.lit(False))
-    action = F.when(F.col("merged"), "merged").when(~before, "kept")
-    return placed.withColumn("action", action).drop("can", "run", "merged")
+    placed = runs.withColumn("merged", F.col("can") & (place % 2 == 1)).withColumn("taken", F.coalesce(F.lag("merged").over(order), F.lit(False)))
+    return placed.withColumn("action", F.when(F.col("merged"), "merged").when(~F.col("taken"), "kept")).drop("can", "run", "merged")
 
 
 def merge_summary(plan: DataFrame) -> DataFrame:
@@ -114,12 +123,8 @@ def join_two(page: Column, after: Column, fix: Column, n_end: Column, n_start: C
 
 def merge_pages(pages: DataFrame, level: str = "conservative") -> DataFrame:
     """doc_id, page, text: pages after merging, each under the number of its first page. pages: doc_id, page, text."""
-    order = Window.partitionBy("doc_id").orderBy("page")
-    plan = merge_plan(pages, level).select("doc_id", "page", "fix", "n_end", "n_start", "action")
-    rows = pages.select("doc_id", "page", L.stripped(F.col("text")).alias("text")).join(plan, ["doc_id", "page"], "left")
-    rows = rows.select("*", F.lead("text").over(order).alias("after"), F.coalesce(F.lag("action").over(order) == "merged", F.lit(False)).alias("taken"))
     text = F.when(F.col("action") == "merged", join_two(F.col("text"), F.col("after"), F.col("fix"), F.col("n_end"), F.col("n_start"))).otherwise(F.col("text"))
-    return rows.where(~F.col("taken")).select("doc_id", "page", text.alias("text"))
+    return _planned(pages, level).where("NOT taken").select("doc_id", "page", text.alias("text"))
 
 
 def join_pages(pages: DataFrame, between: str = "\n\n") -> DataFrame:

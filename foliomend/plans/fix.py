@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomend.functions import text as T
@@ -14,51 +16,44 @@ from foliomend.operators import pages as P
 from foliomend.sources.shared import written
 
 
+def _steps(docs: DataFrame, steps: list[Callable[[Column], Column]]) -> DataFrame:
+    """doc_id, md: one step after the other, each over the column of the one before."""
+    for step in steps:
+        docs = docs.select("doc_id", step(F.col("md")).alias("md"))
+    return docs
+
+
 def fix_old(docs: DataFrame, level: str = "conservative") -> tuple[DataFrame, DataFrame]:
     """(texts, plan) of docs (doc_id, md): headings, pages, citations, pseudocode, entities, spacing.
 
     texts: doc_id, md. plan: the page pairs, as merge_plan gives them; a document of one page has none.
     Interrupted paragraphs are repaired in each page before and after merging, and in the whole text.
+    A null text counts as empty. Pages meet by one shuffle; all else stays within its row.
     """
-    lines = O.split_lines(docs)
-    titled = H.rewrite(lines, H.relevel_old(lines))
-    pages = P.split_pages_old(titled)
-    n = pages.groupBy("doc_id").agg(F.count("*").alias("n_pages"))
+    pages = P.split_pages_old(_steps(docs, [lambda c: H.retitled_old(F.coalesce(c, F.lit("")))]))
     pages = written(pages.select("doc_id", "page", E.repair_column(F.col("text")).alias("text")), "pages")
-    merged = P.merge_pages(pages, level).select("doc_id", "page", E.repair_column(F.col("text")).alias("text"))
     # A document of one page keeps its outer white space, and is repaired once.
-    whole = P.join_pages(merged).join(n, "doc_id").join(pages.where("page = 0").select("doc_id", F.col("text").alias("only")), "doc_id")
-    text = F.when(F.col("n_pages") == 1, F.col("only")).otherwise(E.repair_column(F.col("md")))
-    cited = whole.select("doc_id", T.fix_references_old(text).alias("md"))
-    coded = cited.select("doc_id", T.decode_entities(E.wrap_pseudocode_column(F.col("md"))).alias("md"))
-    spaced = respace(coded)
-    return spaced.select("doc_id", T.collapse_newlines(T.bracket_links(F.col("md"))).alias("md")), P.merge_plan(pages, level)
-
-
-def respace(docs: DataFrame) -> DataFrame:
-    """doc_id, md: blocks kept word for word, a blank line between any two blocks or lines."""
-    blocks = B.lex_blocks(docs.select("doc_id", F.lit(0).alias("page"), F.col("md").alias("text")), B.PROTECT, "plain", keep_blank=True)
-    joined = B.to_markdown(blocks)
-    return docs.select("doc_id").join(joined, "doc_id", "left").select("doc_id", F.coalesce("md", F.lit("")).alias("md"))
+    last = pages.groupBy("doc_id").agg(F.max("page").alias("last"), F.min_by("text", "page").alias("only"))
+    merged = P.merge_pages(pages, level).select("doc_id", "page", E.repair_column(F.col("text")).alias("text"))
+    whole = P.join_pages(merged).join(last, "doc_id")
+    again = E.repair_column(F.when(F.col("last") > 0, F.col("md")))
+    whole = whole.select("doc_id", F.when(F.col("last") == 0, F.col("only")).otherwise(again).alias("md"))
+    coded = B.rewritten(_steps(whole, T.REFERENCES_OLD), E.wrap_pseudocode)
+    spaced = B.rewritten(_steps(coded, [T.decode_entities, lambda c: F.coalesce(c, F.lit(""))]), B.respaced)
+    return _steps(spaced, [T.bracket_links, T.collapse_newlines]), P.merge_plan(pages, level)
 
 
 def fix_new(docs: DataFrame) -> DataFrame:
-    """doc_id, md of docs (doc_id, md): blocks, interrupted paragraphs, headings, citations, algorithms, journal notes."""
-    pages = P.split_pages_new(docs)
-    blocks = written(B.repair_tables(B.lex_blocks(pages)), "blocks")
+    """doc_id, md of docs (doc_id, md): blocks, interrupted paragraphs, headings, citations, algorithms, journal notes.
+
+    Blocks meet by one shuffle; all else stays within its row.
+    """
+    blocks = B.repair_tables(B.lex_blocks(P.split_pages_new(docs)).repartition("doc_id"))
     md = docs.select("doc_id").join(B.to_markdown(blocks), "doc_id", "left").select("doc_id", F.coalesce("md", F.lit("")).alias("md"))
-    lines = O.split_lines(md)
-    titled = H.rewrite(lines, H.relevel_new(lines))
-    cited = written(titled.select("doc_id", T.fix_references_new(F.col("md")).alias("md")), "cited")
-    return fence_algorithms(cited).select("doc_id", T.clean_whitespace(F.col("md")).alias("md"))
+    return _steps(md, [H.retitled_new, *T.REFERENCES_NEW, O.fenced_algorithms, T.clean_whitespace])
 
 
-def fence_algorithms(docs: DataFrame) -> DataFrame:
-    """doc_id, md: blocks under a bold algorithm title between fences."""
-    lines = O.split_lines(docs)
-    found = O.wrap_algorithms(lines)
-    starts = found.select("doc_id", F.col("first").alias("n"), F.lit("```\n").alias("before"))
-    ends = found.select("doc_id", F.col("last").alias("n"), F.lit("\n```").alias("after"))
-    marked = lines.join(starts, ["doc_id", "n"], "left").join(ends, ["doc_id", "n"], "left")
-    changed = marked.where("before IS NOT NULL OR after IS NOT NULL").select("doc_id", "n", F.concat(F.coalesce("before", F.lit("")), "x", F.coalesce("after", F.lit(""))).alias("line"))
-    return H.rewrite(lines, changed)
+def repairs(docs: DataFrame) -> DataFrame:
+    """doc_id, repaired: how many interrupted paragraphs the new repair makes whole."""
+    blocks = B.repair_tables(B.lex_blocks(P.split_pages_new(docs)))
+    return blocks.groupBy("doc_id").agg(F.count_if("merged").alias("repaired"))
