@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomend.functions import lines as L
+from foliomend.operators.blocks import PROTECT, lex_blocks
 
-# Fixed value: what begins a caption of a figure or a table.
+# A line of images, and what begins a caption of a figure or a table.
+IMAGES = r"^(!\[[^\]]*\]\([^)]*\)\s*)+\z"
 CAPTION = r"(?i)^(?:fig\.|figure|figs\.|table|tab\.|图|表)\s*\d+"
 
 
@@ -17,7 +19,7 @@ def figure_blocks(lines: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc_id").orderBy("n")
     t = L.stripped(F.col("x"))
     table = L.is_html_table(t) | L.is_markdown_table(t)
-    kind = F.when(L.is_heading(F.col("x")), "header").when(table, "table").when(t.rlike(r"^(!\[[^\]]*\]\([^)]*\)\s*)+\z"), "figure").when(t.rlike(CAPTION), "caption").otherwise("other")
+    kind = F.when(L.is_heading(F.col("x")), "header").when(table, "table").when(t.rlike(IMAGES), "figure").when(t.rlike(CAPTION), "caption").otherwise("other")
     rows = lines.where(~L.is_blank(F.col("x"))).select("doc_id", "n", "x", kind.alias("kind"))
     fresh = F.when((F.col("kind") == "table") & (F.lag("kind").over(order) == "table") & (F.lag("n").over(order) == F.col("n") - 1), 0).otherwise(1)
     blocks = rows.withColumn("pos", F.sum(fresh).over(order)).groupBy("doc_id", "pos", "kind").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("rows"))
@@ -54,6 +56,29 @@ def figures_first(blocks: DataFrame) -> DataFrame:
     return clusters(blocks).select("doc_id", place.alias("place"), "pos", "section", "kind", "text")
 
 
+def document_blocks(docs: DataFrame) -> DataFrame:
+    """doc_id, pos, kind, text as in figure_blocks, of whole documents (doc_id, md): what is fenced, indented or
+    mathematics is one block, and so are the lines of a paragraph or list. Tables in HTML count as figures."""
+    lexed = lex_blocks(docs.select("doc_id", F.lit(0).alias("page"), F.col("md").alias("text")), PROTECT, "plain", keep_blank=True)
+    plain, t = F.col("kind") == "plain", L.stripped(F.col("text"))
+    figure = (F.col("kind") == "TABLE") | ((F.col("kind") == "HTMLBLOCK") & L.is_html_table(t)) | (plain & (t.rlike(IMAGES) | L.is_markdown_table(t)))
+    kind = F.when(plain & L.is_blank(F.col("text")), "blank").when(plain & L.is_heading(F.col("text")), "header").when(figure, "figure").when(plain & t.rlike(CAPTION), "caption").otherwise("other")
+    order = Window.partitionBy("doc_id").orderBy("block")
+    rows = lexed.select("doc_id", "block", plain.alias("plain"), kind.alias("kind"), "text")
+    goes_on = F.col("plain") & (F.col("kind") == "other") & F.lag("plain").over(order) & (F.lag("kind").over(order) == "other")
+    rows = rows.withColumn("pos", F.sum(F.when(goes_on, 0).otherwise(1)).over(order)).where("kind <> 'blank'")
+    blocks = rows.groupBy("doc_id", "pos", "kind").agg(F.array_sort(F.collect_list(F.struct("block", "text"))).alias("rows"))
+    return blocks.select("doc_id", F.col("pos").cast("int").alias("pos"), "kind", F.array_join(F.transform("rows", lambda r: r["text"]), "\n").alias("text"))
+
+
+def moved(docs: DataFrame) -> DataFrame:
+    """doc_id, md of docs (doc_id, md): clusters of figures and captions right behind their section's header,
+    all else in order, a blank line between blocks. A null or empty text stays as an empty one."""
+    rows = figures_first(document_blocks(docs)).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("place", "text"))).alias("rows"))
+    texts = rows.select("doc_id", F.array_join(F.transform("rows", lambda r: r["text"]), "\n\n").alias("md"))
+    return docs.select("doc_id").join(texts, "doc_id", "left").select("doc_id", F.coalesce("md", F.lit("")).alias("md"))
+
+
 def reorganise(blocks: DataFrame) -> DataFrame:
     """doc_id, heading (pos of the nearest header before, null if none), figures: how many figures belong under each heading."""
     order = Window.partitionBy("doc_id").orderBy("pos")

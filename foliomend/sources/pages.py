@@ -12,12 +12,14 @@ RECORD = "page_no long, file_path string, md_content_path string, md_content_noh
 
 
 def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """doc (path of the file), line, and the fields of each record: JSON lines, blank ones left out.
+    """doc (path of the file), line (from 0, blank ones not counted), and the fields of each record: JSON lines.
 
-    A line that is no JSON fails the read. Missing page numbers and sizes are 0, a missing file_path Unknown.
+    Files are read by line, so a large one is many tasks. A line that is no JSON fails the read. Missing
+    page numbers and sizes are 0, a missing file_path Unknown.
     """
-    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("doc"), F.posexplode(F.split("value", "\n")).alias("line", "value"))
-    rows = files.where(F.trim(F.regexp_replace("value", r"\s", "")) != "").select("doc", "line", F.from_json("value", RECORD, {"mode": "FAILFAST"}).alias("r"))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("doc"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    line = (F.row_number().over(Window.partitionBy("doc").orderBy("block", "at")) - 1).alias("line")
+    rows = lines.where(F.trim(F.regexp_replace("value", r"\s", "")) != "").select("doc", line, F.from_json("value", RECORD, {"mode": "FAILFAST"}).alias("r"))
     return rows.select("doc", "line", "r.*").fillna({"page_no": 0, "file_path": "Unknown", "input_width": 0, "input_height": 0})
 
 

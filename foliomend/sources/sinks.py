@@ -1,22 +1,69 @@
-"""What is written: one text a document, images, and pages to read in a browser."""
+"""What is written: texts, images, files by name, and pages to read in a browser."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-# Fixed value: the frame of a page.
-PAGE = '<!DOCTYPE html>\n<html>\n<head><meta charset="utf-8"><title>{title}</title></head>\n<body>\n<nav>\n<ul>\n{toc}\n</ul>\n</nav>\n<main>\n{body}\n</main>\n</body>\n</html>\n'
+# Fixed value: the frame of a page, around title, table of contents and body.
+PAGE = ('<!DOCTYPE html>\n<html>\n<head><meta charset="utf-8"><title>', "</title></head>\n<body>\n<nav>\n<ul>\n", "\n</ul>\n</nav>\n<main>\n", "\n</main>\n</body>\n</html>\n")
 
 
 def write_texts(docs: DataFrame, path: str, name_col: str = "doc", text_col: str = "md") -> None:
-    """One text file under path/name=.../ for each document, by Spark's own writer and commit."""
-    docs.select(F.col(name_col).alias("name"), F.col(text_col).alias("value")).write.partitionBy("name").option("lineSep", "\n").mode("overwrite").text(path)
+    """name and text of each document as Parquet: as many files as the data has partitions, however many documents."""
+    docs.select(F.col(name_col).alias("name"), F.col(text_col).alias("text")).write.mode("overwrite").parquet(path)
 
 
 def write_images(images: DataFrame, path: str) -> None:
-    """Decoded images with their names as Parquet, a folder for each document; bytes stay out of the driver."""
-    images.where("bytes IS NOT NULL").select("doc", "rel_path", "bytes").write.partitionBy("doc").mode("overwrite").parquet(path)
+    """doc, rel_path and bytes of decoded images as Parquet."""
+    images.where("bytes IS NOT NULL").select("doc", "rel_path", "bytes").write.mode("overwrite").parquet(path)
+
+
+def write_files(rows: DataFrame, folder: str) -> None:
+    """One file for each row (path below folder, content as string or binary), written by the tasks.
+
+    folder: a path or address that all machines reach. A file appears whole or not at all, so that a
+    task that runs again does no harm; files that are there already are replaced, others are left alone.
+    Rows with a null path or content, or a path that leaves the folder, are passed over.
+    """
+
+    def write(part: Iterator[Row]) -> None:
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        known = set()
+        for path, content in part:
+            parts = (path or "").split("/")
+            if content is None or "" in parts or ".." in parts:
+                continue
+            target = f"{root.rstrip('/')}/{path}"
+            parent, _, name = target.rpartition("/")
+            if parent not in known:
+                files.create_dir(parent, recursive=True)
+                known.add(parent)
+            draft = f"{parent}/.{name[:100]}.{uuid.uuid4().hex}"
+            with files.open_output_stream(draft) as out:
+                out.write(content.encode() if isinstance(content, str) else bytes(content))
+            files.move(draft, target)
+
+    rows.select("path", "content").foreachPartition(write)
+
+
+def rendered(docs: DataFrame, render: Callable[[str], str], text_col: str = "md") -> DataFrame:
+    """docs with html: each text through a converter from outside, called in the tasks, batch by batch. A null text gives null."""
+    schema = f"{docs.drop('html')._jdf.schema().toDDL()}, html string"
+    names = [*docs.drop("html").columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(names.index(text_col)).to_pylist()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([None if t is None else render(t) for t in texts], pa.string())], [*names, "html"])
+
+    return docs.drop("html").mapInArrow(run, schema)
 
 
 def escaped(s: Column) -> Column:
@@ -32,7 +79,5 @@ def html_pages(docs: DataFrame, toc: DataFrame, title: Column) -> DataFrame:
     rows = docs.select("doc_id", "md", title.alias("title")).join(lists, "doc_id", "left")
     contents = F.coalesce(F.array_join(F.transform("items", lambda r: r["item"]), "\n"), F.lit(""))
     body = F.concat(F.lit("<pre>"), escaped(F.col("md")), F.lit("</pre>"))
-    page = F.lit(PAGE)
-    for mark, value in (("{title}", escaped(F.col("title"))), ("{toc}", contents), ("{body}", body)):
-        page = F.replace(page, F.lit(mark), value)
-    return rows.select("doc_id", page.alias("html"))
+    frame = [F.lit(x) for x in PAGE]
+    return rows.select("doc_id", F.concat(frame[0], escaped(F.col("title")), frame[1], contents, frame[2], body, frame[3]).alias("html"))
