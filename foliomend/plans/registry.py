@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,48 +20,28 @@ from foliomend.operators import pages as P
 from foliomend.operators import placeholders as PH
 from foliomend.plans import config, fix, translate
 from foliomend.plans import oracle as S
-from foliomend.plans.corpus import SLOTS, SQL, SQL_LINES, SQL_WHOLE, corpus, slots
+from foliomend.plans import oracle_blocks as SB
+from foliomend.plans.corpus import SQL, SQL_LINES, corpus
 from foliomend.sources import pages as R
 from foliomend.sources import sinks
 
+#: Blocks of the corpus' pages for repair, and of its documents for protection, in SQL.
+_LEXED = "WITH RECURSIVE " + SB.lexed(SB.pages_new(SQL), SB.REPAIR)
+_PROTECTED = "WITH RECURSIVE " + SB.lexed(SQL + ", pg AS (SELECT doc_id, 0 AS page, md AS text FROM c)", SB.PROTECT, keep_blank=True)
+_BLOCKS_OF = "doc_id, page, block, kind, first, last, text"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def _on_slots(f: Query) -> Query:
-    """f on the corpus of the given SQL, which cuts lines."""
-
-    @wraps(f)
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        token = slots.set(SLOTS)
-        try:
-            return f(spark, sf_dir)
-        finally:
-            slots.reset(token)
-
-    return run
-
-
-def _given() -> bool:
-    """Whether a query runs for the given SQL."""
-    return slots.get() is SLOTS
-
-
-def query(sql: str | None = None, whole: tuple[str, str] = ("", "")) -> Callable[[Query], Query]:
-    """Register a query over whole lines. If its SQL reads the cut ones, that pair stays and NAME_whole is added.
-
-    whole: a part of the SQL that is more than the cut lines, and what stands in its place in that of NAME_whole.
-    """
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, and the SQL that gives the same rows."""
 
     def add(f: Query) -> Query:
-        name = f.__name__
-        QUERIES[name] = f
+        QUERIES[f.__name__] = f
         if sql:
-            ORACLES[name] = sql
-            if SQL in sql:
-                QUERIES[name] = _on_slots(f)
-                QUERIES[f"{name}_whole"], ORACLES[f"{name}_whole"] = f, sql.replace(*whole).replace(SQL, SQL_WHOLE)
+            ORACLES[f.__name__] = sql
         return f
 
     return add
@@ -248,7 +227,7 @@ def algorithm_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.col("part") + 1).alias("part"), "text")
 
 
-@query()
+@query(_LEXED + ", " + SB.BLOCK_PAIRS)
 def block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = Window.partitionBy("doc_id", "page").orderBy("block")
     blocks = B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir)))
@@ -314,7 +293,7 @@ def page_merge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.merge_summary(P.merge_plan(P.split_pages_old(corpus(spark, sf_dir)), "moderate"))
 
 
-@query()
+@query(f"{_plan_sql('conservative')}, {SB.MERGED} SELECT * FROM mp")
 def page_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.merge_pages(P.split_pages_old(corpus(spark, sf_dir)))
 
@@ -327,6 +306,8 @@ def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["page_repair_flagship"] = FLAGSHIP
+ORACLES["page_repair_flagship"] = f"""{_plan_sql('conservative')}, {SB.MERGED}, su AS (SELECT doc_id, count(*) FILTER (action = 'merged') AS merged, count(*) FILTER (action = 'kept') AS kept FROM plan GROUP BY doc_id)
+SELECT doc_id, coalesce(any_value(su.merged), 0) AS merged, coalesce(any_value(su.kept), 0) AS kept, count(*) AS pages, CAST(sum(length(text)) AS BIGINT) AS chars FROM mp LEFT JOIN su USING (doc_id) GROUP BY doc_id"""
 
 # -------------------------------------------------------------------- text
 
@@ -346,26 +327,37 @@ def metadata_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.separate_metadata(F.col("md")).alias("md"))
 
 
-@query()
-def journal_note_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir).select("doc_id", T.clean_whitespace(F.col("md")).alias("md"))
+# Written out: the notes whose patterns look at nothing but what they remove.
+_NOTES = [
+    r"J\.\s*[A-Z]+\s+\d+[,\s]+\d+[,\s]+Article\s+\d+.*?\n?",
+    r"###\s*J\.\s*[A-Z]+[,\s]+Vol\.\s*\d+[,\s]+No\.\s*\d+[,\s]+.*?Publication date:.*?\d{4}\..*?\n",
+    r"ACM\s+\d{4}-\d{3}X/\d{4}/\d+-[A-Z0-9]+\s*\n",
+    r"©\s*\d{4}.*?Copyright.*?\n",
+    r"Permission to make digital.*?permissions@acm\.org\.\s*\n",
+    r"https://doi\.org/[X\.]+\s*\n",
+    r"###?\s*[A-Z][a-z]+\s+et al\.\s*\n",
+    r"\d+:\d+\s*\n",
+]
+_SEPARATED = "regexp_replace(md, '(\\*[^*]+\\*)([A-Z][^*]*)', '\\1' || chr(10) || chr(10) || '\\2', 'g')"
 
 
-_RANGES = r"list_distinct(regexp_extract_all(md, '\[(\d+)-(\d+)\]'))"
+@query(f"WITH {SQL} SELECT doc_id, {S.patterns(_SEPARATED, [('(?is)' + p, '') for p in _NOTES])} AS md FROM c")
+def journal_notes_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plain = [p for p in T.JOURNAL_NOTES if "(?=" not in p]
+    return corpus(spark, sf_dir).select("doc_id", T.remove_journal_notes(F.col("md"), plain).alias("md"))
 
 
-def _ranges_sql(mark: str, between: str) -> str:
-    numbers = r"range(CAST(regexp_extract(m, '\[(\d+)-', 1) AS BIGINT), CAST(regexp_extract(m, '-(\d+)\]', 1) AS BIGINT) + 1)"
-    value = f"array_to_string(list_transform({numbers}, lambda v: '[{mark}' || CAST(v AS VARCHAR) || ']'), '{between}')"
-    return f"WITH {SQL} SELECT doc_id, list_reduce(list_concat([md], {_RANGES}), lambda s, m: replace(s, m, {value})) AS md FROM c"
+@query()
+def journal_note_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus(spark, sf_dir).select("doc_id", T.clean_whitespace(F.col("md")).alias("md"))
 
 
-@query(_ranges_sql("", ""))
+@query(f"WITH {SQL} SELECT doc_id, {SB.ranges('md', '', '')} AS md FROM c")
 def cite_ranges_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.cite_ranges_old(F.col("md")).alias("md"))
 
 
-@query(_ranges_sql("^", " "))
+@query(f"WITH {SQL} SELECT doc_id, {SB.ranges('md', '^', ' ')} AS md FROM c")
 def cite_ranges_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.cite_ranges_new(F.col("md")).alias("md"))
 
@@ -375,21 +367,17 @@ def cite_singles_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.cite_singles_old(F.col("md")).alias("md"))
 
 
-_LISTED = r"list_distinct(regexp_extract_all(x, '\[(\d+(?:,\s*\d+)*)\]', 1))"
-
-
-@query(rf"""WITH {SQL}, t AS (SELECT doc_id, replace(md, '] and [', ', ') AS x FROM c) SELECT doc_id,
-list_reduce(list_concat([x], {_LISTED}), lambda s, m: replace(s, '[' || m || ']', array_to_string(list_transform(string_split(m, ','), lambda v: '[^' || trim(v) || ']'), ' '))) AS md FROM t""")
+@query(f"WITH {SQL} SELECT doc_id, {SB.lists('md')} AS md FROM c")
 def cite_lists_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir).select("doc_id", T.cite_lists_new(F.replace("md", F.lit("] and ["), F.lit(", "))).alias("md"))
+    return corpus(spark, sf_dir).select("doc_id", T.cite_lists_new(F.col("md")).alias("md"))
 
 
-@query()
+@query(rf"""WITH {SQL}, {SB.definitions('c', 'df')}, rg AS (SELECT doc_id, {SB.ranges('md', '', '')} AS md FROM df) SELECT doc_id, regexp_replace(md, '\[(\d+)\]', '[^\1]', 'g') AS md FROM rg""")
 def references_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.fix_references_old(F.col("md")).alias("md"))
 
 
-@query()
+@query(f"""WITH {SQL}, {SB.definitions('c', 'df')}, rg AS (SELECT doc_id, {SB.ranges('md', '^', ' ')} AS md FROM df) SELECT doc_id, {SB.lists('md')} AS md FROM rg""")
 def references_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.fix_references_new(F.col("md")).alias("md"))
 
@@ -399,11 +387,21 @@ def bracket_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.bracket_links(F.col("md")).alias("md"))
 
 
-@query(rf"WITH {SQL_LINES} SELECT doc_id, n, {S.patterns('x', [(r'\*\*([^*]+)\*\*', chr(92) + '1'), (r'\*([^*]+)\*', chr(92) + '1')])} AS x FROM l")
+_SUB = r"(?i)<\s*sub\s*>\s*(.*?)\s*<\s*/\s*sub\s*>"
+_PLAIN_SUB = f"list_reduce(list_concat([x], list_distinct(regexp_extract_all(x, {S.quoted(_SUB)}))), lambda s, m: replace(s, m, '_' || replace(regexp_extract(m, {S.quoted(_SUB)}, 1), '*', '')))"
+_INLINE = S.patterns(_PLAIN_SUB, [(r"\*\*([^*]+)\*\*", r"\1"), (r"\*([^*]+)\*", r"\1")])
+
+
+@query(f"WITH {SQL_LINES} SELECT doc_id, n, {_INLINE} AS x FROM l")
 def clean_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).select("doc_id", "n", T.clean_inline_old(F.col("x")).alias("x"))
 
 
+@query(f"WITH {SQL_LINES}, i AS (SELECT doc_id, n, {_INLINE} AS x FROM l) SELECT doc_id, n, {S.strip(S.patterns('x', [(chr(94) + chr(92) + '*+|' + chr(92) + '*+$', '')]))} AS x FROM i")
+def clean_inline_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select("doc_id", "n", T.clean_inline_new(F.col("x")).alias("x"))
+
+
 @query(f"WITH {SQL} SELECT doc_id, replace(md, '].', ']' || ']' || chr(62) || '.') AS md, replace(replace(md, '].', ']]>.'), ']]>', ']]]]><![CDATA[>') AS wrapped FROM c")
 def cdata_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     md = F.replace("md", F.lit("]."), F.lit("]]>."))
@@ -459,23 +457,23 @@ def figures_by_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ blocks
 
 
-@query()
+@query(f"{_LEXED} SELECT {_BLOCKS_OF} FROM b")
 def lex_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir)))
 
 
-@query()
+@query(f"{_PROTECTED} SELECT {_BLOCKS_OF} FROM b")
 def lex_protected_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus(spark, sf_dir).select("doc_id", F.lit(0).alias("page"), F.col("md").alias("text"))
     return B.lex_blocks(docs, B.PROTECT, "plain", keep_blank=True)
 
 
-@query()
+@query(f"{_LEXED}, {SB.REPAIRED} SELECT {_BLOCKS_OF}, merged FROM rt")
 def table_interrupt_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.repair_tables(B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir))))
 
 
-@query()
+@query(f"{_LEXED}, {SB.SPLIT_TYPES} SELECT * FROM st")
 def split_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.split_types(B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir))))
 
@@ -560,7 +558,7 @@ def _line_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINE_NODES = SQL_LINES + ", d AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS INTEGER) AS nid, x AS origin FROM l WHERE x <> '')"
 
 
-@query()
+@query(f"WITH {SB.nodes(SQL, _MOST)} SELECT * FROM nd")
 def node_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nodes(spark, sf_dir)
 
@@ -573,11 +571,9 @@ def node_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.pack_nodes(_line_nodes(spark, sf_dir), _MOST)
 
 
-@query(f"WITH {_LINE_NODES} SELECT doc_id, nid, regexp_replace(origin, '^\\s+|\\s+$', '', 'g') AS translated FROM d WHERE nid % 3 <> 0", whole=(" WHERE nid % 3 <> 0", ""))
+@query(f"WITH {_LINE_NODES} SELECT doc_id, nid, regexp_replace(origin, '^\\s+|\\s+$', '', 'g') AS translated FROM d")
 def node_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = _line_nodes(spark, sf_dir)
-    if _given():
-        nodes = nodes.where("nid % 3 <> 0")
     return N.unpack(N.payloads(nodes, N.pack_nodes(nodes, _MOST)))
 
 
@@ -605,18 +601,43 @@ def skip_existing_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.without_output(pages.select("name").distinct(), pages.where("page_id % 2 = 0"))
 
 
+# Written out: what a reader can't read, in order. Texts held back by an outside tool don't occur here.
+_UNREADABLE = [r"__PH_[A-Z0-9_]+__", r"\$\$[\s\S]*?\$\$", r"\$[^$]*?\$", r"\\\([\s\S]*?\\\)", r"\\\[[\s\S]*?\\\]", r"```[\s\S]*?```", r"`[^`]*`", r"</?[^>]+>", r"https?://\S+|www\.\S+", r"[^\p{L}\p{N}]+"]
+_SCRIPT = r"[A-Za-zÀ-ɏ一-鿿぀-ヿ가-힯]"
+_FOUND = "list_sort(regexp_extract_all({0}, '__PH_[A-Z0-9_]+__'))"
+
+
+@query(f"WITH {SQL_LINES} SELECT doc_id, n, {S.patterns('x', [(p, '') for p in _UNREADABLE])} AS rest, NOT regexp_matches({S.patterns('x', [(p, '') for p in _UNREADABLE])}, '{_SCRIPT}') AS placeholder_only FROM l")
+def readable_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("x")
+    return _lines(spark, sf_dir).select("doc_id", "n", T.strip_unreadable(x).alias("rest"), T.is_placeholder_only(x).alias("placeholder_only"))
+
+
+_ANSWER = "CASE nid % 5 WHEN 0 THEN replace(marked, '__PH_CITE', '__PH_LOST') WHEN 1 THEN ' ' WHEN 2 THEN NULL ELSE marked END"
+
+
+@query(f"""WITH {SB.nodes(SQL, _MOST)}, m AS (SELECT doc_id, nid, regexp_replace(origin, '\\[(\\d+)\\]', '__PH_CITE_\\1__', 'g') AS marked FROM nd), t AS (SELECT *, {_ANSWER} AS answer FROM m)
+SELECT doc_id, nid, coalesce({_FOUND.format('marked')} = {_FOUND.format('answer')} AND {S.strip('answer')} <> '' AND (regexp_matches(answer, '[A-Za-z]') OR NOT regexp_matches({S.patterns('marked', [(p, '') for p in _UNREADABLE])}, '{_SCRIPT}')), false) AS ok FROM t""")
+def translation_check_english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers with lost placeholders, blank ones, none, and unchanged ones, which are too like texts without a Latin letter."""
+    marked = _nodes(spark, sf_dir).select("doc_id", "nid", F.regexp_replace("origin", r"\[(\d+)\]", "__PH_CITE_$1__").alias("marked"))
+    kind = F.col("nid") % 5
+    answer = F.when(kind == 0, F.replace("marked", F.lit("__PH_CITE"), F.lit("__PH_LOST"))).when(kind == 1, " ").when(kind == 2, None).otherwise(F.col("marked"))
+    return marked.select("doc_id", "nid", F.coalesce(N.succeeded(F.col("marked"), answer, "en"), F.lit(False)).alias("ok"))
+
+
 @query()
 def translation_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = _nodes(spark, sf_dir).withColumn("translated", F.when(F.col("nid") % 2 == 0, F.upper("origin")).otherwise(F.col("origin")))
     return nodes.select("doc_id", "nid", N.succeeded(F.col("origin"), F.col("translated"), "zh").alias("ok"), T.is_placeholder_only(F.col("origin")).alias("placeholder_only"))
 
 
-@query()
+@query(f"""WITH {SB.nodes(SQL, _MOST)} SELECT doc_id, '{{' || string_agg('"' || nid || '":' || CAST(to_json({{'nid': nid, 'origin_text': origin, 'translated_text': origin}}) AS VARCHAR), ',' ORDER BY nid) || '}}' AS nodes FROM nd GROUP BY doc_id""")
 def nodes_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.nodes_json(_nodes(spark, sf_dir).withColumn("translated", F.col("origin")))
 
 
-@query()
+@query(f"WITH {SB.nodes(SQL, _MOST)} SELECT doc_id, string_agg(chr(10) || chr(10) || origin || chr(10) || chr(10), '' ORDER BY nid) AS text FROM nd GROUP BY doc_id")
 def merged_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.merge_nodes(_nodes(spark, sf_dir).withColumn("translated", F.col("origin")))
 
@@ -637,48 +658,39 @@ _FLAVOURS = ["FFD8", "474946", "89504E"]
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page records made of the corpus: pages with an image of one of three kinds in each, and a blank one after them.
-
-    For the given SQL every fourth page is blank instead.
-    """
+    """Page records made of the corpus: pages with an image of one of three kinds in each, and a blank one after them."""
     head = F.element_at(F.array(*map(F.lit, _FLAVOURS)), (F.col("page") % 3 + 1))
     data = F.base64(F.unhex(F.concat(head, F.hex(F.encode(F.col("doc_id").cast("string"), "utf-8")))))
     content = F.concat(F.regexp_replace("text", r"!\[", "["), F.lit("\n![p"), F.col("page").cast("string"), F.lit("](data:image/png;base64,"), data, F.lit(")"))
-    pages = P.split_pages_new(corpus(spark, sf_dir)).select("doc_id", "page", "text", (F.lit(_given()) & (F.col("page") % 4 == 3)).alias("blank"))
-    if not _given():
-        pages = pages.union(pages.groupBy("doc_id").agg((F.max("page") + 1).alias("page"), F.lit("").alias("text"), F.lit(True).alias("blank")))
+    pages = P.split_pages_new(corpus(spark, sf_dir)).select("doc_id", "page", "text", F.lit(False).alias("blank"))
+    pages = pages.union(pages.groupBy("doc_id").agg((F.max("page") + 1).alias("page"), F.lit("").alias("text"), F.lit(True).alias("blank")))
     return pages.select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc"), F.col("page").cast("long").alias("page_no"), F.col("page").alias("place"), F.concat(F.lit("/in/d"), F.col("doc_id").cast("string"), F.lit(".x.pdf")).alias("file_path"),
         F.lit("p.md").alias("md_content_path"), F.lit("").alias("md_content_nohf_path"), F.lit(100).alias("input_width"), F.lit(200).alias("input_height"), F.when(F.col("blank"), "").otherwise(content).alias("content"),
     )
 
 
-_RECORDS = rf"""{SQL}, s AS (SELECT doc_id, string_split(md, chr(10) || '---' || chr(10)) AS p FROM c), g AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, p[i] AS text FROM s, unnest(range(1, len(p) + 1)) r(i)),
-r AS (SELECT 'd' || doc_id AS doc, page, CASE WHEN page % 4 = 3 THEN '' ELSE regexp_replace(text, '!\[', '[', 'g') || chr(10) || '![p' || page || '](data:image/png;base64,' || base64(unhex(['FFD8', '474946', '89504E'][page % 3 + 1] || hex(CAST(doc_id AS VARCHAR)))) || ')' END AS content,
+_RECORDS = rf"""{SQL}, s AS (SELECT doc_id, string_split(md, chr(10) || '---' || chr(10)) AS p FROM c), g AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, p[i] AS text, false AS blank FROM s, unnest(range(1, len(p) + 1)) r(i) UNION ALL SELECT doc_id, CAST(len(p) AS INTEGER), '', true FROM s),
+r AS (SELECT 'd' || doc_id AS doc, page, CASE WHEN blank THEN '' ELSE regexp_replace(text, '!\[', '[', 'g') || chr(10) || '![p' || page || '](data:image/png;base64,' || base64(unhex(['FFD8', '474946', '89504E'][page % 3 + 1] || hex(CAST(doc_id AS VARCHAR)))) || ')' END AS content,
 ['.jpg', '.gif', '.png'][page % 3 + 1] AS ext, '/in/d' || doc_id || '.x.pdf' AS file_path FROM g)"""
-_PAGE = "string_split(md, chr(10) || '---' || chr(10)) AS p FROM c), g AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS page, p[i] AS text"
-_OF_PAGES = "FROM s, unnest(range(1, len(p) + 1)) r(i))"
-_ALL_RECORDS = _RECORDS.replace(f"{_PAGE} {_OF_PAGES}", f"{_PAGE}, false AS blank {_OF_PAGES[:-1]} UNION ALL SELECT doc_id, CAST(len(p) AS INTEGER), '', true FROM s)").replace("page % 4 = 3", "blank")
-
-
-@query(rf"""WITH {_RECORDS} SELECT doc, CAST(page AS BIGINT) AS page_no, 1 AS image, 'p' || page AS alt, ext, format('images/page_{{:03d}}_img_001', page) || ext AS rel_path FROM r WHERE content <> ''""", whole=(_RECORDS, _ALL_RECORDS))
+@query(rf"""WITH {_RECORDS} SELECT doc, CAST(page AS BIGINT) AS page_no, 1 AS image, 'p' || page AS alt, ext, format('images/page_{{:03d}}_img_001', page) || ext AS rel_path FROM r WHERE content <> ''""")
 def image_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.images(_records(spark, sf_dir)).select("doc", "page_no", "image", "alt", "ext", "rel_path")
 
 
-@query(rf"""WITH {_RECORDS} SELECT doc, string_agg(CASE WHEN content = '' THEN '' ELSE content || chr(10) || chr(10) END || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM r GROUP BY doc""", whole=(_RECORDS, _ALL_RECORDS))
+@query(rf"""WITH {_RECORDS} SELECT doc, string_agg(CASE WHEN content = '' THEN '' ELSE content || chr(10) || chr(10) END || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM r GROUP BY doc""")
 def embedded_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.concatenate(_records(spark, sf_dir))
 
 
 @query(rf"""WITH {_RECORDS}, k AS (SELECT doc, page, CASE WHEN content = '' THEN '' ELSE regexp_replace(content, '\(data:image/png;base64,[^)]*\)', format('(images/page_{{:03d}}_img_001', page) || ext || ')') || chr(10) || chr(10) END AS t FROM r)
-SELECT doc, '# ' || doc || '.x' || chr(10) || chr(10) || '*Generated from PDF with ' || count(*) || ' pages*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || string_agg('## Page ' || (page + 1) || chr(10) || chr(10) || t || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM k GROUP BY doc""", whole=(_RECORDS, _ALL_RECORDS))
+SELECT doc, '# ' || doc || '.x' || chr(10) || chr(10) || '*Generated from PDF with ' || count(*) || ' pages*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || string_agg('## Page ' || (page + 1) || chr(10) || chr(10) || t || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM k GROUP BY doc""")
 def external_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _records(spark, sf_dir)
     return R.concatenate(R.link_images(pages, R.images(pages)), titles=True, header=True)
 
 
-@query(rf"""WITH {_RECORDS} SELECT doc, count(*) AS total_pages, any_value(file_path) AS source_pdf, CAST(count(*) FILTER (content <> '') AS BIGINT) AS images FROM r GROUP BY doc""", whole=(_RECORDS, _ALL_RECORDS))
+@query(rf"""WITH {_RECORDS} SELECT doc, count(*) AS total_pages, any_value(file_path) AS source_pdf, CAST(count(*) FILTER (content <> '') AS BIGINT) AS images FROM r GROUP BY doc""")
 def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.metadata(_records(spark, sf_dir))
     return found.select("doc", "total_pages", "source_pdf", F.aggregate("pages", F.lit(0).cast("long"), lambda s, p: s + p["embedded_images"]).alias("images"))
@@ -690,7 +702,9 @@ def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", T.document_title(F.concat(F.substring_index("url", "/", -1), F.lit(".a.jsonl"))).alias("title"))
 
 
-@query()
+@query(f"""WITH {SQL_LINES}, tc AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS entry, length(regexp_extract(x, {S.quoted(_TOC)}, 1)) AS level, regexp_extract(x, {S.quoted(_TOC)}, 2) AS title FROM l WHERE {S.matches('x', _TOC)}),
+it AS (SELECT doc_id, string_agg('<li class="toc-' || level || '"><a href="#h' || entry || '">' || {SB.escaped('title')} || '</a></li>', chr(10) ORDER BY entry) AS items FROM tc GROUP BY doc_id)
+SELECT doc_id, {S.quoted(sinks.PAGE[0])} || 'Document ' || doc_id || {S.quoted(sinks.PAGE[1])} || coalesce(items, '') || {S.quoted(sinks.PAGE[2])} || '<pre>' || {SB.escaped('md')} || '</pre>' || {S.quoted(sinks.PAGE[3])} AS html FROM c LEFT JOIN it USING (doc_id)""")
 def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus(spark, sf_dir)
     return sinks.html_pages(docs, H.table_of_contents(O.split_lines(docs)), F.concat(F.lit("Document "), F.col("doc_id").cast("string")))
