@@ -2,9 +2,13 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from foliomend import __main__ as main
+
 from foliomend.functions import text as T
+from foliomend.plans import merge
 from foliomend.sources import pages as R
 from foliomend.sources import sinks
 from foliomend.streaming.folders import process_new
@@ -44,10 +48,63 @@ def test_image_kinds(spark):
 def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame([("a", "x\ny"), ("b", "")], "doc string, md string")
     sinks.write_texts(docs, str(tmp_path / "out"))
-    assert spark.read.text(str(tmp_path / "out")).where("name = 'a'").count() == 2
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("a", "x\ny"), ("b", "")}
     toc = spark.createDataFrame([(0, 1, 1, "A<B")], "doc_id long, entry int, level int, title string")
-    page = sinks.html_pages(spark.createDataFrame([(0, "# A<B")], "doc_id long, md string"), toc, F.lit("T")).collect()[0].html
-    assert '<li class="toc-1"><a href="#h1">A&lt;B</a></li>' in page and "<pre># A&lt;B</pre>" in page
+    page = sinks.html_pages(spark.createDataFrame([(0, "# A<B {body} {toc}")], "doc_id long, md string"), toc, F.lit("{body}")).collect()[0].html
+    assert '<li class="toc-1"><a href="#h1">A&lt;B</a></li>' in page and page.count("<pre># A&lt;B {body} {toc}</pre>") == 1 and "<title>{body}</title>" in page
+
+
+def test_files(spark, tmp_path):
+    rows = spark.createDataFrame([("a/x.md", "é"), ("a/b/y.md", ""), ("../z.md", "out"), ("/w.md", "out"), (None, "x"), ("n.md", None)], "path string, content string")
+    for _ in range(2):
+        sinks.write_files(rows.repartition(3), str(tmp_path / "out"))
+    assert {str(f.relative_to(tmp_path)): f.read_text() for f in tmp_path.rglob("*") if f.is_file()} == {"out/a/x.md": "é", "out/a/b/y.md": ""}
+    sinks.write_files(spark.createDataFrame([("i.gif", bytearray(b"GIF"))], "path string, content binary"), f"file://{tmp_path}/img")
+    assert (tmp_path / "img" / "i.gif").read_bytes() == b"GIF"
+
+
+def test_rendered(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, md string").withColumn("html", F.lit(3))
+    assert {r.doc_id: r.html for r in sinks.rendered(docs, lambda t: f"<p>{t}</p>").collect()} == {1: "<p>a</p>", 2: None}
+
+
+def test_merge_from_files_to_files(spark, tmp_path):
+    (tmp_path / "in" / "md").mkdir(parents=True)
+    for name, text in (("a0", f"zero ![x](data:image/gif;base64,{GIF})"), ("a0n", "zero"), ("b0", "only")):
+        (tmp_path / "in" / "md" / f"{name}.md").write_text(text)
+    at = lambda n: str(tmp_path / "in" / "md" / f"{n}.md")
+    (tmp_path / "in" / "a.x.jsonl").write_text("\n".join(map(json.dumps, [{"page_no": 1, "file_path": "/p/a.pdf"}, {"page_no": 0, "file_path": "/p/a.pdf", "md_content_path": at("a0"), "md_content_nohf_path": at("a0n")}])))
+    (tmp_path / "in" / "b.jsonl").write_text(json.dumps({"md_content_path": at("b0")}) + "\n \n")
+    out = str(tmp_path / "out")
+    main.main(["merge", str(tmp_path / "in" / "*.jsonl"), str(tmp_path / "in" / "md"), "-o", out])
+    files = {str(f.relative_to(tmp_path / "out")) for f in (tmp_path / "out").rglob("*") if f.is_file()}
+    assert files == {"a.x/a_x_embedded.md", "a.x/a_x_external.md", "a.x/metadata.json", "a.x/images/page_000_img_001.gif", "b/b_embedded.md", "b/b_external.md", "b/metadata.json"}
+    read = lambda f: (tmp_path / "out" / f).read_text()
+    assert read("a.x/a_x_embedded.md") == f"zero ![x](data:image/gif;base64,{GIF})\n\n---\n\n---\n\n"
+    assert read("a.x/a_x_external.md").startswith("# a\n\n*Generated from PDF with 2 pages*\n\n---\n\nzero ![x](images/page_000_img_001.gif)")
+    meta = json.loads(read("a.x/metadata.json"))
+    assert meta["total_pages"] == 2 and [p["embedded_images"] for p in meta["pages"]] == [1, 0]
+    # What is there isn't done again; headers and footers can be left out.
+    (tmp_path / "out" / "b" / "b_embedded.md").write_text("mine")
+    merge.run(spark, str(tmp_path / "in" / "*.jsonl"), str(tmp_path / "in" / "md"), out, plain=True, titles=True)
+    assert read("b/b_embedded.md") == "mine"
+    merge.run(spark, str(tmp_path / "in" / "a.x.jsonl"), str(tmp_path / "in" / "md"), str(tmp_path / "again"), plain=True, titles=True)
+    assert (tmp_path / "again" / "a.x" / "a_x_embedded.md").read_text() == "## Page 1\n\nzero\n\n---\n\n## Page 2\n\n---\n\n"
+    assert json.loads((tmp_path / "again" / "a.x" / "metadata.json").read_text())["pages"][0]["embedded_images"] == 1
+
+
+def test_command_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "d.md").write_text("# 1. Title\n\nSome text [1].\n\n![a](b.png)\n\nFig. 1. c\n")
+    (tmp_path / "c.json").write_text('{"translator_type": "echo", "target_lang": "en"}')
+    for command, more in (("fix", ["--rules", "old"]), ("figures", []), ("translate", ["-c", str(tmp_path / "c.json"), "-s", "de"])):
+        main.main([command, str(tmp_path / "in"), "-o", str(tmp_path / command), *more])
+    assert (tmp_path / "fix" / "d.md").read_text().startswith("## 1. Title")
+    assert (tmp_path / "figures" / "d.md").read_text() == "# 1. Title\n\n![a](b.png)\n\nFig. 1. c\n\nSome text [1]."
+    assert {f.name for f in (tmp_path / "translate").iterdir()} == {"d.md", "d.protected.md", "d.protected.json", "d.nodes.json"}
+    assert "Some text [1]." in (tmp_path / "translate" / "d.md").read_text()
+    with pytest.raises(SystemExit):
+        main.main(["nothing"])
 
 
 def test_folder_stream(spark, tmp_path):

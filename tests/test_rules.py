@@ -1,8 +1,10 @@
 """Single rules on small rows, and window forms against plain loops."""
 
 import itertools
+import pickle
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,3 +219,114 @@ def test_whole_repairs(spark):
     assert {r.page: r.action for r in plan.where("doc_id = 0").collect()} == {0: "merged", 1: None}
     new = {r.doc_id: r.md for r in fix.fix_new(d).collect()}
     assert "# 1. A" in new[0] and "[^1]" in new[0] and new[2] == ""
+
+
+BIG = "9" * 20
+
+
+def test_hostile_numbers(spark):
+    """Numbers of any length, reversed and huge ranges: what can't be written out stays as it is."""
+    huge = "9" * 60
+    texts = [f"[{BIG}-5] a", f"[{huge}-{huge}] b", "[1-4000000000] c", "[1-900000000]", f"[{BIG}-{BIG}] d", "[0-2][3-3]", "[5-2]", None, "", f"[{BIG}]", f"[1,{BIG}]"]
+    assert column(spark, T.cite_ranges_old, *texts) == [" a", f"[{huge}-{huge}] b", "[1-4000000000] c", "[1-900000000]", f"[{BIG}] d", "[0][1][2][3]", "", None, "", f"[{BIG}]", f"[1,{BIG}]"]
+    assert column(spark, T.cite_lists_new, *texts)[-2:] == [f"[^{BIG}]", f"[^1] [^{BIG}]"]
+    assert len(column(spark, T.fix_references_old, *texts)) == len(column(spark, T.fix_references_new, *texts)) == len(texts)
+    old, _ = fix.fix_old(docs(spark, *texts))
+    assert old.count() == fix.fix_new(docs(spark, *texts)).count() == len(texts)
+    answer = f"<NODE_START_{BIG}>\nx\n</NODE_END_{BIG}>\n<NODE_START_0001>\ny\n</NODE_END_0001><NODE_START_0002>z</NODE_END_0003><NODE_START_0001>again</NODE_END_0001>"
+    groups = spark.createDataFrame([(1, 0, answer)], "doc_id long, group_id int, payload string")
+    assert [tuple(r) for r in N.unpack(groups).collect()] == [(1, 1, "again")]
+    store = f'{{"map":{{}},"rev":{{"__PH_URL_{BIG}__":"far","__PH_URL_000002__":"b","odd":"c","__PH_URL_000001__":"a"}},"kind_count":{{}}}}'
+    got = [e.raw for e in column(spark, PH.load_store, store)[0]]
+    assert got[:2] == ["a", "b"] and sorted(got[2:]) == ["c", "far"]
+
+
+def test_many_matches_in_one_pass(spark):
+    text = " ".join(f"[{i}-{i + 2}]" for i in range(1, 3000))
+    want = " ".join(f"[^{i}] [^{i + 1}] [^{i + 2}]" for i in range(1, 3000))
+    assert column(spark, T.cite_ranges_new, text) == [want]
+
+
+def test_store_rules(spark):
+    store = F.array(F.struct(F.lit("__PH_URL_000001__").alias("placeholder"), F.lit("a.org").alias("raw")), F.struct(F.lit("__PH_CODE_000002__").alias("placeholder"), F.lit("`c`").alias("raw")))
+    assert column(spark, lambda c: PH.missing(c, store), "a.org", "a.org `c`") == [["`c`"], []]
+    assert column(spark, lambda c: PH.holds_all(c, store), "a.org", "a.org `c`") == [False, True]
+    assert column(spark, lambda c: PH.snapshot(store), "x") == [{"a.org": "__PH_URL_000001__", "`c`": "__PH_CODE_000002__"}]
+
+
+class Model:
+    """A stub of a model's client that fails, answers late, loses marks and invents ids."""
+
+    def __init__(self, fail=0):
+        self.fail, self.calls = fail, 0
+
+    def chat(self, model, messages):
+        self.calls += 1
+        if self.calls <= self.fail:
+            raise OSError("not there")
+        return {"message": {"content": messages[1]["content"]}}
+
+
+def test_model_options(monkeypatch):
+    slept = []
+    monkeypatch.setattr(translate.time, "sleep", slept.append)
+    with pytest.raises(ValueError):
+        translate.translator_for(config.TranslateConfig(translator_type="ollama"), {"host": "h"})
+    call = translate.translator_for(config.TranslateConfig(translator_type="ollama"), {"model": "m"})
+    assert (call.host, call.tries) == ("http://localhost:11434", 3)
+    call.client = Model(fail=2)
+    assert "a]]]]><![CDATA[>b" in call("a]]>b", "en", "zh") and slept == [2.5, 4.0]
+    call.client, call.tries = Model(fail=9), 2
+    assert call("text", None, "zh") == "text" and call.client.calls == 2
+    assert pickle.loads(pickle.dumps(call)).client is None
+
+
+def test_translation_with_a_bad_model(spark):
+    """Every node comes out once; what fails keeps its original; retries see failed nodes only."""
+    d = docs(spark, "# Title one\n\nSome `code` here.\n\nAnother paragraph.\n\n$x$\n\nlast words", "plain text")
+
+    def model(text, source, target):
+        time.sleep(0.01)
+        text = text.replace("<NODE_START_0001>", "<NODE_START_99999999999>").replace("__PH_CODE", "PH_CODE")
+        return re.sub(r"(</?NODE_\w+>)|([A-Z]?[a-z]{3,})", lambda m: m[1] or "译" + m[2].upper(), text) + "<NODE_START_0777>\ninvented\n</NODE_END_0777>"
+
+    cfg = config.TranslateConfig(target_lang="zh", parallel_groups=4, max_chunk_chars=60, retry_times=2)
+    texts, nodes, _ = translate.translate(d, cfg, model)
+    rows = nodes.orderBy("doc_id", "nid").collect()
+    assert [(r.doc_id, r.nid) for r in rows] == [(0, 0), (0, 1), (0, 2), (0, 3), (0, 4), (1, 0)]
+    assert [r.outcome for r in rows] == ["translated", "failed", "translated", "skipped", "translated", "translated"]
+    assert rows[1].translated == rows[1].origin and rows[0].translated == "# 译TITLE 译ONE"
+    got = {r.doc_id: r.text for r in texts.collect()}
+    assert "Some `code` here." in got[0] and "$x$" in got[0] and "invented" not in got[0]
+    counts = {r.doc_id: (r.skipped, r.translated, r.retried, r.failed) for r in translate.outcomes(nodes).collect()}
+    assert counts == {0: (1, 3, 0, 1), 1: (0, 1, 0, 0)}
+
+
+def test_late_success(spark):
+    """A node that only comes back in smaller groups counts as retried."""
+    d = docs(spark, "\n\n".join(f"paragraph {w} with words " * 20 for w in ("one", "two", "three", "four")))
+    model = lambda t, s, g: t.replace("paragraph", "段落") if len(t) < 1000 else ""
+    _, nodes, _ = translate.translate(d, config.TranslateConfig(target_lang="zh", max_chunk_chars=1500, retry_times=1), model)
+    assert {r.outcome for r in nodes.collect()} == {"retried"}
+
+
+def test_packing_by_a_loop(spark):
+    rng, rows, want = random.Random(5), [], {}
+    for d in range(20):
+        used, group = 0, -1
+        for nid in range(rng.randrange(1, 40)):
+            size = rng.choice([1, 50, 200, 900])
+            rows.append((d, nid, "x" * size))
+            cost = size + N.MARKS
+            if group < 0 or (used + cost > 600 and used):
+                group, used = group + 1, 0
+            used += cost
+            want[d, nid] = group
+    nodes = spark.createDataFrame(rows, "doc_id long, nid int, origin string")
+    assert {(r.doc_id, r.nid): r.group_id for r in N.pack_nodes(nodes, 600).collect()} == want
+
+
+def test_figures_in_whole_documents(spark):
+    text = "intro\ngoes on\n\n# A\n\n```\n# no heading\n![no](figure)\n```\n\npara one\npara two\n\n|a|b|\n|---|---|\n|1|2|\nTable 1. t\n\n- item\n- item\n\n<table>\n<tr></tr>\n</table>\n"
+    got = column(spark, lambda c: c, *[r.md for r in G.moved(docs(spark, text, "", None)).orderBy("doc_id").collect()])
+    assert got == ["intro\ngoes on\n\n# A\n\n|a|b|\n|---|---|\n|1|2|\n\nTable 1. t\n\n<table>\n<tr></tr>\n</table>\n\n```\n# no heading\n![no](figure)\n```\n\npara one\npara two\n\n- item\n- item", "", ""]

@@ -9,7 +9,7 @@ TABLES = "/root/testdata/sf0.001"
 
 
 def test_all_nodes_are_unpacked(spark):
-    assert registry.QUERIES["node_unpack_whole"](spark, TABLES).count() == registry._line_nodes(spark, TABLES).count()
+    assert registry.QUERIES["node_unpack"](spark, TABLES).count() == registry._line_nodes(spark, TABLES).count()
 
 
 def test_missing_ids(spark):
