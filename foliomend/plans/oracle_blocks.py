@@ -145,6 +145,89 @@ def lists(md: str) -> str:
     return rf"list_reduce(list_concat([{md}], list_distinct(regexp_extract_all({md}, '\[(\d+(?:,\s*\d+)*)\]', 1))), lambda s, m: replace(s, '[' || m || ']', array_to_string(list_transform(string_split(m, ','), lambda v: '[^' || trim(v) || ']'), ' ')))"
 
 
+# ----------------------------------------------------- the whole new repair
+
+
+def _lines_of(docs: str, name: str) -> str:
+    return f"{name} AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, string_split(md, chr(10))[i] AS x FROM {docs}, unnest(range(1, len(string_split(md, chr(10))) + 1)) r(i))"
+
+
+def _shape(pattern: str, group: int) -> str:
+    return f"regexp_extract(x, '{pattern}', {group})"
+
+
+_ROMAN, _NUMBER = r"^(?:#{1,6})?\s*(Sec(?:tion)?\.\s+)?([IVX]+)\.\s+(.+)$", r"^(?:#{1,6})?\s*(\d+(?:\.\d+)*?)\.\s+(.+)$"
+_UPPER, _LOWER = r"^(?:#{1,6})?\s*([A-Z])\.\s+(.+)$", r"^(?:#{1,6})?\s*([a-z])\.\s+(.+)$"
+
+
+def _letter(pattern: str) -> str:
+    return f"regexp_matches(x, '{pattern}') AND NOT regexp_matches({_shape(pattern, 2)}, '^[A-Z][a-z]')"
+
+
+#: After h1(doc_id, n, x): hm(doc_id, md), texts with numbered headings at their levels.
+_TITLED = rf"""h2 AS (SELECT *, bool_or(regexp_matches(x, '^#{{1,6}}?\s*(?:Sec(?:tion)?\.\s+)?[IVX]+\.\s+')) OVER (PARTITION BY doc_id) AS roman FROM h1),
+h3 AS (SELECT doc_id, n, CASE WHEN roman AND regexp_matches(x, '{_ROMAN}') THEN '# ' || {_shape(_ROMAN, 1)} || {_shape(_ROMAN, 2)} || '. ' || {_shape(_ROMAN, 3)}
+WHEN regexp_matches(x, '{_NUMBER}') THEN repeat('#', CAST(least(6, len(string_split({_shape(_NUMBER, 1)}, '.')) + CASE WHEN roman THEN 1 ELSE 0 END) AS INTEGER)) || ' ' || {_shape(_NUMBER, 1)} || '. ' || {_shape(_NUMBER, 2)}
+WHEN {_letter(_UPPER)} THEN '### ' || {_shape(_UPPER, 1)} || '. ' || {_shape(_UPPER, 2)} WHEN {_letter(_LOWER)} THEN '#### ' || {_shape(_LOWER, 1)} || '. ' || {_shape(_LOWER, 2)} ELSE x END AS x FROM h2),
+hm AS (SELECT doc_id, string_agg(x, chr(10) ORDER BY n) AS md FROM h3 GROUP BY doc_id)"""
+
+#: After f1(doc_id, n, x): fm(doc_id, md), texts with bold algorithms between fences.
+_FENCED_TEXTS = rf"""f2 AS (SELECT *, regexp_matches(x, '^\*\*Algorithm\s+\d+\*\*') AS title FROM f1),
+f3 AS (SELECT *, sum(CASE WHEN title OR {strip('x')} = '' OR starts_with(x, '#') OR starts_with(x, 'Fig.') OR starts_with(x, 'Table') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) AS run FROM f2),
+f4 AS (SELECT doc_id, run, min(n) AS first, max(n) AS last FROM f3 GROUP BY doc_id, run HAVING arg_min(title, n) AND max(n) > min(n)),
+fm AS (SELECT doc_id, string_agg(CASE WHEN n = first THEN '```' || chr(10) ELSE '' END || x || CASE WHEN n = last THEN chr(10) || '```' ELSE '' END, chr(10) ORDER BY n) AS md FROM f3 LEFT JOIN f4 USING (doc_id, run) GROUP BY doc_id)"""
+
+DOUBLE = "regexp_replace({0}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+
+
+def fixed_new(docs: str, cleaned: str) -> str:
+    """The new repair of c(doc_id, md) in `docs`; cleaned: the last step, an expression of md."""
+    return f"""WITH RECURSIVE {lexed(pages_new(docs), REPAIR)}, {REPAIRED},
+j1 AS (SELECT doc_id, {DOUBLE.format("string_agg(text, chr(10) || chr(10) ORDER BY page, block)")} AS md FROM rt GROUP BY doc_id),
+j2 AS (SELECT c.doc_id, coalesce(j1.md, '') AS md FROM c LEFT JOIN j1 USING (doc_id)), {_lines_of('j2', 'h1')}, {_TITLED}, {definitions('hm', 'df')},
+rg AS (SELECT doc_id, {ranges('md', '^', ' ')} AS md FROM df), rl AS (SELECT doc_id, {lists('md')} AS md FROM rg), {_lines_of('rl', 'f1')}, {_FENCED_TEXTS}
+SELECT doc_id, {DOUBLE.format(cleaned)} AS md FROM fm"""
+
+
+# -------------------------------------------------------------- pseudocode
+
+_TITLE = r"(?i)^\s*(?:\*\*)?\s*(?:Algorithm|算法)\s+([A-Za-z0-9.-]+)?\s*(?:\*\*)?\s*(.*)$"
+_STEPS_OLD = [
+    r"(?i)^\*\*\s*(Input|Inputs|Output|Outputs|Procedure|Requires?|Ensure|Precondition|Postcondition)\s*:?\s*\*\*",
+    r"(?i)^(Input|Inputs|Output|Outputs|Procedure|Requires?|Ensure|Precondition|Postcondition)\s*:?",
+    r"^\d+\s*[:.)]\s",
+    r"(?i)^(function|procedure|for|while|if|else|repeat|return|end)\b",
+]
+_STEPS_NEW = [r"^\d+\s*[:.)] ", r"(?i)^(Input|Output|Require|Ensure):", r"(?i)^(function|procedure|for|while|if|else|repeat|return|end)\b"]
+
+
+def _unmarked(x: str) -> str:
+    """Subscripts to an underscore, emphasis marks off."""
+    sub = r"(?i)<\s*sub\s*>\s*(.*?)\s*<\s*/\s*sub\s*>"
+    plain = f"list_reduce(list_concat([{x}], list_distinct(regexp_extract_all({x}, '{sub}'))), lambda s, m: replace(s, m, '_' || replace(regexp_extract(m, '{sub}', 1), '*', '')))"
+    return rf"regexp_replace(regexp_replace({plain}, '\*\*([^*]+)\*\*', '\1', 'g'), '\*([^*]+)\*', '\1', 'g')"
+
+
+def pseudocode(docs: str, old: bool) -> str:
+    """c(doc_id, md) in `docs` with algorithms as fenced code, titles as comments."""
+    steps = " OR ".join(f"regexp_matches(t, '{p}')" for p in (_STEPS_OLD if old else _STEPS_NEW))
+    label = r"(?i)^\s*\*\*\s*(Input|Output|Procedure|Requires?|Ensure)\s*[:：]?\s*\*\*"
+    first_step = "least(" + ("min(CASE WHEN c.hard THEN c.n END), min(CASE WHEN c.free AND c.n > o.step THEN c.n END))" if old else "min(CASE WHEN c.hard THEN c.n END), min(CASE WHEN c.free THEN c.n END))")
+    head = f"""CASE WHEN coalesce({strip(f"regexp_extract(x, '{_TITLE}', 1)")}, '') || {strip(f"regexp_extract(x, '{_TITLE}', 2)")} <> '' THEN {strip(f"'Algorithm ' || {strip(f"regexp_extract(x, '{_TITLE}', 1)")} || ': ' || {strip(f"regexp_extract(x, '{_TITLE}', 2)")}")} ELSE 'Algorithm' END"""
+    return f"""WITH RECURSIVE {docs}, pl AS (SELECT doc_id, CASE WHEN md = '' THEN [] WHEN ends_with(md, chr(10)) THEN string_split(substr(md, 1, length(md) - 1), chr(10)) ELSE string_split(md, chr(10)) END AS l FROM c WHERE md IS NOT NULL),
+p1 AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, CAST(len(l) - 1 AS INTEGER) AS top, l[i] AS x, {strip('l[i]')} AS t FROM pl, unnest(range(1, len(l) + 1)) r(i)),
+p2 AS (SELECT *, starts_with(t, '```') AS fence, regexp_matches(x, '{_TITLE}') AS title, regexp_matches(t, '^\d+\s*[:.)]\s') AS step, t NOT IN ('', '***') AND NOT ({steps}) AS free,
+  starts_with(t, '```') OR regexp_matches(x, '^\s*#{{1,6}}\s') OR (regexp_matches(x, '^\s*\*\*.+\*\*\s*$') AND NOT regexp_matches(x, '{label}')) AS hard FROM p1),
+p3 AS (SELECT *, sum(CASE WHEN fence THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) % 2 = 1 AS inside FROM p2),
+p4 AS (SELECT o.doc_id, o.n, min(CASE WHEN c.step THEN c.n END) AS step FROM p3 o JOIN p3 c ON c.doc_id = o.doc_id AND c.n > o.n WHERE o.title AND NOT o.inside GROUP BY ALL),
+p5 AS (SELECT o.doc_id, o.n, {first_step} AS stop FROM p4 o JOIN p3 c ON c.doc_id = o.doc_id AND c.n > o.n GROUP BY ALL),
+p6 AS (SELECT p3.*, title AND NOT inside AS opens, CASE WHEN title AND NOT inside THEN coalesce(p5.stop - 1, top) ELSE p3.n END AS last FROM p3 LEFT JOIN p5 USING (doc_id, n)),
+go AS (SELECT doc_id, n, opens, last, top FROM p6 WHERE n = 0 UNION ALL SELECT p6.doc_id, p6.n, p6.opens, p6.last, p6.top FROM go JOIN p6 ON p6.doc_id = go.doc_id AND p6.n = go.last + 1 WHERE go.last < go.top),
+p7 AS (SELECT p6.doc_id, p6.n, CASE WHEN NOT go.opens THEN p6.x ELSE CASE WHEN p6.n = go.n THEN '```pseudo' || chr(10) || '// ' || {_unmarked(head.replace('(x,', '(p6.x,'))} WHEN p6.t = '***' THEN '// ' || repeat('-', 40) ELSE {_unmarked('p6.x')} END || CASE WHEN p6.n = go.last THEN chr(10) || '```' ELSE '' END END AS x
+  FROM go JOIN p6 ON p6.doc_id = go.doc_id AND p6.n BETWEEN go.n AND go.last)
+SELECT c.doc_id, CASE WHEN c.md IS NOT NULL THEN coalesce(p8.md, '') END AS md FROM c LEFT JOIN (SELECT doc_id, string_agg(x, chr(10) ORDER BY n) AS md FROM p7 GROUP BY doc_id) p8 USING (doc_id)"""
+
+
 # ------------------------------------------------------------------- nodes
 
 

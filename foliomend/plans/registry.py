@@ -235,7 +235,7 @@ def block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("doc_id", "page", "block", U.could_be_one(F.col("kind"), F.col("text"), F.col("k"), F.col("t")).alias("why"))
 
 
-@query()
+@query(SB.pseudocode(SQL, old=False))
 def pseudocode_wrap_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", E.wrap_pseudocode_column(F.col("md"), old=False).alias("md"))
 
@@ -347,7 +347,11 @@ def journal_notes_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.remove_journal_notes(F.col("md"), plain).alias("md"))
 
 
-@query()
+#: Entities, emphasis and notes; of the ten kinds of notes the two whose patterns look ahead don't occur in the corpus.
+_CLEANED = S.patterns(_SEPARATED.replace("md,", S.chained("md", [("&nbsp;", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]) + ",", 1), [("(?is)" + p, "") for p in _NOTES])
+
+
+@query(f"WITH {SQL} SELECT doc_id, {SB.DOUBLE.format(_CLEANED)} AS md FROM c")
 def journal_note_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.clean_whitespace(F.col("md")).alias("md"))
 
@@ -483,7 +487,7 @@ def embedded_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", E.repair_column(F.col("md")).alias("md"))
 
 
-@query()
+@query(SB.pseudocode(SQL, old=True))
 def pseudocode_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", E.wrap_pseudocode_column(F.col("md")).alias("md"))
 
@@ -493,7 +497,7 @@ def fix_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fix.fix_old(corpus(spark, sf_dir))[0]
 
 
-@query()
+@query(SB.fixed_new(SQL, _CLEANED))
 def fix_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fix.fix_new(corpus(spark, sf_dir))
 
@@ -647,6 +651,22 @@ def translate_echo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return translate.translate(corpus(spark, sf_dir))[0]
 
 
+_NO_SPACE = r"[\s\p{Z}\x0B\x85]+"
+
+
+@query(f"WITH {SQL} SELECT doc_id, {S.patterns('md', [(_NO_SPACE, '')])} AS letters FROM c")
+def translate_echo_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An echo gives every document back but for its white space."""
+    return translate.translate(corpus(spark, sf_dir))[0].select("doc_id", F.regexp_replace("text", _NO_SPACE, "").alias("letters"))
+
+
+@query(f"WITH {SQL} SELECT doc_id, {S.patterns('md', [(_NO_SPACE, '')])} AS letters FROM c")
+def restored_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is protected comes back, but for white space."""
+    found = PH.protect(corpus(spark, sf_dir), config.default_config())
+    return found.select("doc_id", F.regexp_replace(PH.restore(F.col("protected"), F.col("store"), nested=True), _NO_SPACE, "").alias("letters"))
+
+
 @query(f"WITH {SQL} SELECT doc_id, '<task><source>en</source><target>zh</target><text><![CDATA[' || replace(md, ']]>', ']]]]><![CDATA[>') || ']]></text></task>' AS task FROM c")
 def translation_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", translate.prompt(F.col("md"), "en", "zh").alias("task"))
