@@ -79,7 +79,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES + COMPLET
     texts and lines before passages, then to the smaller name, then the smaller line.
     n_units: how many line_nos have a unit that matches some template. Null and empty texts match nothing. Templates of
     fewer than two words are ignored. Repeated rows get equal rows, other columns of docs are not
-    read, and an empty table gives an empty result.
+    read, and an empty table gives an empty result. A very long text is held as arrays of its words in
+    one row.
     """
     sets = [(name, grams) for name, text in templates if (grams := bigrams(text))]
     none = docs.select(F.col(id_col).alias("doc_id"))

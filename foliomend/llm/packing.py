@@ -11,10 +11,12 @@ from its rank among the pieces of its length.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +31,29 @@ CACHE_WORDS = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, unit int, task int, nth long"
 
 
+# The normaliser and the splitting of a tokenizer whose words can be taken one by one.
+NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTING = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def by_words(path: str) -> bool:
+    """Whether a tokenizer file has that normaliser, that splitting and a BPE model."""
+    found = json.loads(Path(path).read_text(encoding="utf-8"))
+    return (found.get("normalizer"), found.get("pre_tokenizer"), found["model"].get("type")) == (NORMALISER, SPLITTING, "BPE")
+
+
 class WordIds(dict):
     """Ids of white-space separated words, as little-endian 32-bit integers, kept while there is room.
 
-    The tokenizer drops white space before it splits, so a text's ids are those of its words. Words
-    of plain Latin letters go straight to the tokenizer's own model; all others, special tokens
-    among them, through the whole tokenizer.
+    Where by_words holds, the tokenizer drops white space before it splits, so a text's ids are those
+    of its words; words of plain Latin letters go straight to the tokenizer's own model, all others,
+    special tokens among them, through the whole tokenizer. With any other tokenizer file whole texts do.
     """
 
     PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,;:!?()]*)")
@@ -46,6 +65,7 @@ class WordIds(dict):
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.marks: dict[str, bytes] = {"": b""}
+        self.by_words = by_words(path)
 
     def ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -71,6 +91,8 @@ class WordIds(dict):
     def of(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.by_words:
+            return self.ids(text)
         if "<|" in text:  # may hold a special token, which lower case would make or break
             words = text.encode().split()
         else:
@@ -251,7 +273,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, units: int = 128,
 
     Returns one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. Null
     and empty texts count as empty: with an end_id they are one piece of that id, without one they have
-    no piece. Repeated rows are packed each for itself. Other columns of docs are not read. An empty
+    no piece. Repeated rows are packed each for itself; a very long text is one row while it is tokenised. Other columns of docs are not read. An empty
     table gives an empty result. Only lengths pass through the driver: `units` counts.
     """
     table = written(pieces(docs, tokenizer, window, units, end_id, id_col, text_col), "pieces")

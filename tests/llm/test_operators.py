@@ -1,8 +1,10 @@
 """The operators of the llm subpackage against brute force, round trips and held-out data."""
 
 import collections
+import json
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -65,6 +67,27 @@ def test_packing(spark, frame, documents):
     assert packing.pack(table(spark, [None]), WORDS, end_id=None).count() == 0
 
 
+def test_other_tokenizers(tmp_path):
+    """A file that normalises or splits in another way is used as it is, not word by word."""
+    from tokenizers import Tokenizer
+
+    assert packing.by_words(WORDS)
+    found = json.loads(Path(WORDS).read_text())
+    found["normalizer"] = {"type": "NFC"}
+    (tmp_path / "t.json").write_text(json.dumps(found))
+    other = Tokenizer.from_file(str(tmp_path / "t.json"))
+    ids, own = packing.WordIds(str(tmp_path / "t.json")), packing.WordIds(WORDS)
+    assert not ids.by_words and own.by_words
+    text = "Upper Case  words\n and <|endoftext|> more"
+    assert ids.of(text) == np.array(other.encode(text, add_special_tokens=False).ids, "<u4").tobytes() != own.of(text)
+
+
+def test_packing_of_repeated_rows(spark):
+    docs = table(spark, ["one two"]).union(table(spark, ["one two"])).union(table(spark, ["one two"]))
+    got = packing.pack(docs, WORDS, window=8, units=8).collect()
+    assert len(got) == 3 and len({(r.sequence_id, r.offset) for r in got}) == 3
+
+
 def test_packing_plan():
     rng = np.random.default_rng(0)
     a, b = rng.random((12, 30)), rng.random(12)
