@@ -197,9 +197,10 @@ def test_recall_near_the_threshold(spark):
 
 def test_one_row_stays(spark):
     text = " ".join(f"w{i}" for i in range(60))
-    rows = [(None, text), (None, text + " x"), (5, text + " y"), (5, text + " z"), (5, text), (7, ""), (None, None), (8, "alone here")]
+    long = " ".join(f"l{i}" for i in range(150000))
+    rows = [(None, text), (None, text + " x"), (5, text + " y"), (5, text + " z"), (5, text), (7, ""), (None, None), (8, "alone here"), (11, long), (10, long + " x")]
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
-    assert sorted(r.doc_id or 0 for r in got if r.stays) == [0, 5, 7, 8]
+    assert sorted(r.doc_id or 0 for r in got if r.stays) == [0, 5, 7, 8, 10]
 
 
 def test_block_links():
@@ -560,6 +561,25 @@ def test_oracles(spark, name):
     assert sorted((tuple(r[c] for c in columns) for r in got.collect()), key=repr) == sorted(map(tuple, want.fetchall()), key=repr)
 
 
+def test_repeated_and_long_rows(spark, documents):
+    """Repeated rows get equal rows, long texts are whole, columns with clashing names are of no account."""
+    long = "some word " * 30000 + "Released under the MIT License."
+    once = table(spark, [long, "a b", None, ""]).withColumns({c: F.lit(1) for c in ("ids", "license", "n_tokens", "grade", "verdict", "plain", "row", "severity")})
+    ids = lang_id.train(documents.limit(100))
+    none = toxicity.OrdinalModel(np.zeros(0, int), np.zeros(0), np.array([0.5]))
+    for f in (
+        lambda d: license_scan.scan(d),
+        lambda d: token_counts.token_counts(d, PIECES),
+        lambda d: sentencepiece_codec.digests(sentencepiece_codec.decode(sentencepiece_codec.encode(d, PIECES), PIECES)),
+        lambda d: lang_id.identify(d, ids),
+        lambda d: toxicity.score(d, none),
+    ):
+        rows = collections.Counter(f(once.union(once)).collect())
+        assert len(rows) == 4 and set(rows.values()) == {2}
+    assert license_scan.scan(once).where("doc_id = 0").head().license == "mit"
+    assert sentencepiece_codec.digests(sentencepiece_codec.decode(sentencepiece_codec.encode(once, PIECES), PIECES)).where("NOT round_trip").count() == 0
+
+
 # ---------------------------------------------------------------- pipeline
 
 
