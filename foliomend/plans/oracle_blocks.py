@@ -214,7 +214,7 @@ def pseudocode(docs: str, old: bool) -> str:
     label = r"(?i)^\s*\*\*\s*(Input|Output|Procedure|Requires?|Ensure)\s*[:：]?\s*\*\*"
     first_step = "least(" + ("min(CASE WHEN c.hard THEN c.n END), min(CASE WHEN c.free AND c.n > o.step THEN c.n END))" if old else "min(CASE WHEN c.hard THEN c.n END), min(CASE WHEN c.free THEN c.n END))")
     head = f"""CASE WHEN coalesce({strip(f"regexp_extract(x, '{_TITLE}', 1)")}, '') || {strip(f"regexp_extract(x, '{_TITLE}', 2)")} <> '' THEN {strip(f"'Algorithm ' || {strip(f"regexp_extract(x, '{_TITLE}', 1)")} || ': ' || {strip(f"regexp_extract(x, '{_TITLE}', 2)")}")} ELSE 'Algorithm' END"""
-    return f"""WITH RECURSIVE {docs}, pl AS (SELECT doc_id, CASE WHEN md = '' THEN [] WHEN ends_with(md, chr(10)) THEN string_split(substr(md, 1, length(md) - 1), chr(10)) ELSE string_split(md, chr(10)) END AS l FROM c WHERE md IS NOT NULL),
+    return rf"""WITH RECURSIVE {docs}, pl AS (SELECT doc_id, CASE WHEN md = '' THEN [] WHEN ends_with(md, chr(10)) THEN string_split(substr(md, 1, length(md) - 1), chr(10)) ELSE string_split(md, chr(10)) END AS l FROM c WHERE md IS NOT NULL),
 p1 AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, CAST(len(l) - 1 AS INTEGER) AS top, l[i] AS x, {strip('l[i]')} AS t FROM pl, unnest(range(1, len(l) + 1)) r(i)),
 p2 AS (SELECT *, starts_with(t, '```') AS fence, regexp_matches(x, '{_TITLE}') AS title, regexp_matches(t, '^\d+\s*[:.)]\s') AS step, t NOT IN ('', '***') AND NOT ({steps}) AS free,
   starts_with(t, '```') OR regexp_matches(x, '^\s*#{{1,6}}\s') OR (regexp_matches(x, '^\s*\*\*.+\*\*\s*$') AND NOT regexp_matches(x, '{label}')) AS hard FROM p1),
