@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,12 +19,13 @@ from foliomend.operators import lines as O
 from foliomend.operators import nodes as N
 from foliomend.operators import pages as P
 from foliomend.operators import placeholders as PH
-from foliomend.plans import config, fix, translate
+from foliomend.plans import config, fix, merge, translate
 from foliomend.plans import oracle as S
 from foliomend.plans import oracle_blocks as SB
 from foliomend.plans.corpus import SQL, SQL_LINES, corpus
 from foliomend.sources import pages as R
 from foliomend.sources import sinks
+from foliomend.sources.shared import shared_dir
 
 #: Blocks of the corpus' pages for repair, and of its documents for protection, in SQL.
 _LEXED = "WITH RECURSIVE " + SB.lexed(SB.pages_new(SQL), SB.REPAIR)
@@ -710,6 +712,19 @@ def external_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.concatenate(R.link_images(pages, R.images(pages)), titles=True, header=True)
 
 
+@query(ORACLES["external_concat"])
+def merge_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole merge, from record files and page files that are written first, in the shared folder."""
+    folder = f"{shared_dir(spark)}/merge-{uuid.uuid4().hex}"
+    pages = _records(spark, sf_dir).withColumn("path", F.concat_ws("/", F.lit("pages"), "doc", F.concat(F.col("page_no").cast("string"), F.lit(".md"))))
+    sinks.write_files(pages.where("content <> ''").select("path", "content"), folder)
+    record = F.to_json(F.struct("page_no", "file_path", F.concat(F.lit(f"{folder}/"), "path").alias("md_content_path"), "input_width", "input_height"))
+    records = pages.groupBy("doc").agg(F.array_join(F.collect_list(record), "\n").alias("content"))
+    sinks.write_files(records.select(F.concat(F.lit("records/"), "doc", F.lit(".jsonl")).alias("path"), "content"), folder)
+    found = merge.merge(R.read_records(spark, f"{folder}/records"), R.read_files(spark, f"{folder}/pages"), titles=True)
+    return found.external.select(F.regexp_extract("doc", r"([^/]*)\.jsonl$", 1).alias("doc"), "md")
+
+
 @query(rf"""WITH {_RECORDS} SELECT doc, count(*) AS total_pages, any_value(file_path) AS source_pdf, CAST(count(*) FILTER (content <> '') AS BIGINT) AS images FROM r GROUP BY doc""")
 def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = R.metadata(_records(spark, sf_dir))
