@@ -5,7 +5,7 @@ Patterns stand here in full, so that a wrong one elsewhere shows.
 
 from __future__ import annotations
 
-from foliomend.plans.oracle import quoted, starts_lower, strip
+from foliomend.plans.oracle import continues_paragraph, ends_sentence, incomplete, pipe_row, quoted, starts_lower, strip
 
 _START = "'^\\s+'"
 #: Closing lines of a block that line o opens, and whether the closing line belongs to it.
@@ -189,6 +189,57 @@ rg AS (SELECT doc_id, {ranges('md', '^', ' ')} AS md FROM df), rl AS (SELECT doc
 SELECT doc_id, {DOUBLE.format(cleaned)} AS md FROM fm"""
 
 
+# ------------------------------------------------- interrupted paragraphs
+
+_HTML = r"'(?i)<(table|tr|td|th|tbody|/table>|/tr>|/td>|/th>|/thead>|/tbody>)'"
+_CAPTIONED = r"'^(Fig\.|Figure|Table|Tab\.)\s+\d+'"
+
+
+def embedded(docs: str) -> str:
+    """c(doc_id, md) in `docs` with interrupted paragraphs whole and the elements behind them.
+
+    First what each line is, then where an element that begins there ends, then for each line with an
+    open sentence how far its paragraph reaches, at last a walk over the text.
+    """
+    blank = lambda x: f"{strip(x)} = ''"
+    image = r"regexp_matches(t, '^!\[.*?\]\(.*?\)$')"
+    says_html = f"regexp_matches(t, {_HTML})"
+    last = "CASE WHEN len(w.part) > 0 THEN w.part[len(w.part)] ELSE w.parts[len(w.parts)] END"
+    closed = "CASE WHEN len(part) > 0 THEN list_append(parts, array_to_string(part, ' ')) ELSE parts END"
+    joined = r"""list_reduce(list_concat([''], parts), lambda o, r: CASE WHEN regexp_replace(r, '^\s+|\s+$', '', 'g') = '' THEN o WHEN o = '' THEN regexp_replace(r, '^\s+|\s+$', '', 'g')
+WHEN ends_with(o, '-') AND regexp_matches(r, '^\p{Ll}') THEN substr(o, 1, length(o) - 1) || regexp_replace(r, '^\s+|\s+$', '', 'g')
+WHEN NOT ends_with(o, '-') AND NOT regexp_matches(o, '[.!?,;:]\s*$') AND regexp_matches(regexp_replace(r, '^\s+|\s+$', '', 'g'), '^[.,;:!?)]') THEN o || regexp_replace(r, '^\s+|\s+$', '', 'g') ELSE o || ' ' || regexp_replace(r, '^\s+|\s+$', '', 'g') END)"""
+    return f"""WITH RECURSIVE {docs}, e0 AS (SELECT doc_id, string_split(md, chr(10)) AS l FROM c WHERE md IS NOT NULL),
+e1 AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, CAST(len(l) AS INTEGER) AS size, l, l[i] AS x, {strip('l[i]')} AS t FROM e0, unnest(range(1, len(l) + 1)) r(i)),
+e2 AS (SELECT *, {image} AS image, {says_html} AS html, {pipe_row('t')} AS pipe, regexp_matches(t, {_CAPTIONED}) AS cap, {image} OR contains(t, '<img') OR {says_html} OR {pipe_row('t')} AS hit FROM e1),
+e3 AS (SELECT *, cap AND (coalesce(bool_or(hit) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), false) OR coalesce(bool_or(hit) OVER (w ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), false)) AS captions FROM e2 WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
+e4 AS (SELECT *, CASE WHEN image THEN 'image' WHEN cap AND captions THEN 'caption' WHEN html THEN 'html' WHEN pipe THEN 'pipe' ELSE 'text' END AS kind FROM e3),
+pe AS (SELECT o.doc_id, o.n, min(c.n) AS stop FROM e4 o JOIN e4 c ON c.doc_id = o.doc_id AND c.n > o.n AND NOT c.pipe WHERE o.kind = 'pipe' GROUP BY ALL),
+hd AS (SELECT o.doc_id, o.n, c.n AS m, contains(lower(o.x), '<table') AS own, sum((length(lower(c.x)) - length(replace(lower(c.x), '<table', ''))) // 6 - (length(lower(c.x)) - length(replace(lower(c.x), '</table>', ''))) // 8) OVER (PARTITION BY o.doc_id, o.n ORDER BY c.n) AS depth,
+  NOT regexp_matches({strip("coalesce(c.l[c.n + 2], '')")}, {_HTML}) AS over FROM e4 o JOIN e4 c ON c.doc_id = o.doc_id AND c.n >= o.n WHERE o.kind = 'html'),
+he AS (SELECT doc_id, n, min(m) + 1 AS stop FROM hd WHERE depth = 0 AND (own OR (m > n AND over)) GROUP BY ALL),
+e5 AS (SELECT e4.*, CASE kind WHEN 'image' THEN n + 1 WHEN 'pipe' THEN coalesce(pe.stop, size) WHEN 'html' THEN coalesce(he.stop, size) END AS base FROM e4 LEFT JOIN pe USING (doc_id, n) LEFT JOIN he USING (doc_id, n)),
+k AS (SELECT a.doc_id, a.n, a.size, a.l, a.x, a.kind, CASE WHEN a.n + 1 < a.size AND {blank('a.l[a.n + 2]')} THEN 1 ELSE 0 END AS gap, a.base FROM e5 a WHERE kind <> 'text'),
+el AS (SELECT k.doc_id, k.n, CASE WHEN k.kind = 'caption' THEN CASE WHEN b.kind IN ('image', 'html', 'pipe') THEN list_concat(list_concat([k.x], CASE WHEN gap = 1 THEN [''] ELSE [] END), k.l[k.n + gap + 2:b.base]) ELSE list_concat([k.x], CASE WHEN gap = 1 THEN [''] ELSE [] END) END
+    WHEN k.kind = 'image' AND k.base + 1 < k.size AND {blank('k.l[k.base + 1]')} THEN CASE WHEN c2.captions THEN list_concat(k.l[k.n + 1:k.base], ['', k.l[k.base + 2]]) ELSE k.l[k.n + 1:k.base] END
+    WHEN c1.captions THEN k.l[k.n + 1:k.base + 1] ELSE k.l[k.n + 1:k.base] END AS taken,
+  CASE WHEN k.kind = 'caption' THEN CASE WHEN b.kind IN ('image', 'html', 'pipe') THEN b.base ELSE k.n + 1 + gap END
+    WHEN k.kind = 'image' AND k.base + 1 < k.size AND {blank('k.l[k.base + 1]')} THEN CASE WHEN c2.captions THEN k.base + 2 ELSE k.base END WHEN c1.captions THEN k.base + 1 ELSE k.base END AS nxt
+  FROM k LEFT JOIN e5 b ON b.doc_id = k.doc_id AND b.n = k.n + 1 + gap AND k.kind = 'caption' LEFT JOIN e5 c1 ON c1.doc_id = k.doc_id AND c1.n = k.base LEFT JOIN e5 c2 ON c2.doc_id = k.doc_id AND c2.n = k.base + 1),
+ef AS (SELECT e5.doc_id, e5.n, e5.size, e5.x, e5.kind, el.taken, CAST(el.nxt AS INTEGER) AS nxt, {ends_sentence('e5.x')} AND e5.n + 1 < e5.size AND {blank('e5.l[e5.n + 2]')} AS final FROM e5 LEFT JOIN el USING (doc_id, n)),
+w AS (SELECT doc_id, n AS i, CAST(n + 1 AS INTEGER) AS j, [x] AS part, []::VARCHAR[] AS parts, []::VARCHAR[] AS els, n + 1 >= size AS stop FROM ef WHERE {incomplete('x')}
+  UNION ALL SELECT w.doc_id, w.i, CASE WHEN f.kind <> 'text' THEN f.nxt WHEN {continues_paragraph(f'({last})', 'f.x')} THEN w.j + 1 ELSE w.j END,
+    CASE WHEN f.kind <> 'text' THEN []::VARCHAR[] WHEN {continues_paragraph(f'({last})', 'f.x')} THEN list_append(w.part, f.x) ELSE w.part END,
+    CASE WHEN f.kind <> 'text' AND len(w.part) > 0 THEN list_append(w.parts, array_to_string(w.part, ' ')) ELSE w.parts END, CASE WHEN f.kind <> 'text' THEN list_concat(list_append(w.els, ''), f.taken) ELSE w.els END,
+    CASE WHEN f.kind <> 'text' THEN f.nxt >= f.size WHEN {continues_paragraph(f'({last})', 'f.x')} THEN f.final OR w.j + 1 >= f.size ELSE true END
+  FROM w JOIN ef f ON f.doc_id = w.doc_id AND f.n = w.j WHERE NOT w.stop),
+wp AS (SELECT doc_id, i, j, {closed} AS parts, els FROM w WHERE stop), wf AS (SELECT doc_id, i, j, list_concat(list_append([{joined}], '')[:1], list_append(els, '')) AS lines FROM wp WHERE len(parts) >= 2 OR len(els) > 0),
+go AS (SELECT ef.doc_id, ef.n, coalesce(wf.j, ef.n + 1) AS after, coalesce(wf.lines, [ef.x]) AS lines FROM ef LEFT JOIN wf ON wf.doc_id = ef.doc_id AND wf.i = ef.n),
+st AS (SELECT doc_id, 0 AS n FROM e0 UNION ALL SELECT st.doc_id, CAST(go.after AS INTEGER) FROM st JOIN go ON go.doc_id = st.doc_id AND go.n = st.n),
+em AS (SELECT doc_id, string_agg(array_to_string(go.lines, chr(10)), chr(10) ORDER BY go.n) AS md FROM st JOIN go USING (doc_id, n) GROUP BY doc_id)
+SELECT c.doc_id, em.md FROM c LEFT JOIN em USING (doc_id)"""
+
+
 # -------------------------------------------------------------- pseudocode
 
 _TITLE = r"(?i)^\s*(?:\*\*)?\s*(?:Algorithm|算法)\s+([A-Za-z0-9.-]+)?\s*(?:\*\*)?\s*(.*)$"

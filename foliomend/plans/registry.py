@@ -484,7 +484,7 @@ def split_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.split_types(B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir))))
 
 
-@query()
+@query(SB.embedded(SQL))
 def embedded_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", E.repair_column(F.col("md")).alias("md"))
 
