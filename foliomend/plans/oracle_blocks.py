@@ -279,6 +279,56 @@ p7 AS (SELECT p6.doc_id, p6.n, CASE WHEN NOT go.opens THEN p6.x ELSE CASE WHEN p
 SELECT c.doc_id, CASE WHEN c.md IS NOT NULL THEN coalesce(p8.md, '') END AS md FROM c LEFT JOIN (SELECT doc_id, string_agg(x, chr(10) ORDER BY n) AS md FROM p7 GROUP BY doc_id) p8 USING (doc_id)"""
 
 
+# ----------------------------------------------------- the whole old repair
+
+
+def bracketed(x: str) -> str:
+    """Bare links and mail addresses in angle brackets, code and mathematics with spaces around. Characters that the
+    rules only look at are matched and put back; addresses are done twice, as neighbours share such a character."""
+    after = r"([\s)\]}>.,!?;:，。！？；：]|$)"
+    mail = rf"(^|[^\p{{L}}\p{{N}}\p{{M}}_.%+\-<(]|[^\]]\(|^\()([A-Za-z0-9._%+-]+)@([A-Za-z0-9.-]+\.[A-Za-z]{{2,}}){after}"
+    steps = [(r"(^|[\s\[{\"“]|[^\]]\(|^\()(https?://[^\s)\]}>]+)", r"\1<\2>"), (mail, "\\1<mailto:\\2\1\\3>\\4"), (mail, "\\1<mailto:\\2\1\\3>\\4"), ("\1", "@")]
+    steps += [(r"(^|[^`])(`[^`\n]+`)([^`]|$)", r"\1 \2 \3"), (r"(\$[^\s$][^$\n]*?\$)([^$]|$)", r" \1 \2")]
+    for pattern, put in steps:
+        x = f"regexp_replace({x}, {quoted(pattern)}, {quoted(put)}, 'g')"
+    return x
+
+
+def retitled_old(lines: str) -> str:
+    """doc_id, md: texts of l(doc_id, n, x), which `lines` ends with, with hash headings at their levels."""
+    hashes = r"^(?:#{1,6})+\s*"
+    kinds = {"roman": hashes + r"(?:Sec(?:tion)?\.?\s+)?([IVX]+)\.?\s+(.+)$", "number": hashes + r"(\d+(?:\.\d+)*?)\.?\s+(.+)$", "upper": hashes + r"([A-Z])\.?\s+([A-Z].+)$", "lower": hashes + r"([a-z])\.?\s+(.+)$"}
+    kind = "CASE " + " ".join(f"WHEN regexp_matches(x, '{p}') THEN '{k}'" for k, p in kinds.items()) + " END"
+    part = lambda g: "CASE kind " + " ".join(f"WHEN '{k}' THEN regexp_extract(x, '{p}', {g})" for k, p in kinds.items()) + " END"
+    level = "least(6, CASE kind WHEN 'roman' THEN 2 WHEN 'number' THEN CASE WHEN roman THEN 3 ELSE 2 END + length(number) - length(replace(number, '.', '')) WHEN 'upper' THEN 3 ELSE 4 END)"
+    return f"""WITH {lines}, k1 AS (SELECT *, {kind} AS kind FROM l), k2 AS (SELECT *, {part(1)} AS number, {part(2)} AS title, coalesce(bool_or(kind = 'roman') OVER (PARTITION BY doc_id), false) AS roman FROM k1)
+SELECT doc_id, string_agg(CASE WHEN kind IS NULL THEN x ELSE repeat('#', CAST({level} AS INTEGER)) || ' ' || CASE WHEN kind = 'roman' AND contains(x, 'Sec') THEN 'Sec ' ELSE '' END || number || '. ' || title END, chr(10) ORDER BY n) AS md FROM k2 GROUP BY doc_id"""
+
+
+def fixed_old(docs: str, lines: str, pages: str, plan: str) -> str:
+    """The old repair of c(doc_id, md) in `docs`.
+
+    lines: on to l(doc_id, n, x). pages: from c on to g(doc_id, page, text). plan: from g on to plan, as MERGED takes it.
+    A page's key stands for a document's where pages are repaired.
+    """
+    keyed = "c AS (SELECT {{'d': doc_id, 'p': page}} AS doc_id, text AS md FROM ({0}))".format
+    repaired = lambda inner: f"SELECT doc_id.d AS doc_id, doc_id.p AS page, md AS text FROM ({embedded(keyed(inner))})"
+    titled = f"c AS ({retitled_old(lines)})"
+    first = repaired(f"WITH {titled}, {pages} SELECT doc_id, page, text FROM g")
+    merged = repaired(f"WITH RECURSIVE g AS ({first}), {plan}, {MERGED} SELECT doc_id, page, text FROM mp")
+    whole = embedded(f"c AS (SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY page) AS md FROM ({merged}) GROUP BY doc_id)")
+    one = f"SELECT doc_id, any_value(text) AS only, count(*) AS pages FROM ({first}) GROUP BY doc_id"
+    chosen = f"SELECT o.doc_id, CASE WHEN o.pages = 1 THEN o.only ELSE w.md END AS md FROM ({one}) o JOIN ({whole}) w USING (doc_id)"
+    cited = rf"WITH c AS ({chosen}), {definitions('c', 'df')}, rg AS (SELECT doc_id, {ranges('md', '', '')} AS md FROM df) SELECT doc_id, regexp_replace(md, '\[(\d+)\]', '[^\1]', 'g') AS md FROM rg"
+    decoded = "md"
+    for a, b in (("&nbsp;", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+        decoded = f"replace({decoded}, {quoted(a)}, {quoted(b)})"
+    coded = f"c AS (SELECT doc_id, {decoded} AS md FROM ({pseudocode(f'c AS ({cited})', old=True)}))"
+    blocks = f"WITH RECURSIVE {lexed(coded + ', pg AS (SELECT doc_id, 0 AS page, md AS text FROM c)', PROTECT, keep_blank=True)}"
+    spaced = f"{blocks} SELECT c.doc_id, coalesce({DOUBLE.format('j.md')}, '') AS md FROM c LEFT JOIN (SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY block) AS md FROM b GROUP BY doc_id) j USING (doc_id)"
+    return f"SELECT doc_id, {DOUBLE.format(bracketed('md'))} AS md FROM ({spaced})"
+
+
 # ------------------------------------------------------------------- nodes
 
 

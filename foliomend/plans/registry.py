@@ -388,7 +388,7 @@ def references_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.fix_references_new(F.col("md")).alias("md"))
 
 
-@query()
+@query(f"WITH {SQL} SELECT doc_id, {SB.bracketed('md')} AS md FROM c")
 def bracket_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.bracket_links(F.col("md")).alias("md"))
 
@@ -494,7 +494,10 @@ def pseudocode_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", E.wrap_pseudocode_column(F.col("md")).alias("md"))
 
 
-@query()
+_PLAN = _plan_sql("conservative").removeprefix("WITH RECURSIVE ").removeprefix(_PAGES_OLD).removeprefix(", ")
+
+
+@query(SB.fixed_old(SQL, SQL_LINES, _PAGES_OLD.removeprefix(SQL).removeprefix(", "), _PLAN))
 def fix_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fix.fix_old(corpus(spark, sf_dir))[0]
 

@@ -33,7 +33,7 @@ def test_every_verdict_occurs(spark):
     assert set(values(spark, "translation_check_english", "ok")) == {True, False}
 
 
-@pytest.mark.parametrize(("name", "before"), [("metadata_separation", "md"), ("cite_lists_new", "md"), ("references_new", "md"), ("journal_notes_plain", "md")])
+@pytest.mark.parametrize(("name", "before"), [("metadata_separation", "md"), ("cite_lists_new", "md"), ("references_new", "md"), ("journal_notes_plain", "md"), ("embedded_repair", "md"), ("pseudocode_wrap", "md"), ("bracket_links", "md"), ("fix_old", "md"), ("fix_new", "md")])
 def test_texts_change(spark, name, before):
     changed = registry.QUERIES[name](spark, TABLES).withColumnRenamed("md", "after").join(corpus(spark, TABLES), "doc_id").where("md <> after")
     assert changed.count() > 5
