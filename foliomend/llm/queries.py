@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomend.llm import chat_format, exact_dedup, lang_id, license_scan, near_dedup, packing, sentencepiece_codec, token_counts, topk, toxicity
+from foliomend.llm import centroids, chat_format, collocations, exact_dedup, lang_id, license_scan, near_dedup, packing, quality, sentencepiece_codec, token_counts, topk, toxicity
 from foliomend.llm.common import documents
 
 
@@ -75,6 +75,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(sentencepiece_codec.decode(sentencepiece_codec.encode(documents(spark, sf_dir), model), model))
 
 
-_ALL = (op1_pack_sequences, op2_near_dedup, op3_toxicity, op4_top_k, op5_token_counts, op6_format_chats, op7_language_id, op8_license_scan, op9_exact_dedup, op10_sentencepiece)
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+_ALL = (op1_pack_sequences, op2_near_dedup, op3_toxicity, op4_top_k, op5_token_counts, op6_format_chats, op7_language_id, op8_license_scan, op9_exact_dedup, op10_sentencepiece, op11_quality_rules, op12_collocations, op13_centroids)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {"op4_top_k": topk.ORACLE, "op6_format_chats": chat_format.ORACLE, "op8_license_scan": license_scan.oracle(), "op9_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op4_top_k": topk.ORACLE, "op6_format_chats": chat_format.ORACLE, "op8_license_scan": license_scan.oracle(), "op9_exact_dedup": exact_dedup.ORACLE, "op11_quality_rules": quality.ORACLE, "op12_collocations": collocations.ORACLE, "op13_centroids": centroids.ORACLE}
