@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from foliomend.llm.common import LOWER, looked_up, mix, slices, word_hashes, written
 
 #: Bytes of text in a shard, about, and bitmap bytes whose extensions are made at once.
-SHARD, STEP = 1 << 23, 1 << 16
+SHARD, STEP = 1 << 22, 1 << 15
 #: Bits of the filter: 16 MB, for any corpus. It is made in parts of PART bits.
 FILTER, PART = 1 << 27, 1 << 16
 NO_LANGUAGE = "und"
@@ -47,31 +47,33 @@ class Shard:
         _, offsets, data = whole.buffers()
         offsets = np.frombuffer(offsets, np.int64)[whole.offset : whole.offset + len(whole) + 1]
         data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
-        starts = offsets[:-1] - offsets[0]
         kind = KIND[data]
         inside = kind == 0
-        edge = np.zeros(len(data) + 1, bool)
-        edge[starts] = True
-        edge = edge[: len(data)]
-        first = np.flatnonzero(inside & (np.concatenate([[True], ~inside[:-1]])[: len(data)] | edge))
-        last = np.flatnonzero(inside & (np.concatenate([~inside[1:], [True]])[: len(data)] | np.concatenate([edge[1:], [True]])[: len(data)]))
-        letters = LOWER[data[inside]]
-        ends = np.concatenate([[0], np.cumsum(last - first + 1)]).astype(np.int64)
-        words = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(ends), pa.py_buffer(letters))
+        begins = np.zeros(len(data) + 1, bool)  # where a text begins, and behind the last one
+        begins[offsets - offsets[0]] = True
+        before = np.concatenate([[False], inside[:-1]])[: len(data)]
+        first = np.flatnonzero(inside & (~before | begins[:-1])).astype(np.int32)
+        after = np.concatenate([inside[1:], [False]])[: len(data)]
+        last = np.flatnonzero(inside & (~after | begins[1:])).astype(np.int32)
+        cuts = np.flatnonzero((kind == 2) | begins[:-1]).astype(np.int32)
+        self.n = len(first)
+        ends = np.zeros(self.n + 1, np.int64)
+        np.cumsum(last - first + 1, out=ends[1:])
+        words = pa.LargeStringArray.from_buffers(self.n, pa.py_buffer(ends), pa.py_buffer(LOWER[data[inside]]))
         found = words.dictionary_encode()
-        self.words, word = found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        piece = np.cumsum((kind == 2) | edge)[first]
-        self.n = len(word)
-        position = np.arange(self.n) + np.cumsum(np.diff(piece, prepend=piece[:1]) > 0)
+        self.words, word = found.dictionary, found.indices.to_numpy(zero_copy_only=False)
+        piece = np.searchsorted(cuts, first, "right")
+        position = (np.arange(self.n) + np.cumsum(np.diff(piece, prepend=piece[:1]) > 0)).astype(np.int32)
+        del data, kind, inside, begins, before, after, first, last, cuts, ends, words, found, piece
         # The words' bitmaps, in order of words: entries of one word are next to each other.
         order = np.argsort(word, kind="stable")
-        self.word, self.block, self.bits = _merged(word[order], position[order] >> 3, np.uint8(1) << (position[order] & 7).astype(np.uint8))
+        word, position = word[order], position[order]
+        self.word, self.block, self.bits = _merged(word, position >> 3, np.uint8(1) << (position & 7).astype(np.uint8))
         # The same entries in order of blocks, to find what lies in one.
-        self.by_block = np.argsort(self.block, kind="stable")
-        in_order = self.block[self.by_block]
-        n_blocks = int(in_order[-1]) + 2 if self.n else 1
-        self.at = np.searchsorted(in_order, np.arange(n_blocks + 1))
-        self.word_b, self.bits_b = self.word[self.by_block], self.bits[self.by_block]
+        by_block = np.argsort(self.block, kind="stable")
+        self.word_b, self.bits_b = self.word[by_block], self.bits[by_block]
+        n_blocks = int(self.block[by_block[-1]]) + 2 if self.n else 1
+        self.at = np.searchsorted(self.block[by_block], np.arange(n_blocks + 1)).astype(np.int32)
 
     def extended(self, group: np.ndarray, block: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bitmaps (group, word, block, bits) of every group's phrase followed by one more word."""
@@ -98,7 +100,7 @@ def _merged(word: np.ndarray, block: np.ndarray, bits: np.ndarray) -> tuple[np.n
 
 def _grouped(group: np.ndarray, word: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     """The order that brings entries of one (group, word) together, and where each begins in it."""
-    key = group * n_words + word
+    key = group.astype(np.int64) * n_words + word
     order = np.argsort(key, kind="stable")
     key = key[order]
     return order, np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
@@ -198,7 +200,7 @@ def counts(docs: DataFrame, least: int, most: int, often: Broadcast | None = Non
             held.clear()
 
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SHARD // 2):
                 for lang in part.column(0).unique().to_pylist():
                     texts = part.column(1).filter(pc.equal(part.column(0), lang))
                     held.setdefault(lang, []).append(texts)
