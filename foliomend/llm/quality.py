@@ -10,6 +10,7 @@ rejects it, whichever comes first.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -145,20 +146,21 @@ def _now() -> Column:
     return F.reflect(F.lit("java.lang.System"), F.lit("nanoTime")).cast("long")
 
 
-def estimate(rows: DataFrame, of: list[Rule]) -> tuple[list[Estimate], dict[tuple[bool, ...], int]]:
-    """One pass over rows: each rule's cost and selectivity, and how many texts each set of rules rejects.
+def estimate(rows: DataFrame, of: list[Rule], most: int = SAMPLE) -> tuple[list[Estimate], dict[tuple[bool, ...], int]]:
+    """Each rule's cost and selectivity on at most `most` of the rows, and how many texts each set of rules rejects.
 
     The clock is read before and after each rule in the row it is applied to; the time that the clock
-    itself takes is measured alike and subtracted. Only sums for each occurring set of rules come back.
+    itself takes is measured alike and subtracted. Partitions are read until there are enough rows, and of
+    each row only the verdicts and times come to the driver.
     """
     timed = [("_idle", F.lit(False)), *((r.name, r.rejects) for r in of)]
     clocked = F.struct(*(c for name, x in timed for c in (_now().alias(f"from_{name}"), x.alias(name), _now().alias(f"to_{name}"))))
-    spent = [F.sum(F.col(f"m.to_{name}") - F.col(f"m.from_{name}")).alias(f"ns_{k}") for k, (name, _) in enumerate(timed)]
-    found = rows.select(clocked.alias("m")).groupBy(F.array(*(F.col(f"m.{r.name}") for r in of)).alias("verdicts")).agg(F.count("*").alias("n"), *spent).collect()
-    n = max(1, sum(r["n"] for r in found))
-    total = [sum(r[f"ns_{k}"] for r in found) / n for k in range(len(timed))]
-    alone = [sum(r["n"] for r in found if r["verdicts"][k]) / n for k in range(len(of))]
-    return [Estimate(r.name, max(total[k + 1] - total[0], 1.0), alone[k]) for k, r in enumerate(of)], {tuple(r["verdicts"]): r["n"] for r in found}
+    spent = F.array(*(F.col(f"m.to_{name}") - F.col(f"m.from_{name}") for name, _ in timed))
+    found = rows.select(clocked.alias("m")).select(F.array(*(F.col(f"m.{r.name}") for r in of)).alias("verdicts"), spent.alias("ns")).limit(most).collect()
+    n = max(1, len(found))
+    total = [sum(r["ns"][k] for r in found) / n for k in range(len(timed))]
+    alone = [sum(r["verdicts"][k] for r in found) / n for k in range(len(of))]
+    return [Estimate(r.name, max(total[k + 1] - total[0], 1.0), alone[k]) for k, r in enumerate(of)], dict(Counter(tuple(r["verdicts"]) for r in found))
 
 
 def ordered(estimates: list[Estimate], verdicts: dict[tuple[bool, ...], int]) -> list[str]:
@@ -183,9 +185,9 @@ def cascade(of: list[Rule]) -> Column:
 
 
 def plan(docs: DataFrame, of: list[Rule], id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """The order of the rules for docs, from about one text in SAMPLE_EVERY, at most SAMPLE of them: the
-    sample decides the order and no verdict."""
-    sample = measured(docs.sample(1 / SAMPLE_EVERY, seed=11).limit(SAMPLE), id_col, text_col).where(~F.col("base_failed"))
+    """The order of the rules for docs, from about one text in SAMPLE_EVERY until there are SAMPLE that pass
+    the base: the sample decides the order and no verdict."""
+    sample = measured(docs.sample(1 / SAMPLE_EVERY, seed=11), id_col, text_col).where(~F.col("base_failed"))
     return ordered(*estimate(sample, of))
 
 
