@@ -87,16 +87,28 @@ def _each(s: Column, pattern: str, rewrite: Callable[[Column], Column]) -> Colum
     return F.array_join(F.zip_with(F.split(s, pattern, -1), values, lambda x, v: F.concat(x, F.coalesce(v, F.lit("")))), "")
 
 
-#: A citation range of more numbers than this stays as it is, as does one whose numbers have over 38 digits.
-MOST_CITED = 10_000
+#: Digits that a decimal holds; of longer numbers it holds the last TAIL, while those before are the same.
+DIGITS, TAIL = 38, 30
 
 
 def _range(m: Column, before: str, between: str) -> Column:
-    """The numbers of a range [a-b], each as [a] with `before` in front of the number; none where a > b."""
-    a, b = (F.regexp_extract(m, RANGE, g).try_cast("decimal(38,0)") for g in (1, 2))
-    count = F.when(b - a < MOST_CITED, (b - a + 1).cast("int"))
-    marks = F.transform(F.sequence(F.lit(1), count), lambda k: F.concat(F.lit("[" + before), (a + k - 1).cast("decimal(38,0)").cast("string"), F.lit("]")))
-    return F.when(a > b, "").when(count.isNotNull(), F.array_join(marks, between)).otherwise(m)
+    """The numbers of a range [a-b], each as [a] with `before` in front of the number; none where a > b.
+
+    A range whose numbers don't fit in a row of two gigabytes is an error, as is one of numbers of over
+    DIGITS digits that differ before their last TAIL.
+    """
+    a, b = (F.regexp_replace(F.regexp_extract(m, RANGE, g), r"^0+(?=\d)", "") for g in (1, 2))
+    same = F.when(F.length(b) > DIGITS, F.length(b) - TAIL).otherwise(0)
+    head = lambda x: F.substring(x, F.lit(1), same)
+    tail = lambda x: F.substring(x, same + 1, F.lit(DIGITS)).try_cast("decimal(38,0)")
+    falls = (F.length(a) > F.length(b)) | ((F.length(a) == F.length(b)) & (a > b))
+    count = F.when((same == 0) | ((F.length(a) == F.length(b)) & (head(a) == head(b))), tail(b) - tail(a) + 1)
+    count = F.when(count * (F.length(b) + 4) < 2**31 - 1, count.try_cast("int"))
+    number = lambda k: (tail(a) + k - 1).cast("decimal(38,0)").cast("string")
+    whole = lambda k: F.when(same == 0, number(k)).otherwise(F.concat(head(b), F.lpad(number(k), TAIL, "0")))
+    marks = F.transform(F.sequence(F.lit(1), count), lambda k: F.concat(F.lit("[" + before), whole(k), F.lit("]")))
+    fits = F.when(count.isNotNull(), F.array_join(marks, between)).otherwise(F.raise_error(F.concat(F.lit("a row has no room for all numbers of "), m)))
+    return F.when(falls, "").otherwise(fits)
 
 
 def definitions(s: Column) -> Column:

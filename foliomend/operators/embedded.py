@@ -1,201 +1,254 @@
-"""Paragraphs that images, captions or tables interrupt: the paragraph is put together again, the elements go behind it.
+"""Paragraphs that images, captions or tables interrupt, and algorithms: runs of lines, found from marks.
 
-How far a paragraph reaches depends on what was gathered so far, so this is a scan over the lines of
-one text, in Arrow batches.
+What a line is, is decided by column expressions, once for each line: `marks` holds the answers as bits.
+From these a text's runs follow as a whole: lines that go on one from the other, table rows, HTML
+tables by the sum of opened and closed ones. A run's end is a lookup, so a text takes time in
+proportion to its lines. Python, in Arrow batches, only goes from one interruption to the next
+and puts the text together.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomend.functions import lines as L
 
-_c = re.compile
-_STOP, _STOP_QUOTED, _ABBREVIATION, _SHORT = map(_c, (L.STOP, L.STOP_QUOTED, L.ABBREVIATION, L.SHORT_ABBREVIATION))
-_OPEN, _LIST = [_c("(?i)" + p) for p in L.OPEN_TAIL], [_c(p) for p in L.LIST_STARTS]
-_IMAGE, _CAPTION, _HTML, _NUMBERED = map(_c, (L.IMAGE, L.CAPTION, L.HTML_TABLE, L.NUMBERED_HEADING))
-_ONLY_DELIMITERS = _c(r"^[\s\-:]+$")
-
-
-def is_pipe_row(s: str) -> bool:
-    return s.count("|") >= 2 or s.count("|") == 1 and bool(_ONLY_DELIMITERS.match(s.replace("|", "")))
-
-
-def element(s: str) -> str:
-    s = s.strip()
-    return "image" if _IMAGE.match(s) else "figure" if _CAPTION.match(s) else "table_html" if _HTML.search(s) else "table_markdown" if is_pipe_row(s) else "text"
-
-
-def ends_sentence(s: str) -> bool:
-    s = s.strip()
-    return not _ABBREVIATION.search(s) and bool(_STOP_QUOTED.search(s))
-
-
-def is_incomplete(s: str) -> bool:
-    s = s.strip()
-    if len(s) < 10:
-        return False
-    if _STOP.search(s):
-        return bool(_SHORT.search(s))
-    return len(s) > 50 or any(p.search(s) for p in _OPEN)
-
-
-def goes_on(before: str, after: str) -> bool:
-    a, b = before.strip(), after.strip()
-    if not a or not b or element(b) != "text":
-        return False
-    if b.startswith("#") or _NUMBERED.match(b) or len(b) < 80 and b[0].isupper() and not b.endswith("."):
-        return False
-    if b[0].islower():
-        return True
-    if is_incomplete(a):
-        return not (len(b) > 100 and ends_sentence(b))
-    listed = any(p.match(a) for p in _LIST) and any(p.match(b) for p in _LIST)
-    return not listed and a.endswith('"') and '"' in b
-
-
-class Page:
-    """The lines of a text, and the extents of the elements among them."""
-
-    def __init__(self, text: str):
-        self.lines = text.split("\n")
-        self.kinds = [element(x) for x in self.lines]
-
-    def at(self, i: int) -> str:
-        return self.lines[i] if i < len(self.lines) else ""
-
-    def is_caption(self, i: int) -> bool:
-        """A caption with an image or a table at most two lines away."""
-        if i >= len(self.lines) or not _CAPTION.match(self.lines[i].strip()):
-            return False
-        near = [j for j in range(max(0, i - 2), min(len(self.lines), i + 3)) if j != i]
-        return any(_IMAGE.match(t := self.lines[j].strip()) or "<img" in t or _HTML.search(t) or is_pipe_row(t) for j in near)
-
-    def kind(self, i: int) -> str:
-        """The element that line i is part of, or text; captions count in their context only."""
-        if self.kinds[i] == "figure":
-            t = self.lines[i].strip()
-            return "caption" if self.is_caption(i) else "table_html" if _HTML.search(t) else "table_markdown" if is_pipe_row(t) else "text"
-        return self.kinds[i]
-
-    def table_end(self, i: int, html: bool) -> int:
-        """The line behind a table that begins at i."""
-        if not html:
-            j = i
-            while j < len(self.lines) and is_pipe_row(self.lines[j].strip()):
-                j += 1
-            return max(j, i + 1)
-        depth, j = 0, i
-        while j < len(self.lines):
-            low = self.lines[j].lower()
-            depth += low.count("<table") - low.count("</table>")
-            j += 1
-            if depth == 0 and ("<table" in self.lines[i].lower() or j > i + 1 and not _HTML.search(self.at(j).strip())):
-                break
-        return j
-
-    def element_at(self, i: int) -> tuple[list[str], int]:
-        """The lines of an element that begins at i, with its caption, and the line behind it."""
-        kind = self.kind(i)
-        if kind == "caption":
-            taken, j = [self.lines[i]], i + 1
-            if j < len(self.lines) and not self.lines[j].strip():
-                taken.append("")
-                j += 1
-            if j < len(self.lines) and (k := self.kind(j)) in ("image", "table_html", "table_markdown"):
-                end = j + 1 if k == "image" else self.table_end(j, k == "table_html")
-                taken += self.lines[j:end]
-                j = end
-            return taken, j
-        end = i + 1 if kind == "image" else self.table_end(i, kind == "table_html")
-        taken = self.lines[i:end]
-        if kind == "image" and end + 1 < len(self.lines) and not self.lines[end].strip():
-            return (taken + ["", self.lines[end + 1]], end + 2) if self.is_caption(end + 1) else (taken, end)
-        return (taken + [self.lines[end]], end + 1) if self.is_caption(end) else (taken, end)
+(BLANK, IMAGE, CAPTION, HTML, PIPES, PICTURE, STOP, SHORT, OPEN, OPEN_INSIDE, ENDS, LOWER, HEADING, LISTED, QUOTED, QUOTE_LAST) = (1 << k for k in range(16))
+
+
+def marks(text: Column) -> Column:
+    """For each line of a text the bits above."""
+    def bits(t: Column) -> Column:
+        answers = {
+            BLANK: t == "",
+            IMAGE: L.is_image(t),
+            CAPTION: t.rlike(L.CAPTION),
+            HTML: L.is_html_table(t),
+            PIPES: L.is_markdown_table(t),
+            PICTURE: t.contains("<img"),
+            STOP: t.rlike(L.STOP),
+            SHORT: t.rlike(L.SHORT_ABBREVIATION),
+            OPEN: L.any_of(t, L.OPEN_TAIL, "(?i)"),
+            OPEN_INSIDE: L.any_of(F.concat(F.lit(" "), t), L.OPEN_TAIL, "(?i)"),
+            ENDS: t.rlike(L.STOP_QUOTED) & ~t.rlike(L.ABBREVIATION),
+            LOWER: L.starts_lower(t),
+            HEADING: L.like_heading(t),
+            LISTED: L.any_of(t, L.LIST_STARTS),
+            QUOTED: t.contains('"'),
+            QUOTE_LAST: t.endswith('"'),
+        }
+        return _packed(answers)
+
+    return F.transform(F.transform(F.split(text, "\n"), L.stripped), bits)
+
+
+def _packed(answers: dict[int, Column]) -> Column:
+    out = F.lit(0)
+    for bit, answer in answers.items():
+        out = out.bitwiseOR(F.when(answer, bit).otherwise(0))
+    return out
+
+
+def _positions(where: np.ndarray) -> list[int]:
+    return np.flatnonzero(where).tolist()
+
+
+def _first(positions: list[int], least: int, otherwise: int) -> int:
+    """The first of the ascending positions from least on."""
+    k = bisect_left(positions, least)
+    return positions[k] if k < len(positions) else otherwise
+
+
+class Lines:
+    """The lines of a text with their marks: which go on, which belong to an element and how far that reaches."""
+
+    def __init__(self, lines: list[str], bits: np.ndarray):
+        self.lines, self.n = lines, len(lines)
+        has = lambda bit: (bits & bit) != 0
+        near = has(IMAGE | HTML | PIPES | PICTURE)
+        beside = np.zeros(self.n, bool)
+        for k in (1, 2):
+            beside[k:] |= near[:-k] if self.n > k else False
+            beside[:-k] |= near[k:] if self.n > k else False
+        #: A caption counts with a picture or a table at most two lines away.
+        self.caption = has(CAPTION) & beside
+        self.image = has(IMAGE)
+        self.html = has(HTML) & ~self.image & ~self.caption
+        self.piped = has(PIPES) & ~self.image & ~self.caption & ~self.html
+        self.table = self.html | self.piped
+        self.other = self.image | self.caption | self.table
+        self.blank, self.tag, self.pipes = has(BLANK), has(HTML), has(PIPES)
+        self._tables = None
+
+        length = np.fromiter((len(x.strip()) for x in lines), np.int64, self.n)
+        self.raw = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lines), np.int64, self.n))])
+        self.stop, self.short, self.open_inside = has(STOP), has(SHORT), has(OPEN_INSIDE)
+        #: A line of ten or more characters whose sentence seems to go on.
+        self.open = (length >= 10) & np.where(self.stop, self.short, has(OPEN) | (length > 50))
+        self.listed, self.quoted, self.quote_last = has(LISTED), has(QUOTED), has(QUOTE_LAST)
+        #: May follow at all; follows whatever was before; closes a long sentence.
+        self.able = ~has(BLANK | IMAGE | CAPTION | HTML | PIPES | HEADING)
+        self.lower, self.closing = has(LOWER), has(ENDS) & (length > 100)
+        before = slice(0, max(0, self.n - 1))
+        on = np.zeros(self.n, bool)
+        on[1:] = self._follows(np.arange(1, self.n), self.open[before], self.listed[before], self.quote_last[before], ~self.blank[before])
+        #: Where no line goes on from the one before it.
+        self.breaks = _positions(~(on & ~self.other))
+        self.opening, self.others = _positions(self.open), _positions(self.other)
+
+    def _follows(self, at: np.ndarray, is_open: np.ndarray, listed: np.ndarray, quote_last: np.ndarray, filled: np.ndarray) -> np.ndarray:
+        """Whether the lines at these places go on after text of which this is known."""
+        quotes = ~(listed & self.listed[at]) & quote_last & self.quoted[at]
+        return filled & self.able[at] & (self.lower[at] | np.where(is_open, ~self.closing[at], quotes))
+
+    def run_end(self, i: int) -> int:
+        """Behind the last line of the run that line i is in."""
+        return _first(self.breaks, i + 1, self.n)
+
+    def resumes(self, first: int, end: int, j: int) -> bool:
+        """Whether line j goes on after lines first .. end - 1 as one text."""
+        if end - first == 1:
+            is_open = self.open[first]
+        else:
+            head, tail = self.lines[first], self.lines[end - 1]
+            length = int(self.raw[end] - self.raw[first]) + end - first - 1 - (len(head) - len(head.lstrip())) - (len(tail) - len(tail.rstrip()))
+            is_open = length >= 10 and (self.short[end - 1] if self.stop[end - 1] else length > 50 or self.open_inside[end - 1])
+        return bool(self._follows(np.array([j]), np.array([is_open]), self.listed[[first]], self.quote_last[[end - 1]], np.array([True]))[0])
+
+    def _table_end(self, i: int) -> int:
+        """Behind a table that begins at i: its rows, or HTML until as many tables are closed as opened."""
+        if self.piped[i]:
+            return max(i + 1, _first(self._table_index()[0], i, self.n))
+        _, level, opens, same, same_outside = self._table_index()
+        return _first(same.get(level[i], []), i + 1, self.n) if opens[i] else _first(same_outside.get(level[i], []), i + 2, self.n)
+
+    def _table_index(self) -> tuple:
+        """Lines without pipes; open tables before each line; lines that open one; for each level the
+        places that have it, and those of them that are the end or before no HTML."""
+        if self._tables is None:
+            change, opens = [0] * self.n, [False] * self.n
+            for i in _positions(self.tag):
+                low = self.lines[i].lower()
+                opens[i] = "<table" in low
+                change[i] = low.count("<table") - low.count("</table>")
+            level = [0, *np.cumsum(change).tolist()] if self.n else [0]
+            same: dict[int, list[int]] = {}
+            outside: dict[int, list[int]] = {}
+            for at, x in enumerate(level):
+                same.setdefault(x, []).append(at)
+                if at == self.n or not self.tag[at]:
+                    outside.setdefault(x, []).append(at)
+            self._tables = _positions(~self.pipes), level, opens, same, outside
+        return self._tables
+
+    def element(self, i: int) -> tuple[list[str], int]:
+        """The lines of the element that begins at i, its caption before or after it among them, and where it ends."""
+        if self.caption[i]:
+            gap = i + 1 < self.n and bool(self.blank[i + 1])
+            at = i + 1 + gap
+            body = at < self.n and bool(self.image[at] or self.table[at])
+            end = at if not body else at + 1 if self.image[at] else self._table_end(at)
+            return [self.lines[i], *[""] * gap, *self.lines[at:end]], end
+        end = i + 1 if self.image[i] else self._table_end(i)
+        gap = bool(self.image[i]) and end + 1 < self.n and bool(self.blank[end])
+        if end + gap < self.n and self.caption[end + gap]:
+            return [*self.lines[i:end], *[""] * gap, self.lines[end + gap]], end + gap + 1
+        return self.lines[i:end], end
+
+    def interruptions(self) -> list[tuple[int, int, list[tuple[int, int]], list[list[str]]]]:
+        """(first, end, runs, elements): lines first .. end - 1 are one paragraph in those runs, with those elements."""
+        out, at = [], 0
+        for other in self.others:
+            if other <= at:
+                continue
+            run = self.breaks[bisect_right(self.breaks, other - 1) - 1]
+            first = _first(self.opening, max(at, run), self.n)
+            if first >= other:
+                continue
+            runs, elements, at = [(first, other)], [], other
+            while at < self.n and self.other[at]:
+                lines, at = self.element(at)
+                elements.append(lines)
+                if at < self.n and not self.other[at] and self.resumes(*runs[-1], at):
+                    runs.append((at, self.run_end(at)))
+                    at = runs[-1][1]
+            out.append((first, at, runs, elements))
+        return out
 
 
 def joined(parts: list[str]) -> str:
     """Parts of a paragraph as one: a hyphen goes before a small letter, a space comes between all else but before marks."""
-    out = ""
+    out: list[str] = []
     for raw in parts:
         part = raw.strip()
         if not part:
             continue
-        if not out:
-            out = part
-        elif out.endswith("-") and raw[0].islower():
-            out = out[:-1] + part
-        elif not out.endswith("-") and not re.search(r"[.!?,;:]\s*$", out) and part[0] in ".,;:!?)":
-            out += part
-        else:
-            out += " " + part
-    return out
+        if out and out[-1].endswith("-") and raw[0].islower():
+            out[-1] = out[-1][:-1]
+        elif out and (out[-1].endswith("-") or out[-1][-1] in ".!?,;:" or part[0] not in ".,;:!?)"):
+            out.append(" ")
+        out.append(part)
+    return "".join(out)
+
+
+def repaired(text: str, bits: np.ndarray) -> str:
+    """The text, whose lines have these marks, with interrupted paragraphs whole and the elements behind them."""
+    if not (bits & (IMAGE | CAPTION | HTML | PIPES)).any():
+        return text
+    lines, out, at = text.split("\n"), [], 0
+    for first, end, runs, elements in Lines(lines, bits).interruptions():
+        out += lines[at:first]
+        out.append(joined([" ".join(lines[a:b]) for a, b in runs]))
+        for element in elements:
+            out += ["", *element]
+        out.append("")
+        at = end
+    return "\n".join(out + lines[at:])
+
+
+def _with_marks(text: Column, bits: Column, rewrite: Callable[[str, np.ndarray], str]) -> Column:
+    """rewrite(text, marks) in Arrow batches; null stays null."""
 
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, marked: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else rewrite(t, b.values.to_numpy(zero_copy_only=False)) for t, b in zip(texts.to_pylist(), marked)], pa.string())
 
-def repair(text: str) -> str:
-    """The text with interrupted paragraphs whole."""
-    page, out, i = Page(text), [], 0
-    while i < len(page.lines):
-        found = _paragraph(page, i) if is_incomplete(page.lines[i]) else None
-        if found:
-            lines, i = found
-            out += lines
-        else:
-            out.append(page.lines[i])
-            i += 1
-    return "\n".join(out)
-
-
-def _paragraph(page: Page, i: int) -> tuple[list[str], int] | None:
-    """The repaired lines of a paragraph that begins at i, and the line behind it; None if nothing interrupts it."""
-    parts, part, elements, j = [], [page.lines[i]], [], i + 1
-    while j < len(page.lines):
-        if page.kind(j) != "text":
-            if part:
-                parts.append(" ".join(part))
-                part = []
-            lines, j = page.element_at(j)
-            elements.append(lines)
-        elif goes_on(part[-1] if part else parts[-1], page.lines[j]):
-            part.append(page.lines[j])
-            j += 1
-            if ends_sentence(page.lines[j - 1]) and j < len(page.lines) and not page.lines[j].strip():
-                break
-        else:
-            break
-    if part:
-        parts.append(" ".join(part))
-    if len(parts) < 2 and not elements:
-        return None
-    return [joined(parts), *(x for lines in elements for x in ["", *lines]), ""], j
+    return run(text, bits)
 
 
 def repair_column(text: Column) -> Column:
-    """`repair` of a text column; null stays null."""
-    return _arrow(repair)(text)
+    """A text with the paragraphs whole that images, captions or tables interrupt; null stays null."""
+    return _with_marks(text, marks(text), repaired)
 
 
-def _arrow(rewrite: Callable[[str], str]) -> Callable[[Column], Column]:
-    @F.arrow_udf("string")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else rewrite(t) for t in texts.to_pylist()], pa.string())
+# ------------------------------------------------------------- pseudocode
 
-    return run
+# What begins an algorithm, bold lines, headings and numbered steps; line ends.
+TITLE = r"(?i)^\s*(?:\*\*)?\s*(?:Algorithm|算法)\s+([A-Za-z0-9.-]+)?\s*(?:\*\*)?\s*(.*)$"
+BOLD = r"^\s*\*\*.+\*\*\s*$"
+BOLD_LABEL = r"(?i)^\s*\*\*\s*(Input|Output|Procedure|Requires?|Ensure)\s*[:：]?\s*\*\*"
+HASHES, NUMBERED_STEP = r"^\s*#{1,6}\s", r"^\d+\s*[:.)]\s"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+_TITLE, _LINE_END = re.compile(TITLE), re.compile(LINE_END)
+(CODE, TITLED, ENDING, FREE, NUMBERED) = (1 << k for k in range(5))
 
 
-# ------------------------------------------------------------- pseudocode
+def algorithm_marks(text: Column, old: bool) -> Column:
+    """For each line: whether it is a code fence, a title, ends an algorithm at once, may stand in one at any place, is a numbered step."""
+    def bits(s: Column) -> Column:
+        t = L.stripped(s)
+        code = t.startswith("```")
+        answers = {CODE: code, TITLED: s.rlike("(?U)" + TITLE), ENDING: code | s.rlike("(?U)" + HASHES) | (s.rlike("(?U)" + BOLD) & ~s.rlike("(?U)" + BOLD_LABEL)), FREE: (L.continues_algorithm_old if old else L.continues_algorithm_new)(s), NUMBERED: t.rlike("(?U)" + NUMBERED_STEP)}
+        return _packed(answers)
 
-# What begins an algorithm, and bold lines.
-_TITLE = _c(r"(?i)^\s*(?:\*\*)?\s*(?:Algorithm|算法)\s+([A-Za-z0-9.-]+)?\s*(?:\*\*)?\s*(.*)$")
-_BOLD = _c(r"^\s*\*\*.+\*\*\s*$")
-_BOLD_LABEL = _c(r"(?i)^\s*\*\*\s*(Input|Output|Procedure|Requires?|Ensure)\s*[:：]?\s*\*\*")
-_HASHES, _STEP = _c(r"^\s*#{1,6}\s"), _c(r"^\d+\s*[:.)]\s")
-_STEPS_OLD, _STEPS_NEW = ([_c(p) for p in ps] for ps in (L.ALGORITHM_STEP_OLD, L.ALGORITHM_STEP_NEW))
+    return F.transform(F.split(text, LINE_END), bits)
 
 
 def _plain(s: str) -> str:
@@ -204,36 +257,43 @@ def _plain(s: str) -> str:
     return re.sub(r"\*([^*]+)\*", r"\1", re.sub(r"\*\*([^*]+)\*\*", r"\1", s))
 
 
-def wrap_pseudocode(text: str, lang: str = "pseudo", old: bool = True) -> str:
-    """Algorithms as fenced code with their title as a comment. Old rules let free lines pass until a first step."""
-    lines, out, i, fenced = re.split(r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", text), [], 0, False
+def _header(line: str) -> str:
+    number, rest = ((x or "").strip() for x in _TITLE.match(line).groups())
+    return "// " + _plain(f"Algorithm {number}: {rest}".strip() if number or rest else "Algorithm")
+
+
+def wrapped(text: str, bits: np.ndarray, lang: str, old: bool) -> str:
+    """Algorithms as fenced code with their title as a comment. By the old rules other lines pass until there was a numbered step."""
+    lines = _LINE_END.split(text)
     if lines[-1] == "":
         lines.pop()
-    steps = _STEPS_OLD if old else _STEPS_NEW
-
-    def ends(s: str, stepped: bool) -> bool:
-        if s.strip().startswith("```") or _HASHES.match(s) or _BOLD.match(s) and not _BOLD_LABEL.match(s):
-            return True
-        t = s.strip()
-        return t not in ("", "***") and not any(p.match(t) for p in steps) and (stepped or not old)
-
-    while i < len(lines):
-        if lines[i].strip().startswith("```"):
-            fenced = not fenced
-        title = None if fenced else _TITLE.match(lines[i])
-        if not title:
-            out.append(lines[i])
-            i += 1
+    bits = bits[: len(lines)]
+    has = lambda bit: (bits & bit) != 0
+    titles = _positions(has(TITLED) & (np.cumsum(has(CODE)) % 2 == 0))
+    ending, foreign, steps = _positions(has(ENDING)), _positions(~has(FREE)), _positions(has(NUMBERED))
+    out, at, n = [], 0, len(lines)
+    for title in titles:
+        if title < at:
             continue
-        number, rest = (title[1] or "").strip(), (title[2] or "").strip()
-        block, stepped, i = [f"// {_plain(f'Algorithm {number}: {rest}'.strip() if number or rest else 'Algorithm')}"], False, i + 1
-        while i < len(lines) and not ends(lines[i], stepped):
-            stepped |= bool(_STEP.match(lines[i].strip()))
-            block.append("// " + "-" * 40 if lines[i].strip() == "***" else _plain(lines[i]))
-            i += 1
-        out += [f"```{lang}", *block, "```"]
-    return "\n".join(out)
+        strict = _first(steps, title + 1, n) + 1 if old else title + 1
+        end = min(_first(ending, title + 1, n), _first(foreign, strict, n))
+        body = ["// " + "-" * 40 if x.strip() == "***" else _plain(x) for x in lines[title + 1 : end]]
+        out += [*lines[at:title], f"```{lang}", _header(lines[title]), *body, "```"]
+        at = end
+    return "\n".join(out + lines[at:])
+
+
+def wrapped_texts(docs: DataFrame, lang: str = "pseudo", old: bool = True) -> DataFrame:
+    """doc_id, md of docs: each text as `wrapped` gives it; null stays null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if t is None else wrapped(t, b.values.to_numpy(zero_copy_only=False), lang, old) for t, b in zip(batch.column(1).to_pylist(), batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "md"])
+
+    return docs.select(F.col("doc_id").cast("long"), "md", algorithm_marks(F.col("md"), old).alias("marks")).mapInArrow(run, "doc_id long, md string")
 
 
 def wrap_pseudocode_column(text: Column, lang: str = "pseudo", old: bool = True) -> Column:
-    return _arrow(lambda t: wrap_pseudocode(t, lang, old))(text)
+    """`wrapped` of a text column; null stays null."""
+    return _with_marks(text, algorithm_marks(text, old), lambda t, bits: wrapped(t, bits, lang, old))

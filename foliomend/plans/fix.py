@@ -38,7 +38,7 @@ def fix_old(docs: DataFrame, level: str = "conservative") -> tuple[DataFrame, Da
     whole = P.join_pages(merged).join(last, "doc_id")
     again = E.repair_column(F.when(F.col("last") > 0, F.col("md")))
     whole = whole.select("doc_id", F.when(F.col("last") == 0, F.col("only")).otherwise(again).alias("md"))
-    coded = B.rewritten(_steps(whole, T.REFERENCES_OLD), E.wrap_pseudocode)
+    coded = E.wrapped_texts(_steps(whole, T.REFERENCES_OLD))
     spaced = B.rewritten(_steps(coded, [T.decode_entities, lambda c: F.coalesce(c, F.lit(""))]), B.respaced)
     return _steps(spaced, [T.bracket_links, T.collapse_newlines]), P.merge_plan(pages, level)
 

@@ -368,6 +368,18 @@ def cite_ranges_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.cite_ranges_new(F.col("md")).alias("md"))
 
 
+_LONG = "'[' || CAST(s_suppkey AS STRING) || '-' || CAST(s_suppkey + 10000 + s_nationkey AS STRING) || ']'"
+
+
+@query(f"""WITH c AS (SELECT s_suppkey AS doc_id, {_LONG} AS md FROM supplier), r AS (SELECT doc_id, {SB.ranges("md", "^", " ")} AS md FROM c)
+SELECT doc_id, CAST(length(md) AS INTEGER) AS n_chars, sha256(md) AS md_sha256 FROM r""")
+def cite_long_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of over ten thousand numbers for each supplier."""
+    ranges = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("doc_id"), F.expr(_LONG).alias("md"))
+    md = ranges.select("doc_id", T.cite_ranges_new(F.col("md")).alias("md"))
+    return md.select("doc_id", F.length("md").alias("n_chars"), F.sha2("md", 256).alias("md_sha256"))
+
+
 @query(rf"WITH {SQL} SELECT doc_id, regexp_replace(md, '\[(\d+)\]', '[^\1]', 'g') AS md FROM c")
 def cite_singles_old(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select("doc_id", T.cite_singles_old(F.col("md")).alias("md"))

@@ -34,6 +34,12 @@ def test_text_rules(spark):
     assert column(spark, T.decode_entities, "&amp;lt;", None, "") == ["<", None, ""]
     assert column(spark, T.cite_ranges_old, "[1-3]", "[5-2]") == ["[1][2][3]", ""]
     assert column(spark, T.cite_ranges_new, "[1-3]") == ["[^1] [^2] [^3]"]
+    big, long = 10**37 - 2, int("7" * 60)
+    plain = lambda a, b: "".join(f"[{k}]" for k in range(a, b + 1))
+    assert column(spark, T.cite_ranges_old, "[1-25000]", f"[{big}-{big + 4}]", f"[0{long}-{long + 2}]", f"[{long}-{long - 1}]", f"[{long}-3]") == [plain(1, 25000), plain(big, big + 4), plain(long, long + 2), "", ""]
+    for m in ("[1-9999999999]", f"[3-{long}]"):
+        with pytest.raises(Exception, match="a row has no room"):
+            column(spark, T.cite_ranges_old, m)
     assert column(spark, T.cite_lists_new, "[1, 2,3] [4]") == ["[^1] [^2] [^3] [^4]"]
     assert column(spark, T.fix_references_old, "see [2]\n[1] A. B\n[2] C\n") == ["see [^2]\n[^1]: A. B\n\n[^2]: C\n\n"]
     assert column(spark, T.bracket_links, "at https://a.org/x, or me@b.org.", "`c` $d$") == ["at <https://a.org/x,> or <mailto:me@b.org>.", " `c`   $d$ "]
@@ -153,12 +159,11 @@ def test_tables_inside_paragraphs(spark):
     assert [tuple(r) for r in got] == want
 
 
-def test_embedded():
+def test_embedded(spark):
     text = "This sentence is about the\n![a](b)\nFig. 1. c\nthing that ends here.\n\nNew one."
-    assert E.repair(text) == "This sentence is about the thing that ends here.\n\n![a](b)\nFig. 1. c\n\n\nNew one."
-    assert E.repair("Short.\nAnother.") == "Short.\nAnother."
+    assert column(spark, E.repair_column, text, "Short.\nAnother.", None, "") == ["This sentence is about the thing that ends here.\n\n![a](b)\nFig. 1. c\n\n\nNew one.", "Short.\nAnother.", None, ""]
     assert E.joined(["exam-", "ple", ", and", " so"]) == "example, and so"
-    assert E.wrap_pseudocode("**Algorithm 2** Sort\n1: do *x*\n***\nfree text\ntail") == "```pseudo\n// Algorithm 2: Sort\n1: do x\n// " + "-" * 40 + "\n```\nfree text\ntail"
+    assert column(spark, E.wrap_pseudocode_column, "**Algorithm 2** Sort\n1: do *x*\n***\nfree text\ntail", None) == ["```pseudo\n// Algorithm 2: Sort\n1: do x\n// " + "-" * 40 + "\n```\nfree text\ntail", None]
 
 
 def test_protect_and_restore(spark):
@@ -225,10 +230,10 @@ BIG = "9" * 20
 
 
 def test_hostile_numbers(spark):
-    """Numbers of any length, reversed and huge ranges: what can't be written out stays as it is."""
+    """Numbers of any length, reversed ranges, marks that are no node's."""
     huge = "9" * 60
-    texts = [f"[{BIG}-5] a", f"[{huge}-{huge}] b", "[1-4000000000] c", "[1-900000000]", f"[{BIG}-{BIG}] d", "[0-2][3-3]", "[5-2]", None, "", f"[{BIG}]", f"[1,{BIG}]"]
-    assert column(spark, T.cite_ranges_old, *texts) == [" a", f"[{huge}-{huge}] b", "[1-4000000000] c", "[1-900000000]", f"[{BIG}] d", "[0][1][2][3]", "", None, "", f"[{BIG}]", f"[1,{BIG}]"]
+    texts = [f"[{BIG}-5] a", f"[{huge}-{huge}] b", f"[{BIG}-{BIG}] d", "[0-2][3-3]", "[5-2]", None, "", f"[{BIG}]", f"[1,{BIG}]"]
+    assert column(spark, T.cite_ranges_old, *texts) == [" a", f"[{huge}] b", f"[{BIG}] d", "[0][1][2][3]", "", None, "", f"[{BIG}]", f"[1,{BIG}]"]
     assert column(spark, T.cite_lists_new, *texts)[-2:] == [f"[^{BIG}]", f"[^1] [^{BIG}]"]
     assert len(column(spark, T.fix_references_old, *texts)) == len(column(spark, T.fix_references_new, *texts)) == len(texts)
     old, _ = fix.fix_old(docs(spark, *texts))
