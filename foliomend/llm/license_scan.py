@@ -1,8 +1,10 @@
 """Licence scans: Dice coefficient over word bigrams against templates, in DataFrame functions only.
 
 Units are the whole text, each of its lines, and passages, normalised to lower-case words. A passage
-is a run of consecutive words, over line ends, that begins and ends with a bigram of the template and
-has as many bigrams as the template allows: what lies outside such bigrams only lowers the coefficient.
+is a run of consecutive words, over line ends, that begins and ends with a bigram of the template it
+holds once, and has as many distinct bigrams as the template allows, however often these come: what lies
+outside such bigrams only lowers the coefficient, and a run that comes back to its first bigram holds no more
+than the one that begins there.
 A template of b
 bigrams can only reach the coefficient t with a unit of t / (2 - t) * b to (2 - t) / t * b distinct
 bigrams. A unit has fewer bigrams than words and no fewer than distinct words less one, so most
@@ -41,12 +43,14 @@ TEMPLATES: list[tuple[str, str]] = [
     ("unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
-#: Complete texts with their disclaimers. The oracle's SQL, which knows no passages, has TEMPLATES only.
+#: Complete texts with their disclaimers.
 _AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
 _BSD_AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 _ISC_AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 COMPLETE: list[tuple[str, str]] = [(f"{name}-full", f"{dict(TEMPLATES)[of]} {more}") for name, of, more in (("bsd-2-clause", "bsd-2-clause", _BSD_AS_IS), ("isc", "isc", _ISC_AS_IS), ("mit", "mit-permission", _AS_IS))]
 
+#: Times that the reach of a passage may double: enough for any text.
+DOUBLINGS = 30
 #: Anything between words, but for line ends.
 GAP = r"[^\p{L}\p{N}\n]+"
 
@@ -106,19 +110,34 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES + COMPLET
         return F.transform(F.filter(table, lambda t: n.between(t["low"], t["high"])), lambda t: F.struct((-dice(t)).alias("order"), F.lit(0).alias("passage"), t["name"].alias("name"), u["line_no"].alias("line_no")))
 
     def passages(t: Column) -> Column:
-        """Matches of one template in runs of words that begin and end with one of its bigrams."""
+        """The best match of one template from each of its bigrams on."""
         at = F.filter(F.transform("pairs", lambda g, i: F.when(F.array_contains(t["grams"], g), i)), lambda i: i.isNotNull())
         enough = F.size(F.array_intersect(F.col("pairs"), t["grams"])) >= t["low"]
-        return F.when(enough, F.flatten(F.transform(F.array(at), lambda hits: F.flatten(F.transform(hits, lambda a, k: ending(t, hits, a, k)))))).otherwise(F.array().cast(found_type))
+        starts = lambda hits: F.slice(hits, 1, F.greatest(F.size(hits) - t["low"] + 1, F.lit(0)))
+        return F.when(enough, F.flatten(F.transform(F.array(at), lambda hits: F.transform(starts(hits), lambda a: beginning(t, a))))).otherwise(F.array().cast(found_type))
+
+    def beginning(t: Column, a: Column) -> Column:
+        """The best of the runs that begin at a."""
+        run = F.slice(F.col("pairs"), a + 1, reach(t, a))
+        once = F.transform(F.array(run), lambda r: F.slice(F.array_distinct(F.slice(r, 1, F.nullif(F.array_position(F.slice(r, 2, F.size(r)), F.get(r, F.lit(0))), F.lit(0)).cast("int"))), 1, t["high"]))
+        free = F.transform(F.array(run), lambda r: F.slice(F.array_distinct(r), 1, t["high"]))
+        grams = F.coalesce(F.get(once, F.lit(0)), F.get(free, F.lit(0)))
+        own = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(t["grams"], g), i + 1)), lambda m: m.isNotNull())
+        dice = F.array_max(F.transform(own, lambda m, k: 2.0 * (k + 1) / (m + F.size(t["grams"]))))
+        return F.struct((-dice).alias("order"), F.lit(1).alias("passage"), t["name"].alias("name"), F.get("all", a)["n"].alias("line_no"))
 
-    def ending(t: Column, hits: Column, a: Column, k: Column) -> Column:
-        """Those that begin at a, the k-th hit: at least `low` hits and at most `high` bigrams."""
-        ends = F.filter(F.slice(hits, k + t["low"], t["high"]), lambda b: b - a < t["high"])
-        return F.transform(ends, lambda b: passage(t, a, F.array_distinct(F.slice(F.col("pairs"), a + 1, b - a + 1))))
+    def reach(t: Column, a: Column) -> Column:
+        """Bigrams from a on in which there are more distinct ones than the template allows, or the first one
+        comes again, or the text ends: twice as many at each step, so that all steps cost as much as the last."""
 
-    def passage(t: Column, a: Column, grams: Column) -> Column:
-        dice = 2.0 * F.size(F.array_intersect(grams, t["grams"])) / (F.size(grams) + F.size(t["grams"]))
-        return F.struct((-dice).alias("order"), F.lit(1).alias("passage"), t["name"].alias("name"), F.get("all", a)["n"].alias("line_no"))
+        def step(s: Column) -> Column:
+            run = F.slice(F.col("pairs"), a + 1, s["n"])
+            done = F.transform(F.array(run), lambda r: (F.size(F.array_distinct(r)) > t["high"]) | F.array_contains(F.slice(r, 2, F.size(r)), F.get(r, F.lit(0))))
+            return F.struct(s["n"].alias("n"), ((a + s["n"] >= F.size("pairs")) | F.get(done, F.lit(0))).alias("done"))
+
+        grown = lambda s: F.when(s["done"], s).otherwise(F.struct(F.least(2 * s["n"], F.lit(1 << 30)).alias("n"), F.lit(False).alias("done")))
+        first = F.struct((t["high"] + 1).alias("n"), F.lit(False).alias("done"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(DOUBLINGS)), first, lambda s, _: F.when(s["done"], s).otherwise(grown(step(s))))["n"]
 
     found_type = "array<struct<order:double,passage:int,name:string,line_no:int>>"
     anchored = F.array(*map(F.lit, sorted({w for _, grams in sets for w in anchors(grams, bounds(len(grams), least)[0])})))
@@ -138,24 +157,38 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES + COMPLET
     return best.select("doc_id", F.col("best.name").alias("license"), (-F.col("best.order")).alias("dice"), F.col("best.line_no").alias("line_no"), F.when(F.col("n") > 0, F.col("n")).otherwise(0).alias("n_units"))
 
 
-def oracle(templates: list[tuple[str, str]] = TEMPLATES, least: float = 0.8) -> str:
+def oracle(templates: list[tuple[str, str]] = TEMPLATES + COMPLETE, least: float = 0.8) -> str:
+    """Whole texts, lines and passages in SQL; passages by the distinct bigrams from each bigram of a template on."""
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ", ".join(f"({quoted(name)}, [{', '.join(map(quoted, bigrams(text)))}])" for name, text in templates)
+    values = ", ".join(f"({quoted(name)}, {b[0]}, {b[1]}, [{', '.join(map(quoted, grams))}])" for name, text in templates for grams in [bigrams(text)] for b in [bounds(len(grams), least)])
     return rf"""
-WITH t(name, grams) AS (VALUES {values}),
-p AS (SELECT doc_id, regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS plain FROM documents),
-u AS (
-  SELECT doc_id, 0 AS line_no, regexp_replace(plain, '\s+', ' ', 'g') AS x FROM p
-  UNION ALL
-  SELECT doc_id, CAST(i AS INTEGER), string_split(plain, chr(10))[i] FROM p, unnest(range(1, len(string_split(plain, chr(10))) + 1)) r(i)
-),
-w AS (SELECT doc_id, line_no, string_split(trim(x), ' ') AS w FROM u),
-g AS (SELECT doc_id, line_no, list_distinct(list_transform(w[2:], lambda v, i: w[i] || ' ' || v)) AS grams FROM w),
+WITH t(name, low, high, grams) AS (VALUES {values}),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS plain FROM documents),
+l AS (SELECT r, CAST(i AS INTEGER) AS line_no, string_split(plain, chr(10))[i] AS x FROM d, unnest(range(1, len(string_split(plain, chr(10))) + 1)) n(i)),
+u AS (SELECT r, 0 AS line_no, regexp_replace(plain, '\s+', ' ', 'g') AS x FROM d UNION ALL SELECT * FROM l),
+w AS (SELECT r, line_no, string_split(trim(x), ' ') AS w FROM u),
+g AS (SELECT r, line_no, list_distinct(list_transform(w[2:], lambda v, i: w[i] || ' ' || v)) AS grams FROM w),
 m AS (
-  SELECT doc_id, line_no, name, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
+  SELECT r, line_no, name, 0 AS passage, 2.0::DOUBLE * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice
   FROM g JOIN t ON list_has_any(g.grams, t.grams)
 ),
-b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, name, line_no) AS k, count(DISTINCT line_no) OVER (PARTITION BY doc_id) AS n FROM m WHERE dice >= {least})
-SELECT d.doc_id, b.name AS license, b.dice, b.line_no, CAST(coalesce(b.n, 0) AS INTEGER) AS n_units
-FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id AND b.k = 1
+wl AS (SELECT r, line_no, i, string_split(trim(x), ' ')[i] AS word FROM l, unnest(range(1, len(string_split(trim(x), ' ')) + 1)) n(i)),
+ws AS (SELECT r, line_no, word, row_number() OVER (PARTITION BY r ORDER BY line_no, i) AS p FROM wl WHERE word <> ''),
+b AS MATERIALIZED (SELECT r, line_no, p, word || ' ' || lead(word) OVER (PARTITION BY r ORDER BY p) AS gram FROM ws QUALIFY lead(word) OVER (PARTITION BY r ORDER BY p) IS NOT NULL),
+v AS MATERIALIZED (SELECT r, gram, p, lag(p) OVER k AS before, lead(p) OVER k AS again FROM b WINDOW k AS (PARTITION BY r, gram ORDER BY p)),
+tg AS (SELECT name, low, high, len(grams) AS size, unnest(grams) AS gram FROM t),
+h AS MATERIALIZED (SELECT b.r, b.line_no, b.p, v.again, tg.name, low, high, size FROM b JOIN tg USING (gram) JOIN v ON v.r = b.r AND v.p = b.p QUALIFY count(DISTINCT b.gram) OVER (PARTITION BY b.r, tg.name) >= low),
+e AS (
+  SELECT h.r, h.name, h.p AS a, h.line_no, h.high, h.size, v.p, count(*) OVER x AS n, count(tg.gram) OVER x AS own, tg.gram IS NOT NULL AS ends
+  FROM h JOIN v ON v.r = h.r AND v.p >= h.p AND v.p < coalesce(h.again, 1e18) AND (v.before IS NULL OR v.before < h.p)
+  LEFT JOIN tg ON tg.name = h.name AND tg.gram = v.gram WINDOW x AS (PARTITION BY h.r, h.name, h.p ORDER BY v.p)
+),
+a AS (
+  SELECT r, line_no, name, 0 AS passage, dice FROM m WHERE dice >= {least}
+  UNION ALL SELECT r, line_no, name, 1, max(2.0::DOUBLE * own / (n + size)) FROM e WHERE ends AND n <= high GROUP BY r, line_no, name, a HAVING max(2.0::DOUBLE * own / (n + size)) >= {least}
+),
+f AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY dice DESC, passage, name, line_no) AS k FROM a),
+c AS (SELECT r, count(DISTINCT line_no) AS n FROM a GROUP BY r)
+SELECT d.doc_id, f.name AS license, f.dice, f.line_no, CAST(coalesce(c.n, 0) AS INTEGER) AS n_units
+FROM d LEFT JOIN f ON f.r = d.r AND f.k = 1 LEFT JOIN c ON c.r = d.r
 """
