@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding with a unigram vocabulary, in numpy batches.
 
 The distinct parts of a batch of texts are grouped by length, and all parts of one length advance
-together: at each end position, the hashes of their substrings of every length probe the sorted keys
-of the pieces, and a vectorised maximum keeps the best score and a back pointer. Ties go as in
-`unigram`. Parts are kept with their ids while there is room.
+together: the hashes of their substrings probe the sorted keys of the pieces, of those lengths that
+some piece with the substring's last characters has; then, at each end position, a vectorised maximum
+keeps the best score and a back pointer. Ties go as in `unigram`. Parts are kept with their ids while
+there is room.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from foliomend.llm.unigram import vocabulary
 
 #: Parts whose ids a Python worker keeps, characters of the longest kept, and parts that advance together.
 CACHE_PARTS, CACHE_CHARS, TOGETHER = 200_000, 48, 2048
+#: Substring ends that are looked at at once, over all parts.
+ENDS = 1 << 15
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -41,7 +44,14 @@ class Encoder:
         self.at = np.concatenate([[0], np.cumsum(self.lengths)])
         self.ids = np.array([r[2] for r in rows], np.uint32)
         self.scores = np.array([r[3] for r in rows])
-        # Most substrings are no piece: a bit for each slot of the keys tells so before the search.
+        # Most substrings are no piece. Which lengths pieces have that end in the same three characters (two,
+        # one), and whether a key has a slot, tells so before the search; bit k stands for the length k + 1.
+        if v.longest > 32:
+            raise ValueError("a piece has more than 32 characters")
+        self.endings = np.zeros((3, 1 << 20), np.uint32)
+        for length, at in zip(self.lengths.tolist(), self.at.tolist()):
+            last = self.codes[at : at + length][-3:].astype(np.uint64)[:, None]
+            self.endings[len(last) - 1, self._ending(*last)] |= np.uint32(1 << (length - 1))
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self._slot(self.keys)] = True
         self.single = np.zeros(0x110000, bool)
@@ -52,6 +62,41 @@ class Encoder:
     def _slot(keys: np.ndarray) -> np.ndarray:
         return (keys * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(44)
 
+    @staticmethod
+    def _ending(*last: np.ndarray) -> np.ndarray:
+        """The slot of one to three characters."""
+        h = np.full_like(last[0], len(last))
+        for c in last:
+            h = (h + c) * _BASE
+        return h >> np.uint64(44)
+
+    def _found(self, codes: np.ndarray, h: np.ndarray, careful: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each end position in turn the pieces that end there: (end, rows in order, starts, piece numbers), the longest first."""
+        n, size = codes.shape
+        wide = codes.T.astype(np.uint64)
+        step = max(1, ENDS // n)
+        lengths = np.arange(self.vocabulary.longest, 0, -1)
+        for at in range(0, size, step):
+            ends = np.arange(at, min(at + step, size))
+            c = [wide[ends], wide[np.maximum(ends - 1, 0)], wide[np.maximum(ends - 2, 0)]]
+            # Of a piece that would begin before the part nothing is found: its length is masked out.
+            mask = self.endings[0][self._ending(c[0])] | self.endings[1][self._ending(c[1], c[0])] | self.endings[2][self._ending(c[2], c[1], c[0])]
+            mask &= ((np.uint64(1) << np.minimum(ends + 1, 32).astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
+            e, r, k = np.nonzero(mask[:, :, None] >> (lengths - 1).astype(np.uint32) & np.uint32(1))
+            end, length = ends[e] + 1, lengths[k]
+            row = r * (size + 1) + end
+            key = h.ravel()[row] - h.ravel()[row - length] * self.power[length]
+            some = np.flatnonzero(self.maybe[self._slot(key)])
+            e, r, end, length, key = e[some], r[some], end[some], length[some], key[some]
+            piece = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            true = (self.keys[piece] == key) & (self.lengths[piece] == length)
+            if careful:
+                true[true] = self._is_piece(piece[true], codes, r[true], end[true] - length[true])
+            e, r, start, piece = e[true], r[true], (end - length)[true], piece[true]
+            bounds = np.searchsorted(e, np.arange(len(ends) + 1))
+            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                yield at + i + 1, r[a:b], start[a:b], piece[a:b]
+
     @staticmethod
     def _codes(parts: list[str]) -> np.ndarray:
         return np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).reshape(len(parts), -1)
@@ -87,26 +132,20 @@ class Encoder:
         score = np.full((n, size + 1), -np.inf)
         score[:, 0] = 0
         back, piece = np.zeros((n, size + 1), np.int32), np.zeros((n, size + 1), np.int32)
-        for end in range(1, size + 1):
-            start = np.arange(max(0, end - self.vocabulary.longest), end)  # the longest substring first: it wins ties
-            key = h[:, end, None] - h[:, start] * self.power[end - start]
-            r, k = np.nonzero(self.maybe[self._slot(key)])
-            key = key[r, k]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            found = (self.keys[at] == key) & (self.lengths[at] == end - start[k])
-            r, k, at = r[found], k[found], at[found]
-            if careful:
-                true = self._is_piece(at, codes, r, start[k])
-                r, k, at = r[true], k[true], at[true]
-            sums, pieces = np.full((n, len(start)), -np.inf), np.zeros((n, len(start)), np.int32)
-            sums[r, k] = score[r, start[k]] + self.scores[at]
-            pieces[r, k] = at
-            best = sums.argmax(axis=1)
+        for end, r, start, at in self._found(codes, h, careful):
+            best, whence, number = np.full(n, -np.inf), np.zeros(n, np.int32), np.zeros(n, np.int32)
+            if len(r):
+                sums = score.ravel()[r * (size + 1) + start] + self.scores[at]
+                first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+                most = np.maximum.reduceat(sums, first)
+                tops = np.flatnonzero(sums == np.repeat(most, np.diff(first, append=len(r))))
+                top = tops[np.concatenate([[True], r[tops][1:] != r[tops][:-1]])]
+                best[r[top]], whence[r[top]], number[r[top]] = most, start[top], at[top]
             alone = np.where(known[:, end - 1], -np.inf, score[:, end - 1] + self.vocabulary.unknown)
-            own = alone > sums[rows, best]
-            score[:, end] = np.where(own, alone, sums[rows, best])
-            back[:, end] = np.where(own, end - 1, start[best])
-            piece[:, end] = np.where(own, -1, pieces[rows, best])
+            own = alone > best
+            score[:, end] = np.where(own, alone, best)
+            back[:, end] = np.where(own, end - 1, whence)
+            piece[:, end] = np.where(own, -1, number)
         # All parts follow their back pointers together, from the end.
         position, found, starts = np.full(n, size), [], []
         while (position > 0).any():
@@ -135,29 +174,36 @@ class Encoder:
                 yield np.array([self.vocabulary.byte_ids[b] for b in part[at].encode()], "<u4").tobytes()
                 at += 1
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [self.vocabulary.split(t or "") for t in texts]
-        new: dict[int, list[str]] = defaultdict(list)
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and where each text's ids begin and the last one's end. Null counts as empty."""
+        parts, of = self.vocabulary.parts(texts)
+        found = parts.dictionary_encode()
+        ids = self._ids(found.dictionary.to_pylist())
+        number = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        each = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(number)])), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        index = found.indices.to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(number[index])])
+        return each.take(found.indices).flatten().to_numpy(zero_copy_only=False), ends[of]
+
+    def _ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts."""
+        out = list(map(self.kept.get, parts))
+        new: dict[int, list[int]] = defaultdict(list)
+        for i, ids in enumerate(out):
+            if ids is None:
+                new[len(parts[i])].append(i)
         if len(self.kept) > CACHE_PARTS:
             self.kept.clear()
-        for part in set().union(*split) - self.kept.keys():
-            new[len(part)].append(part)
-        long: dict[str, bytes] = {}
-        for size, parts in new.items():
+        for size, places in new.items():
             step = max(1, min(TOGETHER, (1 << 21) // size))
-            for at in range(0, len(parts), step):
-                (self.kept if size <= CACHE_CHARS else long).update(zip(parts[at : at + step], self.viterbi(parts[at : at + step])))
-        own = self.kept if not long else {**self.kept, **long} if len(long) > 1000 else _Both(self.kept, long)
-        return [b"".join(map(own.__getitem__, s)) for s in split]
-
-
-class _Both(dict):
-    def __init__(self, first: dict, second: dict):
-        super().__init__(second)
-        self.first = first
-
-    def __missing__(self, key: str) -> bytes:
-        return self.first[key]
+            for at in range(0, len(places), step):
+                some = [parts[i] for i in places[at : at + step]]
+                found = self.viterbi(some)
+                for i, ids in zip(places[at : at + step], found):
+                    out[i] = ids
+                if size <= CACHE_CHARS:
+                    self.kept.update(zip(some, found))
+        return out
 
 
 @lru_cache(2)
@@ -178,10 +224,10 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         own = encoder(model)
         for batch in batches:
             for part in slices(batch, 1, 1 << 21):
-                found = own.encode(part.column(1).to_pylist())
-                offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in found])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids, pa.array(map(zlib.crc32, found), pa.int64())], ["doc_id", "text", "ids", "ids_crc32"])
+                found, at = own.encode(part.column(1))
+                ids = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(found))
+                check = [zlib.crc32(found[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids, pa.array(check, pa.int64())], ["doc_id", "text", "ids", "ids_crc32"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, text string, ids array<int>, ids_crc32 long")
 
@@ -201,15 +247,17 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shown = defaultdict(bytes, enumerate(vocabulary(model).shown))
+        shown = pa.array([*vocabulary(model).shown, b""], pa.large_binary())
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            texts = []
-            for ids in batch.column(names.index(ids_col)):
-                if not ids.is_valid:
-                    texts.append(None)
-                    continue
-                data = b"".join(map(shown.__getitem__, ids.values.to_pylist()))
-                texts.append(data.removeprefix(b" ").decode("utf-8", "replace"))
+            ids = batch.column(names.index(ids_col))
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            lengths = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            taken = shown.take(pa.array(np.where((flat >= 0) & (flat < len(shown) - 1), flat, len(shown) - 1)))
+            _, offsets, data = taken.buffers()
+            at = np.frombuffer(offsets, np.int64)[ends].tolist()
+            data = data.to_pybytes() if data is not None else b""
+            texts = [data[i:j].removeprefix(b" ").decode("utf-8", "replace") if v else None for v, i, j in zip(ids.is_valid().to_pylist(), at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, "decoded"])
 
     return encoded.mapInArrow(run, schema)

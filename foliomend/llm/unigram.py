@@ -12,6 +12,9 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 
@@ -40,12 +43,32 @@ class Vocabulary:
             raise ValueError("a piece goes on after a word's end, so words can't be handled apart")
         # No piece joins these characters to others: a text can be cut at them.
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in joined))
+        self.alone = np.zeros(256, bool)
+        self.alone[list(alone.encode())] = True
         self.units = re.compile(f"[{alone}]|{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" if alone else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
     def split(self, text: str) -> list[str]:
         """The parts of a text that are segmented each for itself; together they are the text."""
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The parts of all texts, as `split` gives them, one behind the other, and where each text's begin
+        and the last one's end. Null counts as empty."""
+        mark = SPACE.encode()
+        with_mark = [b"" if not t else mark + t.replace(b" ", mark) for t in texts.cast(pa.large_binary()).to_pylist()]
+        begin = np.concatenate([[0], np.cumsum([len(t) for t in with_mark])]).astype(np.int64)
+        data = np.frombuffer(b"".join(with_mark), np.uint8)
+        space = np.zeros(len(data) + 3, bool)  # where a U+2581 begins
+        if len(data) > 2:
+            space[: len(data) - 2] = (data[:-2] == mark[0]) & (data[1:-1] == mark[1]) & (data[2:] == mark[2])
+        behind = np.concatenate([[False] * 3, space[: len(data)]])[: len(data)]  # where one has just ended
+        alone = self.alone[data]
+        first = alone | np.concatenate([[False], alone])[: len(data)] | (space[: len(data)] & ~behind)
+        first[begin[:-1][begin[:-1] < len(data)]] = True
+        at = np.flatnonzero(first)
+        offsets = np.concatenate([at, [len(data)]]).astype(np.int64)
+        return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data)), np.searchsorted(at, begin)
+
 
 @lru_cache(2)
 def vocabulary(path: str) -> Vocabulary:
