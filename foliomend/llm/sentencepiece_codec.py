@@ -1,10 +1,9 @@
 """SentencePiece encoding and decoding with a unigram vocabulary, in numpy batches.
 
 The distinct parts of a batch of texts are grouped by length, and all parts of one length advance
-together: the hashes of their substrings probe the sorted keys of the pieces, of those lengths that
-some piece with the substring's last characters has; then, at each end position, a vectorised maximum
-keeps the best score and a back pointer. Ties go as in `unigram`. Parts are kept with their ids while
-there is room.
+together: at each end position, the hashes of their substrings of every length probe the sorted keys
+of the pieces, and a vectorised maximum keeps the best score and a back pointer. Ties go as in
+`unigram`. Parts are kept with their ids while there is room.
 """
 
 from __future__ import annotations
@@ -25,8 +24,6 @@ from foliomend.llm.unigram import vocabulary
 
 #: Parts whose ids a Python worker keeps, characters of the longest kept, and parts that advance together.
 CACHE_PARTS, CACHE_CHARS, TOGETHER = 200_000, 48, 2048
-#: Substring ends that are looked at at once, over all parts.
-ENDS = 1 << 15
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,14 +41,7 @@ class Encoder:
         self.at = np.concatenate([[0], np.cumsum(self.lengths)])
         self.ids = np.array([r[2] for r in rows], np.uint32)
         self.scores = np.array([r[3] for r in rows])
-        # Most substrings are no piece. Which lengths pieces have that end in the same three characters (two,
-        # one), and whether a key has a slot, tells so before the search; bit k stands for the length k + 1.
-        if v.longest > 32:
-            raise ValueError("a piece has more than 32 characters")
-        self.endings = np.zeros((3, 1 << 20), np.uint32)
-        for length, at in zip(self.lengths.tolist(), self.at.tolist()):
-            last = self.codes[at : at + length][-3:].astype(np.uint64)[:, None]
-            self.endings[len(last) - 1, self._ending(*last)] |= np.uint32(1 << (length - 1))
+        # Most substrings are no piece: a bit for each slot of the keys tells so before the search.
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self._slot(self.keys)] = True
         self.single = np.zeros(0x110000, bool)
@@ -62,41 +52,6 @@ class Encoder:
     def _slot(keys: np.ndarray) -> np.ndarray:
         return (keys * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(44)
 
-    @staticmethod
-    def _ending(*last: np.ndarray) -> np.ndarray:
-        """The slot of one to three characters."""
-        h = np.full_like(last[0], len(last))
-        for c in last:
-            h = (h + c) * _BASE
-        return h >> np.uint64(44)
-
-    def _found(self, codes: np.ndarray, h: np.ndarray, careful: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each end position in turn the pieces that end there: (end, rows in order, starts, piece numbers), the longest first."""
-        n, size = codes.shape
-        wide = codes.T.astype(np.uint64)
-        step = max(1, ENDS // n)
-        lengths = np.arange(self.vocabulary.longest, 0, -1)
-        for at in range(0, size, step):
-            ends = np.arange(at, min(at + step, size))
-            c = [wide[ends], wide[np.maximum(ends - 1, 0)], wide[np.maximum(ends - 2, 0)]]
-            # Of a piece that would begin before the part nothing is found: its length is masked out.
-            mask = self.endings[0][self._ending(c[0])] | self.endings[1][self._ending(c[1], c[0])] | self.endings[2][self._ending(c[2], c[1], c[0])]
-            mask &= ((np.uint64(1) << np.minimum(ends + 1, 32).astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
-            e, r, k = np.nonzero(mask[:, :, None] >> (lengths - 1).astype(np.uint32) & np.uint32(1))
-            end, length = ends[e] + 1, lengths[k]
-            row = r * (size + 1) + end
-            key = h.ravel()[row] - h.ravel()[row - length] * self.power[length]
-            some = np.flatnonzero(self.maybe[self._slot(key)])
-            e, r, end, length, key = e[some], r[some], end[some], length[some], key[some]
-            piece = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            true = (self.keys[piece] == key) & (self.lengths[piece] == length)
-            if careful:
-                true[true] = self._is_piece(piece[true], codes, r[true], end[true] - length[true])
-            e, r, start, piece = e[true], r[true], (end - length)[true], piece[true]
-            bounds = np.searchsorted(e, np.arange(len(ends) + 1))
-            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-                yield at + i + 1, r[a:b], start[a:b], piece[a:b]
-
     @staticmethod
     def _codes(parts: list[str]) -> np.ndarray:
         return np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).reshape(len(parts), -1)
@@ -126,31 +81,42 @@ class Encoder:
         """
         codes = self._codes(parts)
         n, size = codes.shape
-        h = self._prefixes(codes)
-        known = self.single[codes]
+        # Position by position, so that what is done to all parts at one position lies together.
+        h = np.ascontiguousarray(self._prefixes(codes).T)
+        known = self.single[codes.T]
         rows = np.arange(n)
-        score = np.full((n, size + 1), -np.inf)
-        score[:, 0] = 0
-        back, piece = np.zeros((n, size + 1), np.int32), np.zeros((n, size + 1), np.int32)
-        for end, r, start, at in self._found(codes, h, careful):
-            best, whence, number = np.full(n, -np.inf), np.zeros(n, np.int32), np.zeros(n, np.int32)
-            if len(r):
-                sums = score.ravel()[r * (size + 1) + start] + self.scores[at]
-                first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-                most = np.maximum.reduceat(sums, first)
-                tops = np.flatnonzero(sums == np.repeat(most, np.diff(first, append=len(r))))
-                top = tops[np.concatenate([[True], r[tops][1:] != r[tops][:-1]])]
-                best[r[top]], whence[r[top]], number[r[top]] = most, start[top], at[top]
-            alone = np.where(known[:, end - 1], -np.inf, score[:, end - 1] + self.vocabulary.unknown)
-            own = alone > best
-            score[:, end] = np.where(own, alone, best)
-            back[:, end] = np.where(own, end - 1, whence)
-            piece[:, end] = np.where(own, -1, number)
+        score = np.full((size + 1, n), -np.inf)
+        score[0] = 0
+        back, piece = np.zeros((size + 1, n), np.int32), np.zeros((size + 1, n), np.int32)
+        longest = self.vocabulary.longest
+        all_sums, all_pieces = np.empty((longest, n)), np.zeros((longest, n), np.int32)
+        for end in range(1, size + 1):
+            low = max(0, end - longest)  # the longest substring first: it wins ties
+            key = h[end] - h[low:end] * self.power[end - low : 0 : -1, None]
+            k, r = np.nonzero(self.maybe[self._slot(key)])
+            key = key[k, r]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            found = np.flatnonzero((self.keys[at] == key) & (self.lengths[at] == end - low - k))
+            r, k, at = r[found], k[found], at[found]
+            if careful:
+                true = self._is_piece(at, codes, r, low + k)
+                r, k, at = r[true], k[true], at[true]
+            sums, pieces = all_sums[: end - low], all_pieces[: end - low]
+            sums.fill(-np.inf)
+            sums[k, r] = score[low + k, r] + self.scores[at]
+            pieces[k, r] = at
+            best = sums.argmax(axis=0)
+            most = sums[best, rows]
+            alone = np.where(known[end - 1], -np.inf, score[end - 1] + self.vocabulary.unknown)
+            own = alone > most
+            score[end] = np.where(own, alone, most)
+            back[end] = np.where(own, end - 1, low + best)
+            piece[end] = np.where(own, -1, pieces[best, rows])
         # All parts follow their back pointers together, from the end.
         position, found, starts = np.full(n, size), [], []
         while (position > 0).any():
-            found.append(np.where(position > 0, piece[rows, position], -2))
-            position = np.where(position > 0, back[rows, position], 0)
+            found.append(np.where(position > 0, piece[position, rows], -2))
+            position = np.where(position > 0, back[position, rows], 0)
             starts.append(position)
         steps, starts = np.array(found[::-1]).T, np.array(starts[::-1]).T
         taken = steps != -2
