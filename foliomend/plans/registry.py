@@ -18,6 +18,7 @@ from foliomend.operators import headings as H
 from foliomend.operators import lines as O
 from foliomend.operators import nodes as N
 from foliomend.operators import pages as P
+from foliomend.operators import parts as LP
 from foliomend.operators import placeholders as PH
 from foliomend.plans import config, fix, merge, translate
 from foliomend.plans import oracle as S
@@ -486,6 +487,18 @@ def lex_protected_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.lex_blocks(docs, B.PROTECT, "plain", keep_blank=True)
 
 
+@query(f"{_LEXED} SELECT {_BLOCKS_OF} FROM b")
+def lex_blocks_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of nine lines, so that many blocks are cut."""
+    return LP.lex_blocks_in_parts(P.split_pages_new(corpus(spark, sf_dir)), most=9)
+
+
+@query(f"{_PROTECTED} SELECT {_BLOCKS_OF} FROM b")
+def lex_protected_blocks_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus(spark, sf_dir).select("doc_id", F.lit(0).alias("page"), F.col("md").alias("text"))
+    return LP.lex_blocks_in_parts(docs, B.PROTECT, "plain", keep_blank=True, most=9)
+
+
 @query(f"{_LEXED}, {SB.REPAIRED} SELECT {_BLOCKS_OF}, merged FROM rt")
 def table_interrupt_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.repair_tables(B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir))))
