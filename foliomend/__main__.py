@@ -40,9 +40,10 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, md) of the Markdown files below a path, and their names (doc_id, name)."""
+    """(doc_id, md) of the Markdown files below a path, and their names (doc_id, name) below it, no two the same."""
     files = R.read_files(spark, path).select(F.xxhash64("path").alias("doc_id"), "path", F.col("value").alias("md"))
-    return files.select("doc_id", "md"), files.select("doc_id", F.regexp_replace(F.substring_index("path", "/", -1), r"\.md\z", "").alias("name"))
+    name = F.regexp_replace(R.relative(F.col("path"), R.roots(spark, path)), r"\.md\z", "")
+    return files.select("doc_id", "md"), sinks.checked_names(files.select("doc_id", name.alias("name")))
 
 
 def save(texts: DataFrame, names: DataFrame, ending: str, text_col: str, output: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,31 +37,30 @@ def merge(records: DataFrame, files: DataFrame, plain: bool = False, titles: boo
     return Merged(R.concatenate(pages, titles), external, found, R.metadata_json(full))
 
 
-def _folder(doc: Column) -> Column:
-    """The name of a record file without its folders and last ending."""
-    return F.regexp_replace(F.substring_index(doc, "/", -1), r"(?<=.)\.[^.]*\z", "")
+def _folder(doc: Column, below: list[str]) -> Column:
+    """The name of a record file below the folders that were read, without its last ending."""
+    return F.regexp_replace(R.relative(doc, below), r"(?<=[^/])\.[^./]*\z", "")
 
 
-def save(merged: Merged, output: str) -> None:
-    """A folder for each record file, with TITLE_embedded.md, TITLE_external.md, metadata.json and images/."""
-    folder, title = _folder(F.col("doc")), T.document_title(F.substring_index("doc", "/", -1))
-    named = lambda df, name, content: df.select(F.concat(folder, F.lit("/"), name).alias("path"), F.col(content).alias("content"))
-    sinks.write_files(named(merged.embedded, F.concat(title, F.lit("_embedded.md")), "md"), output)
-    sinks.write_files(named(merged.external, F.concat(title, F.lit("_external.md")), "md"), output)
-    sinks.write_files(named(merged.metadata, F.lit("metadata.json"), "json"), output)
-    sinks.write_files(named(merged.images, F.col("rel_path"), "bytes"), output)
+def save(merged: Merged, output: str, below: list[str] = ()) -> None:
+    """A folder for each record file, with TITLE_embedded.md, TITLE_external.md, metadata.json and images/.
+
+    All are written by one job, whose manifest, with the folders' names, appears at its end.
+    """
+    folder, title = _folder(F.col("doc"), list(below)), T.document_title(F.substring_index("doc", "/", -1))
+    kinds = [(merged.embedded, F.concat(title, F.lit("_embedded.md")), "md"), (merged.external, F.concat(title, F.lit("_external.md")), "md"), (merged.metadata, F.lit("metadata.json"), "json"), (merged.images, F.col("rel_path"), "bytes")]
+    rows = [df.select(folder.alias("name"), F.concat(folder, F.lit("/"), name).alias("path"), F.col(content).cast("binary").alias("content")) for df, name, content in kinds]
+    sinks.write_files(reduce(DataFrame.unionByName, rows), output)
 
 
 def new_records(spark: SparkSession, paths: str | list[str], output: str) -> DataFrame:
-    """Records of the files below paths that have no folder in output yet."""
-    records = R.read_records(spark, paths)
-    path = spark._jvm.org.apache.hadoop.fs.Path(output)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    there = [x.getPath().getName() for x in files.listStatus(path)] if files.exists(path) else []
-    have = spark.createDataFrame([(n,) for n in there], "name string")
-    return R.without_output(records.withColumn("name", _folder(F.col("doc"))), have).drop("name")
+    """Records of the files below paths that no finished run has written to output."""
+    below = R.roots(spark, paths)
+    records = R.read_records(spark, paths).withColumn("name", _folder(F.col("doc"), below))
+    sinks.checked_names(records.select("name", "doc").distinct())
+    return R.without_output(records, sinks.manifest(spark, output, "name string")).drop("name")
 
 
 def run(spark: SparkSession, paths: str | list[str], pages: str | list[str], output: str, plain: bool = True, titles: bool = False) -> None:
     """Merge what has no output yet, and save it."""
-    save(merge(new_records(spark, paths, output), R.read_files(spark, pages), plain, titles), output)
+    save(merge(new_records(spark, paths, output), R.read_files(spark, pages), plain, titles), output, R.roots(spark, paths))

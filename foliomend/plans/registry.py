@@ -728,6 +728,11 @@ def image_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.images(_records(spark, sf_dir)).select("doc", "page_no", "image", "alt", "ext", "rel_path")
 
 
+@query(rf"""WITH {_RECORDS}, n AS (SELECT doc, page, ext, CAST(row_number() OVER (PARTITION BY doc ORDER BY page) AS INTEGER) AS image FROM r WHERE content <> '') SELECT doc, CAST(page AS BIGINT) AS page_no, image, format('images/page_{{:03d}}_img_{{:03d}}', page, image) || ext AS rel_path FROM n""")
+def image_running_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.images(_records(spark, sf_dir), running=True).select("doc", "page_no", "image", "rel_path")
+
+
 @query(rf"""WITH {_RECORDS} SELECT doc, string_agg(CASE WHEN content = '' THEN '' ELSE content || chr(10) || chr(10) END || '---' || chr(10) || chr(10), '' ORDER BY page) AS md FROM r GROUP BY doc""")
 def embedded_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.concatenate(_records(spark, sf_dir))
@@ -743,7 +748,7 @@ def external_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(ORACLES["external_concat"])
 def merge_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole merge, from record files and page files that are written first, in the shared folder."""
-    folder = f"{shared_dir(spark)}/merge-{uuid.uuid4().hex}"
+    folder = sinks.address(spark, f"{shared_dir(spark)}/merge-{uuid.uuid4().hex}")
     pages = _records(spark, sf_dir).withColumn("path", F.concat_ws("/", F.lit("pages"), "doc", F.concat(F.col("page_no").cast("string"), F.lit(".md"))))
     sinks.write_files(pages.where("content <> ''").select("path", "content"), folder)
     record = F.to_json(F.struct("page_no", "file_path", F.concat(F.lit(f"{folder}/"), "path").alias("md_content_path"), "input_width", "input_height"))

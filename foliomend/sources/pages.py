@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliomend.functions import text as T
+from foliomend.sources.sinks import address
 
 #: A page record; other fields of it are ignored.
 RECORD = "page_no long, file_path string, md_content_path string, md_content_nohf_path string, input_width long, input_height long"
 
 
+def file_path() -> Column:
+    """The path of the file a row was read from, as it is on disk: Spark writes spaces and percent signs as in addresses."""
+    return F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """doc (path of the file), line (from 0, blank ones not counted), and the fields of each record: JSON lines.
 
     Files are read by line, so a large one is many tasks. A line that is no JSON fails the read. Missing
     page numbers and sizes are 0, a missing file_path Unknown.
     """
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("doc"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    lines = spark.read.text(paths).select(file_path().alias("doc"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
     line = (F.row_number().over(Window.partitionBy("doc").orderBy("block", "at")) - 1).alias("line")
     rows = lines.where(F.trim(F.regexp_replace("value", r"\s", "")) != "").select("doc", line, F.from_json("value", RECORD, {"mode": "FAILFAST"}).alias("r"))
     return rows.select("doc", "line", "r.*").fillna({"page_no": 0, "file_path": "Unknown", "input_width": 0, "input_height": 0})
@@ -25,7 +33,7 @@ def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_files(spark: SparkSession, paths: str | list[str], glob: str = "*.md") -> DataFrame:
     """path, value: whole text files under the paths, folders included."""
-    return spark.read.text(paths, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    return spark.read.text(paths, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select(file_path().alias("path"), "value")
 
 
 def scan_binary(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
@@ -38,6 +46,31 @@ def without_output(inputs: DataFrame, outputs: DataFrame, key: str = "name") ->
     return inputs.join(outputs.select(key).distinct(), key, "left_anti")
 
 
+def roots(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The folders that names are relative to: of a folder itself, of a file its own, of a pattern the one before its first mark."""
+    out = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        full = address(spark, path)
+        if marks := re.search(r"[*?\[{]", full):
+            full = full[: marks.start()].rpartition("/")[0]
+        else:
+            at = spark._jvm.org.apache.hadoop.fs.Path(full)
+            files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+            if files.exists(at) and files.getFileStatus(at).isFile():
+                full = full.rpartition("/")[0]
+        out.append(full)
+    return sorted(set(out), key=len, reverse=True)
+
+
+def relative(path: Column, below: list[str]) -> Column:
+    """A path below the first of some folders that it is in, longest first."""
+    path, out = _local(path), F.substring_index(path, "/", -1)
+    for folder in reversed(below):
+        start = re.sub("^file:/+", "/", folder).rstrip("/") + "/"
+        out = F.when(path.startswith(start), F.substring(path, len(start) + 1, 1 << 30)).otherwise(out)
+    return out
+
+
 def _local(path: Column) -> Column:
     """Paths of the local file system in one form."""
     return F.regexp_replace(path, "^file:/+", "/")
@@ -54,15 +87,22 @@ def with_content(records: DataFrame, files: DataFrame, plain: bool = False) -> D
     return joined.withColumn("content", F.coalesce("content", F.lit(""))).withColumn("place", place).drop("_path")
 
 
-def images(pages: DataFrame) -> DataFrame:
+def images(pages: DataFrame, running: bool = False) -> DataFrame:
     """doc, page_no, image (from 1), original, alt, ext, rel_path, bytes of images inside a page's text.
 
-    bytes is null, and rel_path too, where the data can't be decoded. pages: doc, page_no, content.
+    bytes is null, and rel_path too, where the data can't be decoded. pages: doc, page_no, content, and
+    place with running: then images are numbered through the document, not in each page.
     """
-    found = pages.select("doc", "page_no", F.posexplode(F.regexp_extract_all("content", F.lit(T.IMAGE_DATA), F.lit(0))).alias("k", "original"))
+    if running:
+        count = F.size(F.regexp_extract_all("content", F.lit(T.IMAGE_DATA), F.lit(0)))
+        before = F.sum(count).over(Window.partitionBy("doc").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+        pages = pages.withColumn("_before", F.coalesce(before, F.lit(0)).cast("int"))
+    else:
+        pages = pages.withColumn("_before", F.lit(0))
+    found = pages.select("doc", "page_no", "_before", F.posexplode(F.regexp_extract_all("content", F.lit(T.IMAGE_DATA), F.lit(0))).alias("k", "original"))
     part = lambda g: F.regexp_extract("original", T.IMAGE_DATA, g)
     data = F.try_to_binary(F.regexp_replace(part(3), "[^A-Za-z0-9+/=]", ""), F.lit("base64"))
-    rows = found.select("doc", "page_no", (F.col("k") + 1).alias("image"), "original", part(1).alias("alt"), data.alias("bytes")).withColumn("ext", T.image_extension(F.col("bytes")))
+    rows = found.select("doc", "page_no", (F.col("k") + 1 + F.col("_before")).alias("image"), "original", part(1).alias("alt"), data.alias("bytes")).withColumn("ext", T.image_extension(F.col("bytes")))
     path = F.format_string("images/page_%03d_img_%03d%s", "page_no", "image", "ext")
     return rows.select("doc", "page_no", "image", "original", "alt", "ext", F.when(F.col("bytes").isNotNull(), path).alias("rel_path"), "bytes")
 

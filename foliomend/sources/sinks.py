@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the frame of a page, around title, table of contents and body.
 PAGE = ('<!DOCTYPE html>\n<html>\n<head><meta charset="utf-8"><title>', "</title></head>\n<body>\n<nav>\n<ul>\n", "\n</ul>\n</nav>\n<main>\n", "\n</main>\n</body>\n</html>\n")
@@ -23,34 +25,98 @@ def write_images(images: DataFrame, path: str) -> None:
     images.where("bytes IS NOT NULL").select("doc", "rel_path", "bytes").write.mode("overwrite").parquet(path)
 
 
+def address(spark: SparkSession, folder: str) -> str:
+    """A folder's full address: a relative one is below the working folder of the default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    full = path.makeQualified(files.getUri(), files.getWorkingDirectory()).toString()
+    return re.sub("^file:/+", "file:///", full).rstrip("/")
+
+
+class Folder:
+    """A folder that a task writes to, by its address. A file appears whole or not at all."""
+
+    def __init__(self, root: str):
+        from pyarrow import fs
+
+        if root.startswith("file://"):
+            self.files, self.root = fs.LocalFileSystem(), root.removeprefix("file://")
+        else:
+            self.files, self.root = fs.FileSystem.from_uri(root)
+        self.root, self.known = self.root.rstrip("/"), set()
+
+    def put(self, path: str, content: bytes) -> None:
+        target = f"{self.root}/{path}"
+        parent, _, name = target.rpartition("/")
+        if parent not in self.known:
+            self.files.create_dir(parent, recursive=True)
+            self.known.add(parent)
+        draft = f"{parent}/.{name[:100]}.{uuid.uuid4().hex}"
+        with self.files.open_output_stream(draft) as out:
+            out.write(content)
+        self.files.move(draft, target)
+
+    def get(self, paths: list[str]) -> list[bytes | None]:
+        """The contents of files, None where there is none."""
+        from pyarrow import fs
+
+        out = []
+        for info in self.files.get_file_info([f"{self.root}/{p}" for p in paths]):
+            out.append(None if info.type == fs.FileType.NotFound else self.files.open_input_stream(info.path).readall())
+        return out
+
+
+#: Below a folder that is written to: a table for each finished run, of the files it wrote.
+MANIFEST = "_manifest"
+
+
 def write_files(rows: DataFrame, folder: str) -> None:
     """One file for each row (path below folder, content as string or binary), written by the tasks.
 
-    folder: a path or address that all machines reach. A file appears whole or not at all, so that a
-    task that runs again does no harm; files that are there already are replaced, others are left alone.
-    Rows with a null path or content, or a path that leaves the folder, are passed over.
+    folder: a path or address that all machines reach; a relative one is resolved here, once. A file
+    appears whole or not at all, so that a task that runs again does no harm; files that are there
+    already are replaced, others are left alone. Rows with a null path or content, or a path that leaves
+    the folder, are passed over. When all are written, and only then, the run's manifest appears: path,
+    bytes and the other columns of rows.
     """
+    spark = rows.sparkSession
+    root = address(spark, folder)
+    more = [c for c in rows.columns if c not in ("path", "content")]
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("bytes", T.LongType()), *(rows.schema[c] for c in more)])
 
-    def write(part: Iterator[Row]) -> None:
-        from pyarrow import fs
-
-        files, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
-        known = set()
-        for path, content in part:
-            parts = (path or "").split("/")
-            if content is None or "" in parts or ".." in parts:
-                continue
-            target = f"{root.rstrip('/')}/{path}"
-            parent, _, name = target.rpartition("/")
-            if parent not in known:
-                files.create_dir(parent, recursive=True)
-                known.add(parent)
-            draft = f"{parent}/.{name[:100]}.{uuid.uuid4().hex}"
-            with files.open_output_stream(draft) as out:
-                out.write(content.encode() if isinstance(content, str) else bytes(content))
-            files.move(draft, target)
-
-    rows.select("path", "content").foreachPartition(write)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Folder(root)
+        for batch in batches:
+            done, sizes = [], []
+            for k, (path, content) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                parts = (path or "").split("/")
+                if content is None or "" in parts or ".." in parts or parts[0] == MANIFEST:
+                    continue
+                content = content.encode() if isinstance(content, str) else bytes(content)
+                out.put(path, content)
+                done.append(k)
+                sizes.append(len(content))
+            kept = batch.take(pa.array(done, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), pa.array(sizes, pa.int64()), *kept.columns[2:]], ["path", "bytes", *more])
+
+    rows.select("path", "content", *more).mapInArrow(write, schema).write.parquet(f"{root}/{MANIFEST}/{uuid.uuid4().hex}")
+
+
+def manifest(spark: SparkSession, folder: str, schema: str = "path string, bytes long") -> DataFrame:
+    """What the finished runs have written to a folder; no rows if there is none. There is one entry of a run to look for, not of a file."""
+    root = address(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{MANIFEST}/*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    runs = [x.getPath().getParent().toString() for x in found or []]
+    return spark.read.schema(schema).parquet(*runs) if runs else spark.createDataFrame([], schema)
+
+
+def checked_names(names: DataFrame, name_col: str = "name") -> DataFrame:
+    """names, if no two rows have the same one: their files would replace each other."""
+    twice = [r[0] for r in names.groupBy(name_col).count().where("count > 1").select(name_col).limit(5).collect()]
+    if twice:
+        raise ValueError(f"several inputs would be written as {', '.join(map(str, twice))}")
+    return names
 
 
 def rendered(docs: DataFrame, render: Callable[[str], str], text_col: str = "md") -> DataFrame:

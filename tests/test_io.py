@@ -58,7 +58,7 @@ def test_files(spark, tmp_path):
     rows = spark.createDataFrame([("a/x.md", "é"), ("a/b/y.md", ""), ("../z.md", "out"), ("/w.md", "out"), (None, "x"), ("n.md", None)], "path string, content string")
     for _ in range(2):
         sinks.write_files(rows.repartition(3), str(tmp_path / "out"))
-    assert {str(f.relative_to(tmp_path)): f.read_text() for f in tmp_path.rglob("*") if f.is_file()} == {"out/a/x.md": "é", "out/a/b/y.md": ""}
+    assert {str(f.relative_to(tmp_path)): f.read_text() for f in tmp_path.rglob("*") if f.is_file() and sinks.MANIFEST not in f.parts} == {"out/a/x.md": "é", "out/a/b/y.md": ""}
     sinks.write_files(spark.createDataFrame([("i.gif", bytearray(b"GIF"))], "path string, content binary"), f"file://{tmp_path}/img")
     assert (tmp_path / "img" / "i.gif").read_bytes() == b"GIF"
 
@@ -77,7 +77,7 @@ def test_merge_from_files_to_files(spark, tmp_path):
     (tmp_path / "in" / "b.jsonl").write_text(json.dumps({"md_content_path": at("b0")}) + "\n \n")
     out = str(tmp_path / "out")
     main.main(["merge", str(tmp_path / "in" / "*.jsonl"), str(tmp_path / "in" / "md"), "-o", out])
-    files = {str(f.relative_to(tmp_path / "out")) for f in (tmp_path / "out").rglob("*") if f.is_file()}
+    files = {str(f.relative_to(tmp_path / "out")) for f in (tmp_path / "out").rglob("*") if f.is_file() and sinks.MANIFEST not in f.parts}
     assert files == {"a.x/a_x_embedded.md", "a.x/a_x_external.md", "a.x/metadata.json", "a.x/images/page_000_img_001.gif", "b/b_embedded.md", "b/b_external.md", "b/metadata.json"}
     read = lambda f: (tmp_path / "out" / f).read_text()
     assert read("a.x/a_x_embedded.md") == f"zero ![x](data:image/gif;base64,{GIF})\n\n---\n\n---\n\n"
@@ -101,7 +101,7 @@ def test_command_lines(spark, tmp_path):
         main.main([command, str(tmp_path / "in"), "-o", str(tmp_path / command), *more])
     assert (tmp_path / "fix" / "d.md").read_text().startswith("## 1. Title")
     assert (tmp_path / "figures" / "d.md").read_text() == "# 1. Title\n\n![a](b.png)\n\nFig. 1. c\n\nSome text [1]."
-    assert {f.name for f in (tmp_path / "translate").iterdir()} == {"d.md", "d.protected.md", "d.protected.json", "d.nodes.json"}
+    assert {f.name for f in (tmp_path / "translate").iterdir() if f.name != sinks.MANIFEST} == {"d.md", "d.protected.md", "d.protected.json", "d.nodes.json"}
     assert "Some text [1]." in (tmp_path / "translate" / "d.md").read_text()
     with pytest.raises(SystemExit):
         main.main(["nothing"])
@@ -126,3 +126,70 @@ def test_skip_existing(spark):
     have = spark.createDataFrame([("a",)], "name string")
     want = spark.createDataFrame([("a",), ("b",)], "name string")
     assert [r.name for r in R.without_output(want, have).collect()] == ["b"]
+
+
+def test_default_output_is_relative(spark, tmp_path, monkeypatch):
+    """Without -o, output is a folder below the working folder of the default file system."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "d.md").write_text("# 1. Title")
+    home = spark._jvm.org.apache.hadoop.fs.Path("output")
+    files = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = files.getWorkingDirectory()
+    files.setWorkingDirectory(spark._jvm.org.apache.hadoop.fs.Path(str(tmp_path)))
+    try:
+        main.main(["fix", str(tmp_path / "in")])
+    finally:
+        files.setWorkingDirectory(before)
+    assert (tmp_path / "output" / "d.md").read_text().startswith("# 1. Title")
+
+
+def test_names_below_the_input(spark, tmp_path):
+    for folder in ("a b", "c"):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "d+%20.md").write_text(f"text of {folder}")
+    main.main(["fix", str(tmp_path / "in"), "-o", str(tmp_path / "out")])
+    assert {f: (tmp_path / "out" / f / "d+%20.md").read_text() for f in ("a b", "c")} == {"a b": "text of a b", "c": "text of c"}
+    assert {r.path: r.bytes for r in sinks.manifest(spark, str(tmp_path / "out")).collect()} == {"a b/d+%20.md": 11, "c/d+%20.md": 9}
+    with pytest.raises(ValueError, match="would be written as x"):
+        sinks.checked_names(spark.createDataFrame([("x",), ("x",), ("y",)], "name string"))
+
+
+def test_pages_in_folders_with_spaces(spark, tmp_path):
+    (tmp_path / "m d").mkdir()
+    (tmp_path / "m d" / "p 1.md").write_text("one")
+    (tmp_path / "r 1.jsonl").write_text(json.dumps({"md_content_path": str(tmp_path / "m d" / "p 1.md")}))
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "r 1.jsonl").write_text(json.dumps({"md_content_path": str(tmp_path / "m d" / "p 1.md")}))
+    with pytest.raises(ValueError, match="would be written as r 1"):
+        merge.run(spark, [str(tmp_path / "r 1.jsonl"), str(tmp_path / "deep")], str(tmp_path / "m d"), str(tmp_path / "o"), plain=False)
+    merge.run(spark, str(tmp_path / "r 1.jsonl"), str(tmp_path / "m d"), str(tmp_path / "o"), plain=False)
+    assert (tmp_path / "o" / "r 1" / "r 1_embedded.md").read_text() == "one\n\n---\n\n"
+
+
+def test_a_broken_run_leaves_no_manifest(spark, tmp_path):
+    fail = F.udf(lambda x: 1 / 0 if x == "b.md" else x)
+    rows = spark.createDataFrame([("a.md", "x"), ("b.md", "y")], "path string, content string").repartition(2)
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        sinks.write_files(rows.withColumn("content", fail("path")), str(tmp_path / "out"))
+    assert sinks.manifest(spark, str(tmp_path / "out")).count() == 0
+    sinks.write_files(rows, str(tmp_path / "out"))
+    assert sorted(r.path for r in sinks.manifest(spark, str(tmp_path / "out")).collect()) == ["a.md", "b.md"]
+
+
+def test_a_broken_merge_is_completed(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "p.md").write_text("one")
+    (tmp_path / "in" / "d.jsonl").write_text(json.dumps({"md_content_path": str(tmp_path / "in" / "p.md")}))
+    (tmp_path / "out" / "d").mkdir(parents=True)
+    (tmp_path / "out" / "d" / "d_embedded.md").write_text("half")
+    for _ in range(2):
+        merge.run(spark, str(tmp_path / "in" / "*.jsonl"), str(tmp_path / "in"), str(tmp_path / "out"), plain=False)
+    assert (tmp_path / "out" / "d" / "d_embedded.md").read_text() == "one\n\n---\n\n" and (tmp_path / "out" / "d" / "metadata.json").exists()
+    assert len([f for f in (tmp_path / "out" / sinks.MANIFEST).iterdir()]) == 2 and sinks.manifest(spark, str(tmp_path / "out")).count() == 3
+
+
+def test_running_image_numbers(spark):
+    x = f"![x](data:image/gif;base64,{GIF})"
+    pages = spark.createDataFrame([("d", 5, 1, f"{x} {x}"), ("d", 7, 2, ""), ("d", 7, 3, x), ("e", 0, 1, x)], "doc string, page_no long, place int, content string")
+    got = R.images(pages, running=True).orderBy("doc", "image").collect()
+    assert [r.rel_path for r in got] == ["images/page_005_img_001.gif", "images/page_005_img_002.gif", "images/page_007_img_003.gif", "images/page_000_img_001.gif"]
