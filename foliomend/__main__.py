@@ -32,6 +32,8 @@ def arguments() -> argparse.ArgumentParser:
     one.add_argument("-c", "--config", help="JSON, YAML or TOML file")
     one.add_argument("-s", "--source-lang")
     one.add_argument("-t", "--target-lang")
+    one.add_argument("--answers", help="folder for the model's answers, which a run that is started again finds")
+    one.add_argument("--calls", type=int, help="calls at a time, in all")
     one = commands.add_parser("figures", help="move figures to the head of their sections")
     one.add_argument("input")
     for command in commands.choices.values():
@@ -65,7 +67,7 @@ def main(given: list[str] | None = None) -> None:
     else:
         cfg, options = load_config(args.config) if args.config else (default_config(), {})
         cfg = cfg.with_languages(args.source_lang, args.target_lang)
-        for ending, df, column in translate.outputs(*translate.translate(docs, cfg, translate.translator_for(cfg, options))):
+        for ending, df, column in translate.outputs(*translate.translate(docs, cfg, translate.translator_for(cfg, options), kept=args.answers, calls=args.calls)):
             save(df, names, ending, column, args.output)
 
 

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliomend.functions import text as T
 from foliomend.operators import nodes as N
 from foliomend.operators import placeholders as P
 from foliomend.plans.config import TranslateConfig, default_config
+from foliomend.sources import sinks
 from foliomend.sources.shared import written
 
 LOG = logging.getLogger(__name__)
@@ -48,6 +50,7 @@ class Ollama:
             raise ValueError("translator_config names no model")
         self.model, self.host = options["model"], options.get("host", "http://localhost:11434")
         self.tries = int(options.get("retry_times", 3))
+        self.name = f"ollama {self.model}"
         self.client = None
 
     def __getstate__(self) -> dict:
@@ -79,21 +82,80 @@ def translator_for(cfg: TranslateConfig, options: dict | None = None) -> Transla
     raise ValueError(f"unknown translator: {cfg.translator_type}")
 
 
-def call_groups(groups: DataFrame, translator: Translator, cfg: TranslateConfig) -> DataFrame:
-    """doc_id, group_id, payload: each group through the translator, parallel_groups calls of a task at a time;
-    so in all, calls at a time are that many for each task that runs. Partitions are the data's own.
-    Written before anything reads it, so that no later failure calls again."""
+def model_name(translator: Translator) -> str:
+    """What tells one translator's answers from another's."""
+    return getattr(translator, "name", None) or getattr(translator, "__qualname__", None) or type(translator).__qualname__
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with ThreadPoolExecutor(max(1, cfg.parallel_groups)) as pool:
-            for part in batches:
-                yield part.assign(payload=list(pool.map(lambda p: translator(p, cfg.source_lang, cfg.target_lang), part["payload"])))
 
-    return written(groups.select("doc_id", "group_id", "payload").mapInPandas(run, "doc_id long, group_id int, payload string"), "translated")
+class Kept:
+    """Answers that are kept in a folder, by a hash of model, languages, round and payload.
 
+    A call's answer is a file of its own from the moment it is there, so a task that runs again, or a job
+    that is started again, finds it. What a round has answered is also a table, which the next start
+    joins before it makes any task. An answer equal to its payload is what a client gives that failed: it isn't kept.
+    """
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return sinks.manifest(spark, f"{self.root}/rounds", "key string, answer string")
+
+    def save(self, answers: DataFrame) -> None:
+        answers.select("key", "answer").write.parquet(f"{self.root}/rounds/{sinks.MANIFEST}/{uuid.uuid4().hex}")
+
+    def path(self, key: str) -> str:
+        return f"calls/{key[:3]}/{key}"
 
-def translate(docs: DataFrame, cfg: TranslateConfig | None = None, translator: Translator | None = None, text_col: str = "md") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(texts, nodes, protected) of docs (doc_id, text_col).
+
+def keys_of(payload: Column, translator: Translator, cfg: TranslateConfig, turn: int) -> Column:
+    what = "\0".join([model_name(translator), cfg.source_lang or "", cfg.target_lang, str(turn)])
+    return F.sha2(F.concat(F.lit(what + "\0"), payload), 256)
+
+
+def call_groups(groups: DataFrame, translator: Translator, cfg: TranslateConfig, turn: int = 0, kept: Kept | None = None, calls: int | None = None) -> DataFrame:
+    """doc_id, group_id, payload: each group through the translator, equal payloads once.
+
+    parallel_groups calls of a task go at a time. calls: how many at a time in all; then there are no
+    more tasks than that allows. kept: answers of earlier runs, which are not asked for again; without it,
+    answers are written before anything reads them, so that no later stage calls again.
+    """
+    spark = groups.sparkSession
+    rows = written(groups.select("doc_id", "group_id", "payload", keys_of(F.col("payload"), translator, cfg, turn).alias("key")), "groups")
+    asked = rows.groupBy("key").agg(F.first("payload").alias("payload"))
+    have = kept.table(spark) if kept else spark.createDataFrame([], "key string, answer string")
+    todo = asked.join(have.select("key"), "key", "left_anti") if kept else asked
+    if calls:
+        todo = todo.repartition(max(1, calls // max(1, cfg.parallel_groups)))
+    width = max(1, cfg.parallel_groups)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folder = sinks.Folder(kept.root) if kept else None
+
+        def answer(key: str, payload: str) -> str:
+            found = translator(payload, cfg.source_lang, cfg.target_lang)
+            if folder and found is not None and found != payload:
+                folder.put(kept.path(key), found.encode())
+            return found
+
+        with ThreadPoolExecutor(width) as pool:
+            for batch in batches:
+                for part in (batch.slice(at, 16 * width) for at in range(0, batch.num_rows, 16 * width)):
+                    keys, payloads = part.column(0).to_pylist(), part.column(1).to_pylist()
+                    there = folder.get([kept.path(k) for k in keys]) if folder else [None] * len(keys)
+                    found = list(pool.map(lambda k, p, t: answer(k, p) if t is None else t.decode(), keys, payloads, there))
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string()), pa.array([a != p for a, p in zip(found, payloads)])], ["key", "answer", "real"])
+
+    answers = written(todo.select("key", "payload").mapInArrow(run, "key string, answer string, real boolean"), "answers")
+    if kept:
+        kept.save(answers.where("real"))
+        answers = answers.select("key", "answer").unionByName(have)
+    return rows.join(answers.select("key", "answer"), "key").select("doc_id", "group_id", F.col("answer").alias("payload"))
+
+
+def translate(docs: DataFrame, cfg: TranslateConfig | None = None, translator: Translator | None = None, text_col: str = "md", kept: str | None = None, calls: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, nodes, protected) of docs (doc_id, text_col). kept: a folder for answers, which a run that
+    is started again finds; calls: how many calls may go at a time in all. See call_groups.
 
     texts: doc_id, text. nodes: doc_id, nid, origin, translated, outcome (skipped, translated, retried or
     failed). protected: doc_id, protected, store. Nodes without readable text are skipped. Failed nodes
@@ -102,14 +164,16 @@ def translate(docs: DataFrame, cfg: TranslateConfig | None = None, translator: T
     """
     cfg = cfg or default_config()
     translator = translator or translator_for(cfg)
+    answers_of = Kept(sinks.address(docs.sparkSession, kept)) if kept else None
     protected = written(P.protect(docs, cfg, text_col), "protected")
     nodes = written(N.split_nodes(protected, cfg.max_chunk_chars).select("*", T.is_placeholder_only(F.col("origin")).alias("skip")), "nodes")
     columns = lambda outcome: ["doc_id", "nid", "origin", "translated", F.lit(outcome).alias("outcome")]
     done = nodes.where("skip").select("doc_id", "nid", "origin", F.col("origin").alias("translated"), F.lit("skipped").alias("outcome"))
 
-    def round_of(todo: DataFrame, most: int, again: bool) -> DataFrame:
+    def round_of(todo: DataFrame, most: int, turn: int) -> DataFrame:
         """todo (doc_id, nid, origin, translated) with the round's answers, and whether they can stand."""
-        answers = N.unpack(call_groups(N.payloads(todo, N.pack_nodes(todo, most)), translator, cfg))
+        again = turn > 0
+        answers = N.unpack(call_groups(N.payloads(todo, N.pack_nodes(todo, most)), translator, cfg, turn, answers_of, calls))
         found = todo.withColumnRenamed("translated", "before").join(answers, ["doc_id", "nid"], "left")
         now = F.coalesce("translated", "before")
         # An answer that has failed already fails again.
@@ -117,12 +181,12 @@ def translate(docs: DataFrame, cfg: TranslateConfig | None = None, translator: T
         return written(found.select("doc_id", "nid", "origin", now.alias("translated"), F.coalesce(ok, F.lit(False)).alias("ok")), "round")
 
     todo = nodes.where("NOT skip").select("doc_id", "nid", "origin", F.lit(None).cast("string").alias("translated"))
-    found = round_of(todo, cfg.max_chunk_chars, again=False)
+    found = round_of(todo, cfg.max_chunk_chars, 0)
     done = done.union(found.where("ok").select(*columns("translated")))
-    for _ in range(cfg.retry_times if cfg.retry_failed_nodes else 0):
+    for turn in range(1, cfg.retry_times + 1 if cfg.retry_failed_nodes else 1):
         if not found.where("NOT ok").head(1):
             break
-        found = round_of(found.where("NOT ok").drop("ok"), max(1024, cfg.max_chunk_chars // 2), again=True)
+        found = round_of(found.where("NOT ok").drop("ok"), max(1024, cfg.max_chunk_chars // 2), turn)
         done = done.union(found.where("ok").select(*columns("retried")))
     nodes = done.union(found.where("NOT ok").select("doc_id", "nid", "origin", F.col("origin").alias("translated"), F.lit("failed").alias("outcome")))
     merged = protected.join(N.merge_nodes(nodes), "doc_id", "left")
