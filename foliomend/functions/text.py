@@ -81,7 +81,7 @@ def clean_inline_new(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(clean_inline_old(s), r"^\*+|\*+\z", ""), r"(?U)^\s+|\s+\z", "")
 
 
-def _each(s: Column, pattern: str, rewrite: Callable[[Column], Column]) -> Column:
+def each_match(s: Column, pattern: str, rewrite: Callable[[Column], Column]) -> Column:
     """All matches replaced by their values: the text is cut at them and put together again, in one pass."""
     values = F.transform(F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), rewrite)
     return F.array_join(F.zip_with(F.split(s, pattern, -1), values, lambda x, v: F.concat(x, F.coalesce(v, F.lit("")))), "")
@@ -123,7 +123,7 @@ def definitions(s: Column) -> Column:
 
 def cite_ranges_old(s: Column) -> Column:
     """[a-b] as [a]...[b]."""
-    return _each(s, RANGE, lambda m: _range(m, "", ""))
+    return each_match(s, RANGE, lambda m: _range(m, "", ""))
 
 
 def cite_singles_old(s: Column) -> Column:
@@ -132,13 +132,13 @@ def cite_singles_old(s: Column) -> Column:
 
 def cite_ranges_new(s: Column) -> Column:
     """[a-b] as footnote marks with spaces between."""
-    return _each(s, RANGE, lambda m: _range(m, "^", " "))
+    return each_match(s, RANGE, lambda m: _range(m, "^", " "))
 
 
 def cite_lists_new(s: Column) -> Column:
     """[1, 2] as footnote marks with spaces between; single numbers too."""
     numbers = lambda m: F.split(F.regexp_replace(m, r"(?U)[\[\]\s]", ""), ",")
-    return _each(s, LIST, lambda m: F.array_join(F.transform(numbers(m), lambda n: F.concat(F.lit("[^"), n, F.lit("]"))), " "))
+    return each_match(s, LIST, lambda m: F.array_join(F.transform(numbers(m), lambda n: F.concat(F.lit("[^"), n, F.lit("]"))), " "))
 
 
 #: The steps of both rewrites of references. Each uses its text more than once: where a plan selects them one

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliomend.functions.text import each_match
 from foliomend.operators.blocks import PROTECT, lex
 from foliomend.plans.config import TranslateConfig
 
@@ -86,15 +87,38 @@ def protect(docs: DataFrame, cfg: TranslateConfig, text_col: str = "md") -> Data
     return docs.select(F.col("doc_id").cast("long"), text_col).mapInArrow(run, schema)
 
 
+#: A placeholder, its number the group. A frozen text holds placeholders of earlier passes only, of which there are fewer than DEPTH.
+PLACEHOLDER, DEPTH = r"__PH_[A-Z0-9]+_(\d{6,})__", 16
+
+
 def restore(text: Column, store: Column, nested: bool = False) -> Column:
-    """Placeholders back to texts, the longest first, in one pass.
+    """Placeholders back to texts, as if each were replaced in the whole text, the longest first.
 
     A text that itself holds a placeholder of an earlier turn keeps it, unless nested is set: then
-    placeholders inside restored texts, which always have a smaller number, are restored too.
+    placeholders inside restored texts are restored too if they have a smaller number, as those have that
+    were frozen; others were in the document already. The text
+    is cut at its placeholders, and each is looked up by its number, which is its place in the store, so
+    the work is the text's length and not that times the store's. What the store has at another place
+    (numbers missing in a dictionary from outside) is searched for.
     """
-    longest = F.array_sort(store, lambda a, b: F.length(b["placeholder"]) - F.length(a["placeholder"]))
-    once = F.aggregate(longest, text, lambda t, e: F.replace(t, e["placeholder"], e["raw"]))
-    return F.aggregate(F.reverse(store), once, lambda t, e: F.replace(t, e["placeholder"], e["raw"])) if nested else once
+    number = lambda m: F.regexp_extract(m, PLACEHOLDER, 1).try_cast("int")
+
+    def entry(m: Column) -> Column:
+        at = F.get(store, number(m) - 1)
+        return F.when(at["placeholder"] == m, at).otherwise(F.get(F.filter(store, lambda e: e["placeholder"] == m), F.lit(0)))
+
+    def kept(e: Column) -> Column:
+        """An entry's text; placeholders that are to stay in it are marked: whose turn is not after the entry's own."""
+        own, place = e["placeholder"], number(e["placeholder"])
+        late = lambda m: number(m) < place if nested else (F.length(m) < F.length(own)) | ((F.length(m) == F.length(own)) & (number(m) > place))
+        return F.when(~e["raw"].contains("__PH_"), e["raw"]).otherwise(each_match(e["raw"], PLACEHOLDER, lambda m: F.when(late(m), m).otherwise(F.replace(m, F.lit("__PH_"), F.lit("\0PH_")))))
+
+    def once(t: Column) -> Column:
+        put = lambda m: F.coalesce(F.get(F.transform(F.array(entry(m)), kept), F.lit(0)), m)
+        return F.when(t.contains("__PH_"), each_match(t, PLACEHOLDER, put)).otherwise(t)
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(DEPTH)), text, lambda t, _: once(t))
+    return F.replace(found, F.lit("\0PH_"), F.lit("__PH_"))
 
 
 def store_json(store: Column) -> Column:

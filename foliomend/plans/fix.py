@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from foliomend.functions import text as T
@@ -43,12 +43,15 @@ def fix_old(docs: DataFrame, level: str = "conservative") -> tuple[DataFrame, Da
     return _steps(spaced, [T.bracket_links, T.collapse_newlines]), P.merge_plan(pages, level)
 
 
-def fix_new(docs: DataFrame) -> DataFrame:
+def fix_new(docs: DataFrame, counts: Observation | None = None) -> DataFrame:
     """doc_id, md of docs (doc_id, md): blocks, interrupted paragraphs, headings, citations, algorithms, journal notes.
 
-    Blocks meet by one shuffle; all else stays within its row.
+    Blocks meet by one shuffle; all else stays within its row. counts: gets `blocks` and `repaired` (how
+    many paragraphs were made whole) from the pass itself, once the result has been written.
     """
     blocks = B.repair_tables(B.lex_blocks(P.split_pages_new(docs)).repartition("doc_id"))
+    if counts is not None:
+        blocks = blocks.observe(counts, F.count("*").alias("blocks"), F.count_if("merged").alias("repaired"))
     md = docs.select("doc_id").join(B.to_markdown(blocks), "doc_id", "left").select("doc_id", F.coalesce("md", F.lit("")).alias("md"))
     return _steps(md, [H.retitled_new, *T.REFERENCES_NEW, O.fenced_algorithms, T.clean_whitespace])
 

@@ -504,6 +504,11 @@ def table_interrupt_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.repair_tables(B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir))))
 
 
+@query(f"{_LEXED}, {SB.REPAIRED} SELECT doc_id, count(*) FILTER (merged) AS repaired FROM rt GROUP BY doc_id")
+def repair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fix.repairs(corpus(spark, sf_dir))
+
+
 @query(f"{_LEXED}, {SB.SPLIT_TYPES} SELECT * FROM st")
 def split_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.split_types(B.lex_blocks(P.split_pages_new(corpus(spark, sf_dir))))
@@ -690,6 +695,16 @@ def translate_echo_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return translate.translate(corpus(spark, sf_dir))[0].select("doc_id", F.regexp_replace("text", _NO_SPACE, "").alias("letters"))
 
 
+@query(rf"""{_PROTECTED}, x AS (SELECT doc_id, string_split(md, chr(10)) AS l FROM c),
+w AS (SELECT b.doc_id, block, kind = 'plain' AS plain, array_to_string(l[first + 1:last + 1], chr(10)) || CASE WHEN last + 1 < len(l) THEN chr(10) ELSE '' END AS raw FROM b JOIN x USING (doc_id)),
+j AS (SELECT doc_id, regexp_replace(string_agg(CASE WHEN plain THEN raw ELSE chr(1) || block || chr(2) END, chr(10) || chr(10) ORDER BY block), '\n{{3,}}', chr(10) || chr(10), 'g') AS s, list({{'t': chr(1) || block || chr(2), 'raw': raw}}) FILTER (NOT plain) AS frozen FROM w GROUP BY doc_id)
+SELECT c.doc_id, coalesce(CASE WHEN frozen IS NULL THEN s ELSE list_reduce(list_concat([s], list_transform(frozen, lambda f: f.t || f.raw)), lambda a, f: replace(a, chr(1) || split_part(split_part(f, chr(1), 2), chr(2), 1) || chr(2), substr(f, strpos(f, chr(2)) + 1))) END, '') AS md FROM c LEFT JOIN j USING (doc_id)""")
+def restored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is protected comes back to the character: every block and line, with a blank line between."""
+    found = PH.protect(corpus(spark, sf_dir), config.default_config())
+    return found.select("doc_id", PH.restore(F.col("protected"), F.col("store"), nested=True).alias("md"))
+
+
 @query(f"WITH {SQL} SELECT doc_id, {S.patterns('md', [(_NO_SPACE, '')])} AS letters FROM c")
 def restored_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is protected comes back, but for white space."""
