@@ -94,10 +94,20 @@ def upsert(nodes: DataFrame, retried: DataFrame) -> DataFrame:
     return fill_missing(nodes, retried)
 
 
+#: From this likeness on a translation counts as the original.
+ALIKE = 0.92
+
+
+def likeness(a: str, b: str) -> float:
+    """Share of characters in common, by longest matching blocks; below ALIKE a bound from above is as good,
+    which the lengths, or the characters whatever their order, often give without comparing."""
+    m = difflib.SequenceMatcher(None, a, b)
+    return next((x for x in (m.real_quick_ratio(), m.quick_ratio()) if x < ALIKE), None) or m.ratio()
+
+
 @F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of characters in common, by longest matching blocks."""
-    return pd.Series([1.0 if x == y else difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
+    return pd.Series([1.0 if x == y else likeness(x or "", y or "") for x, y in zip(a, b)])
 
 
 def succeeded(origin: Column, translated: Column, target: str, fresh: Column | None = None) -> Column:
@@ -111,8 +121,12 @@ def succeeded(origin: Column, translated: Column, target: str, fresh: Column | N
     # A UDF runs on all rows of a batch: where it isn't needed it is given empty texts.
     needed = same & filled & ~script & ~T.is_placeholder_only(origin)
     needed = needed if fresh is None else needed & fresh
-    ratio = similarity(F.when(needed, T.for_comparison(origin)).otherwise(""), F.when(needed, T.for_comparison(translated)).otherwise(""))
-    differs = ratio < 0.92
+    a, b = T.for_comparison(origin), T.for_comparison(translated)
+    # No more characters can be in common than the shorter one has.
+    apart = 2 * F.least(F.length(a), F.length(b)) < ALIKE * (F.length(a) + F.length(b))
+    needed = needed & ~F.coalesce(apart, F.lit(False))
+    ratio = similarity(F.when(needed, a).otherwise(""), F.when(needed, b).otherwise(""))
+    differs = F.coalesce(apart, F.lit(False)) | (ratio < ALIKE)
     return same & filled & (T.is_placeholder_only(origin) | script | (differs if fresh is None else differs & fresh))
 
 
