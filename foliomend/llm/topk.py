@@ -165,8 +165,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id
     sample = table.select("id", "v", F.xxhash64("id", "v").alias("h")).orderBy("h", "id").limit(SAMPLE).toPandas()
     all_of = lambda m, name: F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(name)
     of = lambda key, m, name: F.pmod(key, F.lit(m)).cast("int").alias(name)
-    # By id and vector: a row goes to the same shard however often its task runs, rows of one id to many.
-    rows = table.select("id", "v", of(F.xxhash64("id", "v"), shards, "shard"), all_of(groups, "part"))
+    # By id and vector: a row goes to the same shard however often its task runs. Of equal rows no more than k
+    # can be among the k best, so no shard gets more of them.
+    equal = table.groupBy("id", "v").agg(F.count("*").alias("times")).select("id", "v", F.explode(F.sequence(F.lit(1), F.least(F.col("times"), F.lit(k)).cast("int"))).alias("copy"))
+    rows = equal.select("id", "v", of(F.xxhash64("id", "v"), shards, "shard"), all_of(groups, "part"))
     asked = with_floors(table.where("asked").groupBy("id").agg(F.min("v").alias("v")), sample, k)
     asked = asked.select("id", "v", "floor", of(F.xxhash64("id"), groups, "part"), all_of(shards, "shard"))
 

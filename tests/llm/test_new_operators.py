@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from foliomend.llm import centroids, collocations, quality
+from foliomend.llm import centroids, collocations, quality, topk
 
 SPACE = r"[\x20\x09-\x0D]"
 ODD = ["", None, " \t\n", "a", "Été ÇA va", "x" * 70000, "a b " * 9000, "日本語 テキスト 12", "\U0001f600 ▁x |#", "one two\x0bthree\x0cfour\r\nfive", "a\n\na\n \na\nb\n"]
@@ -288,3 +288,15 @@ def test_bounds_exclude_and_never_wrongly():
         moved = centroids.above(centroids.roots(((new - now.centroids) ** 2).sum(axis=1)))
         now = centroids.Round(new, now.groups, moved)
     assert scanned[0] == v.shape[0] * 40 and sum(scanned[1:]) < 5 * scanned[0] / 3
+
+
+# ----------------------------------------------------------------------- 4
+
+
+def test_top_k_of_many_equal_rows(spark):
+    rows = [(1, [1.0, 0.0])] * 400 + [(2, [1.0, 0.0])] * 3 + [(3, [0.5, 0.5]), (None, [1.0, 1.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(docs, F.col("vec_id") == 3, k=5, scale=4, shards=3).collect())
+    assert got == [(3, i + 1, 1, 8) for i in range(5)]
+    got = sorted((r.rank, r.vec_id) for r in topk.top_k(docs, F.col("vec_id") == 1, k=5, scale=4, shards=3).collect())
+    assert got == [(1, 2), (2, 2), (3, 2), (4, 3)]
