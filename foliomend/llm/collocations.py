@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from foliomend.llm.common import LOWER, looked_up, mix, slices, word_hashes, written
 
 #: Bytes of text in a shard, about, and bitmap bytes whose extensions are made at once.
-SHARD, STEP = 1 << 22, 1 << 15
+SHARD, STEP = 1 << 21, 1 << 15
 #: Bits of the filter: 16 MB, for any corpus. It is made in parts of PART bits.
 FILTER, PART = 1 << 27, 1 << 16
 NO_LANGUAGE = "und"
@@ -198,6 +198,7 @@ def counts(docs: DataFrame, least: int, most: int, often: Broadcast | None = Non
                 for found in counted(Shard(texts), lang, least, most, bits):
                     yield from (found.slice(i, 1 << 16) for i in range(0, found.num_rows, 1 << 16))
             held.clear()
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for part in slices(batch, 1, SHARD // 2):
@@ -214,7 +215,9 @@ def counts(docs: DataFrame, least: int, most: int, often: Broadcast | None = Non
 
 
 def summed(shards: DataFrame) -> DataFrame:
-    return shards.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    """Shards' counts added up. A shard has a phrase once and most phrases are in few shards, so they are
+    shuffled as they are: adding up in each task first would hold all its phrases."""
+    return shards.repartition("lang", "phrase").groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
 
 
 def bit_filter(frequent: DataFrame) -> bytes:
