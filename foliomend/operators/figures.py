@@ -84,3 +84,17 @@ def reorganise(blocks: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc_id").orderBy("pos")
     heading = F.last(F.when(F.col("kind") == "header", F.col("pos")), ignorenulls=True).over(order)
     return blocks.withColumn("heading", heading).where("kind = 'figure'").groupBy("doc_id", "heading").agg(F.count("*").alias("figures"))
+
+
+def reorganised(blocks: DataFrame) -> DataFrame:
+    """doc_id, md: every figure, with a caption right behind it, under the nearest header before it, in order;
+    then what else stands under that header. Before the first header all stays. A blank line between blocks.
+
+    The header is the last one seen so far, and all else one sort key: no block meets another.
+    """
+    order = Window.partitionBy("doc_id").orderBy("pos")
+    heading = F.last(F.when(F.col("kind") == "header", F.col("pos")), ignorenulls=True).over(order)
+    element = (F.col("kind") == "figure") | ((F.col("kind") == "caption") & F.coalesce(F.lag("kind").over(order) == "figure", F.lit(False)))
+    turn = F.when(F.col("kind") == "header", 0).when(element & heading.isNotNull(), 1).otherwise(2)
+    rows = blocks.select("doc_id", F.struct(F.coalesce(heading, F.lit(-1)).alias("heading"), turn.alias("turn"), "pos", "text").alias("row"))
+    return rows.groupBy("doc_id").agg(F.array_sort(F.collect_list("row")).alias("rows")).select("doc_id", F.array_join(F.transform("rows", lambda r: r["text"]), "\n\n").alias("md"))

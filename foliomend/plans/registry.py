@@ -473,6 +473,12 @@ def figures_by_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.reorganise(G.figure_blocks(_lines(spark, sf_dir)))
 
 
+@query(f"""WITH {_BLOCKS}, hb AS (SELECT *, max(CASE WHEN kind = 'header' THEN pos END) OVER w AS heading, kind = 'figure' OR (kind = 'caption' AND coalesce(lag(kind) OVER w = 'figure', false)) AS element FROM bl WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
+SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY coalesce(heading, -1), CASE WHEN kind = 'header' THEN 0 WHEN element AND heading IS NOT NULL THEN 1 ELSE 2 END, pos) AS md FROM hb GROUP BY doc_id""")
+def reorganised_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.reorganised(G.figure_blocks(_lines(spark, sf_dir)))
+
+
 # ------------------------------------------------------------------ blocks
 
 

@@ -335,3 +335,9 @@ def test_figures_in_whole_documents(spark):
     text = "intro\ngoes on\n\n# A\n\n```\n# no heading\n![no](figure)\n```\n\npara one\npara two\n\n|a|b|\n|---|---|\n|1|2|\nTable 1. t\n\n- item\n- item\n\n<table>\n<tr></tr>\n</table>\n"
     got = column(spark, lambda c: c, *[r.md for r in G.moved(docs(spark, text, "", None)).orderBy("doc_id").collect()])
     assert got == ["intro\ngoes on\n\n# A\n\n|a|b|\n|---|---|\n|1|2|\n\nTable 1. t\n\n<table>\n<tr></tr>\n</table>\n\n```\n# no heading\n![no](figure)\n```\n\npara one\npara two\n\n- item\n- item", "", ""]
+
+
+def test_reorganised(spark):
+    md = "![r](r.png)\n# A\ntext one\n![a](a.png)\nFig. 1. of a\ntext two\n| t |\n|---|\n# B\nFig. 2. alone\n![b](b.png)"
+    got = G.reorganised(G.figure_blocks(O.split_lines(docs(spark, md)))).collect()
+    assert [r.md.split("\n\n") for r in got] == [["![r](r.png)", "# A", "![a](a.png)", "Fig. 1. of a", "| t |\n|---|", "text one", "text two", "# B", "![b](b.png)", "Fig. 2. alone"]]
