@@ -791,9 +791,37 @@ def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", T.document_title(F.concat(F.substring_index("url", "/", -1), F.lit(".a.jsonl"))).alias("title"))
 
 
-@query(f"""WITH {SQL_LINES}, tc AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS entry, length(regexp_extract(x, {S.quoted(_TOC)}, 1)) AS level, regexp_extract(x, {S.quoted(_TOC)}, 2) AS title FROM l WHERE {S.matches('x', _TOC)}),
-it AS (SELECT doc_id, string_agg('<li class="toc-' || level || '"><a href="#h' || entry || '">' || {SB.escaped('title')} || '</a></li>', chr(10) ORDER BY entry) AS items FROM tc GROUP BY doc_id)
-SELECT doc_id, {S.quoted(sinks.PAGE[0])} || 'Document ' || doc_id || {S.quoted(sinks.PAGE[1])} || coalesce(items, '') || {S.quoted(sinks.PAGE[2])} || '<pre>' || {SB.escaped('md')} || '</pre>' || {S.quoted(sinks.PAGE[3])} AS html FROM c LEFT JOIN it USING (doc_id)""")
+def _inline_sql(x: str) -> str:
+    """Marks inside a line as elements, in SQL."""
+    rest = "c"
+    for pattern, put in sinks.INLINE_MARKS:
+        rest = f"regexp_replace({rest}, {S.quoted(pattern)}, {S.quoted(put.replace('{1}', chr(92) + '1').replace('{2}', chr(92) + '2'))}, 'g')"
+    spans = f"regexp_extract_all(q, {S.quoted(sinks.CODE_SPAN)})"
+    return f"list_transform([{SB.escaped(x)}], lambda q: array_to_string(list_transform(regexp_split_to_array(q, {S.quoted(sinks.CODE_SPAN)}), lambda c, i: {rest} || coalesce('<code>' || substr({spans}[i], 2, length({spans}[i]) - 2) || '</code>', '')), ''))[1]"
+
+
+def _html_sql() -> str:
+    cells = lambda x, tag: f"'<tr>' || array_to_string(list_transform(string_split(regexp_replace(trim({x}), '^\\||\\|$', '', 'g'), '|'), lambda d: '<{tag}>' || {_inline_sql('trim(d)')} || '</{tag}>'), '') || '</tr>'"
+    items = lambda mark: f"array_to_string(list_transform(t, lambda y: '<li>' || {_inline_sql(f'regexp_replace(y, {S.quoted(mark)}, {chr(39) * 2})')} || '</li>'), chr(10))"
+    heading, nl = S.quoted(sinks.HTML_HEADING), "chr(10)"
+    level = f"length(regexp_extract(t[1], {heading}, 1))"
+    code = f"regexp_replace(regexp_replace(t[1], {S.quoted(sinks.CODE_OPEN)}, ''), {S.quoted(sinks.CODE_CLOSE)}, '')"
+    return rf"""{_PROTECTED},
+ek AS (SELECT doc_id, block, text, CASE WHEN kind <> 'plain' THEN lower(kind) WHEN regexp_matches(text, '^\s*$') THEN 'blank' WHEN regexp_matches(text, {heading}) THEN 'heading' WHEN regexp_matches(text, {S.quoted(sinks.HTML_ITEM)}) THEN 'item' WHEN regexp_matches(text, {S.quoted(sinks.HTML_NUMBER)}) THEN 'number' ELSE 'text' END AS kind FROM b),
+eg AS (SELECT *, CASE WHEN kind IN ('text', 'item', 'number') AND lag(kind) OVER w = kind THEN 0 ELSE 1 END AS fresh FROM ek WINDOW w AS (PARTITION BY doc_id ORDER BY block)),
+eh AS (SELECT *, sum(fresh) OVER w AS place, sum(CASE WHEN kind = 'heading' THEN 1 ELSE 0 END) OVER w AS entry FROM eg WINDOW w AS (PARTITION BY doc_id ORDER BY block)),
+ea AS (SELECT doc_id, place, kind, max(entry) AS entry, list(text ORDER BY block) AS t FROM eh WHERE kind <> 'blank' GROUP BY ALL),
+el AS (SELECT doc_id, place, CASE kind WHEN 'text' THEN '<p>' || array_to_string(list_transform(t, lambda y: {_inline_sql('y')}), {nl}) || '</p>'
+  WHEN 'item' THEN '<ul>' || {items(sinks.HTML_ITEM)} || '</ul>' WHEN 'number' THEN '<ol>' || {items(sinks.HTML_NUMBER)} || '</ol>'
+  WHEN 'heading' THEN '<h' || {level} || ' id="h' || entry || '">' || {_inline_sql(f'regexp_extract(t[1], {heading}, 2)')} || '</h' || {level} || '>'
+  WHEN 'codefence' THEN '<pre><code>' || {SB.escaped(code)} || '</code></pre>' WHEN 'indentcode' THEN '<pre><code>' || {SB.escaped('t[1]')} || '</code></pre>' WHEN 'mathblock' THEN '<div class="math">' || {SB.escaped('t[1]')} || '</div>'
+  WHEN 'table' THEN '<table>' || {nl} || {cells('string_split(t[1], chr(10))[1]', 'th')} || {nl} || array_to_string(list_transform(string_split(t[1], chr(10))[3:], lambda z: {cells('z', 'td')} || {nl}), '') || '</table>'
+  WHEN 'htmlblock' THEN t[1] ELSE '<p class="note">' || {_inline_sql('t[1]')} || '</p>' END AS html,
+  CASE WHEN kind = 'heading' THEN '<li class="toc-' || {level} || '"><a href="#h' || entry || '">' || {SB.escaped(f'regexp_extract(t[1], {heading}, 2)')} || '</a></li>' END AS item FROM ea),
+ep AS (SELECT doc_id, string_agg(html, {nl} ORDER BY place) AS body, string_agg(item, {nl} ORDER BY place) AS items FROM el GROUP BY doc_id)
+SELECT doc_id, {S.quoted(sinks.PAGE[0])} || 'Document ' || doc_id || {S.quoted(sinks.PAGE[1])} || coalesce(items, '') || {S.quoted(sinks.PAGE[2])} || coalesce(body, '') || {S.quoted(sinks.PAGE[3])} AS html FROM c LEFT JOIN ep USING (doc_id)"""
+
+
+@query(_html_sql())
 def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = corpus(spark, sf_dir)
-    return sinks.html_pages(docs, H.table_of_contents(O.split_lines(docs)), F.concat(F.lit("Document "), F.col("doc_id").cast("string")))
+    return sinks.html_pages(corpus(spark, sf_dir), F.concat(F.lit("Document "), F.col("doc_id").cast("string")))

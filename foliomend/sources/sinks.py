@@ -7,10 +7,12 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliomend.operators.blocks import PROTECT, lex_blocks
+
 # Fixed value: the frame of a page, around title, table of contents and body.
 PAGE = ('<!DOCTYPE html>\n<html>\n<head><meta charset="utf-8"><title>', "</title></head>\n<body>\n<nav>\n<ul>\n", "\n</ul>\n</nav>\n<main>\n", "\n</main>\n</body>\n</html>\n")
 
@@ -138,12 +140,71 @@ def escaped(s: Column) -> Column:
     return s
 
 
-def html_pages(docs: DataFrame, toc: DataFrame, title: Column) -> DataFrame:
-    """doc_id, html: each document as a page with its table of contents (doc_id, entry, level, title) and its text."""
-    item = F.format_string('<li class="toc-%d"><a href="#h%d">%s</a></li>', "level", "entry", escaped(F.col("title")))
-    lists = toc.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("entry", item.alias("item")))).alias("items"))
-    rows = docs.select("doc_id", "md", title.alias("title")).join(lists, "doc_id", "left")
-    contents = F.coalesce(F.array_join(F.transform("items", lambda r: r["item"]), "\n"), F.lit(""))
-    body = F.concat(F.lit("<pre>"), escaped(F.col("md")), F.lit("</pre>"))
+# What a plain line is on a page, and marks inside a line, each with what takes its place.
+HTML_HEADING, HTML_ITEM, HTML_NUMBER = r"^\s{0,3}(#{1,6})\s+(.*?)\s*#*\s*$", r"^\s{0,3}[-*+]\s+", r"^\s{0,3}\d{1,9}\.\s+"
+CODE_SPAN = r"`[^`\n]+`"
+INLINE_MARKS = [
+    (r"!\[([^\]]*)\]\(([^()\s]*)\)", '<img src="{2}" alt="{1}">'),
+    (r"\[([^\]]*)\]\(([^()\s]*)\)", '<a href="{2}">{1}</a>'),
+    (r"\*\*([^*]+)\*\*", "<strong>{1}</strong>"),
+    (r"\*([^*\s][^*]*)\*", "<em>{1}</em>"),
+]
+CODE_OPEN, CODE_CLOSE = r"^[^\n]*\n?", r"(^|\n)\s*(`{3,}|~{3,})[^\n]*$"
+
+
+def inline_html(s: Column) -> Column:
+    """The text of a line with its marks as elements; what is in code spans stays as it is."""
+
+    def marked(x: Column) -> Column:
+        for pattern, put in INLINE_MARKS:
+            x = F.regexp_replace(x, pattern, put.replace("{1}", "$1").replace("{2}", "$2"))
+        return x
+
+    def cut(x: Column) -> Column:
+        codes = F.transform(F.regexp_extract_all(x, F.lit(CODE_SPAN), F.lit(0)), lambda c: F.concat(F.lit("<code>"), F.substring(c, F.lit(2), F.length(c) - 2), F.lit("</code>")))
+        return F.array_join(F.zip_with(F.split(x, CODE_SPAN, -1), codes, lambda rest, code: F.concat(marked(rest), F.coalesce(code, F.lit("")))), "")
+
+    return F.get(F.transform(F.array(escaped(s)), cut), F.lit(0))
+
+
+def html_elements(blocks: DataFrame) -> DataFrame:
+    """doc_id, place, kind, entry, html: the blocks of documents, as lexed for protection with blank lines kept, as elements.
+
+    Lines of text in a row are a paragraph, items in a row a list. Headings get the anchor h and their
+    number, entry. HTML stays as it is; all else is escaped. blocks: doc_id, block, kind, text.
+    """
+    text = F.col("text")
+    plain = F.when(text.rlike(r"^\s*$"), "blank").when(text.rlike(HTML_HEADING), "heading").when(text.rlike(HTML_ITEM), "item").when(text.rlike(HTML_NUMBER), "number").otherwise("text")
+    order = Window.partitionBy("doc_id").orderBy("block")
+    rows = blocks.select("doc_id", "block", "text", F.when(F.col("kind") == "plain", plain).otherwise(F.lower("kind")).alias("kind"))
+    goes_on = F.col("kind").isin("text", "item", "number") & F.coalesce(F.lag("kind").over(order) == F.col("kind"), F.lit(False))
+    placed = rows.select("*", F.when(goes_on, 0).otherwise(1).alias("fresh"))
+    placed = placed.select("*", F.sum("fresh").over(order).alias("place"), F.sum(F.when(F.col("kind") == "heading", 1).otherwise(0)).over(order).alias("entry")).where("kind <> 'blank'")
+    grouped = placed.groupBy("doc_id", "place", "kind").agg(F.max("entry").alias("entry"), F.array_sort(F.collect_list(F.struct("block", "text"))).alias("rows"))
+    grouped = grouped.select("doc_id", "place", "kind", "entry", F.transform("rows", lambda r: r["text"]).alias("lines"))
+    one, lines = F.col("lines")[0], F.col("lines")
+    around = lambda tag, x: F.concat(F.lit(f"<{tag}>"), x, F.lit(f"</{tag.split()[0]}>"))
+    items = lambda mark: F.array_join(F.transform(lines, lambda x: around("li", inline_html(F.regexp_replace(x, mark, "")))), "\n")
+    level = F.length(F.regexp_extract(one, HTML_HEADING, 1)).cast("string")
+    heading = F.concat(F.lit("<h"), level, F.lit(' id="h'), F.col("entry").cast("string"), F.lit('">'), inline_html(F.regexp_extract(one, HTML_HEADING, 2)), F.lit("</h"), level, F.lit(">"))
+    code = around("pre", around("code", escaped(F.regexp_replace(F.regexp_replace(one, CODE_OPEN, ""), CODE_CLOSE, ""))))
+    cells = lambda x, tag: around("tr", F.array_join(F.transform(F.split(F.regexp_replace(F.trim(x), r"^\||\|$", ""), r"\|"), lambda c: around(tag, inline_html(F.trim(c)))), ""))
+    rows_of = F.split(one, "\n")
+    table = around("table", F.concat(F.lit("\n"), cells(rows_of[0], "th"), F.lit("\n"), F.array_join(F.transform(F.slice(rows_of, 3, F.size(rows_of)), lambda x: F.concat(cells(x, "td"), F.lit("\n"))), "")))
+    kind = F.col("kind")
+    html = (
+        F.when(kind == "text", around("p", F.array_join(F.transform(lines, inline_html), "\n"))).when(kind == "item", around("ul", items(HTML_ITEM))).when(kind == "number", around("ol", items(HTML_NUMBER))).when(kind == "heading", heading)
+        .when(kind == "codefence", code).when(kind == "indentcode", around("pre", around("code", escaped(one)))).when(kind == "mathblock", around('div class="math"', escaped(one))).when(kind == "table", table).when(kind == "htmlblock", one).otherwise(around('p class="note"', inline_html(one)))
+    )
+    title = F.when(kind == "heading", F.format_string('<li class="toc-%s"><a href="#h%d">%s</a></li>', level, "entry", escaped(F.regexp_extract(one, HTML_HEADING, 2))))
+    return grouped.select("doc_id", "place", "kind", "entry", html.alias("html"), title.alias("item"))
+
+
+def html_pages(docs: DataFrame, title: Column) -> DataFrame:
+    """doc_id, html: each document (doc_id, md) as a page with its contents, whose links lead to its headings."""
+    blocks = lex_blocks(docs.select("doc_id", F.lit(0).alias("page"), F.col("md").alias("text")), PROTECT, "plain", keep_blank=True)
+    parts = html_elements(blocks).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("place", "html", "item"))).alias("parts"))
+    rows = docs.select("doc_id", title.alias("title")).join(parts, "doc_id", "left")
+    joined = lambda name: F.coalesce(F.array_join(F.transform("parts", lambda r: r[name]), "\n"), F.lit(""))
     frame = [F.lit(x) for x in PAGE]
-    return rows.select("doc_id", F.concat(frame[0], escaped(F.col("title")), frame[1], contents, frame[2], body, frame[3]).alias("html"))
+    return rows.select("doc_id", F.concat(frame[0], escaped(F.col("title")), frame[1], joined("item"), frame[2], joined("html"), frame[3]).alias("html"))

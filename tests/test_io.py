@@ -1,6 +1,7 @@
 """Readers, writers and the folder stream."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,9 +50,15 @@ def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame([("a", "x\ny"), ("b", "")], "doc string, md string")
     sinks.write_texts(docs, str(tmp_path / "out"))
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("a", "x\ny"), ("b", "")}
-    toc = spark.createDataFrame([(0, 1, 1, "A<B")], "doc_id long, entry int, level int, title string")
-    page = sinks.html_pages(spark.createDataFrame([(0, "# A<B {body} {toc}")], "doc_id long, md string"), toc, F.lit("{body}")).collect()[0].html
-    assert '<li class="toc-1"><a href="#h1">A&lt;B</a></li>' in page and page.count("<pre># A&lt;B {body} {toc}</pre>") == 1 and "<title>{body}</title>" in page
+    md = "# A<B {body}\n\none *x* `*y*` [l](u)\ntwo\n\n- i\n- **j**\n1. k\n\n| a | b |\n|---|---|\n| `c` | d |\n\n```py\n# no heading <\n```\n## C\n<div>\n<b>raw</b>\n</div>"
+    page = sinks.html_pages(spark.createDataFrame([(0, md)], "doc_id long, md string"), F.lit("{body}")).collect()[0].html
+    for part in (
+        '<h1 id="h1">A&lt;B {body}</h1>', '<p>one <em>x</em> <code>*y*</code> <a href="u">l</a>\ntwo</p>', "<ul><li>i</li>\n<li><strong>j</strong></li></ul>", "<ol><li>k</li></ol>",
+        "<table>\n<tr><th>a</th><th>b</th></tr>\n<tr><td><code>c</code></td><td>d</td></tr>\n</table>", "<pre><code># no heading &lt;</code></pre>", '<h2 id="h2">C</h2>', "<div>\n<b>raw</b>\n</div>", "<title>{body}</title>",
+    ):
+        assert page.count(part) == 1, part
+    links, anchors = re.findall(r'href="#(\w+)"', page), re.findall(r'id="(\w+)"', page)
+    assert links == anchors == ["h1", "h2"]
 
 
 def test_files(spark, tmp_path):
