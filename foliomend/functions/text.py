@@ -87,8 +87,8 @@ def each_match(s: Column, pattern: str, rewrite: Callable[[Column], Column]) ->
     return F.array_join(F.zip_with(F.split(s, pattern, -1), values, lambda x, v: F.concat(x, F.coalesce(v, F.lit("")))), "")
 
 
-#: Digits that a decimal holds; of longer numbers it holds the last TAIL, while those before are the same.
-DIGITS, TAIL = 38, 30
+#: Digits that a decimal holds; of longer numbers it holds the last TAIL, while those before are the same. Any number of LONG digits is a long.
+DIGITS, TAIL, LONG = 38, 30, 18
 
 
 def _range(m: Column, before: str, between: str) -> Column:
@@ -107,7 +107,10 @@ def _range(m: Column, before: str, between: str) -> Column:
     number = lambda k: (tail(a) + k - 1).cast("decimal(38,0)").cast("string")
     whole = lambda k: F.when(same == 0, number(k)).otherwise(F.concat(head(b), F.lpad(number(k), TAIL, "0")))
     marks = F.transform(F.sequence(F.lit(1), count), lambda k: F.concat(F.lit("[" + before), whole(k), F.lit("]")))
-    fits = F.when(count.isNotNull(), F.array_join(marks, between)).otherwise(F.raise_error(F.concat(F.lit("a row has no room for all numbers of "), m)))
+    # Longs are counted and joined as a whole, without decimals and without a lambda for each number.
+    plain = F.array_join(F.sequence(a.try_cast("long"), b.try_cast("long")).cast("array<string>"), f"]{between}[{before}")
+    plain = F.concat(F.lit("[" + before), plain, F.lit("]"))
+    fits = F.when(count.isNotNull(), F.when(F.length(b) <= LONG, plain).otherwise(F.array_join(marks, between))).otherwise(F.raise_error(F.concat(F.lit("a row has no room for all numbers of "), m)))
     return F.when(falls, "").otherwise(fits)
 
 
