@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomend.functions import lines as L
+from foliomend.functions.batches import slices
 
 _LINE = re.compile(r"[^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]*(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]|$)")
 _FENCE, _HTML_CODE, _DELIMITER, _HEADING = (re.compile(p) for p in (L.FENCE, L.HTML_CODE, L.TABLE_DELIMITER, L.HEADING))
@@ -135,7 +136,7 @@ def lex_blocks(pages: DataFrame, rules: list = REPAIR, other: str = "text", keep
     schema = "doc_id long, page int, block int, kind string, first int, last int, text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             rows = []
             for doc, page, text in zip(*(c.to_pylist() for c in batch.columns)):
                 found = [b for b in lex(text or "", rules, other) if keep_blank or b.kind != "blank"]
@@ -201,7 +202,7 @@ def rewritten(docs: DataFrame, rewrite: Callable[[str], str]) -> DataFrame:
     """doc_id, md: each text as a Python function gives it, batch by batch; null stays null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = [None if t is None else rewrite(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "md"])
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomend.functions import lines as L
+from foliomend.functions.batches import cuts, slices
 
 (BLANK, IMAGE, CAPTION, HTML, PIPES, PICTURE, STOP, SHORT, OPEN, OPEN_INSIDE, ENDS, LOWER, HEADING, LISTED, QUOTED, QUOTE_LAST) = (1 << k for k in range(16))
 
@@ -214,11 +215,14 @@ def repaired(text: str, bits: np.ndarray) -> str:
 
 
 def _with_marks(text: Column, bits: Column, rewrite: Callable[[str, np.ndarray], str]) -> Column:
-    """rewrite(text, marks) in Arrow batches; null stays null."""
+    """rewrite(text, marks) in Arrow batches, a slice of each at a time; null stays null."""
 
     @F.arrow_udf("string")
     def run(texts: pa.Array, marked: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else rewrite(t, b.values.to_numpy(zero_copy_only=False)) for t, b in zip(texts.to_pylist(), marked)], pa.string())
+        done = [pa.array([], pa.string())]
+        for at, n in cuts(texts):
+            done.append(pa.array([None if t is None else rewrite(t, b.values.to_numpy(zero_copy_only=False)) for t, b in zip(texts.slice(at, n).to_pylist(), marked.slice(at, n))], pa.string()))
+        return pa.concat_arrays(done)
 
     return run(text, bits)
 
@@ -287,7 +291,7 @@ def wrapped_texts(docs: DataFrame, lang: str = "pseudo", old: bool = True) -> Da
     """doc_id, md of docs: each text as `wrapped` gives it; null stays null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = [None if t is None else wrapped(t, b.values.to_numpy(zero_copy_only=False), lang, old) for t, b in zip(batch.column(1).to_pylist(), batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "md"])
 

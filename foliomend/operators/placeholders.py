@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliomend.functions.batches import slices
 from foliomend.functions.text import each_match
 from foliomend.operators.blocks import PROTECT, lex
 from foliomend.plans.config import TranslateConfig
@@ -78,7 +79,7 @@ def protect(docs: DataFrame, cfg: TranslateConfig, text_col: str = "md") -> Data
     schema = "doc_id long, protected string, store array<struct<placeholder:string,raw:string>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             found = [_protect(t or "", cfg) for t in batch.column(1).to_pylist()]
             stores = [[{"placeholder": p, "raw": r} for r, p in store.items()] for _, store in found]
             kind = pa.list_(pa.struct([("placeholder", pa.string()), ("raw", pa.string())]))

@@ -1,9 +1,13 @@
 """Work that must be dealt over tasks, and memory that must not follow a batch."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from foliomend.functions import text as T
-from foliomend.plans import registry
+from foliomend.functions.batches import cuts, text_bytes
+from foliomend.operators import blocks as B
+from foliomend.operators import placeholders as PH
+from foliomend.plans import config, registry
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -18,3 +22,31 @@ def test_ranges_around_a_long(spark):
         md = spark.createDataFrame([(f"x [{a}-{a + 5}] y [{a}-{a}] [{a + 1}-{a}]",)], "md string").select(T.cite_ranges_new(F.col("md")), T.cite_ranges_old(F.col("md"))).head()
         for got, before, between in zip(md, ("^", ""), (" ", "")):
             assert got == f"x {between.join(f'[{before}{n}]' for n in range(a, a + 6))} y [{before}{a}] "
+
+
+def test_batches_are_cut_by_their_texts():
+    texts = pa.array(["a" * 10, None, "b" * 25, "", "c" * 9, "d" * 9, "é" * 5])
+    assert list(cuts(texts, most=20)) == [(0, 2), (2, 1), (3, 3), (6, 1)]
+    assert list(cuts(texts.slice(2), most=20, rows=1)) == [(k, 1) for k in range(5)]
+    lists = pa.array([["a" * 10, "b" * 8], None, [], ["c" * 30], ["d", None]])
+    assert text_bytes(lists).tolist() == [18, 0, 0, 30, 1] and text_bytes(lists.slice(3)).tolist() == [30, 1]
+    assert list(cuts(pa.array([], pa.string()))) == []
+
+
+class Taken:
+    """Stands for a DataFrame and keeps the function that its batches go through."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+def test_no_batch_is_held_whole(spark):
+    """Rows of one batch leave in slices."""
+    ids, pages, texts = pa.array(range(3000), pa.int64()), pa.array([0] * 3000, pa.int32()), pa.array(["a\n\n```\nb\n```\n"] * 3000)
+    for run, columns in ((B.lex_blocks(Taken()), [ids, pages, texts]), (PH.protect(Taken(), config.default_config()), [ids, texts]), (B.rewritten(Taken(), B.respaced), [ids, texts])):
+        found = list(run(iter([pa.RecordBatch.from_arrays(columns, [f"c{k}" for k in range(len(columns))])])))
+        assert len(found) == 3
+        assert [i for b in found for i in dict.fromkeys(b.column(0).to_pylist())] == list(range(3000))
