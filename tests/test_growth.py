@@ -9,6 +9,8 @@ from foliomend.operators import blocks as B
 from foliomend.operators import parts as PT
 from foliomend.operators import placeholders as PH
 from foliomend.plans import config, registry
+from foliomend.sources import pages as R
+from foliomend.sources import sinks
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -65,3 +67,28 @@ def test_states_pass_without_a_group_for_each_page(spark):
     finally:
         PT.written = keep
     assert len(plans) == 1 and "FlatMapGroups" not in plans[0]
+
+
+def test_written_files_are_found_by_their_manifest(spark, tmp_path):
+    """The same records and pages as from listed folders; many files to a task."""
+    record = '{"page_no": %d, "md_content_path": "p"}'
+    files = [(f"records/d{k}.jsonl", "\r\n".join([record % 2, " ", record % 1]) + "\n" * (k % 3)) for k in range(300)] + [("pages/a b/1.md", "é\nx"), ("pages/2.md", "")]
+    rows = spark.createDataFrame(files, "path string, content string")
+    for _ in range(2):
+        sinks.write_files(rows, str(tmp_path))
+    (tmp_path / "pages" / "3.md").write_text("no run has written this")
+    (tmp_path / "pages" / "2.md").unlink()
+    shown = lambda df: sorted(tuple(r) for r in df.collect())
+    got = R.records_in(R.read_written(spark, str(tmp_path), "records"))
+    assert shown(got) == shown(R.read_records(spark, f"{tmp_path}/records").select(got.columns)) and got.count() == 600
+    assert got.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [r.value for r in R.read_written(spark, str(tmp_path), "pages").collect()] == ["é\nx"]
+
+
+def test_merge_lists_no_folder_of_pages(spark, monkeypatch):
+    def listed(*_, **__):
+        raise AssertionError("a folder of page files was listed")
+
+    monkeypatch.setattr(R, "read_files", listed)
+    monkeypatch.setattr(R, "read_records", listed)
+    assert registry.QUERIES["merge_from_files"](spark, TABLES).columns == ["doc", "md"]
