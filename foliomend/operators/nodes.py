@@ -106,28 +106,29 @@ def likeness(a: str, b: str) -> float:
 
 
 @F.pandas_udf(DoubleType())
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([1.0 if x == y else likeness(x or "", y or "") for x, y in zip(a, b)])
+def similarity(pairs: pd.Series) -> pd.Series:
+    """The likeness of two texts; a single text is a likeness that is known already."""
+    return pd.Series([float(p[0]) if len(p) == 1 else 1.0 if p[0] == p[1] else likeness(*p) for p in pairs], dtype="float64")
 
 
-def succeeded(origin: Column, translated: Column, target: str, fresh: Column | None = None) -> Column:
+def succeeded(origin: Column, translated: Column, target: str, fresh: Column | None = None, readable: bool = False) -> Column:
     """Whether a node's translation can stand: same placeholders, not empty, and either no longer like the
     original or in the target's script. Only texts without that script are compared at length.
 
-    fresh: false for translations that are known to be too like the original."""
+    fresh: false for translations that are known to be too like the original. readable: whether all
+    originals are known to hold text to read. The rules go in order of their cost in one expression, so that
+    each is computed once, and for no row that an earlier one settles.
+    """
     filled = F.coalesce(~L.is_blank(translated), F.lit(False))
     same = T.placeholders(origin) == T.placeholders(F.coalesce(translated, F.lit("")))
-    script = T.has_target_script(translated, target)
-    # A UDF runs on all rows of a batch: where it isn't needed it is given empty texts.
-    needed = same & filled & ~script & ~T.is_placeholder_only(origin)
-    needed = needed if fresh is None else needed & fresh
-    a, b = T.for_comparison(origin), T.for_comparison(translated)
-    # No more characters can be in common than the shorter one has.
-    apart = 2 * F.least(F.length(a), F.length(b)) < ALIKE * (F.length(a) + F.length(b))
-    needed = needed & ~F.coalesce(apart, F.lit(False))
-    ratio = similarity(F.when(needed, a).otherwise(""), F.when(needed, b).otherwise(""))
-    differs = F.coalesce(apart, F.lit(False)) | (ratio < ALIKE)
-    return same & filled & (T.is_placeholder_only(origin) | script | (differs if fresh is None else differs & fresh))
+    known = lambda x: F.array(F.lit(str(x)))
+    stale = L.stripped(origin) == L.stripped(translated)
+    stale = stale if fresh is None else ~fresh | stale
+    compared = F.when(stale, known(1)).otherwise(F.array(T.for_comparison(origin), T.for_comparison(translated)))
+    if not readable:
+        compared = F.when(T.is_placeholder_only(origin), known(0)).otherwise(compared)
+    compared = F.when(T.has_target_script(translated, target), known(0)).otherwise(compared)
+    return similarity(F.when(filled & same, compared).otherwise(known(1))) < ALIKE
 
 
 def merge_nodes(nodes: DataFrame) -> DataFrame:

@@ -177,7 +177,7 @@ def translate(docs: DataFrame, cfg: TranslateConfig | None = None, translator: T
         found = todo.withColumnRenamed("translated", "before").join(answers, ["doc_id", "nid"], "left")
         now = F.coalesce("translated", "before")
         # An answer that has failed already fails again.
-        ok = N.succeeded(F.col("origin"), now, cfg.target_lang, fresh=~now.eqNullSafe(F.col("before")) if again else None)
+        ok = N.succeeded(F.col("origin"), now, cfg.target_lang, fresh=~now.eqNullSafe(F.col("before")) if again else None, readable=True)
         return written(found.select("doc_id", "nid", "origin", now.alias("translated"), F.coalesce(ok, F.lit(False)).alias("ok")), "round")
 
     todo = nodes.where("NOT skip").select("doc_id", "nid", "origin", F.lit(None).cast("string").alias("translated"))
