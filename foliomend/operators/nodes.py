@@ -20,7 +20,8 @@ MARKS = 37
 def split_nodes(docs: DataFrame, most: int, text_col: str = "protected") -> DataFrame:
     """doc_id, nid (from 0), origin: headings and list items alone, other lines up to a blank one together;
     what is longer than most is cut after sentence ends and filled up again."""
-    lines = docs.select("doc_id", F.posexplode(universal_lines(F.col(text_col))).alias("n", "x"))
+    # An inner explode filters by its array's size first, which computes the array again; an outer one doesn't.
+    lines = docs.select("doc_id", F.posexplode_outer(universal_lines(F.col(text_col))).alias("n", "x")).where("n IS NOT NULL")
     order = Window.partitionBy("doc_id").orderBy("n")
     alone = L.is_heading(F.col("x")) | L.is_list_item(F.col("x"))
     marked = lines.select("*", alone.alias("alone"), L.is_blank(F.col("x")).alias("blank"))
@@ -28,16 +29,22 @@ def split_nodes(docs: DataFrame, most: int, text_col: str = "protected") -> Data
     runs = marked.withColumn("run", F.sum(F.when(fresh, 1).otherwise(0)).over(order)).where("NOT blank")
     blocks = runs.groupBy("doc_id", "run").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("rows"))
     blocks = blocks.select("doc_id", "run", F.array_join(F.transform("rows", lambda r: r["x"]), "\n").alias("text"))
-    parts = F.split("text", r"(?<=[。！？!?.])\s+")
-    state = F.struct(F.lit("").alias("buffer"), F.array().cast("array<string>").alias("done"))
+    # Of a part without outer space nothing is stripped, and a buffer that begins with none is only added to.
+    parts = F.transform(F.split("text", r"(?<=[。！？!?.])\s+"), lambda p: F.struct(p.alias("p"), ((p != "") & (L.stripped(p) == p)).alias("clean")))
+    state = F.struct(F.lit("").alias("buffer"), F.lit(False).alias("clean"), F.array().cast("array<string>").alias("done"))
 
-    def fill(s: Column, p: Column) -> Column:
-        longer = L.stripped(F.when(s["buffer"] == "", p).otherwise(F.concat(s["buffer"], F.lit(" "), p)))
-        full = (F.length(longer) > most) & (s["buffer"] != "")
-        return F.struct(F.when(full, p).otherwise(longer).alias("buffer"), F.when(full, F.concat(s["done"], F.array(s["buffer"]))).otherwise(s["done"]).alias("done"))
+    def fill(s: Column, part: Column) -> Column:
+        p, empty, both = part["p"], s["buffer"] == "", F.concat(s["buffer"], F.lit(" "), part["p"])
+        longer = F.when(part["clean"] & empty, p).when(part["clean"] & s["clean"], both).otherwise(L.stripped(F.when(empty, p).otherwise(both)))
+
+        def next_state(x: Column) -> Column:
+            full = (F.length(x) > most) & ~empty
+            return F.struct(F.when(full, p).otherwise(x).alias("buffer"), F.when(full, part["clean"]).otherwise(True).alias("clean"), F.when(full, F.concat(s["done"], F.array(s["buffer"]))).otherwise(s["done"]).alias("done"))
+
+        return T.bound(longer, next_state)
 
     pieces = F.when(F.length("text") <= most, F.array("text")).otherwise(F.aggregate(parts, state, fill, lambda s: F.concat(s["done"], F.array(s["buffer"]))))
-    found = blocks.select("doc_id", "run", F.posexplode(pieces).alias("k", "origin")).where("origin <> ''")
+    found = blocks.select("doc_id", "run", F.posexplode_outer(pieces).alias("k", "origin")).where("origin <> ''")
     return found.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("run", "k")) - 1).alias("nid"), "origin")
 
 

@@ -1,11 +1,16 @@
 """Work that must be dealt over tasks, and memory that must not follow a batch."""
 
+import random
+import re
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from foliomend.functions import text as T
 from foliomend.functions.batches import cuts, text_bytes
 from foliomend.operators import blocks as B
+from foliomend.operators import nodes as N
+from foliomend.operators import pages as P
 from foliomend.operators import parts as PT
 from foliomend.operators import placeholders as PH
 from foliomend.plans import config, registry
@@ -92,3 +97,36 @@ def test_merge_lists_no_folder_of_pages(spark, monkeypatch):
     monkeypatch.setattr(R, "read_files", listed)
     monkeypatch.setattr(R, "read_records", listed)
     assert registry.QUERIES["merge_from_files"](spark, TABLES).columns == ["doc", "md"]
+
+
+def test_arrays_are_computed_once(spark):
+    """No filter by an array's size stands below the step that makes rows of it; null texts have no rows."""
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "a\n---\nb. c")], "doc_id long, md string").repartition(2)
+    for df, want in ((P.split_pages_old(docs), 3), (P.split_pages_new(docs), 3), (N.split_nodes(docs, 6, "md"), 2)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        assert not [x for x in plan if x.lstrip(" +-:").startswith("Filter") and "size(" in x]
+        assert df.where("doc_id <> 1").count() == df.count() >= want
+
+
+def test_nodes_are_filled_as_by_the_plain_rule(spark):
+    """Parts with and without outer space, Unicode's too, against the rule in Python."""
+    rng, spaces = random.Random(5), " \t 　"
+    rows = [(i, "".join(rng.choice(["ab", "cde.", "f!", "。", " ", " ", "　", "x" * 9]) for _ in range(rng.randrange(30)))) for i in range(300)]
+
+    def plain(text, most):
+        if len(text) <= most:
+            return [text] if text else []
+        done, buffer = [], ""
+        for p in re.split(r"(?<=[。！？!?.])[ \t]+", text):
+            longer = (p if not buffer else f"{buffer} {p}").strip(spaces)
+            if len(longer) > most and buffer:
+                done, buffer = [*done, buffer], p
+            else:
+                buffer = longer
+        return [x for x in [*done, buffer] if x]
+
+    docs = spark.createDataFrame([(i, f"z{t}") for i, t in rows], "doc_id long, md string")
+    got = {}
+    for r in N.split_nodes(docs, 12, "md").orderBy("doc_id", "nid").collect():
+        got.setdefault(r.doc_id, []).append(r.origin)
+    assert got == {i: plain(f"z{t}", 12) for i, t in rows}
