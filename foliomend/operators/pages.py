@@ -14,12 +14,17 @@ LEVELS = {"conservative": 0.8, "moderate": 0.6, "aggressive": 0.4}
 def split_pages_old(docs: DataFrame, text_col: str = "md") -> DataFrame:
     """doc_id, page (from 0), text: parts between any three hyphens; a rule's own line ends go with it."""
     joined = F.replace(F.col(text_col), F.lit("\n---\n"), F.lit("---"))
-    return docs.select("doc_id", F.posexplode(F.split(joined, "---", -1)).alias("page", "text"))
+    return _split(docs, F.split(joined, "---", -1))
 
 
 def split_pages_new(docs: DataFrame, text_col: str = "md") -> DataFrame:
     """doc_id, page (from 0), text: parts between rules that have a line of their own."""
-    return docs.select("doc_id", F.posexplode(F.split(F.col(text_col), "\n---\n", -1)).alias("page", "text"))
+    return _split(docs, F.split(F.col(text_col), "\n---\n", -1))
+
+
+def _split(docs: DataFrame, parts: Column) -> DataFrame:
+    """A row for each part, none for null. An inner explode would compute the parts once more, for a filter by their number."""
+    return docs.select("doc_id", F.posexplode_outer(parts).alias("page", "text")).where("page IS NOT NULL")
 
 
 def _ends(text: Column) -> Column:
