@@ -50,6 +50,12 @@ def stripped(s: Column) -> Column:
     return F.regexp_replace(s, r"(?U)^\s+|\s+\z", "")
 
 
+def trimmed(s: Column) -> Column:
+    """`stripped` for a column or a lambda's variable, which is used more than once: only what has outer space is searched."""
+    ends = F.concat(F.substring(s, 1, 1), F.substring(s, -1, 1))
+    return F.when(ends.rlike(r"(?U)\s"), stripped(s)).otherwise(s)
+
+
 def any_of(s: Column, patterns: list[str], flags: str = "") -> Column:
     return s.rlike(flags + "(?:" + ")|(?:".join(patterns) + ")")
 
@@ -196,3 +202,85 @@ def split_confidence(before: Column, after: Column) -> Column:
 
 def is_paragraph_split(before: Column, after: Column) -> Column:
     return ~before.rlike(STOP) & (starts_lower(after) | (common_words(before, after) > 1))
+
+
+# Of lines that are stripped already. Each asks for a mark or a character first that the pattern can't do without,
+# and searches a line's head or tail for what stands there, instead of looking at every place of every line.
+
+#: Longer than what OPEN_TAIL and both abbreviations take of a line's end, and a character before it.
+TAIL = 16
+
+
+def head(t: Column) -> Column:
+    return F.substring(t, 1, TAIL)
+
+
+def tail(t: Column) -> Column:
+    """A line's end in which a word's boundaries are those that they are in the line; one that begins with a mark
+    that belongs to the character before it is the whole line."""
+    end = F.substring(t, -TAIL, TAIL)
+    return F.when(end.rlike(r"^\p{Mn}"), t).otherwise(end)
+
+
+def last_is(end: Column, marks: str) -> Column:
+    return F.substring(end, -1, 1).isin(*marks)
+
+
+def stops(end: Column) -> Column:
+    """STOP; end: tail(t)."""
+    return last_is(end, ".!?。！？")
+
+
+def short_abbreviation(end: Column) -> Column:
+    """SHORT_ABBREVIATION; end: tail(t)."""
+    return last_is(end, ".") & end.rlike(SHORT_ABBREVIATION)
+
+
+def ends_quoted(end: Column) -> Column:
+    """STOP_QUOTED, and no ABBREVIATION; end: tail(t)."""
+    return F.substring(end, -2, 2).rlike(STOP_QUOTED) & ~(last_is(end, ".") & end.rlike(ABBREVIATION))
+
+
+def hangs(end: Column) -> Column:
+    """Any of OPEN_TAIL; end: tail(t)."""
+    return F.substring(end, -1, 1).rlike("[A-Za-z,;:(-]") & any_of(end, OPEN_TAIL, "(?i)")
+
+
+def digit_first(head: Column) -> Column:
+    return F.substring(head, 1, 1).between("0", "9")
+
+
+def listed(t: Column, head: Column) -> Column:
+    """Any of LIST_STARTS; head: head(t)."""
+    return F.when(digit_first(head), t.rlike(LIST_STARTS[0])).otherwise(any_of(F.substring(head, 1, 2), LIST_STARTS))
+
+
+def heads(t: Column, head: Column) -> Column:
+    """like_heading; head: head(t)."""
+    return t.startswith("#") | (digit_first(head) & t.rlike(NUMBERED_HEADING)) | (F.substring(head, 1, 1).rlike(r"^\p{Lu}") & (F.length(t) < 80) & ~t.endswith("."))
+
+
+def image(t: Column) -> Column:
+    return t.startswith("![") & is_image(t)
+
+
+def caption(t: Column) -> Column:
+    return (t.startswith("Fig") | t.startswith("Tab")) & t.rlike(CAPTION)
+
+
+def html_table(t: Column) -> Column:
+    return t.contains("<") & is_html_table(t)
+
+
+def pipes(t: Column) -> Column:
+    return t.contains("|") & is_markdown_table(t)
+
+
+def embedded(t: Column) -> Column:
+    """Whether `element` is anything but text."""
+    return image(t) | caption(t) | html_table(t) | pipes(t)
+
+
+def algorithm_step(t: Column, head: Column, patterns: list[str]) -> Column:
+    """Any of the steps, which take no more than a line's head where it is no number and not bold; head: head(t)."""
+    return any_of(F.when(digit_first(head) | t.startswith("*"), t).otherwise(head), patterns)

@@ -160,9 +160,10 @@ def fix_references_new(s: Column) -> Column:
 
 def bracket_links(s: Column) -> Column:
     """Bare URLs and mail addresses in angle brackets; code and mathematics with spaces around."""
-    for pattern, put in ((BARE_URL, "<$1>"), (BARE_MAIL, "<mailto:$1>"), (CODE_SPAN, " $0 "), (MATH_SPAN, " $0 ")):
-        s = F.regexp_replace(s, pattern, put)
-    return s
+    s = F.regexp_replace(s, "(?=http)" + BARE_URL, "<$1>")
+    # An address doesn't go beyond its line, and few lines have one.
+    s = F.array_join(F.transform(F.split(s, "\n", -1), lambda x: F.when(x.contains("@"), F.regexp_replace(x, BARE_MAIL, "<mailto:$1>")).otherwise(x)), "\n")
+    return F.regexp_replace(F.regexp_replace(s, "(?=`)" + CODE_SPAN, " $0 "), MATH_SPAN, " $0 ")
 
 
 def strip_unreadable(s: Column) -> Column:

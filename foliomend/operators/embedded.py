@@ -26,28 +26,41 @@ from foliomend.functions.batches import cuts, slices
 
 def marks(text: Column) -> Column:
     """For each line of a text the bits above."""
-    def bits(t: Column) -> Column:
+    def line(t: Column) -> Column:
+        return F.struct(t.alias("t"), L.head(t).alias("head"), L.tail(t).alias("end"))
+
+    def hanging(x: Column) -> Column:
+        return F.struct(x["t"].alias("t"), x["head"].alias("head"), x["end"].alias("end"), L.hangs(x["end"]).alias("open"))
+
+    def bits(x: Column) -> Column:
+        t, head, end, hangs = x["t"], x["head"], x["end"], x["open"]
         answers = {
             BLANK: t == "",
-            IMAGE: L.is_image(t),
-            CAPTION: t.rlike(L.CAPTION),
-            HTML: L.is_html_table(t),
-            PIPES: L.is_markdown_table(t),
+            IMAGE: L.image(t),
+            CAPTION: L.caption(t),
+            HTML: L.html_table(t),
+            PIPES: L.pipes(t),
             PICTURE: t.contains("<img"),
-            STOP: t.rlike(L.STOP),
-            SHORT: t.rlike(L.SHORT_ABBREVIATION),
-            OPEN: L.any_of(t, L.OPEN_TAIL, "(?i)"),
-            OPEN_INSIDE: L.any_of(F.concat(F.lit(" "), t), L.OPEN_TAIL, "(?i)"),
-            ENDS: t.rlike(L.STOP_QUOTED) & ~t.rlike(L.ABBREVIATION),
-            LOWER: L.starts_lower(t),
-            HEADING: L.like_heading(t),
-            LISTED: L.any_of(t, L.LIST_STARTS),
+            STOP: L.stops(end),
+            SHORT: L.short_abbreviation(end),
+            OPEN: hangs,
+            # A space before it tells only in a line that is no more than a word.
+            OPEN_INSIDE: hangs | ((F.length(end) < L.TAIL) & L.hangs(F.concat(F.lit(" "), t))),
+            ENDS: L.ends_quoted(end),
+            LOWER: L.starts_lower(head),
+            HEADING: L.heads(t, head),
+            LISTED: L.listed(t, head),
             QUOTED: t.contains('"'),
             QUOTE_LAST: t.endswith('"'),
         }
         return _packed(answers)
 
-    return F.transform(F.transform(F.split(text, "\n"), L.stripped), bits)
+    return F.transform(F.transform(F.transform(F.transform(F.split(text, "\n"), L.trimmed), line), hanging), bits)
+
+
+def _where(condition: Column, bits: Column) -> Column:
+    """The marks of a text that may need them, no marks of another one."""
+    return F.when(condition, bits).otherwise(F.array().cast("array<int>"))
 
 
 def _packed(answers: dict[int, Column]) -> Column:
@@ -229,7 +242,9 @@ def _with_marks(text: Column, bits: Column, rewrite: Callable[[str, np.ndarray],
 
 def repair_column(text: Column) -> Column:
     """A text with the paragraphs whole that images, captions or tables interrupt; null stays null."""
-    return _with_marks(text, marks(text), repaired)
+    # What no element can do without.
+    elements = text.contains("|") | text.contains("<") | text.contains("![") | text.contains("Fig") | text.contains("Tab")
+    return _with_marks(text, _where(elements, marks(text)), repaired)
 
 
 # ------------------------------------------------------------- pseudocode
@@ -239,6 +254,8 @@ TITLE = r"(?i)^\s*(?:\*\*)?\s*(?:Algorithm|算法)\s+([A-Za-z0-9.-]+)?\s*(?:\*\*
 BOLD = r"^\s*\*\*.+\*\*\s*$"
 BOLD_LABEL = r"(?i)^\s*\*\*\s*(Input|Output|Procedure|Requires?|Ensure)\s*[:：]?\s*\*\*"
 HASHES, NUMBERED_STEP = r"^\s*#{1,6}\s", r"^\d+\s*[:.)]\s"
+#: In every text that has a title, whatever letter stands for an i.
+MAY_HOLD_TITLE = "(?i)algor.thm|算法"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
 _TITLE, _LINE_END = re.compile(TITLE), re.compile(LINE_END)
 (CODE, TITLED, ENDING, FREE, NUMBERED) = (1 << k for k in range(5))
@@ -246,13 +263,23 @@ _TITLE, _LINE_END = re.compile(TITLE), re.compile(LINE_END)
 
 def algorithm_marks(text: Column, old: bool) -> Column:
     """For each line: whether it is a code fence, a title, ends an algorithm at once, may stand in one at any place, is a numbered step."""
-    def bits(s: Column) -> Column:
-        t = L.stripped(s)
-        code = t.startswith("```")
-        answers = {CODE: code, TITLED: s.rlike("(?U)" + TITLE), ENDING: code | s.rlike("(?U)" + HASHES) | (s.rlike("(?U)" + BOLD) & ~s.rlike("(?U)" + BOLD_LABEL)), FREE: (L.continues_algorithm_old if old else L.continues_algorithm_new)(s), NUMBERED: t.rlike("(?U)" + NUMBERED_STEP)}
+    steps = L.ALGORITHM_STEP_OLD if old else L.ALGORITHM_STEP_NEW
+
+    def bits(x: Column) -> Column:
+        s, t, head = x["s"], x["t"], x["head"]
+        code, first = t.startswith("```"), F.substring(head, 1, 1)
+        answers = {
+            CODE: code,
+            TITLED: first.isin("A", "a", "*", "算") & s.rlike("(?U)" + TITLE),
+            ENDING: code | (t.startswith("#") & s.rlike("(?U)" + HASHES)) | (t.startswith("**") & s.rlike("(?U)" + BOLD) & ~s.rlike("(?U)" + BOLD_LABEL)),
+            FREE: (t == "") | (t == "***") | L.algorithm_step(t, head, steps),
+            NUMBERED: first.rlike(r"(?U)\d") & t.rlike("(?U)" + NUMBERED_STEP),
+        }
         return _packed(answers)
 
-    return F.transform(F.split(text, LINE_END), bits)
+    lines = F.transform(F.split(text, LINE_END), lambda s: F.struct(s.alias("s"), L.trimmed(s).alias("t")))
+    lines = F.transform(lines, lambda x: F.struct(x["s"].alias("s"), x["t"].alias("t"), L.head(x["t"]).alias("head")))
+    return _where(text.rlike(MAY_HOLD_TITLE), F.transform(lines, bits))
 
 
 def _plain(s: str) -> str:

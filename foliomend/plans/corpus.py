@@ -71,6 +71,6 @@ SQL_LINES = SQL + ", l AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS n, string_sp
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, md)."""
+    """(doc_id, md). Documents are dealt by their id before anything is made of them: a file may be one task's alone."""
     md = f"array_join(transform(split(text, '\\n', -1), (x, i) -> {_case('(doc_id * 7 + i)')}), chr(10))"
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.expr(md).alias("md"))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").repartition("doc_id").select("doc_id", F.expr(md).alias("md"))
