@@ -56,6 +56,21 @@ def trimmed(s: Column) -> Column:
     return F.when(ends.rlike(r"(?U)\s"), stripped(s)).otherwise(s)
 
 
+def blank_line(s: Column) -> Column:
+    """`is_blank` for a column or a lambda's variable: what begins with more than space isn't searched."""
+    return F.when(F.substring(s, 1, 1).rlike(r"(?U)\S"), False).otherwise(is_blank(s))
+
+
+def heading_at_head(s: Column) -> Column:
+    """is_heading, which asks for ten characters at most."""
+    return F.substring(s, 1, 10).rlike(HEADING)
+
+
+def list_item_at_head(s: Column) -> Column:
+    """is_list_item, which asks for fourteen characters at most."""
+    return F.substring(s, 1, 14).rlike(LIST_ITEM)
+
+
 def any_of(s: Column, patterns: list[str], flags: str = "") -> Column:
     return s.rlike(flags + "(?:" + ")|(?:".join(patterns) + ")")
 

@@ -34,6 +34,8 @@ MATH_BLOCK, MATH, MATH_PAREN, MATH_BRACKET = r"\$\$[\s\S]*?\$\$", r"\$[^$]*?\$",
 CODE_BLOCK, CODE, TAG, LINK = r"```[\s\S]*?```", r"`[^`]*`", r"</?[^>]+>", r"https?://\S+|www\.\S+"
 UNREADABLE = [PRESERVED, PLACEHOLDER, MATH_BLOCK, MATH, MATH_PAREN, MATH_BRACKET, CODE_BLOCK, CODE, TAG, LINK]
 COMPARED = [TAG, CODE_BLOCK, CODE, MATH_BLOCK, MATH, MATH_PAREN, MATH_BRACKET, LINK]
+#: What a text has that one of these patterns is found in.
+UNREADABLE_MARKS, COMPARED_MARKS = r"@@PRESERVE_|__PH_|[$\\`<]|https?://|www\.", r"[<`$\\]|https?://|www\."
 READABLE = r"[A-Za-zÀ-ɏ一-鿿぀-ヿ가-힯]"
 IMAGE_DATA = r"!\[([^\]]*)\]\((data:image/[^;]+;base64,([^)]+))\)"
 
@@ -166,17 +168,27 @@ def bracket_links(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, "(?=`)" + CODE_SPAN, " $0 "), MATH_SPAN, " $0 ")
 
 
+def _each_where(s: Column, marks: str, patterns: list[str], put: str) -> Column:
+    """Pattern after pattern replaced in texts that have any of the characters that each of them begins with; null stays null."""
+    return F.when(s.rlike(marks), reduce(lambda t, p: F.regexp_replace(t, p, put), patterns, s)).otherwise(s)
+
+
+def _without_unreadable(s: Column) -> Column:
+    return _each_where(s, UNREADABLE_MARKS, UNREADABLE, "")
+
+
 def strip_unreadable(s: Column) -> Column:
     """What is left for a reader: placeholders, mathematics, code, tags, links, signs and spaces gone."""
-    return F.regexp_replace(reduce(lambda t, p: F.regexp_replace(t, p, ""), UNREADABLE, s), r"(?U)[\s\W_]+", "")
+    return F.regexp_replace(_without_unreadable(s), r"(?U)[\s\W_]+", "")
 
 
 def is_placeholder_only(s: Column) -> Column:
-    return ~strip_unreadable(s).rlike(READABLE)
+    """Whether strip_unreadable leaves nothing READABLE, of which it leaves what is part of a word."""
+    return ~_without_unreadable(s).rlike(rf"(?U)[{READABLE[1:-1]}&&[\w]]")
 
 
 def for_comparison(s: Column) -> Column:
-    t = F.lower(reduce(lambda t, p: F.regexp_replace(t, p, " "), COMPARED, s))
+    t = F.lower(_each_where(s, COMPARED_MARKS, COMPARED, " "))
     return F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
 
 

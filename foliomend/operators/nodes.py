@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import difflib
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -20,17 +21,16 @@ MARKS = 37
 def split_nodes(docs: DataFrame, most: int, text_col: str = "protected") -> DataFrame:
     """doc_id, nid (from 0), origin: headings and list items alone, other lines up to a blank one together;
     what is longer than most is cut after sentence ends and filled up again."""
-    # An inner explode filters by its array's size first, which computes the array again; an outer one doesn't.
-    lines = docs.select("doc_id", F.posexplode_outer(universal_lines(F.col(text_col))).alias("n", "x")).where("n IS NOT NULL")
-    order = Window.partitionBy("doc_id").orderBy("n")
-    alone = L.is_heading(F.col("x")) | L.is_list_item(F.col("x"))
-    marked = lines.select("*", alone.alias("alone"), L.is_blank(F.col("x")).alias("blank"))
-    fresh = F.col("alone") | F.coalesce(F.lag(F.col("alone") | F.col("blank")).over(order), F.lit(False))
-    runs = marked.withColumn("run", F.sum(F.when(fresh, 1).otherwise(0)).over(order)).where("NOT blank")
-    blocks = runs.groupBy("doc_id", "run").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("rows"))
-    blocks = blocks.select("doc_id", "run", F.array_join(F.transform("rows", lambda r: r["x"]), "\n").alias("text"))
+    # All within the document's row: what each line is, where blocks begin, and the lines of each.
+    found = docs.select("doc_id", F.transform(universal_lines(F.col(text_col)), lambda x: F.struct(x.alias("x"), (L.heading_at_head(x) | L.list_item_at_head(x)).alias("alone"), L.blank_line(x).alias("blank"))).alias("rows"))
+    before = lambda i: F.get("rows", i - 1)
+    fresh = lambda r, i: F.when((i == 0) | r["alone"] | before(i)["alone"] | before(i)["blank"], i)
+    found = found.select("doc_id", "rows", F.array_compact(F.transform("rows", fresh)).alias("starts"))
+    lines = lambda at, k: F.slice("rows", at + 1, F.coalesce(F.get("starts", k + 1), F.size("rows")) - at)
+    block = lambda at, k: F.array_join(F.transform(F.filter(lines(at, k), lambda r: ~r["blank"]), lambda r: r["x"]), "\n")
+    blocks = found.select("doc_id", F.transform("starts", block).alias("blocks"))
     # Of a part without outer space nothing is stripped, and a buffer that begins with none is only added to.
-    parts = F.transform(F.split("text", r"(?<=[。！？!?.])\s+"), lambda p: F.struct(p.alias("p"), ((p != "") & (L.stripped(p) == p)).alias("clean")))
+    parts = lambda text: F.transform(F.split(text, r"(?<=[。！？!?.])\s+"), lambda p: F.struct(p.alias("p"), ((p != "") & (L.trimmed(p) == p)).alias("clean")))
     state = F.struct(F.lit("").alias("buffer"), F.lit(False).alias("clean"), F.array().cast("array<string>").alias("done"))
 
     def fill(s: Column, part: Column) -> Column:
@@ -43,9 +43,12 @@ def split_nodes(docs: DataFrame, most: int, text_col: str = "protected") -> Data
 
         return T.bound(longer, next_state)
 
-    pieces = F.when(F.length("text") <= most, F.array("text")).otherwise(F.aggregate(parts, state, fill, lambda s: F.concat(s["done"], F.array(s["buffer"]))))
-    found = blocks.select("doc_id", "run", F.posexplode_outer(pieces).alias("k", "origin")).where("origin <> ''")
-    return found.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("run", "k")) - 1).alias("nid"), "origin")
+    def pieces(text: Column) -> Column:
+        return F.when(F.length(text) <= most, F.array(text)).otherwise(F.aggregate(parts(text), state, fill, lambda s: F.concat(s["done"], F.array(s["buffer"]))))
+
+    origins = F.filter(F.flatten(F.transform("blocks", pieces)), lambda x: x != "")
+    # An inner explode filters by its array's size first, which computes the array again; an outer one doesn't.
+    return blocks.select("doc_id", F.posexplode_outer(origins).alias("nid", "origin")).where("nid IS NOT NULL")
 
 
 def node_text(nid: Column, origin: Column) -> Column:
@@ -61,17 +64,30 @@ def pack_nodes(nodes: DataFrame, most: int) -> DataFrame:
     A node longer than most has a group of its own. nodes: doc_id, nid, origin. Only a group's first
     place is kept while going through a document, and its rows are cut at these.
     """
-    sized = nodes.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("nid", F.length(node_text(F.col("nid"), F.col("origin"))).alias("cost")))).alias("rows"))
+    groups = _groups(nodes, most, lambda nid, origin: F.length(node_text(nid, origin)), lambda r: r["what"])
+    groups = groups.select("doc_id", F.posexplode(F.transform("groups", lambda g: F.transform(g, lambda r: r["nid"].cast("int")))).alias("group_id", "nids"))
+    return groups.select("doc_id", F.explode("nids").alias("nid"), "group_id")
+
+
+def _groups(nodes: DataFrame, most: int, what: Callable[[Column, Column], Column], cost: Callable[[Column], Column]) -> DataFrame:
+    """doc_id, groups: an array of arrays of (nid, what), as pack_nodes cuts them. cost: of such an entry."""
+    sized = nodes.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("nid", what(F.col("nid"), F.col("origin")).alias("what")))).alias("rows"))
     state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("used"), F.array().cast("array<int>").alias("starts"))
 
-    def add(s: Column, r: Column) -> Column:
-        fresh = (s["at"] == 0) | ((s["used"] + r["cost"] > most) & (s["used"] > 0))
-        return F.struct((s["at"] + 1).alias("at"), F.when(fresh, r["cost"]).otherwise(s["used"] + r["cost"]).alias("used"), F.when(fresh, F.array_append(s["starts"], s["at"] + 1)).otherwise(s["starts"]).alias("starts"))
+    def add(s: Column, c: Column) -> Column:
+        fresh = (s["at"] == 0) | ((s["used"] + c > most) & (s["used"] > 0))
+        return F.struct((s["at"] + 1).alias("at"), F.when(fresh, c).otherwise(s["used"] + c).alias("used"), F.when(fresh, F.array_append(s["starts"], s["at"] + 1)).otherwise(s["starts"]).alias("starts"))
 
-    cut = sized.select("doc_id", "rows", F.aggregate("rows", state, add)["starts"].alias("starts"))
+    cut = sized.select("doc_id", "rows", F.aggregate(F.transform("rows", cost), state, add)["starts"].alias("starts"))
     ends = lambda k: F.coalesce(F.get("starts", k + 1), F.size("rows") + 1)
-    groups = cut.select("doc_id", F.posexplode(F.transform("starts", lambda at, k: F.transform(F.slice("rows", at, ends(k) - at), lambda r: r["nid"].cast("int")))).alias("group_id", "nids"))
-    return groups.select("doc_id", F.explode("nids").alias("nid"), "group_id")
+    return cut.select("doc_id", F.transform("starts", lambda at, k: F.slice("rows", at, ends(k) - at)).alias("groups"))
+
+
+def packed_payloads(nodes: DataFrame, most: int) -> DataFrame:
+    """payloads(nodes, pack_nodes(nodes, most)): a document's nodes meet once, and their texts are joined where they are cut."""
+    groups = _groups(nodes, most, node_text, lambda r: F.length(r["what"]))
+    payload = lambda g: F.array_join(F.transform(g, lambda r: r["what"]), "")
+    return groups.select("doc_id", F.posexplode_outer(F.transform("groups", payload)).alias("group_id", "payload")).where("group_id IS NOT NULL")
 
 
 def payloads(nodes: DataFrame, packed: DataFrame) -> DataFrame:
@@ -83,9 +99,13 @@ def payloads(nodes: DataFrame, packed: DataFrame) -> DataFrame:
 def unpack(groups: DataFrame, text_col: str = "payload") -> DataFrame:
     """doc_id, nid, translated: nodes found between matching marks, stripped; of repeats the last. Marks
     whose number is no int are passed over."""
-    shape = r"(?s)<NODE_START_(\d{4,})>\s*(.*?)\s*</NODE_END_\1>"
-    found = groups.select("doc_id", "group_id", F.posexplode(F.regexp_extract_all(text_col, F.lit(shape), F.lit(0))).alias("k", "m"))
-    rows = found.select("doc_id", F.struct("group_id", "k").alias("at"), F.regexp_extract("m", shape, 1).try_cast("int").alias("nid"), F.regexp_extract("m", shape, 2).alias("translated")).where("nid IS NOT NULL")
+    shape = r"(?s)<NODE_START_(\d{4,})>.*?</NODE_END_\1>"
+    found = groups.select("doc_id", "group_id", F.posexplode_outer(F.regexp_extract_all(text_col, F.lit(shape), F.lit(0))).alias("k", "m")).where("k IS NOT NULL")
+    # What is between the marks is found by their lengths.
+    n = F.regexp_extract("m", r"\d+", 0)
+    rows = found.select("doc_id", F.struct("group_id", "k").alias("at"), "m", n.alias("n"))
+    inner = F.substring("m", F.length("n") + len("<NODE_START_>") + 1, F.length("m") - 2 * F.length("n") - len("<NODE_START_></NODE_END_>"))
+    rows = rows.select("doc_id", "at", F.col("n").try_cast("int").alias("nid"), F.regexp_replace(inner, r"^\s+|\s+\z", "").alias("translated")).where("nid IS NOT NULL")
     return rows.groupBy("doc_id", "nid").agg(F.max_by("translated", "at").alias("translated"))
 
 
@@ -126,10 +146,12 @@ def succeeded(origin: Column, translated: Column, target: str, fresh: Column | N
     originals are known to hold text to read. The rules go in order of their cost in one expression, so that
     each is computed once, and for no row that an earlier one settles.
     """
-    filled = F.coalesce(~L.is_blank(translated), F.lit(False))
-    same = T.placeholders(origin) == T.placeholders(F.coalesce(translated, F.lit("")))
+    filled = F.coalesce(~L.blank_line(translated), F.lit(False))
+    # Most failed answers are the original to the character.
+    equal = origin.eqNullSafe(translated)
+    same = equal | (T.placeholders(origin) == T.placeholders(F.coalesce(translated, F.lit(""))))
     known = lambda x: F.array(F.lit(str(x)))
-    stale = L.stripped(origin) == L.stripped(translated)
+    stale = equal | (L.stripped(origin) == L.stripped(translated))
     stale = stale if fresh is None else ~fresh | stale
     compared = F.when(stale, known(1)).otherwise(F.array(T.for_comparison(origin), T.for_comparison(translated)))
     if not readable:
