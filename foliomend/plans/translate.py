@@ -173,7 +173,7 @@ def translate(docs: DataFrame, cfg: TranslateConfig | None = None, translator: T
     def round_of(todo: DataFrame, most: int, turn: int) -> DataFrame:
         """todo (doc_id, nid, origin, translated) with the round's answers, and whether they can stand."""
         again = turn > 0
-        answers = N.unpack(call_groups(N.payloads(todo, N.pack_nodes(todo, most)), translator, cfg, turn, answers_of, calls))
+        answers = N.unpack(call_groups(N.packed_payloads(todo, most), translator, cfg, turn, answers_of, calls))
         found = todo.withColumnRenamed("translated", "before").join(answers, ["doc_id", "nid"], "left")
         now = F.coalesce("translated", "before")
         # An answer that has failed already fails again.

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from foliomend.functions import lines as L
 from foliomend.functions import text as T
 from foliomend.operators import nodes as N
+from foliomend.plans import translate
 from tests.test_line_marks import odd_lines
 
 
@@ -42,3 +43,13 @@ def test_heads_tell_what_the_patterns_tell(spark):
         T.is_placeholder_only(x) == ~T.strip_unreadable(x).rlike(T.READABLE),
     )
     assert set(map(tuple, rows.collect())) == {(True, True)}
+
+
+def test_groups_of_a_translation_meet_once(spark, monkeypatch):
+    """The nodes of a round are shuffled once on their way to the translator."""
+    seen, plain = [], translate.written
+    monkeypatch.setattr(translate, "written", lambda df, name: (name == "groups" and seen.append(exchanges(df)), plain(df, name))[1])
+    docs = spark.createDataFrame([(1, "# Title\n\nSome text to read.\n"), (2, "中文 text.")], "doc_id long, md string")
+    texts = {r.doc_id: r.text.strip() for r in translate.translate(docs)[0].collect()}
+    assert texts == {1: "# Title\n\nSome text to read.", 2: "中文 text."}
+    assert len(seen) > 1 and set(seen) == {1}
