@@ -17,7 +17,7 @@ from foliomend.operators import nodes as N
 from foliomend.operators import placeholders as P
 from foliomend.plans.config import TranslateConfig, default_config
 from foliomend.sources import sinks
-from foliomend.sources.shared import written
+from foliomend.sources.shared import discard, written
 
 LOG = logging.getLogger(__name__)
 #: A translator: (text, source language, target language) to text.
@@ -114,17 +114,23 @@ def keys_of(payload: Column, translator: Translator, cfg: TranslateConfig, turn:
 
 
 def call_groups(groups: DataFrame, translator: Translator, cfg: TranslateConfig, turn: int = 0, kept: Kept | None = None, calls: int | None = None) -> DataFrame:
-    """doc_id, group_id, payload: each group through the translator, equal payloads once.
+    """doc_id, group_id, payload: each group through the translator, as answers_to does it."""
+    rows = written(groups.select("doc_id", "group_id", "payload", keys_of(F.col("payload"), translator, cfg, turn).alias("key")), "rows")
+    answers = answers_to(rows, translator, cfg, kept, calls).withColumn("real", F.lit(True))
+    return rows.join(answers, "key", "left").select("doc_id", "group_id", F.when(F.col("real"), F.col("answer")).otherwise(F.col("payload")).alias("payload"))
+
+
+def answers_to(rows: DataFrame, translator: Translator, cfg: TranslateConfig, kept: Kept | None = None, calls: int | None = None, spare: list[DataFrame] | None = None) -> DataFrame:
+    """key, answer: of rows' payloads those whose answer is another text than the payload; equal payloads are asked once.
 
     parallel_groups calls of a task go at a time. calls: how many at a time in all; then there are no
-    more tasks than that allows. kept: answers of earlier runs, which are not asked for again; without it,
-    answers are written before anything reads them, so that no later stage calls again.
+    more tasks than that allows. kept: answers of earlier runs, which are not asked for again. Answers are
+    written before anything reads them, so that no later stage calls again; spare: takes that table.
     """
-    spark = groups.sparkSession
-    rows = written(groups.select("doc_id", "group_id", "payload", keys_of(F.col("payload"), translator, cfg, turn).alias("key")), "groups")
-    asked = rows.groupBy("key").agg(F.first("payload").alias("payload"))
-    have = kept.table(spark) if kept else spark.createDataFrame([], "key string, answer string")
-    todo = asked.join(have.select("key"), "key", "left_anti") if kept else asked
+    todo = rows.groupBy("key").agg(F.first("payload").alias("payload"))
+    have = kept.table(rows.sparkSession) if kept else None
+    if kept:
+        todo = todo.join(have.select("key"), "key", "left_anti")
     if calls:
         todo = todo.repartition(max(1, calls // max(1, cfg.parallel_groups)))
     width = max(1, cfg.parallel_groups)
@@ -144,54 +150,119 @@ def call_groups(groups: DataFrame, translator: Translator, cfg: TranslateConfig,
                     keys, payloads = part.column(0).to_pylist(), part.column(1).to_pylist()
                     there = folder.get([kept.path(k) for k in keys]) if folder else [None] * len(keys)
                     found = list(pool.map(lambda k, p, t: answer(k, p) if t is None else t.decode(), keys, payloads, there))
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string()), pa.array([a != p for a, p in zip(found, payloads)])], ["key", "answer", "real"])
+                    real = [k for k, (a, p) in enumerate(zip(found, payloads)) if a != p]
+                    yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in real], pa.string()), pa.array([found[k] for k in real], pa.string())], ["key", "answer"])
 
-    answers = written(todo.select("key", "payload").mapInArrow(run, "key string, answer string, real boolean"), "answers")
+    answers = written(todo.select("key", "payload").mapInArrow(run, "key string, answer string"), "groups")
+    if spare is not None:
+        spare.append(answers)
     if kept:
-        kept.save(answers.where("real"))
-        answers = answers.select("key", "answer").unionByName(have)
-    return rows.join(answers.select("key", "answer"), "key").select("doc_id", "group_id", F.col("answer").alias("payload"))
+        kept.save(answers)
+        answers = answers.unionByName(have)
+    return answers
 
 
 def translate(docs: DataFrame, cfg: TranslateConfig | None = None, translator: Translator | None = None, text_col: str = "md", kept: str | None = None, calls: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, nodes, protected) of docs (doc_id, text_col). kept: a folder for answers, which a run that
-    is started again finds; calls: how many calls may go at a time in all. See call_groups.
+    is started again finds; calls: how many calls may go at a time in all. See answers_to.
 
     texts: doc_id, text. nodes: doc_id, nid, origin, translated, outcome (skipped, translated, retried or
     failed). protected: doc_id, protected, store. Nodes without readable text are skipped. Failed nodes
-    are tried again in smaller groups, at most retry_times rounds, and keep their original at last: a
-    round reads and writes the nodes that failed so far only. A document without nodes gets an empty text.
+    are tried again in smaller groups, at most retry_times rounds, and keep their original at last. A
+    document without nodes gets an empty text.
+
+    A document's nodes stay in its row: those that are open, and those that are done. Each round writes
+    these rows anew and removes those of the round before, and its answers, so that the disk holds two of them at
+    most. A translation that is its original to the character takes no room; where all answers are their
+    payloads, no text is shuffled but payloads on their way to the translator.
     """
     cfg = cfg or default_config()
     translator = translator or translator_for(cfg)
     answers_of = Kept(sinks.address(docs.sparkSession, kept)) if kept else None
-    protected = written(P.protect(docs, cfg, text_col), "protected")
-    nodes = written(N.split_nodes(protected, cfg.max_chunk_chars).select("*", T.is_placeholder_only(F.col("origin")).alias("skip")), "nodes")
-    columns = lambda outcome: ["doc_id", "nid", "origin", "translated", F.lit(outcome).alias("outcome")]
-    done = nodes.where("skip").select("doc_id", "nid", "origin", F.col("origin").alias("translated"), F.lit("skipped").alias("outcome"))
-
-    def round_of(todo: DataFrame, most: int, turn: int) -> DataFrame:
-        """todo (doc_id, nid, origin, translated) with the round's answers, and whether they can stand."""
-        again = turn > 0
-        answers = N.unpack(call_groups(N.packed_payloads(todo, most), translator, cfg, turn, answers_of, calls))
-        found = todo.withColumnRenamed("translated", "before").join(answers, ["doc_id", "nid"], "left")
-        now = F.coalesce("translated", "before")
-        # An answer that has failed already fails again.
-        ok = N.succeeded(F.col("origin"), now, cfg.target_lang, fresh=~now.eqNullSafe(F.col("before")) if again else None, readable=True)
-        return written(found.select("doc_id", "nid", "origin", now.alias("translated"), F.coalesce(ok, F.lit(False)).alias("ok")), "round")
-
-    todo = nodes.where("NOT skip").select("doc_id", "nid", "origin", F.lit(None).cast("string").alias("translated"))
-    found = round_of(todo, cfg.max_chunk_chars, 0)
-    done = done.union(found.where("ok").select(*columns("translated")))
-    for turn in range(1, cfg.retry_times + 1 if cfg.retry_failed_nodes else 1):
-        if not found.where("NOT ok").head(1):
+    protected = written(P.protect(docs, cfg, text_col).withColumn("row", F.monotonically_increasing_id()), "protected")
+    rows = _opened(protected, cfg)
+    for turn in range(cfg.retry_times + 1 if cfg.retry_failed_nodes else 1):
+        if turn and not rows.where("size(open) > 0").head(1):
             break
-        found = round_of(found.where("NOT ok").drop("ok"), max(1024, cfg.max_chunk_chars // 2), turn)
-        done = done.union(found.where("ok").select(*columns("retried")))
-    nodes = done.union(found.where("NOT ok").select("doc_id", "nid", "origin", F.col("origin").alias("translated"), F.lit("failed").alias("outcome")))
-    merged = protected.join(N.merge_nodes(nodes), "doc_id", "left")
-    texts = merged.select("doc_id", T.collapse_newlines(P.restore(F.coalesce("text", F.lit("")), F.col("store"))).alias("text"))
-    return texts, nodes, protected
+        rows = _round(rows, translator, cfg, turn, answers_of, calls)
+    failed = F.transform("open", lambda n: F.struct(n["nid"].alias("nid"), n["origin"].alias("origin"), F.lit(None).cast("string").alias("translated"), F.lit(True).alias("same"), F.lit("failed").alias("outcome")))
+    rows = rows.select("row", "doc_id", F.array_sort(F.concat("done", failed)).alias("nodes"))
+    nodes = rows.select("doc_id", F.explode_outer("nodes").alias("n")).where("n IS NOT NULL").select("doc_id", "n.nid", "n.origin", _text(F.col("n")).alias("translated"), "n.outcome")
+    merged = rows.select("row", F.array_join(F.transform("nodes", lambda n: F.concat(F.lit("\n\n"), _text(n), F.lit("\n\n"))), "").alias("text"))
+    texts = protected.select("row", "doc_id", "store").join(merged, "row").select("doc_id", T.collapse_newlines(P.restore(F.col("text"), F.col("store"))).alias("text"))
+    return texts, nodes, protected.drop("row")
+
+
+#: An open node; same: whether what came back is the original, which then isn't repeated. A node that is done has an outcome too.
+OPEN = "array<struct<nid:int,origin:string,translated:string,same:boolean>>"
+DONE = OPEN.replace("same:boolean", "same:boolean,outcome:string")
+
+
+def _text(n: Column) -> Column:
+    """What came back for a node."""
+    return F.when(n["same"], n["origin"]).otherwise(n["translated"])
+
+
+def _node(r: Column, translated: Column, same: Column, *more: Column) -> Column:
+    return F.struct(r["nid"].alias("nid"), r["origin"].alias("origin"), translated.alias("translated"), same.alias("same"), *more)
+
+
+def _opened(protected: DataFrame, cfg: TranslateConfig) -> DataFrame:
+    """row, doc_id, open, done, settled: the nodes before the first round; those with nothing to read are done."""
+    found = N.node_arrays(protected, cfg.max_chunk_chars, keys=("row", "doc_id"))
+    found = found.select("row", "doc_id", F.transform("origins", lambda x, i: F.struct(i.alias("nid"), x.alias("origin"), T.is_placeholder_only(x).alias("skip"))).alias("all"))
+    nothing = F.lit(None).cast("string")
+    todo = F.transform(F.filter("all", lambda r: ~r["skip"]), lambda r: _node(r, nothing, F.lit(False)))
+    skipped = F.transform(F.filter("all", lambda r: r["skip"]), lambda r: _node(r, nothing, F.lit(True), F.lit("skipped").alias("outcome")))
+    return written(found.select("row", "doc_id", todo.cast(OPEN).alias("open"), skipped.cast(DONE).alias("done"), F.lit(False).alias("settled")), "round")
+
+
+def _settled(n: Column) -> Column:
+    """Whether another round in which all answers are their payloads would leave an open node as it is."""
+    return ~n["origin"].contains("NODE_") & _text(n).eqNullSafe(N.echo_of(n["origin"]))
+
+
+def _round(rows: DataFrame, translator: Translator, cfg: TranslateConfig, turn: int, kept: Kept | None, calls: int | None) -> DataFrame:
+    """rows (row, doc_id, open, done, settled) after a round, written; the ones before go. settled: whether
+    answers that are their payloads would change nothing more; if all rows are, and all answers, rows stay."""
+    most, spare = max(1024, cfg.max_chunk_chars // 2) if turn else cfg.max_chunk_chars, []
+    groups = N.cut_groups(rows.withColumnRenamed("open", "rows"), most, N.group_cost)
+    payloads = groups.select("row", F.posexplode_outer(F.transform("groups", N.group_text)).alias("group_id", "payload")).where("group_id IS NOT NULL")
+    payloads = payloads.withColumn("key", keys_of(F.col("payload"), translator, cfg, turn))
+    answers = answers_to(payloads, translator, cfg, kept, calls, spare)
+    answered = bool(answers.head(1))
+    if turn and not answered and not rows.where("NOT settled").head(1):
+        discard(spare[0])
+        return rows
+    marked = F.exists(F.flatten("groups"), lambda r: r["origin"].contains("NODE_"))
+    if answered:
+        back = payloads.select("row", "group_id", "key").join(answers, "key").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("group_id", "answer"))).alias("back"))
+        groups = groups.join(back, "row", "left")
+        marked = marked | F.col("back").isNotNull()
+    else:
+        groups = groups.withColumn("back", F.lit(None).cast("array<struct<group_id:int,answer:string>>"))
+    # As a rule a row of answers stands at its group's number.
+    place = lambda k: T.bound(F.get("back", k), lambda b: F.when(b["group_id"] == k, b).otherwise(F.get(F.filter("back", lambda x: x["group_id"] == k), F.lit(0))))
+    texts = F.transform("groups", lambda g, k: T.bound(place(k), lambda b: F.when(b.isNull(), N.group_text(g)).otherwise(b["answer"])))
+    found = groups.select("row", "doc_id", "done", F.when(marked, N.matched(F.col("groups"), texts)).otherwise(N.echoed(F.col("groups"))).alias("found"))
+
+    def tried(f: Column) -> Column:
+        """A node with what came back, or what was there where nothing did; an answer that has failed already fails again."""
+        r = f["row"]
+        return T.bound(F.coalesce(f["new"], _text(r)), lambda now: F.struct(r.alias("row"), now.alias("now"), (F.lit(turn > 0) & now.eqNullSafe(_text(r))).alias("again")))
+
+    found = found.select("row", "doc_id", "done", F.transform("found", tried).alias("tried"))
+    pairs = F.transform("tried", lambda t: F.when(t["again"], F.array(F.lit("1"))).otherwise(N.compared(t["row"]["origin"], t["now"], cfg.target_lang, readable=True)))
+    found = found.withColumn("alike", N.similarities(pairs))
+    ok = lambda k: F.get("alike", k) < N.ALIKE
+    node = lambda t, *more: T.bound(t["now"].eqNullSafe(t["row"]["origin"]), lambda same: _node(t["row"], F.when(~same, t["now"]), same, *more))
+    stay = F.transform(F.filter("tried", lambda t, k: ~ok(k)), lambda t: node(t))
+    fine = F.transform(F.filter("tried", lambda t, k: ok(k)), lambda t: node(t, F.lit("retried" if turn else "translated").alias("outcome")))
+    found = found.select("row", "doc_id", stay.cast(OPEN).alias("open"), F.concat("done", fine).cast(DONE).alias("done"))
+    after = written(found.withColumn("settled", F.forall("open", _settled)), "round")
+    for table in [rows, *spare]:
+        discard(table)
+    return after
 
 
 def outcomes(nodes: DataFrame) -> DataFrame:
