@@ -17,7 +17,8 @@ from foliomend.operators import nodes as N
 from foliomend.operators import placeholders as P
 from foliomend.plans.config import TranslateConfig, default_config
 from foliomend.sources import sinks
-from foliomend.sources.shared import discard, written
+from foliomend.sources.shared import discard
+from foliomend.sources.shared import written_and_cleaned as written
 
 LOG = logging.getLogger(__name__)
 #: A translator: (text, source language, target language) to text.

@@ -1,13 +1,14 @@
 """A translation keeps one state of its nodes on disk, and finds answers in a document's row as `unpack` does over rows."""
 
 import random
+import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from foliomend.operators import nodes as N
 from foliomend.plans import config, translate
-from foliomend.sources.shared import shared_dir, written
+from foliomend.sources.shared import shared_dir, written_and_cleaned
 
 
 def tables(spark):
@@ -28,11 +29,17 @@ def test_rounds_leave_one_state(spark):
 
 
 def test_what_was_shuffled_goes_with_its_query(spark):
-    """The setting holds for the writing only."""
+    """No file of the shuffle stays when the table is there; the setting holds for the writing only."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, None)
-    assert written(spark.range(100).repartition(3, "id"), "some").count() == 100
-    assert spark.conf.get(key, None) == before
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    old = files()
+    table = written_and_cleaned(spark.range(1000).repartition(3, "id"), "some")
+    until = time.time() + 20
+    while files() - old and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - old and spark.conf.get(key, None) == before and table.count() == 1000
 
 
 def test_answers_in_a_row_and_in_rows(spark):
