@@ -52,9 +52,10 @@ def test_a_broken_run_leaves_no_archive_to_read(spark, tmp_path):
 
 
 def test_merge_leaves_few_files(spark):
-    """The page files of a merge take no block of the disk each."""
+    """The page files of a merge take no block of the disk each, and go when the pages are a table."""
     before = set(Path(shared_dir(spark)).iterdir())
     found = registry.QUERIES["merge_from_files"](spark, "/root/testdata/sf0.001")
     pages = registry._records(spark, "/root/testdata/sf0.001").where("content <> ''").count()
     new = set(Path(shared_dir(spark)).iterdir()) - before
+    assert [d.name.split("-")[0] for d in new] == ["pages"]
     assert found.count() == 200 and sum(1 for d in new for p in d.rglob("*") if p.is_file()) < pages / 4
